@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -98,21 +99,23 @@ def changelog_left_join(
     return pairs.unionByName(unmatched)
 
 
-def _top_changes(values, seqs, top: list[tuple[float, int]], n: int):
-    """Entries caused by each arriving value on a descending list of the best n."""
-    for value, seq in zip(values, seqs):
-        if value != value:
-            continue
-        entry = (-value, seq)
-        place = bisect.bisect(top, entry)
-        if place >= n:
-            continue
-        for rank in range(place, len(top)):
-            yield False, -top[rank][0], rank + 1, seq
-        top.insert(place, entry)
-        del top[n:]
-        for rank in range(place, len(top)):
-            yield True, -top[rank][0], rank + 1, seq
+def _enter(top: list[tuple[float, int]], value: float, seq: int, n: int):
+    """Put a value into a list of the best n; gives the entries this causes.
+
+    ``top`` holds (-value, seq) in ascending order and is changed in place.
+    """
+    place = bisect.bisect(top, (-value, seq))
+    if place >= n:
+        return []
+    gone = [(False, -v, rank, seq) for rank, (v, _) in enumerate(top[place:], place + 1)]
+    top.insert(place, (-value, seq))
+    del top[n:]
+    return gone + [(True, -v, rank, seq) for rank, (v, _) in enumerate(top[place:], place + 1)]
+
+
+def _same(a, b) -> bool:
+    """Equal keys; a missing number arrives as NaN, which is not equal to itself."""
+    return a == b or (a != a and b != b)
 
 
 def top_n_changelog(
@@ -121,36 +124,57 @@ def top_n_changelog(
     """Every change of a per-key top-n list as (flag, key, value, rank, seq).
 
     Equal values keep arrival order.  Each (key, chunk) starts from the best n
-    of all earlier chunks, so chunks are independent and bounded.
+    of all earlier chunks, so chunks are independent.  Sorted rows stream
+    through the tasks, which hold n values and never a whole group.
     """
-    rows = df.select(key, F.col(value).cast("double").alias("_v"), F.col(seq).alias("_s"))
+    rows = df.select(
+        F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"), F.col(seq).alias("_s")
+    ).filter("_v IS NOT NULL")
     rows = rows.withColumn("_chunk", scan.chunk_of(rows, "_s", chunk))
-    best = Window.partitionBy(key, "_chunk").orderBy(F.col("_v").desc(), "_s")
+    best = Window.partitionBy("_k", "_chunk").orderBy(F.col("_v").desc(), "_s")
     tops = rows.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= n).drop("_rn")
-    key_ddl = f"`{key}` {df.schema[key].dataType.simpleString()}"
-
-    def prefixes(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Best n before each chunk, from n rows per chunk."""
-        held, out = [], []
-        for number, part in pdf.sort_values("_chunk").groupby("_chunk"):
-            out += [(number, -v, s) for v, s in held]
-            held = sorted([*held, *zip(-part["_v"], part["_s"])])[:n]
-        carry = pd.DataFrame(out, columns=["_chunk", "_v", "_s"])
-        carry.insert(0, key, pdf[key].iloc[0])
-        return carry
-
-    carry = tops.groupBy(key).applyInPandas(prefixes, f"{key_ddl}, _chunk long, _v double, _s long")
-    both = rows.withColumn("_carry", F.lit(0)).unionByName(carry.withColumn("_carry", F.lit(1)))
-
-    def changes(pdf: pd.DataFrame) -> pd.DataFrame:
-        start = pdf[pdf["_carry"] == 1]
-        fresh = pdf[pdf["_carry"] == 0].sort_values("_s")
-        top = sorted(zip(-start["_v"], start["_s"]))
-        out = list(_top_changes(fresh["_v"].tolist(), fresh["_s"].tolist(), top, n))
-        made = pd.DataFrame(out, columns=["flag", value, "rank", "seq"])
-        made.insert(1, key, pdf[key].iloc[0])
-        return made
-
-    return both.groupBy(key, "_chunk").applyInPandas(
-        changes, f"flag boolean, {key_ddl}, `{value}` double, rank long, seq long"
+    key_ddl = f"_k {df.schema[key].dataType.simpleString()}"
+
+    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The best n before each chunk, from n rows per chunk."""
+        held: list[tuple[float, int]] = []
+        group = chunk_now = None
+        for batch in batches:
+            out = []
+            for k, v, s, number in batch[["_k", "_v", "_s", "_chunk"]].itertuples(index=False):
+                if group is None or not _same(k, group[0]):
+                    group, held, chunk_now = (k,), [], number
+                if number != chunk_now:
+                    chunk_now = number
+                    out += [(k, -u, t, number) for u, t in held]
+                _enter(held, v, s, n)
+            yield pd.DataFrame(out, columns=["_k", "_v", "_s", "_chunk"])
+
+    schema = f"{key_ddl}, _v double, _s long, _chunk long"
+    carry = (
+        tops.repartition("_k")
+        .sortWithinPartitions("_k", "_chunk", "_s")
+        .mapInPandas(prefixes, schema)
+    )
+    both = rows.withColumn("_data", F.lit(1)).unionByName(carry.withColumn("_data", F.lit(0)))
+
+    def changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        top: list[tuple[float, int]] = []
+        group = None
+        for batch in batches:
+            out = []
+            columns = batch[["_k", "_chunk", "_data", "_v", "_s"]]
+            for k, number, data, v, s in columns.itertuples(index=False):
+                if group is None or not (_same(k, group[0]) and number == group[1]):
+                    group, top = (k, number), []
+                entries = _enter(top, v, s, n)
+                if data:
+                    out += [(flag, k, u, rank, at) for flag, u, rank, at in entries]
+            yield pd.DataFrame(out, columns=["flag", "_k", "_v", "rank", "seq"])
+
+    done = (
+        both.repartition("_k", "_chunk")
+        .sortWithinPartitions("_k", "_chunk", "_data", "_s")
+        .mapInPandas(changes, f"flag boolean, {key_ddl}, _v double, rank long, seq long")
     )
+    return done.withColumnsRenamed({"_k": key, "_v": value})

@@ -19,16 +19,18 @@ def window_start(ts: Column, size: int, offset: int = 0) -> Column:
     return ts - F.pmod(ts - F.lit(offset), F.lit(size))
 
 
-def wm_model(df: DataFrame, ts: str, seq: str, bound: int, **kw) -> DataFrame:
-    """Add the watermark before (null at the start) and after each record."""
-    out = scan.running(
-        df, [], seq, {"_top": scan.run_max(ts)}, include_current=False, **kw
-    )
+def wm_model(
+    df: DataFrame, ts: str, seq: str, bound: int, seen: int | None = None, **kw
+) -> DataFrame:
+    """Add the watermark before (null at the start) and after each record.
+
+    ``seen`` is the largest time of records that came before ``df``.
+    """
+    out = scan.running(df, [], seq, {"_top": scan.run_max(ts)}, include_current=False, **kw)
+    # greatest() skips nulls, so the start of the data needs no case of its own.
+    top = F.greatest(F.col("_top"), F.lit(seen).cast("long"))
     return out.withColumns(
-        {
-            "wm_before": F.col("_top") - bound,
-            "wm_after": F.greatest(F.col("_top"), F.col(ts)) - bound,
-        }
+        {"wm_before": top - bound, "wm_after": F.greatest(top, F.col(ts)) - bound}
     ).drop("_top")
 
 
@@ -46,58 +48,74 @@ def _judged(df: DataFrame, ts: str, seq: str, size: int, bound: int, lateness: i
 
 
 def late_split(
-    df: DataFrame, ts: str, seq: str, size: int, bound: int, lateness: int = 0, **kw
+    df: DataFrame,
+    ts: str,
+    seq: str,
+    size: int,
+    bound: int,
+    lateness: int = 0,
+    seen: int | None = None,
+    **kw,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted, late) records of a tumbling window."""
-    judged = _judged(df, ts, seq, size, bound, lateness, **kw)
+    judged = _judged(df, ts, seq, size, bound, lateness, seen=seen, **kw)
     kept = [*df.columns, "window_end"]
     return judged.filter(~F.col("_late")).select(*kept), judged.filter("_late").select(*kept)
 
 
-def allowed_lateness(
+def _crossings(judged: DataFrame, seq: str, size: int) -> DataFrame:
+    """(window_end, fired_at): the record that moved the watermark across each
+    window's last millisecond.
+
+    A jump over a quiet stretch crosses many ends, but at most one record
+    crosses each, so the ends are made from the jump and matched by equality.
+    """
+    lowest = F.coalesce(F.col("wm_before"), F.col("wm_after") - size)
+    from_end = window_start(lowest + 1, size) + size
+    to_end = window_start(F.col("wm_after") + 1, size)
+    ends = F.sequence(from_end, to_end, F.lit(size).cast("long"))
+    return judged.filter((F.col("wm_after") > lowest) & (from_end <= to_end)).select(
+        F.col(seq).alias("fired_at"), F.explode(ends).alias("window_end")
+    )
+
+
+def lateness_step(
     df: DataFrame,
-    key: Keys,
+    before: DataFrame | None,
+    keys: list[str],
     ts: str,
     seq: str,
     value: str,
     size: int,
     bound: int,
-    lateness: int = 0,
+    lateness: int,
+    seen: int | None = None,
     **kw,
-) -> DataFrame:
-    """Every firing of a tumbling sum.
+) -> tuple[DataFrame, DataFrame]:
+    """(firings, window totals) of the records in ``df``.
 
-    A window fires first (``firing`` 0) when the watermark reaches its last
-    millisecond, over the records that came before; each later accepted record
-    fires it again with the whole new sum.  ``fired_at`` is the ``seq`` of the
-    record that caused the firing.  Windows never reached do not fire.
+    ``before`` holds the totals (keys, window_end, total, n, firing) of windows
+    that earlier records left open.
     """
-    keys = as_list(key)
     groups = [*keys, "window_end"]
-    judged = _judged(df, ts, seq, size, bound, lateness, **kw)
+    judged = _judged(df, ts, seq, size, bound, lateness, seen=seen, **kw)
     accepted = judged.filter(~F.col("_late"))
 
-    on_time = (
-        accepted.filter(~F.col("_after_fire"))
-        .groupBy(*groups)
-        .agg(F.sum(value).alias("total"), F.count("*").alias("n"))
-        .withColumn("firing", F.lit(0).cast("long"))
-    )
-    # The one record that moves the watermark across a window's last millisecond.
-    # A jump over a quiet stretch crosses many ends, but at most one record
-    # crosses each, so the ends are made from the jump and matched by equality.
-    lowest = F.coalesce(F.col("wm_before"), F.col("wm_after") - size)
-    from_end = window_start(lowest + 1, size) + size
-    to_end = window_start(F.col("wm_after") + 1, size)
-    crossings = (
-        judged.filter((F.col("wm_after") > lowest) & (from_end <= to_end))
-        .select(
-            F.col(seq).alias("fired_at"),
-            F.explode(F.sequence(from_end, to_end, F.lit(size).cast("long"))).alias("window_end"),
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*groups).agg(
+            F.sum(value).alias("total"),
+            F.count("*").alias("n"),
+            F.sum(F.col("_after_fire").cast("long")).alias("firing"),
         )
-    )
-    first = on_time.join(crossings, "window_end")
 
+    def merged(fresh: DataFrame) -> DataFrame:
+        if before is None:
+            return fresh
+        sums = [F.sum(c).alias(c) for c in ("total", "n", "firing")]
+        return before.unionByName(fresh).groupBy(*groups).agg(*sums)
+
+    on_time = merged(totals(accepted.filter(~F.col("_after_fire"))))
+    first = on_time.join(_crossings(judged, seq, size), "window_end")
     again = scan.running(
         accepted,
         groups,
@@ -107,9 +125,35 @@ def allowed_lateness(
             "n": scan.run_count(),
             "firing": scan.run_sum(F.col("_after_fire").cast("long")),
         },
+        start=before,
         **kw,
     ).filter("_after_fire")
     columns = [*groups, "firing", "fired_at", "n", "total"]
-    return first.select(*columns).unionByName(
+    fired = first.select(*columns).unionByName(
         again.withColumnRenamed(seq, "fired_at").select(*columns)
     )
+    return fired, merged(totals(accepted))
+
+
+def allowed_lateness(
+    df: DataFrame,
+    key: Keys,
+    ts: str,
+    seq: str,
+    value: str,
+    size: int,
+    bound: int,
+    lateness: int = 0,
+    **kw,
+) -> DataFrame:
+    """Every firing of a tumbling sum.
+
+    A window fires first (``firing`` 0) when the watermark reaches its last
+    millisecond, over the records that came before; each later accepted record
+    fires it again with the whole new sum.  ``fired_at`` is the ``seq`` of the
+    record that caused the firing.  Windows never reached do not fire.
+    """
+    fired, _ = lateness_step(
+        df, None, as_list(key), ts, seq, value, size, bound, lateness, **kw
+    )
+    return fired

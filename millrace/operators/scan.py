@@ -28,6 +28,7 @@ CHUNK_ROWS = 1 << 16
 
 _CARRY = "_carry"
 _CHUNK = "_chunk"
+_BEFORE_ALL = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -104,11 +105,14 @@ def running(
     *,
     chunk: int | Column | None = None,
     include_current: bool = True,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per rule: its fold over the key's rows up to this one.
 
     ``seq`` must order the rows of a key without ties.  The first column of
     ``seq`` is cut into chunks; for anything but an integer pass ``chunk``.
+    ``start`` holds folds of rows that came before ``df``: the keys and one
+    column per rule, at most one row per key.
     """
     keys = list(keys)
     order = [seq] if isinstance(seq, str) else list(seq)
@@ -120,6 +124,19 @@ def running(
     totals = base.groupBy(*keys, _CHUNK).agg(
         *[_total(r, folds[n], F.struct(*order)).alias(folds[n]) for n, r in rules.items()]
     )
+    if start is not None:
+        kinds = dict(totals.dtypes)
+        before = {
+            n: F.struct(F.col(n).alias("v")) if r.kind in ("first", "last") else F.col(n)
+            for n, r in rules.items()
+        }
+        totals = totals.unionByName(
+            start.select(
+                *keys,
+                F.lit(_BEFORE_ALL).alias(_CHUNK),
+                *[c.cast(kinds[folds[n]]).alias(folds[n]) for n, c in before.items()],
+            )
+        )
     earlier = (
         Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
