@@ -58,9 +58,9 @@ def top_n_changelog(spark, sf_dir):
     return changelog.top_n_changelog(rows, "user_id", "value", "event_id", 3)
 
 
-LEFT_CHANGES_SQL = """WITH l AS (SELECT o_orderkey, o_orderkey * 16 + 4 AS lseq FROM orders),
+LEFT_CHANGES_SQL = """WITH l AS (SELECT o_orderkey, o_orderkey * 16 + 7 AS lseq FROM orders),
   r AS (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity,
-               l_orderkey * 16 + l_linenumber AS rseq FROM lineitem),
+               l_orderkey * 16 + l_linenumber * 2 AS rseq FROM lineitem),
   f AS (SELECT l_orderkey, min(rseq) AS first FROM r GROUP BY l_orderkey)
 SELECT true AS flag, o_orderkey, lseq, cast(rseq AS DOUBLE) AS rseq, l_quantity,
        greatest(lseq, rseq) AS seq FROM l JOIN r ON o_orderkey = l_orderkey
@@ -71,10 +71,10 @@ UNION ALL SELECT false, o_orderkey, lseq, NULL, NULL, first
 
 
 def order_sides(spark, sf_dir):
-    """Orders arrive among their lines: after line 3, before line 5."""
-    left = load(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderkey * 16 + 4 AS lseq")
+    """Orders arrive among their lines: after line 3, before line 4."""
+    left = load(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderkey * 16 + 7 AS lseq")
     right = load(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS o_orderkey", "l_orderkey * 16 + l_linenumber AS rseq", "l_quantity"
+        "l_orderkey AS o_orderkey", "l_orderkey * 16 + l_linenumber * 2 AS rseq", "l_quantity"
     )
     return left, right
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -26,24 +27,30 @@ class LeftJoinChanges(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         none = (None,) * len(self._right)
-        has_right = self._rights.exists()
+        old_left, old_right = self._lefts.exists(), self._rights.exists()
+        new_lefts: list[tuple] = []
+        new_rights: list[tuple] = []
         for row in sorted(rows, key=lambda r: r["_seq"]):
-            side = self._left if row["_is_left"] else self._right
-            new = tuple(row[name] for name in side.fieldNames())
+            seq = row["_seq"]
             if row["_is_left"]:
-                if has_right:
-                    for other in self._rights.get():
-                        yield self._row(True, *key, *new, *other, row["_seq"])
-                else:
-                    yield self._row(True, *key, *new, *none, row["_seq"])
-                self._lefts.appendValue(new)
+                new = tuple(row[name] for name in self._left.fieldNames())
+                for other in chain(self._rights.get() if old_right else (), new_rights):
+                    yield self._row(True, *key, *new, *other, seq)
+                if not old_right and not new_rights:
+                    yield self._row(True, *key, *new, *none, seq)
+                new_lefts.append(new)
             else:
-                for other in self._lefts.get():
-                    if not has_right:
-                        yield self._row(False, *key, *other, *none, row["_seq"])
-                    yield self._row(True, *key, *other, *new, row["_seq"])
-                self._rights.appendValue(new)
-                has_right = True
+                new = tuple(row[name] for name in self._right.fieldNames())
+                first = not old_right and not new_rights
+                for other in chain(self._lefts.get() if old_left else (), new_lefts):
+                    if first:
+                        yield self._row(False, *key, *other, *none, seq)
+                    yield self._row(True, *key, *other, *new, seq)
+                new_rights.append(new)
+        if new_lefts:
+            self._lefts.appendList(new_lefts)
+        if new_rights:
+            self._rights.appendList(new_rights)
 
     def close(self) -> None:
         pass

@@ -40,23 +40,23 @@ def feed(
 ) -> tuple[str, DataFrame]:
     """Feed tables to a streaming job in ``rounds`` arrivals.
 
-    Each input is (table, arrival column).  An arrival adds one slice of every
-    table, in order, as new files; the job then starts from its checkpoint,
-    takes exactly that slice and stops.  Large tables take more rounds, so that
+    Each input is (table, arrival column); the arrival columns share one scale.
+    An arrival adds one slice of every table, in order, as new files; the job
+    then starts from its checkpoint, takes exactly that slice and stops.  Large tables take more rounds, so that
     a micro-batch stays near ``round_rows`` rows.  ``each`` makes the batch
     function from the run's folder.  Returns that folder and the stream.
     """
     configure(spark)
     base = fresh_dir(spark, "replay")
-    spans = {}
-    for name, (table, order) in inputs.items():
+    ends = []
+    for table, order in inputs.values():
         low, high, n = table.agg(F.min(order), F.max(order), F.count("*")).first()
-        spans[name] = (low or 0, high or 0)
+        ends += [end for end in (low, high) if end is not None]
         rounds = max(rounds, -(-n // round_rows))
+    low, high = min(ends, default=0), max(ends, default=0)
     sink = each(base)
     for number in range(rounds):
         for name, (table, order) in inputs.items():
-            low, high = spans[name]
             at = F.floor((F.col(order) - low) / ((high - low) // rounds + 1))
             here = (at == number) if number else ((at == 0) | at.isNull())
             table.filter(here).write.mode("append").parquet(f"{base}/in/{name}")
