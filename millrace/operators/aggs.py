@@ -73,20 +73,24 @@ def rank_over(
     order: str,
     descending: bool = True,
     name: str = "rank",
-    chunk: Column | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """SQL RANK over a numeric column: 1 + the number of rows ordered before.
 
-    Equal values are counted once per (key, value) first, so neither a hot key
-    nor a hot value is sorted row by row.
+    Equal values are counted once per (key, value) first, so a hot value is one
+    row; the counts are cut into ranges, so a hot key is spread over tasks.
     """
     keys = as_list(key)
     way = -F.col(order) if descending else F.col(order)
     rows = df.withColumn("_order", way)
     counts = rows.groupBy(*keys, "_order").agg(F.count("*").alias("_n"))
-    cut = chunk if chunk is not None else scan.quantile_chunk(rows, "_order")
     before = scan.running(
-        counts, keys, "_order", {"_before": scan.run_sum("_n")}, chunk=cut, include_current=False
+        scan.in_sorted_parts(counts, [*keys, "_order"], parts),
+        keys,
+        "_order",
+        {"_before": scan.run_sum("_n")},
+        chunk=F.col("_part"),
+        include_current=False,
     )
     before = before.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],

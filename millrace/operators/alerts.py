@@ -64,12 +64,25 @@ def trend_alert(
     trends = scan.running(
         rows, keys, seq, {"_trend": scan.run_sum(F.col("_against").cast("long"))}, **kw
     )
-    trends = trends.groupBy(*keys, "_trend").agg(
-        F.min(ts).alias("_started"), F.min(F.when(F.col("_with"), F.col(ts))).alias("armed_at")
+    # A trend's end is the record that starts the next one, so that record counts
+    # for both: as the end of one trend and as the first record of the next.
+    of_trend = F.struct(
+        F.col("_trend").alias("n"),
+        F.when(F.col("_with"), F.col(ts)).alias("armed_at"),
+        F.lit(None).cast("timestamp").alias("ended"),
+    )
+    of_last = F.when(
+        F.col("_against"),
+        F.struct(
+            (F.col("_trend") - 1).alias("n"),
+            F.lit(None).cast("timestamp").alias("armed_at"),
+            F.col(ts).alias("ended"),
+        ),
+    )
+    parts = trends.select(*keys, F.explode(F.array_compact(F.array(of_trend, of_last))).alias("p"))
+    ended = parts.groupBy(*keys, "p.n").agg(
+        F.min("p.armed_at").alias("armed_at"), F.min("p.ended").alias("_ended")
     )
-    # The trend's end is the record that starts the next one.
-    backwards = trends.withColumn("_back", -F.col("_trend"))
-    ended = scan.previous(backwards, keys, "_back", {"_ended": "_started"}, **kw)
     due = F.timestamp_micros(F.unix_micros("armed_at") + millis(hold) * 1000)
     alerts = ended.withColumn("alert_at", due).filter(
         F.col("armed_at").isNotNull()

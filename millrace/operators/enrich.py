@@ -135,13 +135,17 @@ def enrich_map(
     schema: str,
     capacity: int = 10,
     timeout: float = 3.0,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Call ``fetch(*key)`` once per distinct key and join the answers back.
 
-    Per task at most ``capacity`` calls are in flight.  A call that fails or
-    takes longer than ``timeout`` seconds gives nulls; its rows are kept.
+    Per task at most ``capacity`` calls are in flight, over ``tasks`` tasks (by
+    default one per core: waiting for answers, not data size, sets the pace).
+    A call that fails or takes longer than ``timeout`` seconds gives nulls; its
+    rows are kept.
     """
     keys = as_list(keys)
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
     key_ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     answers = [c.strip().split()[0].strip("`") for c in schema.split(",")]
 
@@ -172,7 +176,7 @@ def enrich_map(
         finally:
             pool.shutdown(wait=False, cancel_futures=True)
 
-    distinct = df.select(*keys).distinct()
+    distinct = df.select(*keys).distinct().repartition(tasks, *keys)
     resolved = distinct.mapInPandas(run, f"{key_ddl}, {schema}")
     renamed = resolved.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = F.lit(True)

@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.functions.arith import floor_div
+from millrace.session import fresh_dir
 
-CHUNK_ROWS = 1 << 16
+CHUNK_ROWS = 1 << 18
 
 _CARRY = "_carry"
 _CHUNK = "_chunk"
@@ -90,10 +91,11 @@ def _over(rule: Rule, column: str, window: WindowSpec) -> Column:
 
 
 def _total(rule: Rule, column: str, order: Column) -> Column:
+    # The bare value, not its struct, keeps numbers in a hash aggregate.
     if rule.kind == "first":
-        return F.min_by(column, order)
+        return F.struct(F.min_by(f"{column}.v", order).alias("v"))
     if rule.kind == "last":
-        return F.max_by(column, order)
+        return F.struct(F.max_by(f"{column}.v", order).alias("v"))
     return getattr(F, rule.kind)(column)
 
 
@@ -121,8 +123,9 @@ def running(
         {_CHUNK: chunk_of(df, order[0], chunk), **{folds[n]: r.value for n, r in rules.items()}}
     )
 
+    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     totals = base.groupBy(*keys, _CHUNK).agg(
-        *[_total(r, folds[n], F.struct(*order)).alias(folds[n]) for n, r in rules.items()]
+        *[_total(r, folds[n], by).alias(folds[n]) for n, r in rules.items()]
     )
     if start is not None:
         kinds = dict(totals.dtypes)
@@ -213,15 +216,17 @@ def row_frame(
     return done.filter(F.col("_block") == number).drop("_block")
 
 
-def quantile_chunk(df: DataFrame, column: str, parts: int = 256) -> Column:
-    """A monotone chunk number for a numeric column of unknown distribution.
+def in_sorted_parts(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The table cut into ranges of ``order``, with the range number as ``_part``.
 
-    One pass estimates ``parts - 1`` cut points, a fixed-size summary; they
-    enter the plan as literals, so a recomputed task sees the same chunks.
+    For order columns without a natural chunk, such as doubles.  Spark samples
+    the columns and cuts ranges of even size, also through the middle of a hot
+    key.  The result is a table written to the shared folder, because range
+    numbers must not change between the two readings of a scan.
     """
-    cuts = df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.25 / parts)
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return F.lit(0).cast("long")
-    array = F.array(*[F.lit(c) for c in cuts])
-    return F.size(F.filter(array, lambda cut: cut <= F.col(column).cast("double"))).cast("long")
+    spark = df.sparkSession
+    path = fresh_dir(spark, "sorted")
+    cut = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    cut = cut.withColumn("_part", F.spark_partition_id().cast("long"))
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)

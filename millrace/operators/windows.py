@@ -255,14 +255,16 @@ def window_list(
 
 
 def consecutive_windows(
-    df: DataFrame, key: str, ts: str, size: int | str, value: str, chunk: Column | None = None
+    df: DataFrame, key: str, ts: str, size: int | str, value: str, parts: int | None = None
 ) -> DataFrame:
     """Sum per key and window, then the keys of a window ranked by their sum.
 
     ``place`` 1 is the largest sum; equal sums are ordered by key.
     """
     sums = window_agg(df, key, ts, size, [F.round(F.sum(value), 6).alias("total")])
-    ranked = sums.withColumn("_down", -F.col("total"))
-    cut = chunk if chunk is not None else scan.quantile_chunk(ranked, "_down")
-    groups = ["window_start", "window_end"]
-    return scan.position(ranked, groups, ["_down", key], name="place", chunk=cut).drop("_down")
+    groups, order = ["window_start", "window_end"], ["_down", key]
+    cut = scan.in_sorted_parts(
+        sums.withColumn("_down", -F.col("total")), [*groups, *order], parts
+    )
+    placed = scan.position(cut, groups, order, name="place", chunk=F.col("_part"))
+    return placed.drop("_down", "_part")
