@@ -112,6 +112,20 @@ def top_n(df: DataFrame, key: Keys, value: str, n: int, seq: str, name: str = "p
     return df.withColumn(name, F.row_number().over(best)).filter(F.col(name) <= n)
 
 
+def distinct_stream(
+    df: DataFrame, columns: list[str], ts: str | None = None, bound: int | str | None = None
+) -> DataFrame:
+    """The first row of each value combination on a stream.
+
+    With ``ts`` and ``bound`` a combination is forgotten once the watermark has
+    passed it by the bound, and may then appear again; without them it is kept
+    for ever.
+    """
+    if ts is None:
+        return df.dropDuplicates(columns)
+    return df.withWatermark(ts, text(bound)).dropDuplicatesWithinWatermark(columns)
+
+
 def distinct_agg_stream(
     df: DataFrame, key: Keys, value: str, agg: str, ts: str, size, bound, name: str
 ) -> DataFrame:

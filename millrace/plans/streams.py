@@ -152,6 +152,15 @@ def stream_window_sum_distinct(spark, sf_dir):
     return last.select("event_type", ms("window_start"), "total")
 
 
+@query("stream_distinct_rows", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_distinct_rows(spark, sf_dir):
+    columns = ["user_id", "event_type"]
+    written = _fed(
+        spark, sf_dir, lambda s: aggs.distinct_stream(s, columns), "event_id", *columns
+    )
+    return written.select(*columns)
+
+
 def _sides(spark, sf_dir):
     return {
         "clicks": (of_type(spark, sf_dir, "click", "c"), "c_id"),

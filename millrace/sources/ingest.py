@@ -123,6 +123,11 @@ def event_time(value: Column, unit: str) -> Column:
     return _UNITS[unit](value)
 
 
+def stamp_arrival(df: DataFrame, name: str = "arrived") -> DataFrame:
+    """Processing time as a column; on a stream, the start of the micro-batch."""
+    return df.withColumn(name, F.current_timestamp())
+
+
 def to_table(
     df: DataFrame,
     names: Sequence[str],

@@ -54,11 +54,15 @@ def feed(
         ends += [end for end in (low, high) if end is not None]
         rounds = max(rounds, -(-n // round_rows))
     low, high = min(ends, default=0), max(ends, default=0)
+    width = (high - low) // rounds + 1
     sink = each(base)
     for number in range(rounds):
         for name, (table, order) in inputs.items():
-            at = F.floor((F.col(order) - low) / ((high - low) // rounds + 1))
-            here = (at == number) if number else ((at == 0) | at.isNull())
+            # A plain range, so that the scan skips what other rounds hold.
+            start = low + number * width
+            here = (F.col(order) >= start) & (F.col(order) < start + width)
+            if number == 0:
+                here = here | F.col(order).isNull()
             table.filter(here).write.mode("append").parquet(f"{base}/in/{name}")
         out = transform(
             *[
