@@ -58,7 +58,9 @@ def trend_alert(
     """
     keys = as_list(key)
     up = {"rising": 1, "falling": -1}[direction]
-    rows = scan.previous(df.select(*keys, seq, ts, value), keys, seq, {"_prev": value}, **kw)
+    rows = df.select(*keys, seq, ts, value)
+    kw.setdefault("chunk", scan.measure(rows, keys, seq))
+    rows = scan.previous(rows, keys, seq, {"_prev": value}, **kw)
     step = F.coalesce(F.lit(up) * (F.col(value) - F.col("_prev")), F.lit(0.0))
     rows = rows.withColumns({"_with": step > 0, "_against": step < 0})
     trends = scan.running(
@@ -113,6 +115,7 @@ def pattern_times(
     keys = as_list(key)
     rows = df.withColumn("_hit", F.coalesce(predicate, F.lit(False)))
     kept = [*keys, seq, *([ts] if ts else [])]
+    kw.setdefault("chunk", scan.measure(rows, keys, seq))
     if strict:
         placed = scan.position(rows.select(*kept, "_hit"), keys, seq, name="_all", **kw)
         hits = placed.filter("_hit")

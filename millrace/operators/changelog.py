@@ -119,20 +119,22 @@ def _same(a, b) -> bool:
 
 
 def top_n_changelog(
-    df: DataFrame, key: str, value: str, seq: str, n: int, chunk: int | None = None
+    df: DataFrame, key: str, value: str, seq: str, n: int, chunk: int | scan.Cut | None = None
 ) -> DataFrame:
     """Every change of a per-key top-n list as (flag, key, value, rank, seq).
 
-    Equal values keep arrival order.  Each (key, chunk) starts from the best n
-    of all earlier chunks, so chunks are independent.  Sorted rows stream
+    Equal values keep arrival order.  Each chunk of a hot key starts from the
+    best n of all earlier chunks, so chunks are independent.  Sorted rows stream
     through the tasks, which hold n values and never a whole group.
     """
     rows = df.select(
         F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"), F.col(seq).alias("_s")
     ).filter("_v IS NOT NULL")
-    rows = rows.withColumn("_chunk", scan.chunk_of(rows, "_s", chunk))
+    cut = scan.Cut(chunk) if isinstance(chunk, int) else chunk or scan.measure(rows, ["_k"], "_s")
+    is_hot = cut.is_hot(["_k"])
+    rows = rows.withColumn("_chunk", cut.chunk(["_k"], "_s"))
     best = Window.partitionBy("_k", "_chunk").orderBy(F.col("_v").desc(), "_s")
-    tops = rows.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= n).drop("_rn")
+    tops = rows.filter(is_hot).withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= n).drop("_rn")
     key_ddl = f"_k {df.schema[key].dataType.simpleString()}"
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,12 +153,14 @@ def top_n_changelog(
             yield pd.DataFrame(out, columns=["_k", "_v", "_s", "_chunk"])
 
     schema = f"{key_ddl}, _v double, _s long, _chunk long"
-    carry = (
-        tops.repartition("_k")
-        .sortWithinPartitions("_k", "_chunk", "_s")
-        .mapInPandas(prefixes, schema)
-    )
-    both = rows.withColumn("_data", F.lit(1)).unionByName(carry.withColumn("_data", F.lit(0)))
+    both = rows.withColumn("_data", F.lit(1))
+    if cut.hot != ():
+        carry = (
+            tops.repartition("_k")
+            .sortWithinPartitions("_k", "_chunk", "_s")
+            .mapInPandas(prefixes, schema)
+        )
+        both = both.unionByName(carry.withColumn("_data", F.lit(0)))
 
     def changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         top: list[tuple[float, int]] = []

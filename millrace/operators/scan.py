@@ -1,17 +1,19 @@
 """Running aggregates, row numbers and row frames that survive a hot key.
 
-A plain ``Window.partitionBy(key)`` sorts a whole key in one task.  Here the
-rows of a key are cut along the order column into chunks, and three steps give
-the same values:
+A plain ``Window.partitionBy(key)`` sorts a whole key in one task, which is
+right for most keys and fatal for a hot one.  :func:`measure` counts the rows
+per key and names the hot ones; the rows of a hot key are cut along the order
+column into chunks, and three steps give the same values:
 
 1. each (key, chunk) is reduced to one total - map-side partial aggregation;
 2. the totals of the earlier chunks are combined per key - one row per chunk;
 3. that carry enters its chunk as one extra row ahead of the data, and an
    ordinary window over (key, chunk) finishes the job.
 
-With a unique integer order column a chunk never holds more than
-``CHUNK_ROWS`` rows, however the keys are distributed.  Data rows are shuffled
-once, by (key, chunk).
+Data rows are shuffled once, by (key, chunk).  With a unique integer order
+column no task sorts more than about max(HOT_ROWS, rows / MAX_HOT_KEYS) rows,
+however the keys are distributed: a chunk holds at most max(CHUNK_ROWS,
+rows / MAX_CHUNKS) rows, and a key that is not among the hot ones is small.
 """
 
 from __future__ import annotations
@@ -25,7 +27,10 @@ from pyspark.sql import functions as F
 from millrace.functions.arith import floor_div
 from millrace.session import fresh_dir
 
+HOT_ROWS = 1 << 20
 CHUNK_ROWS = 1 << 18
+MAX_CHUNKS = 1 << 16
+MAX_HOT_KEYS = 10_000
 
 _CARRY = "_carry"
 _CHUNK = "_chunk"
@@ -72,14 +77,51 @@ def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def chunk_of(df: DataFrame, seq: str, chunk: int | Column | None) -> Column:
-    """Chunk number of a row; must not decrease along the order column."""
-    if isinstance(chunk, Column):
-        return chunk.cast("long")
+@dataclass(frozen=True)
+class Cut:
+    """Which keys are cut into chunks, by hash (None: all), and how wide."""
+
+    width: int
+    hot: tuple[int, ...] | None = None
+
+    def is_hot(self, keys: Sequence[str]) -> Column:
+        if self.hot is None or (self.hot and not keys):
+            return F.lit(True)
+        if not self.hot:
+            return F.lit(False)
+        # A key sharing a hot key's hash is cut as well, which does no harm.
+        names = ", ".join(f"`{k}`" for k in keys)
+        return F.expr(f"xxhash64({names}) IN ({', '.join(map(str, self.hot))})")
+
+    def chunk(self, keys: Sequence[str], seq: str) -> Column:
+        cut = floor_div(F.col(seq), self.width)
+        return F.when(self.is_hot(keys), cut).otherwise(F.lit(0).cast("long"))
+
+
+def _check_integer(df: DataFrame, seq: str) -> None:
     kind = df.schema[seq].dataType.typeName()
     if kind not in ("byte", "short", "integer", "long"):
         raise ValueError(f"order column {seq} is {kind}: pass chunk= as a monotone column")
-    return floor_div(F.col(seq), chunk or CHUNK_ROWS)
+
+
+def measure(df: DataFrame, keys: Sequence[str], seq: str) -> Cut:
+    """Count the rows per key and cut the hot keys.
+
+    One aggregation over the key columns; at most MAX_HOT_KEYS small rows, the
+    largest keys, come to the driver.  A key beyond those holds less than
+    rows / MAX_HOT_KEYS rows and needs no cutting.
+    """
+    _check_integer(df, seq)
+    sizes = df.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min(seq).alias("_lo"), F.max(seq).alias("_hi")
+    )
+    largest = sizes.filter(F.col("_n") > HOT_ROWS).orderBy(F.col("_n").desc())
+    code = F.xxhash64(*keys) if keys else F.lit(0)
+    found = largest.limit(MAX_HOT_KEYS).select(code.alias("_h"), "_lo", "_hi").collect()
+    if not found:
+        return Cut(CHUNK_ROWS, ())
+    span = max(r["_hi"] for r in found) - min(r["_lo"] for r in found) + 1
+    return Cut(max(CHUNK_ROWS, -(-span // MAX_CHUNKS)), tuple(r["_h"] for r in found))
 
 
 def _over(rule: Rule, column: str, window: WindowSpec) -> Column:
@@ -105,55 +147,66 @@ def running(
     seq: str | Sequence[str],
     rules: dict[str, Rule],
     *,
-    chunk: int | Column | None = None,
+    chunk: int | Column | Cut | None = None,
     include_current: bool = True,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per rule: its fold over the key's rows up to this one.
 
-    ``seq`` must order the rows of a key without ties.  The first column of
-    ``seq`` is cut into chunks; for anything but an integer pass ``chunk``.
+    ``seq`` must order the rows of a key without ties; its first column is cut
+    into chunks.  ``chunk`` says how: None measures the keys first, a
+    :class:`Cut` reuses a measurement, a number cuts every key at that width,
+    and a column that never decreases along the order is the chunk itself.
     ``start`` holds folds of rows that came before ``df``: the keys and one
     column per rule, at most one row per key.
     """
     keys = list(keys)
     order = [seq] if isinstance(seq, str) else list(seq)
     folds = {name: f"_f_{name}" for name in rules}
-    base = df.withColumns(
-        {_CHUNK: chunk_of(df, order[0], chunk), **{folds[n]: r.value for n, r in rules.items()}}
-    )
-
-    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    totals = base.groupBy(*keys, _CHUNK).agg(
-        *[_total(r, folds[n], by).alias(folds[n]) for n, r in rules.items()]
-    )
-    if start is not None:
-        kinds = dict(totals.dtypes)
-        before = {
-            n: F.struct(F.col(n).alias("v")) if r.kind in ("first", "last") else F.col(n)
-            for n, r in rules.items()
-        }
-        totals = totals.unionByName(
-            start.select(
-                *keys,
-                F.lit(_BEFORE_ALL).alias(_CHUNK),
-                *[c.cast(kinds[folds[n]]).alias(folds[n]) for n, c in before.items()],
-            )
+    if isinstance(chunk, Column):
+        is_hot, number = F.lit(True), chunk.cast("long")
+        whole = False
+    else:
+        if chunk is None:
+            chunk = measure(df, keys, order[0])
+        elif isinstance(chunk, int):
+            _check_integer(df, order[0])
+            chunk = Cut(chunk)
+        is_hot, number = chunk.is_hot(keys), chunk.chunk(keys, order[0])
+        whole = chunk.hot == ()
+    columns = df.columns
+    base = df.withColumns({folds[n]: r.value for n, r in rules.items()})
+    carries = []
+
+    if not whole:
+        by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+        base = base.withColumn(_CHUNK, number)
+        totals = (
+            base.filter(is_hot)
+            .groupBy(*keys, _CHUNK)
+            .agg(*[_total(r, folds[n], by).alias(folds[n]) for n, r in rules.items()])
         )
-    earlier = (
-        Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = totals.select(
-        *keys, _CHUNK, *[_over(r, folds[n], earlier).alias(folds[n]) for n, r in rules.items()]
-    ).filter(" or ".join(f"`{f}` is not null" for f in folds.values()))
+        if start is not None:
+            totals = totals.unionByName(_started(start.filter(is_hot), keys, rules, base, _BEFORE_ALL))
+        earlier = (
+            Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carry = totals.select(
+            *keys, _CHUNK, *[_over(r, folds[n], earlier).alias(folds[n]) for n, r in rules.items()]
+        )
+        carries.append(carry.filter(" or ".join(f"`{f}` is not null" for f in folds.values())))
+    elif start is not None:
+        base = base.withColumn(_CHUNK, number)
+    if start is not None:
+        carries.append(_started(start.filter(~is_hot), keys, rules, base, 0))
 
-    columns = df.columns
-    rows = base.withColumn(_CARRY, F.lit(1)).unionByName(
-        carry.withColumn(_CARRY, F.lit(0)), allowMissingColumns=True
-    )
+    rows = base.withColumn(_CARRY, F.lit(1))
+    for carry in carries:
+        rows = rows.unionByName(carry.withColumn(_CARRY, F.lit(0)), allowMissingColumns=True)
+    groups = [*keys, _CHUNK] if carries else keys
     inside = (
-        Window.partitionBy(*keys, _CHUNK)
-        .orderBy(_CARRY, *order)
+        Window.partitionBy(*groups)
+        .orderBy(*([_CARRY] if carries else []), *order)
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
     done = rows.withColumns({f"_o_{n}": _over(r, folds[n], inside) for n, r in rules.items()})
@@ -165,13 +218,23 @@ def running(
     return done.filter(F.col(_CARRY) == 1).select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
+def _started(start: DataFrame, keys, rules: dict[str, Rule], base: DataFrame, chunk: int):
+    """Folds from before the data as totals of a chunk."""
+    kinds = dict(base.dtypes)
+    folds = []
+    for n, r in rules.items():
+        value = F.struct(F.col(n).alias("v")) if r.kind in ("first", "last") else F.col(n)
+        folds.append(value.cast(kinds[f"_f_{n}"]).alias(f"_f_{n}"))
+    return start.select(*keys, F.lit(chunk).cast("long").alias(_CHUNK), *folds)
+
+
 def position(
     df: DataFrame,
     keys: Sequence[str],
     seq: str | Sequence[str],
     *,
     name: str = "pos",
-    chunk: int | Column | None = None,
+    chunk: int | Column | Cut | None = None,
 ) -> DataFrame:
     """Add the 1-based place of each row within its key."""
     return running(df, keys, seq, {name: run_count()}, chunk=chunk)
@@ -183,7 +246,7 @@ def previous(
     seq: str | Sequence[str],
     values: dict[str, str | Column],
     *,
-    chunk: int | Column | None = None,
+    chunk: int | Column | Cut | None = None,
 ) -> DataFrame:
     """Add the value each expression had on the key's preceding row."""
     rules = {name: run_last(value) for name, value in values.items()}
