@@ -77,10 +77,15 @@ def rank_over(
 ) -> DataFrame:
     """SQL RANK over a numeric column: 1 + the number of rows ordered before.
 
-    Equal values are counted once per (key, value) first, so a hot value is one
-    row; the counts are cut into ranges, so a hot key is spread over tasks.
+    Without a hot key this is Spark's own rank.  Otherwise equal values are
+    counted once per (key, value), so a hot value is one row, and the counts are
+    cut into ranges, so a hot key is spread over tasks; ``parts`` asks for that.
     """
     keys = as_list(key)
+    if parts is None and not scan.has_hot_key(df, keys):
+        ahead = F.col(order).desc() if descending else F.col(order)
+        ranked = F.rank().over(Window.partitionBy(*keys).orderBy(ahead))
+        return df.withColumn(name, ranked.cast("long"))
     way = -F.col(order) if descending else F.col(order)
     rows = df.withColumn("_order", way)
     counts = rows.groupBy(*keys, "_order").agg(F.count("*").alias("_n"))

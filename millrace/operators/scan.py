@@ -124,6 +124,12 @@ def measure(df: DataFrame, keys: Sequence[str], seq: str) -> Cut:
     return Cut(max(CHUNK_ROWS, -(-span // MAX_CHUNKS)), tuple(r["_h"] for r in found))
 
 
+def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether some key holds more than HOT_ROWS rows."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    return bool(sizes.limit(1).collect())
+
+
 def _over(rule: Rule, column: str, window: WindowSpec) -> Column:
     if rule.kind == "first":
         return F.first(column, ignorenulls=True).over(window)

@@ -263,8 +263,12 @@ def consecutive_windows(
     """
     sums = window_agg(df, key, ts, size, [F.round(F.sum(value), 6).alias("total")])
     groups, order = ["window_start", "window_end"], ["_down", key]
-    cut = scan.in_sorted_parts(
-        sums.withColumn("_down", -F.col("total")), [*groups, *order], parts
-    )
+    ranked = sums.withColumn("_down", -F.col("total"))
+    in_window = df.select(window_of(ts, size).alias("w"))
+    if parts is None and not scan.has_hot_key(in_window, ["w"]):
+        best_first = Window.partitionBy(*groups).orderBy(*order)
+        place = F.row_number().over(best_first).cast("long")
+        return ranked.withColumn("place", place).drop("_down")
+    cut = scan.in_sorted_parts(ranked, [*groups, *order], parts)
     placed = scan.position(cut, groups, order, name="place", chunk=F.col("_part"))
     return placed.drop("_down", "_part")

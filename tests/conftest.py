@@ -28,10 +28,11 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def small_chunks(monkeypatch):
-    """Chunks of a few rows, so that small tables cross many of them."""
+    """Chunks of a few rows and few rows to a hot key, so that small tables are cut."""
     from millrace.operators import scan
 
     monkeypatch.setattr(scan, "CHUNK_ROWS", 97)
+    monkeypatch.setattr(scan, "HOT_ROWS", 9)
 
 
 def rows(df, *columns):

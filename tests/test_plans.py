@@ -34,9 +34,18 @@ def test_only_fixed_size_summaries_meet_in_one_task(plan_text):
 
 
 @pytest.mark.parametrize("name", ["rolling_sum", "over_sum_unbounded", "retract_group_sum"])
-def test_running_windows_are_cut_into_chunks(plan_text, name):
-    window = re.search(r"Window \[sum\(_f_.*?\], \[(.*?)\], \[", plan_text[name])
-    assert "_chunk" in window.group(1)
+def test_running_windows_are_cut_when_a_key_is_hot(spark, plan_text, small_chunks, name):
+    def grouping(text):
+        return re.search(r"Window \[sum\(_f_.*?\], \[(.*?)\], \[", text).group(1)
+
+    assert "_chunk" not in grouping(plan_text[name])
+    assert "_chunk" in grouping(plan_of(plans.QUERIES[name](spark, SF)))
+
+
+@pytest.mark.parametrize("name", ["over_sum_rows", "count_tumbling", "pattern_times"])
+def test_a_second_window_on_the_same_key_is_not_shuffled_again(plan_text, name):
+    """Places and frames share the key's partitioning while no key is hot."""
+    assert plan_text[name].count("Exchange hashpartitioning") <= 2
 
 
 @pytest.mark.parametrize("name", ["top_n", "evict_last_n"])

@@ -77,6 +77,48 @@ def test_running_continues_from_a_start(spark):
     assert run_all(rest, chunk=9, start=start) == {s: expected[s] for s, _, _ in second}
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.5])
+def test_only_hot_keys_are_cut(spark, monkeypatch, hot):
+    """The measured cut: none, some or all keys hot, and many chunks per key."""
+    for rows_, chunk_, chunks_ in ((10_000, 5, 100), (60, 5, 100), (0, 5, 100), (60, 1, 8)):
+        monkeypatch.setattr(scan, "HOT_ROWS", rows_)
+        monkeypatch.setattr(scan, "CHUNK_ROWS", chunk_)
+        monkeypatch.setattr(scan, "MAX_CHUNKS", chunks_)
+        data = sample(200, 3, hot)
+        df = spark.createDataFrame(data, "seq long, k string, v long")
+        cut = scan.measure(df, ["k"], "seq")
+        sizes = {k: sum(1 for _, k2, _ in data if k2 == k) for _, k, _ in data}
+        assert len(cut.hot) == sum(1 for n in sizes.values() if n > rows_)
+        assert run_all(df) == brute(data)
+        assert run_all(df, include_current=False) == brute(data, False)
+
+
+def test_start_reaches_cold_and_hot_keys(spark, monkeypatch):
+    data = sorted(sample(160, 9, 0.6))
+    first, second = data[:60], data[60:]
+    head = spark.createDataFrame(first, "seq long, k string, v long").groupBy("k")
+    start = head.agg(F.count("*").alias("n"), F.max("v").alias("high")).cache()
+    rest = spark.createDataFrame(second, "seq long, k string, v long")
+    expected = brute(data)
+    for hot_rows in (0, 30, 10_000):
+        monkeypatch.setattr(scan, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(scan, "CHUNK_ROWS", 7)
+        rules = {"n": scan.run_count(), "high": scan.run_max("v")}
+        out = scan.running(rest, ["k"], "seq", rules, start=start)
+        found = {r["seq"]: (r["n"], r["high"]) for r in out.collect()}
+        assert found == {s: (expected[s][0], expected[s][3]) for s, _, _ in second}
+
+
+def test_global_scan(spark, monkeypatch):
+    df = spark.range(50).selectExpr("id AS seq", "(id * 7) % 50 AS v")
+    for hot_rows in (0, 1000):
+        monkeypatch.setattr(scan, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(scan, "CHUNK_ROWS", 6)
+        out = scan.running(df, [], "seq", {"top": scan.run_max("v")})
+        expected = [(s, max((i * 7) % 50 for i in range(s + 1))) for s in range(50)]
+        assert rows(out, "seq", "top") == sorted(expected, key=repr)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "seq long, k string, v long")
     assert run_all(df) == {}
@@ -109,6 +151,8 @@ def test_rank_with_ties_over_ranges(spark, parts, descending):
     data = [(i, rng.choice("ab"), float(rng.randint(0, 20))) for i in range(150)]
     df = spark.createDataFrame(data, "id long, k string, v double")
     out = aggs.rank_over(df, "k", "v", descending=descending, parts=parts)
+    plain = aggs.rank_over(df, "k", "v", descending=descending)
+    assert rows(plain, "id", "rank") == rows(out, "id", "rank")
     expected = [
         (i, 1 + sum(1 for _, k2, v2 in data if k2 == k and (v2 > v if descending else v2 < v)))
         for i, k, v in data
