@@ -63,18 +63,25 @@ def late_split(
     return judged.filter(~F.col("_late")).select(*kept), judged.filter("_late").select(*kept)
 
 
-def _crossings(judged: DataFrame, seq: str, size: int) -> DataFrame:
-    """(window_end, fired_at): the record that moved the watermark across each
+def _crossings(judged: DataFrame, seq: str, size: int, bound: int) -> DataFrame:
+    """(window_end, fired_at): the record that moved the watermark across a
     window's last millisecond.
 
-    A jump over a quiet stretch crosses many ends, but at most one record
-    crosses each, so the ends are made from the jump and matched by equality.
+    A record can cross many ends in one jump, but a window holding data starts
+    no later than the largest time seen, which is the watermark plus the bound.
+    So only about bound / size ends per record need a look, besides the
+    record's own, however far it jumps.
     """
-    lowest = F.coalesce(F.col("wm_before"), F.col("wm_after") - size)
-    from_end = window_start(lowest + 1, size) + size
-    to_end = window_start(F.col("wm_after") + 1, size)
-    ends = F.sequence(from_end, to_end, F.lit(size).cast("long"))
-    return judged.filter((F.col("wm_after") > lowest) & (from_end <= to_end)).select(
+    before, after, own = F.col("wm_before"), F.col("wm_after"), F.col("window_end")
+    first = window_start(before + 1, size) + size
+    last = F.least(window_start(after + 1, size), window_start(before + bound, size) + size)
+    none = F.array().cast("array<bigint>")
+    step = F.lit(size).cast("long")
+    seen = F.when(first <= last, F.sequence(first, last, step)).otherwise(none)
+    crosses_own = (own - 1 <= after) & F.coalesce(own - 1 > before, F.lit(True))
+    ends = F.array_union(seen, F.when(crosses_own, F.array(own)).otherwise(none))
+    moved = F.coalesce(after > before, F.lit(True))
+    return judged.filter(moved).select(
         F.col(seq).alias("fired_at"), F.explode(ends).alias("window_end")
     )
 
@@ -115,7 +122,7 @@ def lateness_step(
         return before.unionByName(fresh).groupBy(*groups).agg(*sums)
 
     on_time = merged(totals(accepted.filter(~F.col("_after_fire"))))
-    first = on_time.join(_crossings(judged, seq, size), "window_end")
+    first = on_time.join(_crossings(judged, seq, size, bound), "window_end")
     again = scan.running(
         accepted,
         groups,

@@ -52,25 +52,30 @@ def running_batches(
     sink: Sink,
     **kw,
 ) -> Sink:
-    """A ``foreachBatch`` function for running folds that no hot key can stall.
-
-    Rules are sums, counts, minima and maxima.
-    """
+    """A ``foreachBatch`` function for running folds that no hot key can stall."""
     keys = as_list(keys)
     slots = Slots(state_path)
-    if any(r.kind not in ("sum", "min", "max") for r in rules.values()):
-        raise ValueError("only sum, count, min and max can be carried between batches")
+
+    def fresh_fold(name: str, rule: scan.Rule):
+        if rule.kind in ("first", "last"):
+            pick = F.min_by if rule.kind == "first" else F.max_by
+            return pick(rule.value["v"], F.col(seq)).alias(name)
+        return getattr(F, rule.kind)(rule.value).alias(name)
+
+    def merged_fold(name: str, rule: scan.Rule):
+        if rule.kind in ("first", "last"):
+            pick = F.min_by if rule.kind == "first" else F.max_by
+            return pick(name, F.col("_age")).alias(name)
+        return getattr(F, rule.kind)(name).alias(name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge = {n: getattr(F, r.kind) for n, r in rules.items()}
-        fresh = batch.groupBy(*keys).agg(
-            *[merge[n](r.value).alias(n) for n, r in rules.items()]
-        )
+        fresh = batch.groupBy(*keys).agg(*[fresh_fold(n, r) for n, r in rules.items()])
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
         before = slots.read(batch.sparkSession, batch_id, ddl)
         sink(scan.running(batch, keys, seq, rules, start=before, **kw), batch_id)
-        after = before.unionByName(fresh).groupBy(*keys)
-        slots.write(after.agg(*[merge[n](n).alias(n) for n in rules]), batch_id)
+        both = before.withColumn("_age", F.lit(0)).unionByName(fresh.withColumn("_age", F.lit(1)))
+        after = both.groupBy(*keys).agg(*[merged_fold(n, r) for n, r in rules.items()])
+        slots.write(after, batch_id)
 
     return write
 

@@ -45,7 +45,7 @@ def sensor(spark):
 @pytest.fixture
 def triples(spark):
     data = [
-        ("a", 1, "pdn1"), ("b", 3, "pdn2"), ("a", 3, "pdn3"), ("b", 3, "pdn1"), ("b", 4, "pdn4"),
+        ("a", 1, "tag1"), ("b", 3, "tag2"), ("a", 3, "tag3"), ("b", 3, "tag1"), ("b", 4, "tag4"),
     ]
     return spark.createDataFrame(
         [(i, *row) for i, row in enumerate(data)], "seq long, k string, v int, tag string"
@@ -56,8 +56,8 @@ def triples(spark):
 def test_rolling_max_keeps_other_fields_of_the_first_record(triples, chunk):
     out = rolling.rolling_max(triples, "k", "v", "seq", chunk=chunk)
     assert [tuple(r) for r in out.orderBy("seq").collect()] == [
-        (0, "a", 1, "pdn1"), (1, "b", 3, "pdn2"), (2, "a", 3, "pdn1"), (3, "b", 3, "pdn2"),
-        (4, "b", 4, "pdn2"),
+        (0, "a", 1, "tag1"), (1, "b", 3, "tag2"), (2, "a", 3, "tag1"), (3, "b", 3, "tag2"),
+        (4, "b", 4, "tag2"),
     ]
 
 
@@ -65,8 +65,8 @@ def test_rolling_max_keeps_other_fields_of_the_first_record(triples, chunk):
 def test_rolling_max_by_takes_the_whole_record(triples, chunk):
     out = rolling.rolling_max_by(triples, "k", "v", "seq", chunk=chunk)
     assert [tuple(r)[:4] for r in out.orderBy("seq").collect()] == [
-        (0, "a", 1, "pdn1"), (1, "b", 3, "pdn2"), (2, "a", 3, "pdn3"), (3, "b", 3, "pdn2"),
-        (4, "b", 4, "pdn4"),
+        (0, "a", 1, "tag1"), (1, "b", 3, "tag2"), (2, "a", 3, "tag3"), (3, "b", 3, "tag2"),
+        (4, "b", 4, "tag4"),
     ]
 
 
@@ -85,9 +85,9 @@ def words(spark):
 
 
 def test_rolling_fold(words):
-    out = rolling.rolling_fold(words, "word", "word", "seq", init="pdn")
+    out = rolling.rolling_fold(words, "word", "word", "seq", init="tag")
     assert rows(out, "seq", "acc") == [
-        (0, "pdn_aa"), (1, "pdn_bb"), (2, "pdn_aa_aa"), (3, "pdn_dd"),
+        (0, "tag_aa"), (1, "tag_bb"), (2, "tag_aa_aa"), (3, "tag_dd"),
     ]
 
 
@@ -107,11 +107,11 @@ def test_rolling_fold_stream(spark, words):
         spark,
         {"words": (words, "seq")},
         lambda s: keyed.rolling_fold_stream(
-            s, "word", "seq", "pdn", lambda acc, row: f"{acc}_{row['word']}", "acc string"
+            s, "word", "seq", "tag", lambda acc, row: f"{acc}_{row['word']}", "acc string"
         ),
     )
     assert rows(out, "seq", "acc") == [
-        (0, "pdn_aa"), (1, "pdn_bb"), (2, "pdn_aa_aa"), (3, "pdn_dd"),
+        (0, "tag_aa"), (1, "tag_bb"), (2, "tag_aa_aa"), (3, "tag_dd"),
     ]
 
 
@@ -367,6 +367,16 @@ def test_allowed_lateness_against_record_by_record(spark, chunk, bound, lateness
     assert rows(out) == brute_lateness(LATE, 3000, bound, lateness)
 
 
+def test_a_time_far_ahead_crosses_only_windows_with_data(spark):
+    data = [("s1", 1000, 1.0), ("s2", 5000, 2.0), ("s1", 10**15, 1.0), ("s1", 10**15 + 9, 1.0)]
+    for bound in (0, 3000):
+        out = latedata.allowed_lateness(
+            late_table(spark, data), "id", "ts", "seq", "v", 3000, bound, 0
+        )
+        out = out.select("id", "window_end", "firing", "fired_at", "n", F.round("total", 6))
+        assert rows(out) == brute_lateness(data, 3000, bound, 0)
+
+
 def test_late_records_go_to_the_side(spark):
     table = late_table(spark, LATE)
     kept, late = latedata.late_split(table, "ts", "seq", 3000, 1000, 0, chunk=4)

@@ -274,7 +274,9 @@ def test_running_batches_survive_a_repeated_batch(spark):
 
     path = fresh_dir(spark, "batches")
     write = batches.running_batches(
-        "k", "seq", {"s": scan.run_sum("v"), "n": scan.run_count(), "top": scan.run_max("v")},
+        "k", "seq",
+        {"s": scan.run_sum("v"), "n": scan.run_count(), "top": scan.run_max("v"),
+         "head": scan.run_first("v"), "tail": scan.run_last("v")},
         f"{path}/state", batches.folder_sink(f"{path}/out"),
     )
     parts = [
@@ -284,11 +286,12 @@ def test_running_batches_survive_a_repeated_batch(spark):
         df = spark.createDataFrame(part, "seq long, k string, v long")
         write(df, number)
         write(df, number)
-    out = spark.read.schema("seq long, k string, v long, s long, n long, top long").parquet(
-        *[f"{path}/out/batch={n}" for n in range(3)]
-    )
-    assert rows(out, "seq", "s", "n", "top") == [
-        (0, 1, 1, 1), (1, 2, 1, 2), (2, 4, 2, 3), (3, 5, 3, 3), (4, 7, 2, 5), (5, 5, 4, 3),
+    out = spark.read.schema(
+        "seq long, k string, v long, s long, n long, top long, head long, tail long"
+    ).parquet(*[f"{path}/out/batch={n}" for n in range(3)])
+    assert rows(out, "seq", "s", "n", "top", "head", "tail") == [
+        (0, 1, 1, 1, 1, 1), (1, 2, 1, 2, 2, 2), (2, 4, 2, 3, 1, 3), (3, 5, 3, 3, 1, 1),
+        (4, 7, 2, 5, 2, 5), (5, 5, 4, 3, 1, 0),
     ]
 
 
