@@ -58,7 +58,8 @@ def trend_alert(
     """
     keys = as_list(key)
     up = {"rising": 1, "falling": -1}[direction]
-    rows = df.select(*keys, seq, ts, value)
+    # A null is neither a rise nor a drop, and the value before it stays.
+    rows = df.select(*keys, seq, ts, value).filter(F.col(value).isNotNull())
     kw.setdefault("chunk", scan.measure(rows, keys, seq))
     rows = scan.previous(rows, keys, seq, {"_prev": value}, **kw)
     step = F.coalesce(F.lit(up) * (F.col(value) - F.col("_prev")), F.lit(0.0))

@@ -33,30 +33,31 @@ def upsert_latest(df: DataFrame, key: Keys, seq: str) -> DataFrame:
 def retract_group(df: DataFrame, key: Keys, value: str, seq: str, scale: int = 6, **kw):
     """Running group sum as (flag, key, value, seq): false withdraws, true adds.
 
-    Nothing is emitted while the result stays the same.
+    The first record of a key always adds a row, null when its value is null;
+    after that nothing is emitted while the result stays the same.
     """
     keys = as_list(key)
     moved = scan.running(
         df.select(*keys, seq, value),
         keys,
         seq,
-        {"_new": scan.run_sum(value), "_n": scan.run_count()},
+        {"_new": scan.run_sum(value), "_n": scan.run_count(), "_known": scan.run_count(value)},
         **kw,
     )
-    before = F.col("_new") - F.coalesce(F.col(value), F.lit(0))
+    now = F.col(value)
+    known_before = F.col("_known") - now.isNotNull().cast("long")
+    before = F.col("_new") - F.coalesce(now, F.lit(0))
     old = moved.withColumns(
         {
-            "_old": F.when(F.col("_n") > 1, F.round(before, scale)),
+            "_old": F.when(known_before > 0, F.round(before, scale)),
             "_new": F.round("_new", scale),
         }
     )
-    changed = old.filter(~F.col("_new").eqNullSafe(F.col("_old")))
-    entries = F.array_compact(
-        F.array(
-            F.when(F.col("_old").isNotNull(), F.struct(F.lit(False).alias("flag"), F.col("_old").alias("v"))),
-            F.struct(F.lit(True).alias("flag"), F.col("_new").alias("v")),
-        )
-    )
+    again = F.col("_n") > 1
+    changed = old.filter(~again | ~F.col("_new").eqNullSafe(F.col("_old")))
+    gone = F.struct(F.lit(False).alias("flag"), F.col("_old").alias("v"))
+    added = F.struct(F.lit(True).alias("flag"), F.col("_new").alias("v"))
+    entries = F.array_compact(F.array(F.when(again, gone), added))
     return changed.select(*keys, seq, F.explode(entries).alias("e")).select(
         F.col("e.flag").alias("flag"), *keys, F.col("e.v").alias(value), seq
     )

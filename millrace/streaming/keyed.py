@@ -57,7 +57,10 @@ def fold(
     step: Step,
     ttl: int | str | None = None,
 ) -> DataFrame:
-    """General keyed fold: ``output`` lists the columns after the key."""
+    """General keyed fold: ``output`` lists the columns after the key.
+
+    Pass only the columns the step reads: all of them travel to Python.
+    """
     keys = as_list(key)
     schema = T.StructType(_fields(df, keys) + output.fields)
     state = T._parse_datatype_string(state) if isinstance(state, str) else state
@@ -94,7 +97,8 @@ def rolling_reduce_stream(
 
     fields = T.StructType(_fields(df, names))
     output = T.StructType(_fields(df, [seq]) + fields.fields)
-    return fold(df, key, seq, fields, output, step, ttl)
+    read = df.select(*as_list(key), seq, *names)
+    return fold(read, key, seq, fields, output, step, ttl)
 
 
 def rolling_fold_stream(
@@ -148,7 +152,7 @@ def last_n_stream(
         known = [float(v) for v in kept if v is not None]
         return (kept,), [(row[seq], float(fn(known)) if known or agg == "count" else None)]
 
-    return fold(df, key, seq, state, output, step, ttl)
+    return fold(df.select(*as_list(key), seq, value), key, seq, state, output, step, ttl)
 
 
 def count_window_stream(
@@ -161,10 +165,12 @@ def count_window_stream(
     def step(held, row):
         seen, kept = (held[0], list(held[1])) if held else (0, [])
         seen, kept = seen + 1, [*kept, row[value]][-size:]
-        fires = [(seen, len(kept), float(sum(kept)))] if seen % every == 0 else []
+        total = float(sum(v for v in kept if v is not None))
+        fires = [(seen, len(kept), total)] if seen % every == 0 else []
         return (seen, kept), fires
 
-    return fold(df, key, seq, state, _struct("fire long, n long, total double"), step, ttl)
+    read = df.select(*as_list(key), seq, value)
+    return fold(read, key, seq, state, _struct("fire long, n long, total double"), step, ttl)
 
 
 def fire_every_stream(
@@ -178,7 +184,8 @@ def fire_every_stream(
         n, total = n + 1, total + (row[value] or 0.0)
         return (n, total), [(row[seq], n, total)] if n % every == 0 else []
 
-    return fold(df, list(keys), seq, _struct("n long, total double"), output, step, ttl)
+    read = df.select(*keys, seq, value)
+    return fold(read, list(keys), seq, _struct("n long, total double"), output, step, ttl)
 
 
 def retract_group_stream(df: DataFrame, key: Keys, value: str, seq: str, ttl=None) -> DataFrame:
@@ -196,10 +203,9 @@ def retract_group_stream(df: DataFrame, key: Keys, value: str, seq: str, ttl=Non
         new = _COMBINE["sum"](old, row[value])
         if new == old:
             return (old,), []
-        gone = [] if old is None else [(False, old, row[seq])]
-        return (new,), [*gone, (True, new, row[seq])]
+        return (new,), [(False, old, row[seq]), (True, new, row[seq])]
 
-    return fold(df, key, seq, state, output, step, ttl)
+    return fold(df.select(*as_list(key), seq, value), key, seq, state, output, step, ttl)
 
 
 def top_n_stream(df: DataFrame, key: Keys, value: str, seq: str, n: int, ttl=None) -> DataFrame:
@@ -210,12 +216,9 @@ def top_n_stream(df: DataFrame, key: Keys, value: str, seq: str, n: int, ttl=Non
     def step(held, row):
         top = [(b[0], b[1]) for b in held[0]] if held else []
         entries = [] if row[value] is None else _enter(top, float(row[value]), row[seq], n)
-        return (top,), entries_in_order(entries)
+        return (top,), entries
 
-    def entries_in_order(entries):
-        return [(flag, v, rank, at) for flag, v, rank, at in entries]
-
-    return fold(df, key, seq, state, output, step, ttl)
+    return fold(df.select(*as_list(key), seq, value), key, seq, state, output, step, ttl)
 
 
 def jump_alert_stream(
@@ -235,7 +238,8 @@ def jump_alert_stream(
         )
         return (now,), [(row[seq], before[0], now)] if jumped else []
 
-    return fold(df, key, seq, _struct("last double"), output, step, ttl)
+    read = df.select(*as_list(key), seq, value)
+    return fold(read, key, seq, _struct("last double"), output, step, ttl)
 
 
 def pattern_times_stream(
@@ -269,4 +273,5 @@ def pattern_times_stream(
         found = [(run[0][0], run[-1][0])] if fits else []
         return (run[1:],), found
 
-    return fold(df, key, seq, _struct("run array<struct<s: long, t: long>>"), output, step, ttl)
+    read = df.select(*as_list(key), seq, hit, *([ts] if ts else []))
+    return fold(read, key, seq, _struct("run array<struct<s: long, t: long>>"), output, step, ttl)

@@ -178,6 +178,14 @@ def test_falling_alert_is_the_mirror_image(trend):
     assert rows(out.select("k", F.unix_seconds("alert_at") - BASE // 1000)) == [("a", 6)]
 
 
+def test_a_null_value_changes_no_trend(trend):
+    nulls = trend.withColumns({"seq": F.col("seq") + 0.5, "v": F.lit(None).cast("double")})
+    both = trend.unionByName(nulls.withColumn("seq", F.col("seq")), allowMissingColumns=True)
+    both = both.withColumn("seq", (F.col("seq") * 2).cast("long"))
+    out = alerts.trend_alert(both, "k", "ts", "v", "5 seconds", "seq")
+    assert rows(out.select("k", F.unix_seconds("alert_at") - BASE // 1000)) == [("a", 6)]
+
+
 def test_rising_alert_stream(spark, trend):
     table = trend.select("seq", "k", "ts", "v")
     out = run.replay(
@@ -417,6 +425,21 @@ def test_retract_group(spark, gains):
     assert rows(streamed, "seq", "flag", "id", "v") == sorted(RETRACTED, key=repr)
 
 
+def test_retract_group_with_nulls(spark):
+    data = [(0, "a", None), (1, "a", 2.0), (2, "a", None), (3, "a", 0.0), (4, "a", -2.0)]
+    table = spark.createDataFrame(data, "seq long, id string, v double")
+    expected = [
+        (0, True, None), (1, False, None), (1, True, 2.0), (4, False, 2.0), (4, True, 0.0),
+    ]
+    for chunk in (1, 100):
+        out = changelog.retract_group(table, "id", "v", "seq", chunk=chunk)
+        assert rows(out, "seq", "flag", "v") == sorted(expected, key=repr)
+    streamed = run.replay(
+        spark, {"t": (table, "seq")}, lambda s: keyed.retract_group_stream(s, "id", "v", "seq")
+    )
+    assert rows(streamed, "seq", "flag", "v") == sorted(expected, key=repr)
+
+
 def test_top_n_changelog(spark):
     table = spark.createDataFrame(
         [(0, "sensor_6", 1.1), (1, "sensor_6", 1.2)], "seq long, id string, v double"
