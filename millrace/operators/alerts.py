@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.durations import millis
 from millrace.operators import scan
+from millrace.operators.changelog import same_key
 from millrace.operators.rolling import Keys, as_list
 
 
@@ -53,7 +58,7 @@ def trend_alert(
 
     A rise arms a timer ``hold`` later and a drop before that time cancels it;
     equal values change nothing.  ``falling`` swaps rise and drop.  A trend is
-    the run of records between two opposite moves.  The streaming form also
+    the run of records between two opposite moves.  :func:`trend_alerts` also
     gives the alerts a trend raises after its first one.
     """
     keys = as_list(key)
@@ -94,6 +99,149 @@ def trend_alert(
     return alerts.select(*keys, "armed_at", "alert_at")
 
 
+_END = 9  # in place of a step: the key has no further moves
+
+
+def _settle(armed, at, step, hold):
+    """(alert due?, armed time after) for one move; ``armed`` is None or a time."""
+    fires = armed is not None and armed + hold <= at
+    if step < 0:
+        return fires, None
+    return fires, at if fires or armed is None else armed
+
+
+def _exit_rows(moves: pd.DataFrame, hold: int) -> pd.DataFrame:
+    """What a chunk does to the armed time it is entered with.
+
+    A chunk with an opposite move forgets its entry: one row with the armed time
+    it ends with.  Otherwise one row per move that an entry can reach: entering
+    there, the chunk ends armed at that row's time.
+    """
+    moves = moves.sort_values("_s")
+    at, step = moves["_at"].to_numpy(), moves["_step"].to_numpy()
+    against = np.flatnonzero(step < 0)
+    if len(against):
+        at = at[against[-1] + 1 :]
+    # The first move at or after a move's due time is where the chain goes on.
+    onward = np.searchsorted(at, at + hold)
+    ends = at.copy()
+    for i in range(len(at) - 1, -1, -1):
+        if onward[i] < len(at):
+            ends[i] = ends[onward[i]]
+    if len(against):
+        return pd.DataFrame({"_from": [None], "_armed": [ends[0] if len(at) else None]})
+    reach = np.searchsorted(at, at[0] + hold) + 1
+    return pd.DataFrame({"_from": at[:reach], "_armed": ends[:reach]})
+
+
+def trend_alerts(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    hold: int | str,
+    seq: str,
+    direction: str = "rising",
+    chunk: int | scan.Cut | None = None,
+) -> DataFrame:
+    """Every alert of every trend, as (key, armed_at, alert_at).
+
+    Like :func:`trend_alert`, and after an alert the next move in the same
+    direction arms the timer again.  Each move depends on the armed time before
+    it, so moves are folded in order.  Chunks of a hot key are first reduced to
+    what they make of an armed time, these are chained over the chunks, and then
+    each chunk is folded by itself from the armed time it is entered with.
+    """
+    up = {"rising": 1, "falling": -1}[direction]
+    hold_us = millis(hold) * 1000
+    rows = df.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), ts, value)
+    rows = rows.filter(F.col(value).isNotNull())
+    cut = scan.Cut(chunk) if isinstance(chunk, int) else chunk or scan.measure(rows, ["_k"], "_s")
+    rows = scan.previous(rows, ["_k"], "_s", {"_prev": value}, chunk=cut)
+    step = F.signum(F.lit(up) * (F.col(value) - F.col("_prev"))).cast("int")
+    moves = rows.select(
+        "_k", cut.chunk(["_k"], "_s").alias("_chunk"), "_s",
+        F.unix_micros(ts).alias("_at"), step.alias("_step"),
+    ).filter("_step <> 0")
+    key_ddl = f"_k {df.schema[key].dataType.simpleString()}"
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Alerts of sorted moves; step 0 brings an armed time, _END ends a key."""
+        group = armed = None
+        for batch in batches:
+            out = []
+            columns = batch[["_k", "_chunk", "_at", "_step"]]
+            for k, number, at, move in columns.itertuples(index=False):
+                if group is None or not (same_key(k, group[0]) and number == group[1]):
+                    group, armed = (k, number), None
+                if move == 0:
+                    armed = at
+                    continue
+                if move == _END:
+                    # What is still armed was not cancelled.
+                    out += [(k, number, armed)] if armed is not None else []
+                    continue
+                fires, now = _settle(armed, at, move, hold_us)
+                if fires:
+                    out.append((k, number, armed))
+                armed = now
+            yield pd.DataFrame(out, columns=["_k", "_chunk", "_armed"])
+
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The armed time each chunk is entered with, from sorted exit rows."""
+        group = armed = entry = None
+        taken = False
+        for batch in batches:
+            out = []
+            columns = batch[["_k", "_chunk", "_from", "_armed"]]
+            for k, number, start, after in columns.itertuples(index=False):
+                if group is None or not same_key(k, group[0]):
+                    armed = None
+                if group is None or not same_key(k, group[0]) or number != group[1]:
+                    group, entry, taken = (k, number), armed, False
+                    if entry is not None:
+                        out.append((k, number, entry))
+                if start != start or start is None:
+                    armed = None if after != after or after is None else int(after)
+                elif not taken and (entry is None or start >= entry + hold_us):
+                    armed, taken = int(after), True
+            yield pd.DataFrame(out, columns=["_k", "_chunk", "_at"])
+
+    ends = moves.groupBy("_k").agg(F.max("_chunk").alias("_chunk")).select(
+        "_k", "_chunk", F.lit((1 << 63) - 1).alias("_s"), F.lit(0).cast("long").alias("_at"),
+        F.lit(_END).alias("_step"),
+    )
+    both = moves.unionByName(ends)
+    if cut.hot != ():
+        exits = (
+            moves.filter(cut.is_hot(["_k"]))
+            .groupBy("_k", "_chunk")
+            .applyInPandas(
+                lambda group, pdf: _exit_rows(pdf, hold_us).assign(_k=group[0], _chunk=group[1]),
+                f"{key_ddl}, _chunk long, _from long, _armed long",
+            )
+        )
+        entries = (
+            exits.repartition("_k")
+            .sortWithinPartitions("_k", "_chunk", "_from")
+            .mapInPandas(chain, f"{key_ddl}, _chunk long, _at long")
+        )
+        first = F.lit(None).cast("long").alias("_s")
+        both = both.unionByName(
+            entries.select("_k", "_chunk", first, "_at", F.lit(0).alias("_step"))
+        )
+    settled = (
+        both.repartition("_k", "_chunk")
+        .sortWithinPartitions("_k", "_chunk", F.col("_s").asc_nulls_first())
+        .mapInPandas(fold, f"{key_ddl}, _chunk long, _armed long")
+    )
+    return settled.select(
+        F.col("_k").alias(key),
+        F.timestamp_micros("_armed").alias("armed_at"),
+        F.timestamp_micros(F.col("_armed") + hold_us).alias("alert_at"),
+    )
+
+
 def pattern_times(
     df: DataFrame,
     key: Keys,

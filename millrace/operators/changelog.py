@@ -114,7 +114,7 @@ def _enter(top: list[tuple[float, int]], value: float, seq: int, n: int):
     return gone + [(True, -v, rank, seq) for rank, (v, _) in enumerate(top[place:], place + 1)]
 
 
-def _same(a, b) -> bool:
+def same_key(a, b) -> bool:
     """Equal keys; a missing number arrives as NaN, which is not equal to itself."""
     return a == b or (a != a and b != b)
 
@@ -145,7 +145,7 @@ def top_n_changelog(
         for batch in batches:
             out = []
             for k, v, s, number in batch[["_k", "_v", "_s", "_chunk"]].itertuples(index=False):
-                if group is None or not _same(k, group[0]):
+                if group is None or not same_key(k, group[0]):
                     group, held, chunk_now = (k,), [], number
                 if number != chunk_now:
                     chunk_now = number
@@ -170,7 +170,7 @@ def top_n_changelog(
             out = []
             columns = batch[["_k", "_chunk", "_data", "_v", "_s"]]
             for k, number, data, v, s in columns.itertuples(index=False):
-                if group is None or not (_same(k, group[0]) and number == group[1]):
+                if group is None or not (same_key(k, group[0]) and number == group[1]):
                     group, top = (k, number), []
                 entries = _enter(top, v, s, n)
                 if data:

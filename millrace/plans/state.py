@@ -137,6 +137,43 @@ def falling_alert(spark, sf_dir):
     return _trend(spark, sf_dir, "falling")
 
 
+def all_alerts_sql(sign: str, also: str = "") -> str:
+    """Every alert of a trend: each is armed by the first move at or after the
+    alert before it."""
+    return f"""WITH RECURSIVE p AS (SELECT *, epoch_us(ts) AS us, {sign}(value - lag(value) OVER (
+                 PARTITION BY user_id ORDER BY event_id)) AS step FROM events),
+      t AS (SELECT *, count(*) FILTER (step < 0) OVER (PARTITION BY user_id ORDER BY event_id
+                 ROWS UNBOUNDED PRECEDING) AS trend FROM p),
+      g AS (SELECT user_id, trend, min(us) AS started FROM t GROUP BY user_id, trend),
+      e AS (SELECT *, lead(started) OVER (PARTITION BY user_id ORDER BY trend) AS ended FROM g),
+      moves AS (SELECT user_id, trend, us FROM t WHERE step > 0),
+      armed AS (
+        SELECT user_id, trend, min(us) AS us FROM moves GROUP BY user_id, trend
+        UNION ALL
+        SELECT a.user_id, a.trend, (SELECT min(m.us) FROM moves m WHERE m.user_id = a.user_id
+                 AND m.trend = a.trend AND m.us >= a.us + 14400000000) AS us
+        FROM armed a WHERE a.us IS NOT NULL)
+    SELECT user_id, us // 1000 AS armed_at, (us + 14400000000) // 1000 AS alert_at
+    FROM armed JOIN e USING (user_id, trend)
+    WHERE us IS NOT NULL AND (ended IS NULL OR ended >= us + 14400000000) {also}"""
+
+
+def _every_alert(spark, sf_dir, direction):
+    rows = events(spark, sf_dir).select("user_id", "event_id", "ts", "value")
+    out = alerts.trend_alerts(rows, "user_id", "ts", "value", "4 hours", "event_id", direction)
+    return out.select("user_id", ms("armed_at"), ms("alert_at"))
+
+
+@query("rising_alert_all", all_alerts_sql(""))
+def rising_alert_all(spark, sf_dir):
+    return _every_alert(spark, sf_dir, "rising")
+
+
+@query("falling_alert_all", all_alerts_sql("-"))
+def falling_alert_all(spark, sf_dir):
+    return _every_alert(spark, sf_dir, "falling")
+
+
 PATTERN_SQL = """SELECT user_id, first, last FROM (
   SELECT user_id, event_id AS first, lead(event_id) OVER (
            PARTITION BY user_id ORDER BY event_id) AS last

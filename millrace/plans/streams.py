@@ -374,26 +374,8 @@ def stream_pattern_times_strict(spark, sf_dir):
     return _fed(spark, sf_dir, transform, "event_id", "user_id", "ts", "value").drop("batch")
 
 
-def all_alerts_sql(sign: str) -> str:
-    """Every alert of a trend: each is armed by the first move at or after the
-    alert before it.  The last alerts wait for the final watermark."""
-    return f"""WITH RECURSIVE p AS (SELECT *, epoch_us(ts) AS us, {sign}(value - lag(value) OVER (
-                 PARTITION BY user_id ORDER BY event_id)) AS step FROM events),
-      t AS (SELECT *, count(*) FILTER (step < 0) OVER (PARTITION BY user_id ORDER BY event_id
-                 ROWS UNBOUNDED PRECEDING) AS trend FROM p),
-      g AS (SELECT user_id, trend, min(us) AS started FROM t GROUP BY user_id, trend),
-      e AS (SELECT *, lead(started) OVER (PARTITION BY user_id ORDER BY trend) AS ended FROM g),
-      moves AS (SELECT user_id, trend, us FROM t WHERE step > 0),
-      armed AS (
-        SELECT user_id, trend, min(us) AS us FROM moves GROUP BY user_id, trend
-        UNION ALL
-        SELECT a.user_id, a.trend, (SELECT min(m.us) FROM moves m WHERE m.user_id = a.user_id
-                 AND m.trend = a.trend AND m.us >= a.us + 14400000000) AS us
-        FROM armed a WHERE a.us IS NOT NULL)
-    SELECT user_id, us // 1000 AS armed_at, (us + 14400000000) // 1000 AS alert_at
-    FROM armed JOIN e USING (user_id, trend)
-    WHERE us IS NOT NULL AND (ended IS NULL OR ended >= us + 14400000000)
-      AND us + 14400000000 <= (SELECT epoch_us(max(ts)) FROM events)"""
+# The last alerts wait for the final watermark.
+_SETTLED = "AND us + 14400000000 <= (SELECT epoch_us(max(ts)) FROM events)"
 
 
 def _alerts(spark, sf_dir, direction):
@@ -406,12 +388,12 @@ def _alerts(spark, sf_dir, direction):
     return written.select("user_id", ms("armed_at"), ms("alert_at"))
 
 
-@query("stream_rising_alert", all_alerts_sql(""))
+@query("stream_rising_alert", state.all_alerts_sql("", _SETTLED))
 def stream_rising_alert(spark, sf_dir):
     return _alerts(spark, sf_dir, "rising")
 
 
-@query("stream_falling_alert", all_alerts_sql("-"))
+@query("stream_falling_alert", state.all_alerts_sql("-", _SETTLED))
 def stream_falling_alert(spark, sf_dir):
     return _alerts(spark, sf_dir, "falling")
 

@@ -85,4 +85,7 @@ def test_core_operators_need_no_python(plan_text):
         n for n, text in plan_text.items()
         if re.search(r"MapInPandas|PythonEval|EvalPython|FlatMapGroups|PythonUDTF", text)
     }
-    assert python == {"rich_map", "enrich_map", "udf_upper_sql", "top_n_changelog"}
+    assert python == {
+        "rich_map", "enrich_map", "udf_upper_sql", "top_n_changelog", "rising_alert_all",
+        "falling_alert_all",
+    }

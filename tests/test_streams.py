@@ -83,11 +83,44 @@ def test_alerts_fire_again_after_an_alert(spark, direction, sign):
     # An alert still pending at the end is due after the last watermark.
     assert all(armed + 2 > len(values) - 1 for armed in pending.values())
     assert rows(streamed) == sorted(expected, key=repr)
+    everything = sorted(
+        [*expected, *[(k, a, a + 2) for k, a in pending.items()]], key=repr
+    )
+    for chunk in (1, 2, 3, 5, 100, None):
+        whole = alerts.trend_alerts(
+            table, "k", "ts", "v", "2 seconds", "seq", direction, chunk=chunk
+        ).select("k", F.unix_seconds("armed_at") - BASE, F.unix_seconds("alert_at") - BASE)
+        assert rows(whole) == everything
     first_only = alerts.trend_alert(table, "k", "ts", "v", "2 seconds", "seq", direction)
     found = set(rows(first_only.select("k", F.unix_seconds("armed_at") - BASE)))
     assert found <= {(k, a) for k, a, _ in expected} | set(pending.items())
 
 
+@pytest.mark.parametrize("hold", [1, 4, 9])
+@pytest.mark.parametrize("chunk", [1, 4, 13])
+def test_every_alert_in_chunks_of_long_trends(spark, hold, chunk):
+    """Long rises, so that whole chunks pass without a drop; two keys, gaps, equal values."""
+    import random
+
+    rng = random.Random(hold * 100 + chunk)
+    data, at, level = [], 0, {"a": 0, "b": 0}
+    for _ in range(160):
+        at += rng.choice([1, 1, 1, 2, 6])
+        k = rng.choice("aab")
+        level[k] += rng.choice([1, 1, 1, 1, 1, 0, 2] + [-3] * (rng.random() < 0.3))
+        data.append((k, at, float(level[k])))
+    table = spark.createDataFrame(
+        [(i, k, s + BASE, v) for i, (k, s, v) in enumerate(data)],
+        "seq long, k string, s long, v double",
+    ).withColumn("ts", F.timestamp_seconds("s"))
+    out = alerts.trend_alerts(table, "k", "ts", "v", f"{hold} seconds", "seq", chunk=chunk)
+    expected, pending = every_alert(data, hold, 1)
+    expected += [(k, a, a + hold) for k, a in pending.items()]
+    assert rows(
+        out.select("k", F.unix_seconds("armed_at") - BASE, F.unix_seconds("alert_at") - BASE)
+    ) == sorted(expected, key=repr)
+
+
 def test_old_last_value_is_forgotten(spark):
     data = [(0, "a", BASE, 1.0), (1, "a", BASE + 100, 2.0), (2, "a", BASE + 101, 3.0),
             (3, "a", BASE + 110, 3.0)]
