@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from millrace import plans
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = plans.QUERIES, plans.SQL
 
 
 @pytest.fixture(scope="module")
