@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, packing, shard
+from millrace.llm import bpe, exact, langid, packing, shard, warc
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,29 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+WARC_SQL = """
+WITH rows AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM rows)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts"""
+
+
+@query("op1_warc_round_trip", WARC_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, equal payloads as revisits, and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    return langid.identify(table(spark, sf_dir, "documents")).drop("uid")
+
+
 @query("op5_pack_sequences")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
