@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, langid, packing, shard, warc
+from millrace.llm import bpe, exact, langid, minhash, packing, shard, warc
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).drop("uid")
 
 
+@query("op3_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near-duplicates."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
+
+
 @query("op5_pack_sequences")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
