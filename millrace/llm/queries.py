@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, langid, minhash, packing, shard, warc
+from millrace.llm import ann, bpe, exact, langid, minhash, packing, shard, substring, warc
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
 
+@query("op4_repeated_passages")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of at least 50 words that an earlier document has as well."""
+    return substring.repeated_passages(table(spark, sf_dir, "documents")).drop("uid", "match_uid")
+
+
 @query("op5_pack_sequences")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
@@ -78,6 +84,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
 
+@query("op9_nearest_vectors")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found of every fiftieth embedding."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_jump_shards")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by the key law."""
