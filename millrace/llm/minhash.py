@@ -182,7 +182,7 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: int = WORDS, percent: int = PERCENT, dims: int = SKETCH, band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """One row per document: ``uid, doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``uid, doc_id, n_shingles, component_id, kept, chosen``.
 
     Two documents are linked when their sets of ``words``-word shingles have a
     Jaccard similarity of at least ``percent``; ``component_id`` is the
@@ -190,7 +190,9 @@ def near_duplicates(
     have no shingles and are linked with nothing.  Shorter texts are one
     shingle.  Rows that repeat an id or a text are documents of their own;
     null ids count as larger than all others, and are the component's id only
-    where it has no other.  ``kept`` says that id and component id are equal.
+    where it has no other.  ``kept`` says that id and component id are equal;
+    ``chosen`` holds for exactly one row of every component, and for every row
+    without shingles.
     Shingles are compared by 64-bit fingerprints.  Other columns are ignored.
     """
     rows = numbered(docs, id_col, text_col)
@@ -199,7 +201,8 @@ def near_duplicates(
     # 1. classes of equal sets, each with the first of its rows
     same = ["set_a", "set_b", "n_shingles"]
     full = made.filter("n_shingles > 0")
-    classes = full.groupBy(*same).agg(F.min("uid").alias("class"), F.min("doc_id").alias("least_id"))
+    stays = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid")
+    classes = full.groupBy(*same).agg(F.min("uid").alias("class"), F.min(stays).alias("least"))
     classes = settle(classes, "classes")
 
     # 2. buckets of at least two classes
@@ -219,11 +222,14 @@ def near_duplicates(
 
     grouped = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "class"))
-    least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = grouped.join(least, "root").select(*same, "component_id")
+    least = grouped.groupBy("root").agg(F.min("least").alias("stays"))
+    named = grouped.join(least, "root").select(
+        *same, F.col("stays.doc_id").alias("component_id"), F.col("stays.uid").alias("stays")
+    )
     linked = full.select("uid", "doc_id", *same).join(named, same)
     alone = made.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    out = linked.select("uid", "doc_id", "n_shingles", "component_id").unionByName(
-        alone.select("uid", "doc_id", "n_shingles", "component_id")
-    )
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = alone.withColumn("stays", F.col("uid"))
+    columns = ["uid", "doc_id", "n_shingles", "component_id", "stays"]
+    out = linked.select(*columns).unionByName(alone.select(*columns))
+    same_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.withColumns({"kept": same_id, "chosen": F.col("uid") == F.col("stays")}).drop("stays")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import ann, bpe, exact, langid, minhash, packing, shard, substring, warc
+from millrace.llm import ann, bpe, exact, langid, license, minhash, packing, shard, substring, warc
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,7 +50,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_near_duplicates")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near-duplicates."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid", "chosen")
 
 
 @query("op4_repeated_passages")
@@ -84,6 +85,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
 
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document.
+
+    The table has no file names, so they are made: a document is a file in
+    source/lang, and one whose first line speaks of a licence is a licence file.
+    """
+    docs = table(spark, sf_dir, "documents")
+    opening = F.lower(F.substring_index("text", "\n", 1)).contains("licen")
+    name = F.concat(F.when(opening, "LICENSE.").otherwise("text."), F.col("doc_id").cast("string"))
+    files = docs.select(F.concat_ws("/", "source", "lang", name).alias("path"), "text")
+    found = license.scan_files(files)
+    number = F.expr("try_cast(substring_index(path, '.', -1) as long)")
+    return found.select(number.alias("doc_id"), "licence", "similarity", "origin", "from_dir")
+
+
 @query("op9_nearest_vectors")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest found of every fiftieth embedding."""
