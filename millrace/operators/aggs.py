@@ -77,12 +77,13 @@ def rank_over(
 ) -> DataFrame:
     """SQL RANK over a numeric column: 1 + the number of rows ordered before.
 
-    Without a hot key this is Spark's own rank.  Otherwise equal values are
-    counted once per (key, value), so a hot value is one row, and the counts are
-    cut into ranges, so a hot key is spread over tasks; ``parts`` asks for that.
+    This is Spark's own rank, which sorts a key in one task.  With ``parts``,
+    for keys with more rows than a task can sort, equal values are counted once
+    per (key, value), so a hot value is one row, and the counts are cut into that
+    many ranges, so a hot key is spread over tasks.
     """
     keys = as_list(key)
-    if parts is None and not scan.has_hot_key(df, keys):
+    if parts is None:
         ahead = F.col(order).desc() if descending else F.col(order)
         ranked = F.rank().over(Window.partitionBy(*keys).orderBy(ahead))
         return df.withColumn(name, ranked.cast("long"))

@@ -159,8 +159,8 @@ def trend_alerts(
     cut = scan.Cut(chunk) if isinstance(chunk, int) else chunk or scan.measure(rows, ["_k"], "_s")
     rows = scan.previous(rows, ["_k"], "_s", {"_prev": value}, chunk=cut)
     step = F.signum(F.lit(up) * (F.col(value) - F.col("_prev"))).cast("int")
-    moves = rows.select(
-        "_k", cut.chunk(["_k"], "_s").alias("_chunk"), "_s",
+    moves = cut.mark(rows, ["_k"], "_s").select(
+        "_k", "_chunk", "_hot", "_s",
         F.unix_micros(ts).alias("_at"), step.alias("_step"),
     ).filter("_step <> 0")
     key_ddl = f"_k {df.schema[key].dataType.simpleString()}"
@@ -208,13 +208,14 @@ def trend_alerts(
             yield pd.DataFrame(out, columns=["_k", "_chunk", "_at"])
 
     ends = moves.groupBy("_k").agg(F.max("_chunk").alias("_chunk")).select(
-        "_k", "_chunk", F.lit((1 << 63) - 1).alias("_s"), F.lit(0).cast("long").alias("_at"),
+        "_k", "_chunk", F.lit(False).alias("_hot"), F.lit((1 << 63) - 1).alias("_s"), F.lit(0).cast("long").alias("_at"),
         F.lit(_END).alias("_step"),
     )
     both = moves.unionByName(ends)
-    if cut.hot != ():
+    if not cut.whole:
         exits = (
-            moves.filter(cut.is_hot(["_k"]))
+            moves.filter("_hot")
+            .drop("_hot")
             .groupBy("_k", "_chunk")
             .applyInPandas(
                 lambda group, pdf: _exit_rows(pdf, hold_us).assign(_k=group[0], _chunk=group[1]),
@@ -228,7 +229,7 @@ def trend_alerts(
         )
         first = F.lit(None).cast("long").alias("_s")
         both = both.unionByName(
-            entries.select("_k", "_chunk", first, "_at", F.lit(0).alias("_step"))
+            entries.select("_k", "_chunk", F.lit(False).alias("_hot"), first, "_at", F.lit(0).alias("_step"))
         )
     settled = (
         both.repartition("_k", "_chunk")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -30,31 +31,19 @@ def upsert_latest(df: DataFrame, key: Keys, seq: str) -> DataFrame:
     return newest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def retract_group(df: DataFrame, key: Keys, value: str, seq: str, scale: int = 6, **kw):
+def retract_group(df: DataFrame, key: Keys, value: str, seq: str, **kw):
     """Running group sum as (flag, key, value, seq): false withdraws, true adds.
 
-    The first record of a key always adds a row, null when its value is null;
-    after that nothing is emitted while the result stays the same.
+    What is withdrawn is the sum as of the record before.  The first record of
+    a key always adds a row, null when its value is null; after that nothing is
+    emitted while the result stays the same.
     """
     keys = as_list(key)
-    moved = scan.running(
-        df.select(*keys, seq, value),
-        keys,
-        seq,
-        {"_new": scan.run_sum(value), "_n": scan.run_count(), "_known": scan.run_count(value)},
-        **kw,
-    )
-    now = F.col(value)
-    known_before = F.col("_known") - now.isNotNull().cast("long")
-    before = F.col("_new") - F.coalesce(now, F.lit(0))
-    old = moved.withColumns(
-        {
-            "_old": F.when(known_before > 0, F.round(before, scale)),
-            "_new": F.round("_new", scale),
-        }
-    )
+    total = scan.run_sum(value)
+    rules = {"_new": total, "_old": replace(total, before=True), "_n": scan.run_count()}
+    moved = scan.running(df.select(*keys, seq, value), keys, seq, rules, **kw)
     again = F.col("_n") > 1
-    changed = old.filter(~again | ~F.col("_new").eqNullSafe(F.col("_old")))
+    changed = moved.filter(~again | ~F.col("_new").eqNullSafe(F.col("_old")))
     gone = F.struct(F.lit(False).alias("flag"), F.col("_old").alias("v"))
     added = F.struct(F.lit(True).alias("flag"), F.col("_new").alias("v"))
     entries = F.array_compact(F.array(F.when(again, gone), added))
@@ -132,10 +121,9 @@ def top_n_changelog(
         F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"), F.col(seq).alias("_s")
     ).filter("_v IS NOT NULL")
     cut = scan.Cut(chunk) if isinstance(chunk, int) else chunk or scan.measure(rows, ["_k"], "_s")
-    is_hot = cut.is_hot(["_k"])
-    rows = rows.withColumn("_chunk", cut.chunk(["_k"], "_s"))
+    rows = cut.mark(rows, ["_k"], "_s")
     best = Window.partitionBy("_k", "_chunk").orderBy(F.col("_v").desc(), "_s")
-    tops = rows.filter(is_hot).withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= n).drop("_rn")
+    tops = rows.filter("_hot").withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= n).drop("_rn", "_hot")
     key_ddl = f"_k {df.schema[key].dataType.simpleString()}"
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,8 +142,8 @@ def top_n_changelog(
             yield pd.DataFrame(out, columns=["_k", "_v", "_s", "_chunk"])
 
     schema = f"{key_ddl}, _v double, _s long, _chunk long"
-    both = rows.withColumn("_data", F.lit(1))
-    if cut.hot != ():
+    both = rows.drop("_hot").withColumn("_data", F.lit(1))
+    if not cut.whole:
         carry = (
             tops.repartition("_k")
             .sortWithinPartitions("_k", "_chunk", "_s")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.arith import floor_div
@@ -45,7 +45,11 @@ def interval_join(
     interval's neighbourhood is formed.  Streams use the plain range condition,
     which Spark turns into state eviction; both sides need a watermark.
     Apart from the key, the two tables must not share column names.
+    ``how`` is inner or left: a right row has several bins, so it cannot be the
+    preserved side; swap the sides and the bounds for a right join.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
     keys = as_list(key)
     lo_us, hi_us = millis(lo) * 1000, millis(hi) * 1000
     right = _right_keys(right, keys)
@@ -117,6 +121,17 @@ def session_join(
     return first.join(second, [*keys, "session_start"])
 
 
+def _held(left, right, keys, ts, gap, seq, item, **kw) -> DataFrame:
+    """Both inputs' elements with their place in the session and the counts held so far."""
+    both = _both(left, right, keys, ts, F.col(item), F.col(item), seq)
+    rules = {
+        "fire": scan.run_count(),
+        "n_first": scan.run_sum(F.col("_first").cast("long")),
+        "n_second": scan.run_sum((~F.col("_first")).cast("long")),
+    }
+    return scan.running(with_session(both, keys, ts, gap), [*keys, "session_start"], seq, rules, **kw)
+
+
 def session_cogroup(
     left: DataFrame,
     right: DataFrame,
@@ -126,48 +141,58 @@ def session_cogroup(
     seq: str,
     item: str,
     every: int | None = None,
-    part_rows: int = 1000,
     **kw,
 ) -> DataFrame:
     """Both groups of a key's session side by side, even when one is empty.
 
-    With ``every`` the session fires at each ``every``-th element; nothing is
-    emptied, so firing n holds all elements up to it.  A row lists the elements
-    that arrived since the firing before, and ``n_first``/``n_second`` count
-    everything held: the whole content of a firing is the lists of the rows up
-    to it, one after the other.  Without ``every`` the whole session is given
-    once, in parts of ``part_rows`` elements.
+    Without ``every`` the whole session is given once, as one row.  With it the
+    session fires at each ``every``-th element; nothing is emptied, so a firing
+    gives all elements up to it and firings grow with the session:
+    :func:`session_cogroup_steps` gives only what is new.
     """
     keys = as_list(key)
-    both = _both(left, right, keys, ts, F.col(item), F.col(item), seq)
     groups = [*keys, "session_start"]
-    held = scan.running(
-        with_session(both, keys, ts, gap),
-        groups,
-        seq,
-        {
-            "_pos": scan.run_count(),
-            "n_first": scan.run_sum(F.col("_first").cast("long")),
-            "n_second": scan.run_sum((~F.col("_first")).cast("long")),
-        },
-        **kw,
-    )
-    step = every or part_rows
-    fire = (floor_div(F.col("_pos") + step - 1, step) * step).alias("fire")
+    held = _held(left, right, keys, ts, gap, seq, item, **kw)
+    if every is None:
+        return _listed(held, groups)
+    so_far = Window.partitionBy(*groups).orderBy("fire")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, 0)
+    items = {
+        "first_items": F.collect_list(F.when(F.col("_first"), F.col("_value"))).over(so_far),
+        "second_items": F.collect_list(F.when(~F.col("_first"), F.col("_value"))).over(so_far),
+    }
+    fired = held.withColumns(items).filter(F.col("fire") % every == 0)
+    return fired.select(*groups, "fire", "n_first", "n_second", *items)
+
+
+def session_cogroup_steps(
+    left: DataFrame, right: DataFrame, key: Keys, ts: str, gap: int | str, seq: str, item: str,
+    every: int, **kw,
+) -> DataFrame:
+    """The firings of :func:`session_cogroup` with only the elements since the one before.
+
+    ``n_first`` and ``n_second`` count everything held; the content of a firing
+    is the lists of the rows up to it, one after the other.
+    """
+    keys = as_list(key)
+    held = _held(left, right, keys, ts, gap, seq, item, **kw)
+    step = floor_div(F.col("fire") + every - 1, every) * every
+    out = _listed(held.withColumn("_step", step), [*keys, "session_start", "_step"])
+    return out.filter(F.col("fire") == F.col("_step")).drop("_step")
+
 
-    def listed(which: Column) -> Column:
-        pairs = F.sort_array(F.collect_list(F.when(which, F.struct("_pos", "_value"))))
+def _listed(held: DataFrame, groups: list[str]) -> DataFrame:
+    def items(which: Column) -> Column:
+        pairs = F.sort_array(F.collect_list(F.when(which, F.struct("fire", "_value"))))
         return F.transform(pairs, lambda p: p["_value"])
 
-    out = held.groupBy(*groups, fire).agg(
+    return held.groupBy(*groups).agg(
+        F.max("fire").alias("fire"),
         F.max("n_first").alias("n_first"),
         F.max("n_second").alias("n_second"),
-        listed(F.col("_first")).alias("first_items"),
-        listed(~F.col("_first")).alias("second_items"),
+        items(F.col("_first")).alias("first_items"),
+        items(~F.col("_first")).alias("second_items"),
     )
-    if every:
-        out = out.filter(F.col("n_first") + F.col("n_second") == F.col("fire"))
-    return out
 
 
 def join_then_window(

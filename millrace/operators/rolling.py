@@ -83,22 +83,34 @@ def rolling_reduce(df, key: Keys, seq: str, chunk: int | Column | None = None, *
 
 
 def rolling_fold(
+    df: DataFrame, key: Keys, value: str, seq: str, init: str, sep: str = "_", name: str = "acc"
+) -> DataFrame:
+    """The accumulated text after each record: init, then all values of the key so far.
+
+    The text grows with every record, so a key's output is quadratic in its
+    records; :func:`rolling_fold_segments` bounds it.
+    """
+    so_far = Window.partitionBy(*as_list(key)).orderBy(seq)
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, 0)
+    values = F.collect_list(F.col(value).cast("string")).over(so_far)
+    return df.withColumn(name, F.concat_ws(sep, F.lit(init), values))
+
+
+def rolling_fold_segments(
     df: DataFrame,
     key: Keys,
     value: str,
     seq: str,
     init: str,
+    segment: int,
     sep: str = "_",
     name: str = "acc",
-    segment: int = 1000,
     **kw,
 ) -> DataFrame:
-    """The accumulated text after each record: init, then the values so far.
+    """Like :func:`rolling_fold`, with a text that starts anew after ``segment`` records.
 
-    Text that grows with every record is quadratic for a long key.  After each
-    ``segment`` records the text starts anew and ``segment_no`` goes up by one;
-    the full text of a record is the last text of every earlier segment joined
-    with its own.  Keys of up to ``segment`` records stay in segment 0.
+    ``segment_no`` counts the segments of a key; the full text of a record is the
+    last text of every earlier segment joined with its own.
     """
     keys = as_list(key)
     placed = scan.position(df, keys, seq, name="_pos", **kw).withColumn(

@@ -10,10 +10,10 @@ column into chunks, and three steps give the same values:
 3. that carry enters its chunk as one extra row ahead of the data, and an
    ordinary window over (key, chunk) finishes the job.
 
-Data rows are shuffled once, by (key, chunk).  With a unique integer order
-column no task sorts more than about max(HOT_ROWS, rows / MAX_HOT_KEYS) rows,
-however the keys are distributed: a chunk holds at most max(CHUNK_ROWS,
-rows / MAX_CHUNKS) rows, and a key that is not among the hot ones is small.
+Data rows are shuffled once, by (key, chunk).  Chunks are cut where the rows
+are: at quantiles of the hot key's own order column, so neither an outlier nor a
+burst makes a chunk large.  A chunk holds about CHUNK_ROWS rows, more only for a
+key beyond MAX_CHUNKS times that, or if all keys together need over MAX_CUTS.
 """
 
 from __future__ import annotations
@@ -30,8 +30,9 @@ from millrace.session import fresh_dir
 HOT_ROWS = 1 << 20
 CHUNK_ROWS = 1 << 18
 MAX_CHUNKS = 1 << 16
-MAX_HOT_KEYS = 10_000
+MAX_CUTS = 1 << 22
 
+_HOT = "_hot"
 _CARRY = "_carry"
 _CHUNK = "_chunk"
 _BEFORE_ALL = -(1 << 62)
@@ -43,6 +44,7 @@ class Rule:
 
     kind: str
     value: Column
+    before: bool = False  # over the rows before the current one
 
 
 def run_sum(value: str | Column) -> Rule:
@@ -79,23 +81,59 @@ def _col(value: str | Column) -> Column:
 
 @dataclass(frozen=True)
 class Cut:
-    """Which keys are cut into chunks, by hash (None: all), and how wide."""
+    """How keys are cut into chunks.
 
-    width: int
-    hot: tuple[int, ...] | None = None
+    ``width`` cuts every key evenly by the value of the order column.  ``cuts``
+    holds the hot keys, each with the sorted places where its chunks begin; a
+    list stands for the one key of a global scan.  With neither no key is cut.
+    """
 
-    def is_hot(self, keys: Sequence[str]) -> Column:
-        if self.hot is None or (self.hot and not keys):
-            return F.lit(True)
-        if not self.hot:
-            return F.lit(False)
-        # A key sharing a hot key's hash is cut as well, which does no harm.
-        names = ", ".join(f"`{k}`" for k in keys)
-        return F.expr(f"xxhash64({names}) IN ({', '.join(map(str, self.hot))})")
+    width: int | None = None
+    cuts: DataFrame | list[int] | None = None
+
+    @property
+    def whole(self) -> bool:
+        return self.width is None and self.cuts is None
+
+    def mark(self, df: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
+        """Add ``_hot``, whether the row's key is cut, and with ``seq`` its ``_chunk``."""
+        at = F.col(seq) if seq else F.lit(None).cast("long")
+        if self.whole:
+            return df.withColumns({_HOT: F.lit(False), _CHUNK: F.lit(0).cast("long")})
+        if self.width is not None:
+            return df.withColumns({_HOT: F.lit(True), _CHUNK: floor_div(at, self.width)})
+        if isinstance(self.cuts, list):
+            places = F.lit(self.cuts).cast("array<bigint>")
+            return df.withColumns({_HOT: F.lit(True), _CHUNK: _passed(places, at)})
+        # One row per hot key and a place per CHUNK_ROWS rows: MAX_CUTS places, 32 MB, at most.
+        hot = F.broadcast(
+            self.cuts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_cuts")
+        )
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_hk{i}"))
+        known = F.col("_cuts").isNotNull()
+        number = F.when(known, _passed(F.col("_cuts"), at)).otherwise(F.lit(0).cast("long"))
+        marked = df.join(hot, same, "left")
+        return marked.select(*[F.col(f"`{c}`") for c in df.columns], known.alias(_HOT), number.alias(_CHUNK))
+
+
+def _passed(places: Column, at: Column) -> Column:
+    """How many of the sorted ``places`` are at or below ``at``, by binary search."""
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.shiftright(low + high, 1)
+        right = (low < high) & (F.get(places, middle) <= at)
+        left = (low < high) & ~right
+        return F.struct(
+            F.when(right, middle + 1).otherwise(low).alias("low"),
+            F.when(left, middle).otherwise(high).alias("high"),
+        )
 
-    def chunk(self, keys: Sequence[str], seq: str) -> Column:
-        cut = floor_div(F.col(seq), self.width)
-        return F.when(self.is_hot(keys), cut).otherwise(F.lit(0).cast("long"))
+    start = F.struct(F.lit(0).alias("low"), F.size(places).alias("high"))
+    steps = F.array_repeat(F.lit(0), MAX_CHUNKS.bit_length())
+    return F.aggregate(steps, start, halve, lambda state: state["low"].cast("long"))
 
 
 def _check_integer(df: DataFrame, seq: str) -> None:
@@ -105,29 +143,47 @@ def _check_integer(df: DataFrame, seq: str) -> None:
 
 
 def measure(df: DataFrame, keys: Sequence[str], seq: str) -> Cut:
-    """Count the rows per key and cut the hot keys.
+    """Count the rows per key and cut the hot keys at quantiles of ``seq``.
 
-    One aggregation over the key columns; at most MAX_HOT_KEYS small rows, the
-    largest keys, come to the driver.  A key beyond those holds less than
-    rows / MAX_HOT_KEYS rows and needs no cutting.
+    One pre-aggregated count over the key columns, and, if a key is hot, one
+    pre-aggregated sketch over the hot keys' order column.  Three numbers come
+    to the driver; the cuts are a small table in the shared folder.
     """
     _check_integer(df, seq)
-    sizes = df.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min(seq).alias("_lo"), F.max(seq).alias("_hi")
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    hot = counts.agg(F.count("*"), F.max("_n"), F.sum("_n")).first()
+    if not hot[0]:
+        return Cut()
+    target = max(CHUNK_ROWS, -(-hot[2] // MAX_CUTS))
+    most = min(MAX_CHUNKS, -(-hot[1] // target))
+    if most < 2:
+        return Cut()
+    shares = F.lit([i / most for i in range(1, most)])
+    found = F.percentile_approx(seq, shares, 10 * most)
+    if not keys:
+        return Cut(cuts=sorted(set(df.agg(found).first()[0])))
+    rows = df.select(*keys, seq)
+    named = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_hk{i}"))
+    quantiles = (
+        rows.join(F.broadcast(named), same)
+        .groupBy(*keys)
+        .agg(found.alias("_q"), F.first("_n").alias("_n"))
     )
-    largest = sizes.filter(F.col("_n") > HOT_ROWS).orderBy(F.col("_n").desc())
-    code = F.xxhash64(*keys) if keys else F.lit(0)
-    found = largest.limit(MAX_HOT_KEYS).select(code.alias("_h"), "_lo", "_hi").collect()
-    if not found:
-        return Cut(CHUNK_ROWS, ())
-    span = max(r["_hi"] for r in found) - min(r["_lo"] for r in found) + 1
-    return Cut(max(CHUNK_ROWS, -(-span // MAX_CHUNKS)), tuple(r["_h"] for r in found))
-
-
-def has_hot_key(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether some key holds more than HOT_ROWS rows."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_ROWS)
-    return bool(sizes.limit(1).collect())
+    # A key of fewer rows takes every so manieth quantile.
+    own = F.least(F.lit(most), F.ceil(F.col("_n") / F.lit(target))).cast("int")
+    picked = F.transform(
+        F.sequence(F.lit(1), F.greatest(own - 1, F.lit(1))),
+        lambda i: F.element_at("_q", F.greatest(F.lit(1), F.floor(i * most / own)).cast("int")).cast("long"),
+    )
+    cuts = quantiles.select(*keys, F.array_sort(F.array_distinct(picked)).alias("_cuts"))
+    spark = df.sparkSession
+    path = fresh_dir(spark, "cuts")
+    cuts.write.parquet(path)
+    return Cut(cuts=spark.read.schema(cuts.schema).parquet(path))
 
 
 def _over(rule: Rule, column: str, window: WindowSpec) -> Column:
@@ -169,31 +225,36 @@ def running(
     keys = list(keys)
     order = [seq] if isinstance(seq, str) else list(seq)
     folds = {name: f"_f_{name}" for name in rules}
-    if isinstance(chunk, Column):
-        is_hot, number = F.lit(True), chunk.cast("long")
-        whole = False
-    else:
+    if not isinstance(chunk, (Column, Cut)):
         if chunk is None:
             chunk = measure(df, keys, order[0])
-        elif isinstance(chunk, int):
+        else:
             _check_integer(df, order[0])
             chunk = Cut(chunk)
-        is_hot, number = chunk.is_hot(keys), chunk.chunk(keys, order[0])
-        whole = chunk.hot == ()
+    whole = isinstance(chunk, Cut) and chunk.whole
     columns = df.columns
     base = df.withColumns({folds[n]: r.value for n, r in rules.items()})
+    if isinstance(chunk, Column):
+        base = base.withColumns({_HOT: F.lit(True), _CHUNK: chunk.cast("long")})
+    elif not whole or start is not None:
+        base = chunk.mark(base, keys, order[0])
     carries = []
 
+    if start is not None:
+        earlier_folds = (
+            start.withColumn(_HOT, F.lit(True)) if isinstance(chunk, Column) else chunk.mark(start, keys)
+        )
     if not whole:
         by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-        base = base.withColumn(_CHUNK, number)
         totals = (
-            base.filter(is_hot)
+            base.filter(_HOT)
             .groupBy(*keys, _CHUNK)
             .agg(*[_total(r, folds[n], by).alias(folds[n]) for n, r in rules.items()])
         )
         if start is not None:
-            totals = totals.unionByName(_started(start.filter(is_hot), keys, rules, base, _BEFORE_ALL))
+            totals = totals.unionByName(
+                _started(earlier_folds.filter(_HOT), keys, rules, base, _BEFORE_ALL)
+            )
         earlier = (
             Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         )
@@ -201,21 +262,21 @@ def running(
             *keys, _CHUNK, *[_over(r, folds[n], earlier).alias(folds[n]) for n, r in rules.items()]
         )
         carries.append(carry.filter(" or ".join(f"`{f}` is not null" for f in folds.values())))
-    elif start is not None:
-        base = base.withColumn(_CHUNK, number)
     if start is not None:
-        carries.append(_started(start.filter(~is_hot), keys, rules, base, 0))
+        carries.append(_started(earlier_folds.filter(~F.col(_HOT)), keys, rules, base, 0))
 
     rows = base.withColumn(_CARRY, F.lit(1))
     for carry in carries:
         rows = rows.unionByName(carry.withColumn(_CARRY, F.lit(0)), allowMissingColumns=True)
     groups = [*keys, _CHUNK] if carries else keys
-    inside = (
-        Window.partitionBy(*groups)
-        .orderBy(*([_CARRY] if carries else []), *order)
-        .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-    )
-    done = rows.withColumns({f"_o_{n}": _over(r, folds[n], inside) for n, r in rules.items()})
+    ordered = Window.partitionBy(*groups).orderBy(*([_CARRY] if carries else []), *order)
+
+    def inside(rule: Rule) -> WindowSpec:
+        return ordered.rowsBetween(
+            Window.unboundedPreceding, 0 if include_current and not rule.before else -1
+        )
+
+    done = rows.withColumns({f"_o_{n}": _over(r, folds[n], inside(r)) for n, r in rules.items()})
     out = {
         n: F.col(f"_o_{n}.v") if r.kind in ("first", "last") else F.col(f"_o_{n}")
         for n, r in rules.items()

@@ -134,31 +134,45 @@ def with_session(df: DataFrame, key: Keys, ts: str, gap: int | str) -> DataFrame
 # --- count windows ----------------------------------------------------------
 
 
+#: Copies of a row that a sliding count window may send to its windows.
+MOST_COPIES = 16
+
+
 def count_window(
     df: DataFrame,
     key: Keys,
     seq: str,
     size: int,
-    aggs: Sequence[Column],
+    aggs: dict[str, Column],
     slide: int | None = None,
     **kw,
 ) -> DataFrame:
-    """Windows by number of records of a key.
+    """Windows by number of records of a key; ``aggs`` maps names to aggregates.
 
     Tumbling: fires at every ``size``-th record, incomplete groups never fire.
     Sliding: fires at every ``slide``-th record over the last ``size`` at most.
-    ``fire`` is the place of the record that fired.
+    ``fire`` is the place of the record that fired.  A row is sent to each of
+    its windows; where these are more than MOST_COPIES, a frame over the ordered
+    rows is used instead, which sends it once.
     """
     keys = as_list(key)
     step = slide or size
     placed = scan.position(df, keys, seq, name="_pos", **kw)
+    if size > MOST_COPIES * step:
+        framed = scan.row_frame(
+            placed, keys, "_pos", size - 1,
+            lambda frame, _: {name: agg.over(frame) for name, agg in aggs.items()},
+        )
+        fired = framed.filter(F.col("_pos") % step == 0)
+        return fired.select(*keys, F.col("_pos").alias("fire"), *aggs)
     first = floor_div(F.col("_pos") + step - 1, step) * step
     # A record at place p is part of the fires in [p, p + size - 1].
     last = floor_div(F.col("_pos") + size - 1, step) * step
     member = placed.filter(first <= last).withColumn(
         "fire", F.explode(F.sequence(first, last, F.lit(step).cast("long")))
     )
-    out = member.groupBy(*keys, "fire").agg(*aggs, F.max("_pos").alias("_last"))
+    named = [agg.alias(name) for name, agg in aggs.items()]
+    out = member.groupBy(*keys, "fire").agg(*named, F.max("_pos").alias("_last"))
     return out.filter(F.col("_last") == F.col("fire")).drop("_last")
 
 
@@ -230,28 +244,18 @@ def window_list(
     seq: str,
     item: Column,
     key: Keys | None = None,
-    part_rows: int = 1000,
     **kw,
 ) -> DataFrame:
-    """All elements of a window in arrival order, in parts of ``part_rows``.
+    """All elements of a window in arrival order: a row (window, place, item) for each.
 
-    A window of up to ``part_rows`` elements is one row; a larger one continues
-    in rows part = 1, 2, ... so that no single row or task holds it whole.
+    A window of any size is given whole, and no row or task has to hold it.
     """
     keys = as_list(key) if key is not None else []
     w = window_of(ts, size)
-    rows = df.withColumns({"window_start": w.start, "window_end": w.end, "_item": item})
+    rows = df.withColumns({"window_start": w.start, "window_end": w.end, "item": item})
     groups = ["window_start", "window_end", *keys]
-    rows = rows.select(*groups, seq, "_item")
-    placed = scan.position(rows, groups, seq, name="_pos", **kw)
-    part = floor_div(F.col("_pos") - 1, part_rows).alias("part")
-    pairs = F.sort_array(F.collect_list(F.struct("_pos", "_item")))
-    return (
-        placed.groupBy(*groups, part)
-        .agg(pairs.alias("_pairs"))
-        .withColumn("items", F.col("_pairs._item"))
-        .drop("_pairs")
-    )
+    placed = scan.position(rows.select(*groups, seq, "item"), groups, seq, name="place", **kw)
+    return placed.select(*groups, "place", "item")
 
 
 def consecutive_windows(
@@ -259,13 +263,14 @@ def consecutive_windows(
 ) -> DataFrame:
     """Sum per key and window, then the keys of a window ranked by their sum.
 
-    ``place`` 1 is the largest sum; equal sums are ordered by key.
+    ``place`` 1 is the largest sum; equal sums are ordered by key.  A window's
+    sums are ranked in one task; ``parts`` cuts all sums into that many ranges
+    instead, for windows with more keys than a task can sort.
     """
-    sums = window_agg(df, key, ts, size, [F.round(F.sum(value), 6).alias("total")])
+    sums = window_agg(df, key, ts, size, [F.sum(value).alias("total")])
     groups, order = ["window_start", "window_end"], ["_down", key]
     ranked = sums.withColumn("_down", -F.col("total"))
-    in_window = df.select(window_of(ts, size).alias("w"))
-    if parts is None and not scan.has_hot_key(in_window, ["w"]):
+    if parts is None:
         best_first = Window.partitionBy(*groups).orderBy(*order)
         place = F.row_number().over(best_first).cast("long")
         return ranked.withColumn("place", place).drop("_down")

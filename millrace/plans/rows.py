@@ -258,7 +258,7 @@ def rolling_reduce(spark, sf_dir):
 
 @query(
     "rolling_fold",
-    """SELECT l_orderkey, seq, cast(0 AS BIGINT) AS segment_no,
+    """SELECT l_orderkey, seq,
               concat('start_', string_agg(l_returnflag, '_') OVER (
                 PARTITION BY l_orderkey ORDER BY seq ROWS UNBOUNDED PRECEDING)) AS acc
        FROM (SELECT l_orderkey, l_returnflag,
@@ -283,7 +283,7 @@ def rolling_fold(spark, sf_dir):
         .alias("seq"),
     )
     out = rolling.rolling_fold(table, "l_orderkey", "l_returnflag", "seq", init="start")
-    return out.select("l_orderkey", "seq", "segment_no", "acc")
+    return out.select("l_orderkey", "seq", "acc")
 
 
 @query(

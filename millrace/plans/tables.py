@@ -220,19 +220,16 @@ def window_join_session(spark, sf_dir):
     "cogroup_session",
     f"""WITH both_sides AS (SELECT * FROM events WHERE event_type IN ('click', 'purchase')),
         {_sessions_sql('both_sides', '12 hours')},
-        placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, session ORDER BY event_id)
-                     AS pos FROM sessions),
-        held AS (SELECT *, (pos + 4) // 5 * 5 AS fire,
-                   count(*) FILTER (event_type = 'click') OVER (
-                     PARTITION BY user_id, session ORDER BY pos) AS n_first,
-                   count(*) FILTER (event_type = 'purchase') OVER (
-                     PARTITION BY user_id, session ORDER BY pos) AS n_second FROM placed)
-        SELECT user_id, session_start, fire, max(n_first) AS n_first, max(n_second) AS n_second,
-          coalesce(string_agg(CASE WHEN event_type = 'click' THEN event_id END, ','
-                              ORDER BY pos), '') AS first_items,
-          coalesce(string_agg(CASE WHEN event_type = 'purchase' THEN event_id END, ','
-                              ORDER BY pos), '') AS second_items
-        FROM held GROUP BY user_id, session_start, fire HAVING count(*) = 5""",
+        held AS (SELECT user_id, session_start, row_number() OVER w AS fire,
+                   count(*) FILTER (event_type = 'click') OVER w AS n_first,
+                   count(*) FILTER (event_type = 'purchase') OVER w AS n_second,
+                   coalesce(string_agg(event_id, ',') FILTER (event_type = 'click') OVER w, '')
+                     AS first_items,
+                   coalesce(string_agg(event_id, ',') FILTER (event_type = 'purchase') OVER w, '')
+                     AS second_items FROM sessions
+                 WINDOW w AS (PARTITION BY user_id, session ORDER BY event_id
+                              ROWS UNBOUNDED PRECEDING))
+        SELECT * FROM held WHERE fire % 5 = 0""",
 )
 def cogroup_session(spark, sf_dir):
     table = events(spark, sf_dir).select(

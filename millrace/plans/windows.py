@@ -116,9 +116,8 @@ def session_agg(spark, sf_dir):
 )
 def count_tumbling(spark, sf_dir):
     rows = events(spark, sf_dir).select("user_id", "event_id", "value")
-    return windows.count_window(
-        rows, "user_id", "event_id", 3, [money(F.sum("value"), "total")]
-    )
+    out = windows.count_window(rows, "user_id", "event_id", 3, {"total": F.sum("value")})
+    return out.withColumn("total", F.round("total", 6))
 
 
 @query(
@@ -133,8 +132,9 @@ def count_tumbling(spark, sf_dir):
 )
 def count_sliding(spark, sf_dir):
     rows = events(spark, sf_dir).select("user_id", "event_id", "value")
-    aggs = [F.count("*").alias("n"), money(F.sum("value"), "total")]
-    return windows.count_window(rows, "user_id", "event_id", 5, aggs, slide=2)
+    aggs = {"n": F.count("*"), "total": F.sum("value")}
+    out = windows.count_window(rows, "user_id", "event_id", 5, aggs, slide=2)
+    return out.withColumn("total", F.round("total", 6))
 
 
 @query(
@@ -194,11 +194,8 @@ def window_reduce_format(spark, sf_dir):
 
 
 def _list_sql(keys: str) -> str:
-    return f"""SELECT {keys} window_start, part, string_agg(item, chr(9) ORDER BY pos) AS items
-       FROM (SELECT {keys} window_start, item, pos, (pos - 1) // 1000 AS part FROM (
-         SELECT {keys} {HOUR} AS window_start, concat(event_id, ':', event_type) AS item,
-                row_number() OVER (PARTITION BY {keys} {HOUR} ORDER BY event_id) AS pos
-         FROM events)) GROUP BY ALL"""
+    return f"""SELECT {keys} {HOUR} AS window_start, concat(event_id, ':', event_type) AS item,
+              row_number() OVER (PARTITION BY {keys} {HOUR} ORDER BY event_id) AS place FROM events"""
 
 
 def _item():
@@ -208,7 +205,7 @@ def _item():
 @query("window_all_list", _list_sql(""))
 def window_all_list(spark, sf_dir):
     out = windows.window_list(events(spark, sf_dir), "ts", "1 hour", "event_id", _item())
-    return out.select(ms("window_start"), "part", F.array_join("items", "\t").alias("items"))
+    return out.select(ms("window_start"), "place", "item")
 
 
 @query("hot_items", _list_sql("user_id,"))
@@ -216,9 +213,7 @@ def hot_items(spark, sf_dir):
     out = windows.window_list(
         events(spark, sf_dir), "ts", "1 hour", "event_id", _item(), key="user_id"
     )
-    return out.select(
-        "user_id", ms("window_start"), "part", F.array_join("items", "\t").alias("items")
-    )
+    return out.select("user_id", ms("window_start"), "place", "item")
 
 
 @query(
@@ -287,15 +282,18 @@ def evict_within(spark, sf_dir):
 
 @query(
     "consecutive_windows",
-    f"""SELECT user_id, window_start, total, row_number() OVER (
+    f"""SELECT user_id, window_start, cast(total AS DOUBLE) AS total, row_number() OVER (
           PARTITION BY window_start ORDER BY total DESC, user_id) AS place
-        FROM (SELECT user_id, {bucket('1 day')} AS window_start, round(sum(value), 6) AS total
+        FROM (SELECT user_id, {bucket('1 day')} AS window_start,
+                     sum(cast(value AS DECIMAL(20, 6))) AS total
               FROM events GROUP BY ALL)""",
 )
 def consecutive_windows(spark, sf_dir):
-    rows = events(spark, sf_dir).select("user_id", "ts", "value")
+    """Decimal values, so that the order of addition decides no rank."""
+    amount = F.col("value").cast("decimal(20, 6)").alias("value")
+    rows = events(spark, sf_dir).select("user_id", "ts", amount)
     out = windows.consecutive_windows(rows, "user_id", "ts", "1 day", "value")
-    return out.select("user_id", ms("window_start"), "total", "place")
+    return out.select("user_id", ms("window_start"), F.col("total").cast("double"), "place")
 
 
 @query(
@@ -344,13 +342,6 @@ _WM = f"""{ARRIVALS_SQL},
       coalesce(window_end - 1 <= wm_before, false) AS after_fire FROM judged)"""
 
 
-@query("wm_model", f"WITH {_WM} SELECT event_id, seq, cast(wm_before AS DOUBLE) AS wm_before, wm_after FROM wm")
-def wm_model(spark, sf_dir):
-    rows = arrivals(spark, sf_dir).select("event_id", "seq", "ts_ms")
-    out = latedata.wm_model(rows, "ts_ms", "seq", BOUND)
-    return out.select("event_id", "seq", F.col("wm_before").cast("double"), "wm_after")
-
-
 @query(
     "late_split",
     f"""WITH {_WM} SELECT event_id, window_end,

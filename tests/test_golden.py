@@ -91,9 +91,42 @@ def test_rolling_fold(words):
     ]
 
 
+def test_long_keys_are_given_whole(spark):
+    """2,500 records in a key: the full text, the full list and the full firing."""
+    data = spark.range(2500).selectExpr(
+        "id AS seq", "'k' AS k", "cast(id AS string) AS v", "timestamp_seconds(id % 7) AS ts"
+    )
+    folded = rolling.rolling_fold(data, "k", "v", "seq", init="i").filter("seq = 2499").first()
+    assert folded["acc"] == "_".join(["i", *map(str, range(2500))])
+    listed = windows.window_list(data, "ts", "1 hour", "seq", F.col("v"), key="k")
+    assert rows(listed, "place", "item") == sorted(
+        [(i + 1, str(i)) for i in range(2500)], key=repr
+    )
+    left, right = data.filter("seq % 2 = 0"), data.filter("seq % 2 = 1")
+    fired = joins.session_cogroup(left, right, "k", "ts", "1 hour", "seq", "v", every=2500).first()
+    assert fired["first_items"] == [str(i) for i in range(0, 2500, 2)]
+    assert fired["second_items"] == [str(i) for i in range(1, 2500, 2)]
+
+
+def test_small_changes_are_not_rounded_away(spark):
+    data = spark.createDataFrame([(i, "a", v) for i, v in enumerate((1e-7, 2e-7, 1e-7))], "seq long, id string, v double")
+    totals = [1e-7, 1e-7 + 2e-7, 1e-7 + 2e-7 + 1e-7]
+    expected = sorted(
+        [(0, True, totals[0])]
+        + [(i, flag, totals[i - (not flag)]) for i in (1, 2) for flag in (False, True)], key=repr
+    )
+    for chunk in (None, 100):
+        out = changelog.retract_group(data, "id", "v", "seq", chunk=chunk)
+        assert rows(out, "seq", "flag", "v") == expected
+    streamed = run.replay(
+        spark, {"t": (data, "seq")}, lambda s: keyed.retract_group_stream(s, "id", "v", "seq")
+    )
+    assert rows(streamed, "seq", "flag", "v") == expected
+
+
 def test_rolling_fold_in_segments_joins_to_the_whole_text(spark):
     data = spark.range(25).selectExpr("id AS seq", "'k' AS k", "cast(id AS string) AS v")
-    out = rolling.rolling_fold(data, "k", "v", "seq", init="i", segment=10)
+    out = rolling.rolling_fold_segments(data, "k", "v", "seq", init="i", segment=10)
     last = {}
     for r in out.orderBy("seq").collect():
         last[r["segment_no"]] = r["acc"]
@@ -229,7 +262,7 @@ def test_pattern_times_relaxed_and_strict(spark):
 
 def test_count_window_tumbling(spark):
     out = windows.count_window(
-        keyed_words(spark, "abcabad"), "word", "seq", 3, [F.sum("one").alias("n")], chunk=2
+        keyed_words(spark, "abcabad"), "word", "seq", 3, {"n": F.sum("one")}, chunk=2
     )
     assert rows(out, "word", "n") == [("a", 3.0)]
 
@@ -237,10 +270,12 @@ def test_count_window_tumbling(spark):
 def test_count_window_sliding(spark):
     table = keyed_words(spark, "accdabcccb")
     out = windows.count_window(
-        table, "word", "seq", 5, [F.sum("one").alias("n")], slide=2, chunk=3
+        table, "word", "seq", 5, {"n": F.sum("one")}, slide=2, chunk=3
     )
     expected = [("a", 2, 2.0), ("b", 2, 2.0), ("c", 2, 2.0), ("c", 4, 4.0)]
     assert rows(out, "word", "fire", "n") == expected
+    once = windows.count_window(table, "word", "seq", 40, {"n": F.sum("one")}, slide=2, chunk=3)
+    assert rows(once, "word", "fire", "n") == expected
     streamed = run.replay(
         spark,
         {"w": (table, "seq")},
@@ -252,7 +287,7 @@ def test_count_window_sliding(spark):
 @pytest.mark.parametrize("records, fires", [(1, []), (2, []), (3, [3]), (6, [3, 6])])
 def test_count_window_never_fires_incomplete(spark, records, fires):
     out = windows.count_window(
-        keyed_words(spark, "k" * records), "word", "seq", 3, [F.count("*").alias("n")], chunk=4
+        keyed_words(spark, "k" * records), "word", "seq", 3, {"n": F.count("*")}, chunk=4
     )
     assert rows(out, "fire", "n") == [(f, 3) for f in fires]
 
@@ -569,6 +604,13 @@ def test_session_join_and_cogroup(spark):
     assert [(r["fire"], r["first_items"], r["second_items"]) for r in fired.collect()] == [
         (2, ["l1"], ["r1"])
     ]
+    every = [
+        {(r["fire"], tuple(r["first_items"]), tuple(r["second_items"])) for r in f(
+            left, right, "k", "ts", "20 seconds", "seq", "item", every=2).collect()}
+        for f in (joins.session_cogroup, joins.session_cogroup_steps)
+    ]
+    assert every[0] == {(2, ("l1",), ("r1",)), (4, ("l1", "l2"), ("r1", "r2"))}
+    assert every[1] == {(2, ("l1",), ("r1",)), (4, ("l2",), ("r2",))}
 
 
 # --- functions ---------------------------------------------------------------

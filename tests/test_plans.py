@@ -27,7 +27,7 @@ def test_no_query_forms_all_pairs(plan_text):
 
 def test_only_fixed_size_summaries_meet_in_one_task(plan_text):
     """A single partition is used for global aggregates and chunk totals only."""
-    allowed = {"agg_avg", "agg_count", "view_sum", "wm_model", "late_split", "allowed_lateness"}
+    allowed = {"agg_avg", "agg_count", "view_sum", "late_split", "allowed_lateness"}
     for name, text in plan_text.items():
         if name not in allowed:
             assert "SinglePartition" not in text, name

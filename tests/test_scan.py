@@ -80,7 +80,7 @@ def test_running_continues_from_a_start(spark):
 @pytest.mark.parametrize("hot", [0.0, 0.5])
 def test_only_hot_keys_are_cut(spark, monkeypatch, hot):
     """The measured cut: none, some or all keys hot, and many chunks per key."""
-    for rows_, chunk_, chunks_ in ((10_000, 5, 100), (60, 5, 100), (0, 5, 100), (60, 1, 8)):
+    for rows_, chunk_, chunks_ in ((10_000, 5, 100), (60, 5, 100), (4, 2, 100), (60, 1, 8)):
         monkeypatch.setattr(scan, "HOT_ROWS", rows_)
         monkeypatch.setattr(scan, "CHUNK_ROWS", chunk_)
         monkeypatch.setattr(scan, "MAX_CHUNKS", chunks_)
@@ -88,11 +88,33 @@ def test_only_hot_keys_are_cut(spark, monkeypatch, hot):
         df = spark.createDataFrame(data, "seq long, k string, v long")
         cut = scan.measure(df, ["k"], "seq")
         sizes = {k: sum(1 for _, k2, _ in data if k2 == k) for _, k, _ in data}
-        assert len(cut.hot) == sum(1 for n in sizes.values() if n > rows_)
+        hot = sum(1 for n in sizes.values() if n > rows_)
+        assert cut.whole if not hot else cut.cuts.count() == hot
         assert run_all(df) == brute(data)
         assert run_all(df, include_current=False) == brute(data, False)
 
 
+@pytest.mark.parametrize("shape", ["outlier", "bursts"])
+def test_chunks_hold_alike_many_rows(spark, monkeypatch, shape):
+    """An outlier or bursts in the order column make no chunk large."""
+    monkeypatch.setattr(scan, "HOT_ROWS", 500)
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 100)
+    places = {
+        "outlier": "CASE WHEN id = 0 THEN 1000000000000000 ELSE id END",
+        "bursts": "(id div 997) * 3600000000 + id % 997",
+    }[shape]
+    df = spark.range(6000).selectExpr(f"{places} AS seq", "if(id % 10 < 8, 'hot', concat('k', id)) AS k", "id AS v")
+    cut = scan.measure(df, ["k"], "seq")
+    sizes = cut.mark(df, ["k"], "seq").filter("_hot").groupBy("_chunk").count().collect()
+    assert 40 <= len(sizes) <= 60 and max(r["count"] for r in sizes) <= 200
+    out = scan.running(df, ["k"], "seq", {"n": scan.run_count(), "t": scan.run_sum("v")})
+    held, expected = {}, {}
+    for r in sorted(df.collect(), key=lambda r: r["seq"]):
+        n, t = held.get(r["k"], (0, 0))
+        held[r["k"]] = expected[r["seq"], r["k"]] = (n + 1, t + r["v"])
+    assert {(r["seq"], r["k"]): (r["n"], r["t"]) for r in out.collect()} == expected
+
+
 def test_start_reaches_cold_and_hot_keys(spark, monkeypatch):
     data = sorted(sample(160, 9, 0.6))
     first, second = data[:60], data[60:]
@@ -100,7 +122,7 @@ def test_start_reaches_cold_and_hot_keys(spark, monkeypatch):
     start = head.agg(F.count("*").alias("n"), F.max("v").alias("high")).cache()
     rest = spark.createDataFrame(second, "seq long, k string, v long")
     expected = brute(data)
-    for hot_rows in (0, 30, 10_000):
+    for hot_rows in (10, 30, 10_000):
         monkeypatch.setattr(scan, "HOT_ROWS", hot_rows)
         monkeypatch.setattr(scan, "CHUNK_ROWS", 7)
         rules = {"n": scan.run_count(), "high": scan.run_max("v")}
