@@ -11,6 +11,7 @@ pieces of their length.  Token ids are never shuffled.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ SEQUENCE = 4096
 END = 2
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 2_000_000, 48
 
 
 class WordTokens:
@@ -37,44 +38,56 @@ class WordTokens:
     The tokenizer drops white space and its pre-tokens never span it, so a
     text's ids are those of its stretches between white space, one after the
     other.  Each distinct stretch of a batch is encoded once; short ones are
-    remembered, up to REMEMBERED.
+    remembered in flat arrays, up to REMEMBERED.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        pa.set_cpu_count(1)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, np.ndarray] = {}
+        self.words = pa.array([], pa.string())
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def lookup(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one after the other, and how many each has."""
+        known = pc.index_in(kinds, value_set=self.words)
+        new = kinds.filter(known.is_null())
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        ids = np.fromiter(itertools.chain.from_iterable(made), np.uint32, int(sizes.sum()))
+        place = known.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        every = np.concatenate([self.sizes, sizes])
+        pool = np.concatenate([self.ids, ids])
+        out = _gathered(pool, every, place)
+        short = pc.less_equal(pc.utf8_length(new), LONGEST).to_numpy(zero_copy_only=False)
+        if len(self.words) + short.sum() > REMEMBERED:
+            self.words, self.ids, self.sizes = self.words[:0], self.ids[:0], self.sizes[:0]
+        self.words = pa.concat_arrays([self.words, new.filter(pa.array(short))])
+        self.ids = np.concatenate([self.ids, ids[np.repeat(short, sizes)]])
+        self.sizes = np.concatenate([self.sizes, sizes[short]])
+        return out, every[place]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) in order, and the n + 1 bounds of the texts in them."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
-        words = split.flatten()
-        coded = words.dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        kinds = coded.dictionary.to_pylist()
-        known = self.known
-        new = [w for w in kinds if w not in known]
-        fresh = {}
-        if new:
-            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = {w: np.array(e.ids, np.uint32) for w, e in zip(new, made)}
-        ids = [fresh[w] if w in fresh else known[w] for w in kinds]
-        if len(known) + len(fresh) > REMEMBERED:
-            self.forget()
-        self.known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        each = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum(each)])
-        inside = np.arange(ends[-1]) + np.repeat(first[:-1][codes] - ends[:-1], each) if len(codes) else np.zeros(0, np.int64)
-        return pool[inside], ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        coded = split.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        ids, sizes = self.lookup(coded.dictionary)
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        return _gathered(ids, sizes, codes), ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+
+
+def _gathered(pool: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` (of the given sizes) named by ``wanted``, one after the other."""
+    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    each = sizes[wanted]
+    ends = np.cumsum(each)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.arange(total) + np.repeat(first[wanted] - (ends - each), each)]
 
 
 _TOKENS: dict[str, WordTokens] = {}
