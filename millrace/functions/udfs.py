@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +22,17 @@ def split_rows(df: DataFrame, column: str, sep: str = "_") -> DataFrame:
 
 
 def register(spark: SparkSession) -> None:
-    """Register ``upper_suffix(text[, suffix])`` and ``split_words(text, sep)`` for SQL."""
-
-    @F.udf("string")
-    def upper_suffix_udf(value, suffix=None):
-        return None if value is None else value.upper() + (suffix or "")
+    """Register ``upper_suffix(text[, suffix])`` and ``split_words(text, sep)`` for SQL.
 
-    @F.udtf(returnType="word string, length int")
-    class SplitWords:
-        def eval(self, value: str, sep: str) -> Iterator[tuple[str, int]]:
-            if value is not None:
-                for word in value.split(sep):
-                    yield word, len(word)
-
-    spark.udf.register("upper_suffix", upper_suffix_udf)
-    spark.udtf.register("split_words", SplitWords)
+    Both are SQL functions, so calls become ordinary expressions of the plan.
+    """
+    spark.sql(
+        """CREATE OR REPLACE TEMPORARY FUNCTION upper_suffix(value STRING, suffix STRING DEFAULT '')
+           RETURNS STRING RETURN concat(upper(value), suffix)"""
+    )
+    spark.sql(
+        r"""CREATE OR REPLACE TEMPORARY FUNCTION split_words(value STRING, sep STRING)
+            RETURNS TABLE(word STRING, length INT)
+            RETURN SELECT word, length(word)
+                   FROM (SELECT explode(split(value, concat('\\Q', sep, '\\E'), -1)) AS word)"""
+    )

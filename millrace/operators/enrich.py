@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import queue
+import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from concurrent.futures import TimeoutError as FutureTimeout
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.rolling import Keys, as_list
+from millrace.session import fresh_dir
 
 
 def lookup_join(
@@ -37,7 +38,11 @@ def lookup_join(
 
 
 class Refreshing:
-    """A dimension that is read again once it is older than ``seconds``."""
+    """A dimension that is read again once it is older than ``seconds``.
+
+    Each reading is written to the shared folder, so that batches within the
+    time meet the same rows and the source's files may be replaced meanwhile.
+    """
 
     def __init__(self, load: Callable[[], DataFrame], seconds: float):
         self._load, self._seconds = load, seconds
@@ -46,13 +51,28 @@ class Refreshing:
 
     def get(self) -> DataFrame:
         if self._frame is None or time.monotonic() - self._read_at >= self._seconds:
-            self._frame, self._read_at = self._load(), time.monotonic()
+            loaded = self._load()
+            path = fresh_dir(loaded.sparkSession, "dimension")
+            loaded.write.parquet(path)
+            self._frame = loaded.sparkSession.read.schema(loaded.schema).parquet(path)
+            self._read_at = time.monotonic()
         return self._frame
 
 
-def config_join(df: DataFrame, dim: DataFrame, key: Keys) -> DataFrame:
-    """Keep the rows whose key is in the newest dimension and append its columns."""
-    return df.join(dim, as_list(key), "inner")
+def config_join(df: DataFrame, dim: DataFrame, key: Keys, order: str | None = None) -> DataFrame:
+    """Keep the rows whose key is in the newest dimension and append its columns.
+
+    A key has one value: of several dimension rows the one with the largest
+    ``order`` counts, or without it the largest row.
+    """
+    keys = as_list(key)
+    rest = [c for c in dim.columns if c not in keys]
+    if not rest:
+        return df.join(dim.distinct(), keys, "inner")
+    row = F.struct(*rest)
+    one = dim.groupBy(*keys).agg(F.max_by(row, F.struct(F.col(order), row) if order else row).alias("_dim"))
+    one = one.select(*keys, *[F.col(f"_dim.{c}").alias(c) for c in rest])
+    return df.join(one, keys, "inner")
 
 
 def broadcast_enrich(
@@ -61,21 +81,22 @@ def broadcast_enrich(
     key: Keys,
     refresh_seconds: float = 60.0,
     sink: Callable[[DataFrame, int], None] | None = None,
+    order: str | None = None,
 ):
-    """Join with the newest dimension.
+    """Join with the newest dimension, one row per key (see :func:`config_join`).
 
     A table is joined once.  A stream needs a ``sink(frame, batch_id)`` and
     gives back a stream writer: each micro-batch joins the dimension as read at
     most ``refresh_seconds`` ago.  The dimension is loaded before the first batch.
     """
     if not df.isStreaming:
-        return config_join(df, load_dim(), key)
+        return config_join(df, load_dim(), key, order)
     if sink is None:
         raise ValueError("a stream needs a sink")
     dim = Refreshing(load_dim, refresh_seconds)
     dim.get()
     return df.writeStream.foreachBatch(
-        lambda batch, batch_id: sink(config_join(batch, dim.get(), key), batch_id)
+        lambda batch, batch_id: sink(config_join(batch, dim.get(), key, order), batch_id)
     )
 
 
@@ -140,41 +161,49 @@ def enrich_map(
     """Call ``fetch(*key)`` once per distinct key and join the answers back.
 
     Per task at most ``capacity`` calls are in flight, over ``tasks`` tasks (by
-    default one per core: waiting for answers, not data size, sets the pace).
-    A call that fails or takes longer than ``timeout`` seconds gives nulls; its
-    rows are kept.
+    default one per core: waiting for answers, not data size, sets the pace);
+    the next call starts as soon as one is done.  A call that fails or takes
+    longer than ``timeout`` seconds from its start gives nulls, and its place is
+    free for the next one; its rows are kept.
     """
     keys = as_list(keys)
     tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
     key_ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     answers = [c.strip().split()[0].strip("`") for c in schema.split(",")]
 
-    def answer(future, started: float) -> dict:
-        try:
-            left = max(0.0, timeout - (time.monotonic() - started))
-            return future.result(timeout=left) or {}
-        except FutureTimeout:
-            future.cancel()
-            return {}
-        except Exception:  # noqa: BLE001 - any failed call means "no answer"
-            return {}
+    def answered(rows: list[tuple]) -> list[dict]:
+        found: list[dict] = [{}] * len(rows)
+        done: queue.SimpleQueue = queue.SimpleQueue()
+
+        def call(place: int, row: tuple) -> None:
+            try:
+                done.put((place, fetch(*row) or {}))
+            except Exception:  # noqa: BLE001 - any failed call means "no answer"
+                done.put((place, {}))
+
+        waiting, due = iter(enumerate(rows)), {}
+        while True:
+            while len(due) < capacity and (following := next(waiting, None)) is not None:
+                due[following[0]] = time.monotonic() + timeout
+                # A thread of its own: one that hangs takes no other call's place.
+                threading.Thread(target=call, args=following, daemon=True).start()
+            if not due:
+                return found
+            try:
+                place, answer = done.get(timeout=max(0.0, min(due.values()) - time.monotonic()))
+                if due.pop(place, None) is not None:
+                    found[place] = answer
+            except queue.Empty:
+                now = time.monotonic()
+                due = {place: at for place, at in due.items() if at > now}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = ThreadPoolExecutor(max_workers=capacity)
-        try:
-            for batch in batches:
-                rows = list(batch[keys].itertuples(index=False, name=None))
-                found: list[dict] = []
-                for at in range(0, len(rows), capacity):
-                    started = time.monotonic()
-                    calls = [pool.submit(fetch, *row) for row in rows[at : at + capacity]]
-                    found += [answer(call, started) for call in calls]
-                out = batch[keys].reset_index(drop=True)
-                for name in answers:
-                    out[name] = pd.Series([f.get(name) for f in found], dtype="object")
-                yield out
-        finally:
-            pool.shutdown(wait=False, cancel_futures=True)
+        for batch in batches:
+            found = answered(list(batch[keys].itertuples(index=False, name=None)))
+            out = batch[keys].reset_index(drop=True)
+            for name in answers:
+                out[name] = pd.Series([f.get(name) for f in found], dtype="object")
+            yield out
 
     distinct = df.select(*keys).distinct().repartition(tasks, *keys)
     resolved = distinct.mapInPandas(run, f"{key_ddl}, {schema}")

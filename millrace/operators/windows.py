@@ -70,19 +70,22 @@ def _slots(df: DataFrame, keys: list[str], ts: str, gap: int | str, aggs) -> Dat
     """Pre-aggregate to one row per key and gap-wide slot, then number sessions.
 
     Two rows of one slot are less than a gap apart, so they share a session.
-    What a key sorts is its occupied slots - time span / gap at most - and not
-    its rows.  Sessions that touch exactly are merged.
+    What is ordered is a key's occupied slots - time span / gap at most - and not
+    its rows, and those of a key with very many are cut into chunks.  Sessions
+    that touch exactly are merged.
     """
     gap_us = millis(gap) * 1000
     at = F.unix_micros(ts)
     slots = df.groupBy(*keys, floor_div(at, gap_us).alias("_slot")).agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), *aggs
     )
-    by_slot = Window.partitionBy(*keys).orderBy("_slot")
-    before = F.lag("_hi").over(by_slot)
+    cut = scan.measure(slots, keys, "_slot")
+    slots = scan.previous(slots, keys, "_slot", {"_before": "_hi"}, chunk=cut)
+    before = F.col("_before")
     starts = before.isNull() | (F.unix_micros("_lo") - F.unix_micros(before) > gap_us)
-    marked = slots.withColumn("_start", F.when(starts, F.col("_lo")))
-    return marked.withColumn("session_start", F.max("_start").over(by_slot)).drop("_start")
+    marked = slots.withColumn("_start", F.when(starts, F.col("_lo"))).drop("_before")
+    rules = {"session_start": scan.run_max("_start")}
+    return scan.running(marked, keys, "_slot", rules, chunk=cut).drop("_start")
 
 
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -261,16 +263,25 @@ def lookup_join_last_match(spark, sf_dir):
 
 @query(
     "broadcast_enrich",
-    """SELECT event_id, user_id, event_type, c_name, c_nationkey FROM events
-       JOIN customer ON user_id = c_custkey WHERE c_mktsegment = 'MACHINERY'""",
+    """SELECT event_id, user_id, event_type, version, c_name, c_nationkey FROM events
+       JOIN (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS version FROM customer)
+         ON user_id = c_custkey WHERE c_mktsegment = 'MACHINERY'""",
 )
 def broadcast_enrich(spark, sf_dir):
-    def load_dim():
-        dim = load(spark, sf_dir, "customer").filter("c_mktsegment = 'MACHINERY'")
-        return dim.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
-
     rows = events(spark, sf_dir).select("user_id", "event_id", "event_type")
-    return enrich.broadcast_enrich(rows, load_dim, "user_id")
+    return enrich.broadcast_enrich(
+        rows, lambda: versions(spark, sf_dir), "user_id", order="version"
+    )
+
+
+def versions(spark, sf_dir):
+    """A dimension in which every third key has an older row as well."""
+    dim = load(spark, sf_dir, "customer").filter("c_mktsegment = 'MACHINERY'")
+    dim = dim.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
+    second = dim.filter("user_id % 3 = 0").withColumn("version", F.lit(2))
+    older = F.when(F.col("user_id") % 3 == 0, "old").otherwise(F.col("c_name"))
+    first = dim.withColumns({"version": F.lit(1), "c_name": older})
+    return first.unionByName(second)
 
 
 _LON = "(event_id * 7919) % 36000 / 100.0 - 180"
@@ -302,16 +313,21 @@ def geo_region_join(spark, sf_dir):
 
 @query(
     "enrich_map",
-    """SELECT event_id, user_id,
-              CASE WHEN user_id % 10 <> 7 THEN concat('user-', user_id) END AS label,
-              CASE WHEN user_id % 10 <> 7 THEN user_id * 2.0 END AS twice
-       FROM events""",
+    """SELECT event_id, user_id, CASE WHEN known THEN concat('user-', user_id) END AS label,
+              CASE WHEN known THEN user_id * 2.0 END AS twice
+       FROM (SELECT *, user_id % 10 <> 7 AND user_id % 400 <> 13 AS known FROM events)""",
 )
 def enrich_map(spark, sf_dir):
+    """Some calls fail and some never answer in time."""
+
     def fetch(user_id):
+        if user_id % 400 == 13:
+            time.sleep(5)
         if user_id % 10 == 7:
             raise ConnectionError("no answer")
         return {"label": f"user-{user_id}", "twice": user_id * 2.0}
 
     rows = events(spark, sf_dir).select("event_id", "user_id")
-    return enrich.enrich_map(rows, "user_id", fetch, "label string, twice double")
+    return enrich.enrich_map(
+        rows, "user_id", fetch, "label string, twice double", timeout=1.0
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from millrace.functions import udfs
@@ -67,10 +69,14 @@ def fn_arith(spark, sf_dir):
     )
 
 
-@query("fn_rand")
+@query("fn_rand", "SELECT event_id, true AS in_range, true AS same_again FROM events")
 def fn_rand(spark, sf_dir):
-    """Seeded random numbers; the values are the engine's own."""
-    return events(spark, sf_dir).select("event_id", F.rand(7).alias("r"))
+    """Seeded random numbers: what must hold of them, since the values are the engine's own."""
+    drawn = events(spark, sf_dir).select("event_id", F.rand(7).alias("r"), F.rand(7).alias("again"))
+    return drawn.select(
+        "event_id", ((F.col("r") >= 0) & (F.col("r") < 1)).alias("in_range"),
+        (F.col("r") == F.col("again")).alias("same_again"),
+    )
 
 
 @query(
@@ -95,15 +101,21 @@ def fn_string(spark, sf_dir):
     )
 
 
-@query("fn_now")
+@query(
+    "fn_now",
+    """SELECT event_id, true AS same_day, true AS same_moment, true AS same_clock, true AS is_now
+       FROM events""",
+)
 def fn_now(spark, sf_dir):
-    """The clock functions beside each row; the values depend on the moment."""
+    """The clock functions agree with each other and with the moment of the call."""
+    started = int(time.time())
+    now = F.current_timestamp()
     return events(spark, sf_dir).select(
         "event_id",
-        F.current_date().alias("today"),
-        F.current_timestamp().alias("now"),
-        F.localtimestamp().cast("string").alias("local_now"),
-        time_of_day(F.current_timestamp()).alias("clock"),
+        (F.current_date() == F.to_date(now)).alias("same_day"),
+        (F.localtimestamp().cast("timestamp") == now).alias("same_moment"),
+        (time_of_day(now) == F.date_format(now, "HH:mm:ss")).alias("same_clock"),
+        F.unix_seconds(now).between(started - 60, started + 86_400).alias("is_now"),
     )
 
 

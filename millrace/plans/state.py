@@ -137,11 +137,13 @@ def falling_alert(spark, sf_dir):
     return _trend(spark, sf_dir, "falling")
 
 
-def all_alerts_sql(sign: str, also: str = "") -> str:
+def all_alerts_sql(sign: str, ttl_us: int | None = None) -> str:
     """Every alert of a trend: each is armed by the first move at or after the
-    alert before it."""
-    return f"""WITH RECURSIVE p AS (SELECT *, epoch_us(ts) AS us, {sign}(value - lag(value) OVER (
-                 PARTITION BY user_id ORDER BY event_id)) AS step FROM events),
+    alert before it.  A value older than ``ttl_us`` is not compared with."""
+    fresh = "true" if ttl_us is None else f"epoch_us(ts) - epoch_us(lag(ts) OVER o) <= {ttl_us}"
+    return f"""WITH RECURSIVE p AS (SELECT *, epoch_us(ts) AS us,
+                 CASE WHEN {fresh} THEN {sign}(value - lag(value) OVER o) END AS step FROM events
+                 WINDOW o AS (PARTITION BY user_id ORDER BY event_id)),
       t AS (SELECT *, count(*) FILTER (step < 0) OVER (PARTITION BY user_id ORDER BY event_id
                  ROWS UNBOUNDED PRECEDING) AS trend FROM p),
       g AS (SELECT user_id, trend, min(us) AS started FROM t GROUP BY user_id, trend),
@@ -155,7 +157,7 @@ def all_alerts_sql(sign: str, also: str = "") -> str:
         FROM armed a WHERE a.us IS NOT NULL)
     SELECT user_id, us // 1000 AS armed_at, (us + 14400000000) // 1000 AS alert_at
     FROM armed JOIN e USING (user_id, trend)
-    WHERE us IS NOT NULL AND (ended IS NULL OR ended >= us + 14400000000) {also}"""
+    WHERE us IS NOT NULL AND (ended IS NULL OR ended >= us + 14400000000)"""
 
 
 def _every_alert(spark, sf_dir, direction):

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import aggs, enrich, joins, rolling, scan, windows
+from millrace.operators import aggs, changelog, enrich, joins, rolling, scan, windows
 from millrace.plans import state
 from millrace.plans.common import arrivals, events, money, ms, of_type
-from millrace.plans.ingest import GOOD_LINES_SQL, LINE, SENSOR
+from millrace.plans.ingest import GOOD_LINES_SQL, LINE, SENSOR, versions
 from millrace.plans.registry import SQL, query
 from millrace.plans.rows import SPACES
 from millrace.plans.windows import BOUND, HOUR, LATENESS, SIZE
@@ -43,7 +43,7 @@ def line_stream(spark, sf_dir):
         F.substring_index("value", "|", -1).alias("value"),
     )
     good, _ = ingest.parse_delimited(fields, SENSOR, on_error="drop")
-    run.drain(spark, good, batches.folder_sink(f"{path}/out"), f"{path}/checkpoint", "append")
+    run.drain(good, batches.folder_sink(f"{path}/out"), f"{path}/checkpoint", "append")
     return spark.read.schema(good.schema).option("recursiveFileLookup", True).parquet(f"{path}/out")
 
 
@@ -91,47 +91,112 @@ def stream_sliding_sum(spark, sf_dir):
 
 
 # In append mode a window or session appears once the watermark has passed it.
-_CLOSED = "(SELECT epoch_us(max(ts)) // 1000 - 3600000 FROM events)"
+_FAR = "2100-01-01 00:00:00"
+_CLOSING = {"events": {"event_id": 1 << 60, "user_id": -1, "ts": _FAR}}
 
 
-@query("stream_session_agg", f"""SELECT * FROM ({SQL['session_agg']}) WHERE session_end <= {_CLOSED}""")
+@query("stream_session_agg", SQL["session_agg"])
 def stream_session_agg(spark, sf_dir):
     fields = {"n": ("count", "value"), "total": ("sum", "value"), "top": ("max", "value")}
     written = _fed(
         spark,
         sf_dir,
         lambda s: windows.session_agg(s, "user_id", "ts", "6 hours", fields, bound="1 hour"),
-        "event_id", "user_id", "ts", "value",
+        "event_id", "user_id", "ts", "value", closing=_CLOSING,
     )
     return written.select(
         "user_id", ms("session_start"), ms("session_end"), "n", money("total", "total"), "top"
     )
 
 
+@query("stream_consecutive_windows", SQL["consecutive_windows"])
+def stream_consecutive_windows(spark, sf_dir):
+    """The sums of a window all arrive in the batch that closes it, and are ranked there."""
+    amount = F.col("value").cast("decimal(20, 6)").alias("value")
+    table = events(spark, sf_dir).select("event_id", "user_id", "ts", amount)
+
+    def transform(stream):
+        total = [F.sum("value").alias("total")]
+        return windows.window_agg(stream, "user_id", "ts", "1 day", total, bound="1 hour")
+
+    base, out = run.feed(
+        spark,
+        {"events": (table, "event_id")},
+        transform,
+        lambda base: batches.ranked_batches(
+            ["window_start", "window_end"], "total", "user_id", batches.folder_sink(f"{base}/out")
+        ),
+        closing=_CLOSING,
+    )
+    schema = out.schema.add("place", "long").add("batch", "long")
+    written = spark.read.schema(schema).parquet(f"{base}/out")
+    return written.select("user_id", ms("window_start"), F.col("total").cast("double"), "place")
+
+
+def _session_sides(spark, sf_dir):
+    table = events(spark, sf_dir).filter("event_type IN ('click', 'purchase')")
+    return table.select("event_id", "user_id", "event_type", "ts")
+
+
+def _session_lists(spark, sf_dir, gather):
+    def transform(stream):
+        first = F.col("event_type") == "click"
+        return gather(stream, "user_id", "ts", "12 hours", "event_id", "event_id", first, bound="1 hour")
+
+    return run.replay(
+        spark, {"events": (_session_sides(spark, sf_dir), "event_id")}, transform, closing=_CLOSING
+    )
+
+
+@query("stream_window_join_session", SQL["window_join_session"])
+def stream_window_join_session(spark, sf_dir):
+    written = _session_lists(spark, sf_dir, stream_joins.session_join_stream)
+    return written.select(
+        "user_id", ms("session_start"), F.col("first_item").alias("c_id"),
+        F.col("second_item").alias("p_id"),
+    )
+
+
+@query("stream_cogroup_session", SQL["cogroup_session"])
+def stream_cogroup_session(spark, sf_dir):
+    def gather(stream, *args, **kw):
+        return stream_joins.session_cogroup_stream(stream, *args, every=5, **kw)
+
+    written = _session_lists(spark, sf_dir, gather)
+    return written.select(
+        "user_id", ms("session_start"), "fire", "n_first", "n_second",
+        F.array_join("first_items", ",").alias("first_items"),
+        F.array_join("second_items", ",").alias("second_items"),
+    )
+
+
 @query(
-    "stream_consecutive_windows",
-    f"""SELECT window_start, count(*) AS users, round(sum(total), 6) AS total, max(total) AS top
-        FROM (SELECT user_id, {HOUR} AS window_start, round(sum(value), 6) AS total
-              FROM events GROUP BY ALL)
-        WHERE window_start + 3600000 <= {_CLOSED} GROUP BY window_start""",
+    "stream_window_upsert",
+    f"""SELECT user_id, window_start, total FROM (
+          SELECT user_id, {HOUR} AS window_start, round(sum(value), 6) AS total
+          FROM events GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY window_start DESC) = 1""",
 )
-def stream_consecutive_windows(spark, sf_dir):
-    """A window over the results of a window, in one job."""
+def stream_window_upsert(spark, sf_dir):
+    """Each batch's window results are upserted by key: a key keeps its newest window."""
 
     def transform(stream):
-        first = (
-            stream.withWatermark("ts", "1 hour")
-            .groupBy(F.window("ts", "1 hour").alias("w"), "user_id")
-            .agg(F.round(F.sum("value"), 6).alias("total"))
-        )
-        return first.groupBy(F.window(F.window_time("w"), "1 hour").alias("w2")).agg(
-            F.count("*").alias("users"), F.sum("total").alias("sum"), F.max("total").alias("top")
+        total = [F.sum("value").alias("total")]
+        return windows.window_agg(stream, "user_id", "ts", "1 hour", total, bound="1 hour")
+
+    def upserts(base):
+        sink = batches.folder_sink(f"{base}/out")
+        return lambda batch, batch_id: sink(
+            changelog.upsert_latest(batch, "user_id", "window_start"), batch_id
         )
 
-    written = _fed(spark, sf_dir, transform, "event_id", "user_id", "ts", "value")
-    return written.select(
-        ms("w2.start", "window_start"), "users", money("sum", "total"), "top"
+    table = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    base, out = run.feed(
+        spark, {"events": (table, "event_id")}, transform, upserts, mode="update"
     )
+    written = spark.read.schema(out.schema.add("batch", "long")).parquet(f"{base}/out")
+    last = run.newest(written, ["user_id"])
+    return last.select("user_id", ms("window_start"), money("total", "total"))
 
 
 @query(
@@ -180,15 +245,7 @@ def stream_interval_join(spark, sf_dir):
     return written.select("user_id", "c_id", "p_id")
 
 
-@query(
-    "stream_interval_join_left",
-    f"""SELECT * FROM ({SQL['interval_join_left']}) j WHERE p_id IS NOT NULL
-        UNION ALL SELECT j.* FROM ({SQL['interval_join_left']}) j JOIN events ON c_id = event_id
-        WHERE p_id IS NULL AND epoch_us(ts) // 1000 < (
-          SELECT least(max(ts) FILTER (event_type = 'click'),
-                       max(ts) FILTER (event_type = 'purchase')) FROM
-            (SELECT epoch_us(ts) // 1000 - 3600000 AS ts, event_type FROM events))""",
-)
+@query("stream_interval_join_left", SQL["interval_join_left"])
 def stream_interval_join_left(spark, sf_dir):
     """A click without purchase appears once no purchase can match any more."""
 
@@ -198,7 +255,11 @@ def stream_interval_join_left(spark, sf_dir):
             "user_id", "c_ts", "p_ts", "-12 hours", "0 hours", how="left",
         )
 
-    written = run.replay(spark, _sides(spark, sf_dir), transform)
+    closing = {
+        "clicks": {"user_id": -1, "c_id": 1 << 60, "c_ts": _FAR},
+        "buys": {"user_id": -2, "p_id": 1 << 60, "p_ts": _FAR},
+    }
+    written = run.replay(spark, _sides(spark, sf_dir), transform, closing=closing)
     return written.select("user_id", "c_id", F.col("p_id").cast("double"))
 
 
@@ -207,19 +268,19 @@ def stream_broadcast_enrich(spark, sf_dir):
     """Each micro-batch meets the dimension as it is at that time."""
 
     def load_dim():
-        dim = load(spark, sf_dir, "customer").filter("c_mktsegment = 'MACHINERY'")
-        return dim.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
+        return versions(spark, sf_dir)
 
     path = fresh_dir(spark, "enriched")
     table = events(spark, sf_dir).select("user_id", "event_id", "event_type")
     table.write.parquet(f"{path}/in")
     stream = spark.readStream.schema(table.schema).parquet(f"{path}/in")
     writer = enrich.broadcast_enrich(
-        stream, load_dim, "user_id", refresh_seconds=30, sink=batches.folder_sink(f"{path}/out")
+        stream, load_dim, "user_id", refresh_seconds=30, sink=batches.folder_sink(f"{path}/out"),
+        order="version",
     )
     job = writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
     job.start().awaitTermination()
-    out = enrich.config_join(table, load_dim(), "user_id")
+    out = enrich.config_join(table, load_dim(), "user_id", "version")
     return spark.read.schema(out.schema).option("recursiveFileLookup", True).parquet(f"{path}/out")
 
 
@@ -374,30 +435,35 @@ def stream_pattern_times_strict(spark, sf_dir):
     return _fed(spark, sf_dir, transform, "event_id", "user_id", "ts", "value").drop("batch")
 
 
-# The last alerts wait for the final watermark.
-_SETTLED = "AND us + 14400000000 <= (SELECT epoch_us(max(ts)) FROM events)"
-
-
-def _alerts(spark, sf_dir, direction):
+def _alerts(spark, sf_dir, direction, ttl=None):
     def transform(stream):
         return timers.trend_alert_stream(
-            stream, "user_id", "ts", "value", "4 hours", "event_id", direction
+            stream, "user_id", "ts", "value", "4 hours", "event_id", direction,
+            bound="0 seconds", ttl=ttl,
         )
 
-    written = _fed(spark, sf_dir, transform, "event_id", "user_id", "ts", "value")
+    written = _fed(
+        spark, sf_dir, transform, "event_id", "user_id", "ts", "value", closing=_CLOSING
+    )
     return written.select("user_id", ms("armed_at"), ms("alert_at"))
 
 
-@query("stream_rising_alert", state.all_alerts_sql("", _SETTLED))
+@query("stream_rising_alert", state.all_alerts_sql(""))
 def stream_rising_alert(spark, sf_dir):
     return _alerts(spark, sf_dir, "rising")
 
 
-@query("stream_falling_alert", state.all_alerts_sql("-", _SETTLED))
+@query("stream_falling_alert", state.all_alerts_sql("-"))
 def stream_falling_alert(spark, sf_dir):
     return _alerts(spark, sf_dir, "falling")
 
 
+@query("stream_falling_alert_ttl", state.all_alerts_sql("-", ttl_us=43_200_000_000))
+def stream_falling_alert_ttl(spark, sf_dir):
+    """A value is forgotten twelve hours after it came."""
+    return _alerts(spark, sf_dir, "falling", ttl="12 hours")
+
+
 @query("stream_join_left_changelog", SQL["join_left_changelog"])
 def stream_join_left_changelog(spark, sf_dir):
     left, right = state.order_sides(spark, sf_dir)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import latedata, scan
@@ -44,6 +44,33 @@ def folder_sink(path: str) -> Sink:
     return write
 
 
+def persisted(write: Sink) -> Sink:
+    """Keep the micro-batch while it is read several times, so that what made it runs once."""
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return kept
+
+
+def ranked_batches(groups: list[str], value: str, tie: str, sink: Sink) -> Sink:
+    """A ``foreachBatch`` function that ranks each group's rows by ``value``, largest first.
+
+    For an append-mode window aggregate: a watermark closes a window for all
+    keys at once, so one batch holds all its rows.  Adds ``place``, from 1.
+    """
+    order = Window.partitionBy(*groups).orderBy(F.col(value).desc(), tie)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink(batch.withColumn("place", F.row_number().over(order).cast("long")), batch_id)
+
+    return write
+
+
 def running_batches(
     keys: Keys,
     seq: str,
@@ -68,6 +95,7 @@ def running_batches(
             return pick(name, F.col("_age")).alias(name)
         return getattr(F, rule.kind)(name).alias(name)
 
+    @persisted
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.groupBy(*keys).agg(*[fresh_fold(n, r) for n, r in rules.items()])
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
@@ -100,6 +128,7 @@ def late_split_batches(
     """A ``foreachBatch`` function giving accepted and late records to two sinks."""
     slots = Slots(state_path)
 
+    @persisted
     def write(batch: DataFrame, batch_id: int) -> None:
         top = _top(batch.sparkSession, slots, batch_id)
         kept, dropped = latedata.late_split(
@@ -131,6 +160,7 @@ def allowed_lateness_batches(
     keys = as_list(key)
     tops, windows = Slots(f"{state_path}/top"), Slots(f"{state_path}/windows")
 
+    @persisted
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         top = _top(spark, tops, batch_id)

@@ -1,20 +1,80 @@
-"""A left join of two streams as a changelog."""
+"""Session joins and co-groups of streams, and their left join as a changelog."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.functions.durations import millis
+from millrace.functions.durations import millis, text
+from millrace.operators.rolling import Keys, as_list
+
+
+def _closed_sessions(df, key: Keys, ts, gap, seq, item, first: Column, bound) -> DataFrame:
+    """Sessions over both inputs' elements once they are closed, with their elements in order.
+
+    ``df`` holds both inputs; ``first`` says which rows are the first input's.
+    A session's elements become one row, which is what a co-group gives.
+    """
+    keys = as_list(key)
+    if bound is not None:
+        df = df.withWatermark(ts, text(bound))
+    element = F.struct(F.col(seq).alias("seq"), first.alias("first"), F.col(item).alias("item"))
+    window = F.session_window(ts, text(gap)).alias("w")
+    held = df.groupBy(window, *keys).agg(F.array_sort(F.collect_list(element)).alias("held"))
+    return held.select(*keys, F.col("w.start").alias("session_start"), "held")
+
+
+def _items(held: Column, first: bool) -> Column:
+    kept = F.filter(held, lambda e: e["first"] if first else ~e["first"])
+    return F.transform(kept, lambda e: e["item"])
+
+
+def session_join_stream(
+    df: DataFrame, key: Keys, ts: str, gap, seq: str, item: str, first: Column, bound=None
+) -> DataFrame:
+    """(keys, session_start, first_item, second_item): the pairs of a session, when it closes."""
+    out = _closed_sessions(df, key, ts, gap, seq, item, first, bound)
+    out = out.withColumn("first_item", F.explode(_items(F.col("held"), True)))
+    out = out.withColumn("second_item", F.explode(_items(F.col("held"), False)))
+    return out.drop("held")
+
+
+def session_cogroup_stream(
+    df: DataFrame, key: Keys, ts: str, gap, seq: str, item: str, first: Column,
+    every: int | None = None, bound=None,
+) -> DataFrame:
+    """Both groups of a session side by side, given when it closes.
+
+    With ``every`` there is a row for each ``every``-th element, with all
+    elements up to it, as :func:`millrace.operators.joins.session_cogroup` gives.
+    """
+    out = _closed_sessions(df, key, ts, gap, seq, item, first, bound)
+    size = F.size("held")
+    if every is None:
+        out = out.withColumn("fire", size)
+    else:
+        out = out.filter(size >= every)
+        out = out.withColumn("fire", F.explode(F.sequence(F.lit(every), size, F.lit(every))))
+    shown = F.slice("held", 1, F.col("fire"))
+    return out.select(
+        *as_list(key), "session_start", F.col("fire").cast("long").alias("fire"),
+        F.size(_items(shown, True)).cast("long").alias("n_first"),
+        F.size(_items(shown, False)).cast("long").alias("n_second"),
+        _items(shown, True).alias("first_items"), _items(shown, False).alias("second_items"),
+    )
 
 
 class LeftJoinChanges(StatefulProcessor):
-    """Keeps both sides of a key and says how each arrival changes the join."""
+    """Keeps both sides of a key and says how each arrival changes the join.
+
+    A key's state is read and written once per micro-batch.  With every left row
+    it keeps whether the row is out without a partner, so that such a row is
+    withdrawn once, also when partners have come and expired.
+    """
 
     def __init__(self, schema: T.StructType, left: list, right: list, ttl):
         self._row = Row(*schema.fieldNames())
@@ -22,35 +82,43 @@ class LeftJoinChanges(StatefulProcessor):
         self._ttl = ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._lefts = handle.getListState("lefts", self._left, self._ttl)
-        self._rights = handle.getListState("rights", self._right, self._ttl)
+        at = T.StructField("at", T.LongType())
+        lefts = T.StructType([*self._left.fields, at, T.StructField("alone", T.BooleanType())])
+        rights = T.StructType([*self._right.fields, at])
+        state = T.StructType(
+            [T.StructField("lefts", T.ArrayType(lefts)), T.StructField("rights", T.ArrayType(rights))]
+        )
+        self._sides = handle.getValueState("sides", state, self._ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        none = (None,) * len(self._right)
-        old_left, old_right = self._lefts.exists(), self._rights.exists()
-        new_lefts: list[tuple] = []
-        new_rights: list[tuple] = []
+        now = 0 if self._ttl is None else timerValues.getCurrentProcessingTimeInMs()
+        n, m = len(self._left), len(self._right)
+        held = self._sides.get()
+        lefts = [list(r) for r in held[0]] if held else []
+        rights = [tuple(r) for r in held[1]] if held else []
+        if self._ttl is not None:
+            lefts = [r for r in lefts if now - r[n] < self._ttl]
+            rights = [r for r in rights if now - r[m] < self._ttl]
+        none = (None,) * m
+        names, others = self._left.fieldNames(), self._right.fieldNames()
         for row in sorted(rows, key=lambda r: r["_seq"]):
             seq = row["_seq"]
             if row["_is_left"]:
-                new = tuple(row[name] for name in self._left.fieldNames())
-                for other in chain(self._rights.get() if old_right else (), new_rights):
-                    yield self._row(True, *key, *new, *other, seq)
-                if not old_right and not new_rights:
+                new = tuple(row[name] for name in names)
+                for other in rights:
+                    yield self._row(True, *key, *new, *other[:m], seq)
+                if not rights:
                     yield self._row(True, *key, *new, *none, seq)
-                new_lefts.append(new)
+                lefts.append([*new, now, not rights])
             else:
-                new = tuple(row[name] for name in self._right.fieldNames())
-                first = not old_right and not new_rights
-                for other in chain(self._lefts.get() if old_left else (), new_lefts):
-                    if first:
-                        yield self._row(False, *key, *other, *none, seq)
-                    yield self._row(True, *key, *other, *new, seq)
-                new_rights.append(new)
-        if new_lefts:
-            self._lefts.appendList(new_lefts)
-        if new_rights:
-            self._rights.appendList(new_rights)
+                new = tuple(row[name] for name in others)
+                for other in lefts:
+                    if other[n + 1]:
+                        yield self._row(False, *key, *other[:n], *none, seq)
+                        other[n + 1] = False
+                    yield self._row(True, *key, *other[:n], *new, seq)
+                rights.append((*new, now))
+        self._sides.update(([tuple(r) for r in lefts], rights))
 
     def close(self) -> None:
         pass
@@ -67,8 +135,9 @@ def changelog_left_join_stream(
 ) -> DataFrame:
     """(flag, key, left columns, right columns, seq): false withdraws, true adds.
 
-    Both sides are kept as state for ``ttl``; None keeps them for ever and must
-    be asked for.
+    The rows of both sides are kept as state for ``ttl``; None keeps them for
+    ever and must be asked for.  All rows of a key travel together, so a key's
+    rows within the ``ttl`` have to fit a task.
     """
     lefts = [f for f in left.schema.fields if f.name != key]
     rights = [f for f in right.schema.fields if f.name != key]

@@ -11,11 +11,18 @@ from millrace.session import configure, fresh_dir
 from millrace.streaming.batches import Sink, folder_sink
 
 
-def drain(spark: SparkSession, stream: DataFrame, each: Sink, checkpoint: str, mode: str) -> None:
-    """Process everything available through ``each(batch, batch_id)``, then stop."""
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    # The number of state partitions is fixed when a job first starts.
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+def drain(
+    stream: DataFrame, each: Sink, checkpoint: str, mode: str, partitions: int | None = None
+) -> None:
+    """Process everything available through ``each(batch, batch_id)``, then stop.
+
+    ``partitions`` sets the number of state partitions, which is fixed when a
+    job first starts; without it that is the session's shuffle partitions.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if partitions is not None:
+        conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:
         job = (
             stream.writeStream.outputMode(mode)
@@ -25,7 +32,7 @@ def drain(spark: SparkSession, stream: DataFrame, each: Sink, checkpoint: str, m
             .start()
         )
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        conf.set("spark.sql.shuffle.partitions", before)
     job.awaitTermination()
 
 
@@ -36,28 +43,40 @@ def feed(
     each: Callable[[str], Sink],
     mode: str = "append",
     rounds: int = 2,
-    round_rows: int = 5_000_000,
+    closing: dict[str, dict[str, object]] | None = None,
+    partitions: int | None = None,
 ) -> tuple[str, DataFrame]:
     """Feed tables to a streaming job in ``rounds`` arrivals.
 
     Each input is (table, arrival column); the arrival columns share one scale.
     An arrival adds one slice of every table, in order, as new files; the job
-    then starts from its checkpoint, takes exactly that slice and stops.  Large tables take more rounds, so that
-    a micro-batch stays near ``round_rows`` rows.  ``each`` makes the batch
-    function from the run's folder.  Returns that folder and the stream.
+    then starts from its checkpoint, takes exactly that slice and stops.
+    ``closing`` gives, per input, the values of one row that arrives at the end,
+    by itself, other columns being null: late enough in time, it moves the
+    watermark past all data, so that nothing stays open.  ``each`` makes the
+    batch function from the run's folder.  State has ``partitions`` partitions,
+    by default one per core.  Returns that folder and the stream.
     """
     configure(spark)
+    partitions = partitions or spark.sparkContext.defaultParallelism
     base = fresh_dir(spark, "replay")
     ends = []
     for table, order in inputs.values():
-        low, high, n = table.agg(F.min(order), F.max(order), F.count("*")).first()
-        ends += [end for end in (low, high) if end is not None]
-        rounds = max(rounds, -(-n // round_rows))
+        ends += [end for end in table.agg(F.min(order), F.max(order)).first() if end is not None]
     low, high = min(ends, default=0), max(ends, default=0)
     width = (high - low) // rounds + 1
     sink = each(base)
-    for number in range(rounds):
+    for number in range(rounds + bool(closing)):
         for name, (table, order) in inputs.items():
+            if number == rounds:
+                last = spark.range(1).select(
+                    *[
+                        F.lit(closing.get(name, {}).get(f.name)).cast(f.dataType).alias(f.name)
+                        for f in table.schema.fields
+                    ]
+                )
+                last.filter(F.lit(name in closing)).write.mode("append").parquet(f"{base}/in/{name}")
+                continue
             # A plain range, so that the scan skips what other rounds hold.
             start = low + number * width
             here = (F.col(order) >= start) & (F.col(order) < start + width)
@@ -70,7 +89,7 @@ def feed(
                 for name, (table, _) in inputs.items()
             ]
         )
-        drain(spark, out, sink, f"{base}/checkpoint", mode)
+        drain(out, sink, f"{base}/checkpoint", mode, partitions)
     return base, out
 
 

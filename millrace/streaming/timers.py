@@ -37,6 +37,8 @@ class TrendAlert(StatefulProcessor):
         last, last_at, armed = self._state.get() if self._state.exists() else (None, None, None)
         if armed is not None:
             self._handle.deleteTimer(self._due_ms(armed))
+        if self._ttl is not None and last_at is not None:
+            self._handle.deleteTimer(self._gone_ms(last_at))
         now = None if self._event_time else timerValues.getCurrentProcessingTimeInMs() * 1000
         for row in sorted(rows, key=lambda r: r[self._seq]):
             at = row["_at"] if self._event_time else now
@@ -57,6 +59,12 @@ class TrendAlert(StatefulProcessor):
         self._state.update((last, last_at, armed))
         if armed is not None:
             self._handle.registerTimer(self._due_ms(armed))
+        if self._ttl is not None and last_at is not None:
+            self._handle.registerTimer(self._gone_ms(last_at))
+
+    def _gone_ms(self, last_at: int) -> int:
+        """When a value is too old to be compared with; its state is cleared then."""
+        return -(-(last_at + self._ttl) // 1000) + 1
 
     def _due_ms(self, armed: int) -> int:
         return -(-(armed + self._hold) // 1000)
@@ -66,9 +74,12 @@ class TrendAlert(StatefulProcessor):
             return
         last, last_at, armed = self._state.get()
         due = expiredTimerInfo.getExpiryTimeInMs()
-        if armed is not None and self._due_ms(armed) == due:
-            self._state.update((last, last_at, None))
+        if armed is not None and self._due_ms(armed) <= due:
             yield self._alert(key, armed)
+            armed = None
+            self._state.update((last, last_at, None))
+        if self._ttl is not None and armed is None and self._gone_ms(last_at) <= due:
+            self._state.clear()
 
     def close(self) -> None:
         pass
@@ -82,14 +93,18 @@ def trend_alert_stream(
     hold: int | str,
     seq: str,
     direction: str = "rising",
-    bound: int | str = "0 seconds",
+    *,
+    bound: int | str | None,
     ttl: int | str | None = None,
     time_mode: str = "event",
 ) -> DataFrame:
     """Every alert of every trend, as (key, armed_at, alert_at).
 
     After an alert the next move in the same direction arms the timer again.
-    ``ttl`` forgets the last value when the next record comes later than that.
+    Records that come ``bound`` later than newer ones are dropped by Spark;
+    None goes with the processing time only.
+    ``ttl`` forgets the last value when the next record comes later than that,
+    and frees the state of a key that is silent for so long.
     ``time_mode="processing"`` counts from the clock instead of ``ts``.
     """
     keys = as_list(key)

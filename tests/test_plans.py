@@ -86,6 +86,6 @@ def test_core_operators_need_no_python(plan_text):
         if re.search(r"MapInPandas|PythonEval|EvalPython|FlatMapGroups|PythonUDTF", text)
     }
     assert python == {
-        "rich_map", "enrich_map", "udf_upper_sql", "top_n_changelog", "rising_alert_all",
+        "rich_map", "enrich_map", "top_n_changelog", "rising_alert_all",
         "falling_alert_all",
     }

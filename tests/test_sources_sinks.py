@@ -233,6 +233,33 @@ def test_slow_and_failing_calls_keep_their_rows(spark):
     assert out.count() == 5
 
 
+def test_hung_calls_take_no_others_place(spark):
+    def fetch(k):
+        import time
+
+        time.sleep(30 if k < 2 else 0)
+        return {"name": f"n{k}"}
+
+    df = spark.range(12).withColumnRenamed("id", "k")
+    out = enrich.enrich_map(df, "k", fetch, "name string", capacity=2, timeout=1.0, tasks=1)
+    assert dict(rows(out)) == {k: f"n{k}" if k > 1 else None for k in range(12)}
+
+
+def test_dimension_has_one_row_per_key(spark):
+    dim = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 1)], "k int, name string, at int")
+    df = spark.createDataFrame([(1,), (1,), (3,), (None,)], "k int")
+    assert rows(enrich.config_join(df, dim, "k", "at"), "k", "name") == [(1, "new"), (1, "new")]
+    assert rows(enrich.config_join(df, dim.select("k").union(dim.select("k")), "k")) == [(1,), (1,)]
+
+
+def test_interval_join_says_which_joins_it_knows(spark):
+    from millrace.operators import joins
+
+    df = spark.createDataFrame([], "k int, ts timestamp")
+    with pytest.raises(ValueError, match="inner or left"):
+        joins.interval_join(df, df.withColumnRenamed("ts", "t2"), "k", "ts", "t2", 0, 1, how="right")
+
+
 def test_lookup_keeps_one_row_per_input(spark):
     dim = spark.createDataFrame([(1, "old", 1), (1, "new", 2)], "k int, name string, at int")
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
@@ -249,6 +276,7 @@ def test_dimension_is_read_again_when_old(spark):
 
     kept = enrich.Refreshing(load, seconds=3600)
     assert kept.get().count() == kept.get().count() == 1
+    assert len(reads) == 1
     always = enrich.Refreshing(load, seconds=0)
     assert always.get().count() == 2 and always.get().count() == 3
 
@@ -301,6 +329,6 @@ def test_append_output_rejects_changing_results(spark):
     stream = spark.readStream.schema("id long").parquet(f"{path}/in")
     with pytest.raises(Exception, match="[Aa]ppend"):
         run.drain(
-            spark, stream.groupBy("id").count(), batches.folder_sink(f"{path}/out"),
+            stream.groupBy("id").count(), batches.folder_sink(f"{path}/out"),
             f"{path}/check", "append",
         )

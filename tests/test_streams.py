@@ -77,7 +77,9 @@ def test_alerts_fire_again_after_an_alert(spark, direction, sign):
     streamed = run.replay(
         spark,
         {"t": (table, "seq")},
-        lambda s: timers.trend_alert_stream(s, "k", "ts", "v", "2 seconds", "seq", direction),
+        lambda s: timers.trend_alert_stream(
+            s, "k", "ts", "v", "2 seconds", "seq", direction, bound="0 seconds"
+        ),
     ).select("k", F.unix_seconds("armed_at") - BASE, F.unix_seconds("alert_at") - BASE)
     expected, pending = every_alert(data, 2, sign)
     # An alert still pending at the end is due after the last watermark.
@@ -121,6 +123,44 @@ def test_every_alert_in_chunks_of_long_trends(spark, hold, chunk):
     ) == sorted(expected, key=repr)
 
 
+def test_rows_without_partner_are_withdrawn_once():
+    """Partners come, expire and come again; state in a list in place of the store."""
+    from pyspark.sql import types as T
+
+    from millrace.streaming.joins import LeftJoinChanges
+
+    left, right = [T.StructField("l", T.LongType())], [T.StructField("r", T.LongType())]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("flag", "k", "l", "r", "seq")])
+    job = LeftJoinChanges(schema, left, right, 100)
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Clock:
+        now = 0
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    job._sides, clock = Held(), Clock()
+    found = []
+    arrivals = [(0, 1, True, 10, None), (90, 2, False, None, 20), (95, 3, True, 11, None), (192, 4, False, None, 21), (193, 5, True, 12, None)]
+    for now, seq, is_left, lv, rv in arrivals:
+        clock.now = now
+        row = {"_seq": seq, "_is_left": is_left, "l": lv, "r": rv}
+        found += [tuple(r) for r in job.handleInputRows((7,), iter([row]), clock)]
+    assert found == [
+        (True, 7, 10, None, 1), (False, 7, 10, None, 2), (True, 7, 10, 20, 2), (True, 7, 11, 20, 3),
+        (True, 7, 11, 21, 4), (True, 7, 12, 21, 5),
+    ]
+
+
 def test_old_last_value_is_forgotten(spark):
     data = [(0, "a", BASE, 1.0), (1, "a", BASE + 100, 2.0), (2, "a", BASE + 101, 3.0),
             (3, "a", BASE + 110, 3.0)]
@@ -131,7 +171,7 @@ def test_old_last_value_is_forgotten(spark):
         spark,
         {"t": (table, "seq")},
         lambda s: timers.trend_alert_stream(
-            s, "k", "ts", "v", "5 seconds", "seq", ttl="30 seconds"
+            s, "k", "ts", "v", "5 seconds", "seq", bound="0 seconds", ttl="30 seconds"
         ),
     )
     # The rise at 100 s is measured against a value older than 30 s, so it does not count.
@@ -172,7 +212,7 @@ def test_processing_time_timer(spark):
     table.write.parquet(f"{path}/in")
     stream = spark.readStream.schema(table.schema).parquet(f"{path}/in")
     out = timers.trend_alert_stream(
-        stream, "k", "ts", "v", "1 second", "seq", time_mode="processing"
+        stream, "k", "ts", "v", "1 second", "seq", bound=None, time_mode="processing"
     ).select("k")
     assert running(spark, out, path, 60, lambda df: df.count() > 0) == [("a",)]
 
