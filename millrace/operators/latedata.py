@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import scan
 from millrace.operators.rolling import Keys, as_list
+from millrace.session import fresh_dir
 
 
 def window_start(ts: Column, size: int, offset: int = 0) -> Column:
@@ -105,7 +106,11 @@ def lateness_step(
     that earlier records left open.
     """
     groups = [*keys, "window_end"]
-    judged = _judged(df, ts, seq, size, bound, lateness, seen=seen, **kw)
+    # The watermark is formed once and written; four results are drawn from it.
+    judged = _judged(df.select(*keys, ts, seq, value), ts, seq, size, bound, lateness, seen=seen, **kw)
+    path = fresh_dir(df.sparkSession, "watermarked")
+    judged.write.parquet(path)
+    judged = df.sparkSession.read.schema(judged.schema).parquet(path)
     accepted = judged.filter(~F.col("_late"))
 
     def totals(rows: DataFrame) -> DataFrame:

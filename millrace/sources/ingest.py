@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,12 +79,20 @@ def parse_json(
     schema: T.StructType,
     on_error: str = "drop",
     value: str = "value",
+    observation: Observation | str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Parse JSON objects against a schema; malformed text is dropped or split off."""
+    """Parse JSON objects against a schema; malformed text is dropped or split off.
+
+    ``observation`` (on a stream: its name) receives the numbers of all records,
+    ``records``, and of malformed ones, ``bad``, as the good rows flow.
+    """
     corrupt = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     parsed = df.withColumn("_rec", F.from_json(F.col(value), corrupt, options))
     bad = F.col("_rec").isNull() | F.col("_rec._corrupt").isNotNull()
+    if observation is not None:
+        counts = F.count("*").alias("records"), F.count(F.when(bad, 1)).alias("bad")
+        parsed = parsed.observe(observation, *counts)
     good, rejected = _route(parsed, bad, on_error, "malformed json", value)
     names = [c for c in good.columns if c not in ("_rec", value)]
     return good.select(*names, *[F.col("_rec")[f.name].alias(f.name) for f in schema.fields]), rejected

@@ -89,3 +89,15 @@ def test_core_operators_need_no_python(plan_text):
         "rich_map", "enrich_map", "top_n_changelog", "rising_alert_all",
         "falling_alert_all",
     }
+
+
+def test_the_watermark_is_formed_once(spark, monkeypatch):
+    """The input is read for the watermark only, whichever way it is cut."""
+    from pyspark.sql import functions as F
+
+    from millrace.operators import latedata, scan
+
+    data = spark.range(50).selectExpr("id AS seq", "'k' AS k", "id * 10 AS ts", "1.0 AS v")
+    fired = latedata.allowed_lateness(data, "k", "ts", "seq", "v", 100, 20, chunk=scan.Cut(8))
+    assert "Range (" not in plan_of(fired)
+    assert fired.agg(F.sum("n")).first()[0] == 40

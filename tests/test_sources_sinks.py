@@ -51,6 +51,16 @@ def test_separator_is_plain_text(spark):
     assert rows(good) == [("a", 1, 2.0)]
 
 
+def test_malformed_json_is_counted(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([('{"k": 1}',), ("{",), ('{"k": 2}',)], "value string")
+    watch = Observation("json")
+    good, _ = ingest.parse_json(df, T.StructType([T.StructField("k", T.LongType())]), observation=watch)
+    assert rows(good) == [(1,), (2,)]
+    assert watch.get == {"records": 3, "bad": 1}
+
+
 def test_json_policies(spark):
     df = spark.createDataFrame(
         [('{"k": 1}',), ('{"k"',), (None,), ('{"other": 2}',)], "value string"
