@@ -44,11 +44,15 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def only_kept(docs: DataFrame, kept_uids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose row number is in ``kept_uids.uid``; the columns stay as they are."""
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose row number is not in ``dropped.uid``; the columns stay as they are.
+
+    The dropped numbers are written first, so that Spark knows their size when
+    it chooses between broadcasting them and dealing out both sides.
+    """
     name = "_millrace_uid"
     while name in docs.columns:
         name += "_"
+    gone = settle(dropped.select(F.col("uid").alias(name)), "dropped")
     marked = docs.withColumn(name, F.monotonically_increasing_id())
-    kept = kept_uids.select(F.col("uid").alias(name))
-    return marked.join(kept, name, "left_semi").drop(name)
+    return marked.join(gone, name, "left_anti").drop(name)
