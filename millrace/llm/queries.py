@@ -47,7 +47,32 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).drop("uid")
 
 
-@query("op3_near_duplicates")
+NEAR_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
+    THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT b, root FROM reach JOIN ways ON node = a),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, root AS component_id, d.doc_id = root AS kept
+FROM documents d JOIN roots ON d.doc_id = node LEFT JOIN sizes s ON s.doc_id = d.doc_id"""
+
+
+@query("op3_near_duplicates", NEAR_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near-duplicates."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid", "chosen")
