@@ -20,7 +20,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import numbered
+from millrace.llm.common import numbered, tidy
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -94,6 +94,7 @@ ENCODED = "uid long, doc_id long, piece_no long, ids array<int>"
 
 
 def _encoder(path: str):
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoding(path)
         for batch in batches:

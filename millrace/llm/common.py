@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +61,19 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     gone = settle(dropped.select(F.col("uid").alias(name)), "dropped")
     marked = docs.withColumn(name, F.monotonically_increasing_id())
     return marked.join(gone, name, "left_anti").drop(name)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """Give freed memory back to the system at a task's end: Spark uses the worker again."""
+
+    @functools.wraps(work)
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return done

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import numbered, settle
+from millrace.llm.common import numbered, settle, tidy
 from millrace.llm.words import U64, raw, runs
 
 MIN_CHUNK, AVERAGE_BITS, MAX_CHUNK = 1024, 12, 65_536
@@ -56,6 +56,7 @@ def chunk_ends(length: int, candidates: list[int]) -> list[int]:
     return ends
 
 
+@tidy
 def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, at = raw(batch["text"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import numbered, settle
+from millrace.llm.common import numbered, settle, tidy
 from millrace.llm.words import raw, runs
 
 #: Hash buckets of trigrams, and labelled texts of a language that are learned from (expected number).
@@ -228,6 +228,7 @@ def _has_letter(texts: list[str | None]) -> np.ndarray:
 
 
 def _predictor(model: Model, text_col: str, names: list[str]):
+    @tidy
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch[text_col]

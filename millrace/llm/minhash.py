@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import sketch
-from millrace.llm.common import numbered, settle
+from millrace.llm.common import numbered, settle, tidy
 from millrace.llm.graph import components
 from millrace.llm.words import U64, distinct, mix, salted, shingles
 
@@ -47,6 +47,7 @@ def _lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
 
 
 def _sketcher(size: int, dims: int, rows: int):
+    @tidy
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, found, at in shingles(batch["text"], size):
@@ -73,6 +74,7 @@ def _sketcher(size: int, dims: int, rows: int):
 
 
 def _sets(size: int):
+    @tidy
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, found, at in shingles(batch["text"], size):

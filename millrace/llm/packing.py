@@ -23,13 +23,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import numbered, settle
+from millrace.llm.common import numbered, settle, tidy
 
 SEQUENCE = 4096
 END = 2
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 2_000_000, 48
+REMEMBERED, LONGEST = 1_500_000, 48
 
 
 class WordTokens:
@@ -55,9 +55,13 @@ class WordTokens:
         """The ids of distinct words, one after the other, and how many each has."""
         known = pc.index_in(kinds, value_set=self.words)
         new = kinds.filter(known.is_null())
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
-        sizes = np.fromiter(map(len, made), np.int64, len(made))
-        ids = np.fromiter(itertools.chain.from_iterable(made), np.uint32, int(sizes.sum()))
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for i in range(0, len(new), 8192):
+            some = new.slice(i, 8192).to_pylist()
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, made), np.int64, len(made)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(made), np.uint32, int(sizes[-1].sum())))
+        sizes, ids = np.concatenate(sizes), np.concatenate(ids)
         place = known.fill_null(-1).to_numpy().astype(np.int64)
         place[place < 0] = len(self.words) + np.arange(len(new))
         every = np.concatenate([self.sizes, sizes])
@@ -86,8 +90,13 @@ def _gathered(pool: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.nda
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     each = sizes[wanted]
     ends = np.cumsum(each)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.arange(total) + np.repeat(first[wanted] - (ends - each), each)]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, pool.dtype)
+    for i in range(0, len(wanted), 1 << 17):
+        part = slice(i, i + (1 << 17))
+        stop, sizes_ = ends[part], each[part]
+        start = int(stop[0] - sizes_[0])
+        out[start : stop[-1]] = pool[np.arange(start, stop[-1]) + np.repeat(first[wanted[part]] - (stop - sizes_), sizes_)]
+    return out
 
 
 _TOKENS: dict[str, WordTokens] = {}
@@ -96,6 +105,7 @@ PIECES = "uid long, doc_id long, start long, length long, ids_crc32 long, doc_to
 
 
 def _cutter(path: str, sequence: int, end: int):
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _TOKENS:
             _TOKENS[path] = WordTokens(path)
