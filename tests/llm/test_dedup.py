@@ -154,6 +154,21 @@ def test_repeated_passages(spark, clash):
     assert sum(t is None for _, t in left) == sum(r[1] is None for r in rows)
 
 
+@pytest.mark.parametrize("longer_first", [False, True])
+@pytest.mark.parametrize("between", [2, 40])
+def test_a_passage_is_found_beside_a_longer_variant(longer_first, between):
+    """The earlier text has the passage, and a wider variant of it that is not similar enough."""
+    passage, other = np.arange(46), np.arange(1000, 2000)
+    variant = np.concatenate([passage[:14], other[:9], passage[18:28], other[9:18], passage[32:]])
+    parts = [variant, other[100 : 100 + between], passage]
+    b = np.concatenate(parts if longer_first else parts[::-1])
+    a = np.concatenate([other[500:530], passage, other[600:630]])
+    got = substring.passages(a, b, np.ones(len(a), bool), np.ones(len(b), bool), 46, 75)
+    (start, end, there, stop, alike), = got
+    assert (start, end) == (30, 76) and alike == 1.0
+    assert b[there:stop].tolist() == passage.tolist()
+
+
 def test_compact_windows_are_the_trees_intervals():
     draw = np.random.default_rng(3)
     hashes = draw.integers(0, 2**63, 500, dtype=np.uint64)
