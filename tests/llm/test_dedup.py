@@ -169,6 +169,29 @@ def test_a_passage_is_found_beside_a_longer_variant(longer_first, between):
     assert b[there:stop].tolist() == passage.tolist()
 
 
+@pytest.mark.parametrize("few", [substring.FEW, 2])
+def test_passages_that_no_first_document_has(spark, monkeypatch, few):
+    """Variants below the threshold are read before equal passages, and are first in their groups."""
+    monkeypatch.setattr(substring.hidden_pairs, "__defaults__", (few, 400))
+    rows = []
+    for f in range(30):
+        base = prose(7000 + f, 60).split()
+        for v in range(10):  # six of the ten tenths, others in every variant
+            draw = np.random.default_rng(100 * f + v)
+            held = set(draw.permutation(10)[:7].tolist())
+            text = [w if i // 6 in held else f"y{f}_{v}_{i}" for i, w in enumerate(base)]
+            rows.append((len(rows), prose(8000 + 100 * f + v, 80) + " " + " ".join(text), None, None, None))
+        for v in range(3):
+            rows.append((len(rows), prose(20_000 + 10 * f + v, 80) + " " + " ".join(base), None, None, None))
+    df = frame(spark, rows).coalesce(1)
+    covered = defaultdict(set)
+    for r in substring.repeated_passages(df).collect():
+        covered[r.uid].update(range(r.start_word, r.end_word))
+    need = brute_repeats(rows)
+    assert len(need) == 60
+    assert all(words <= covered[k] for k, words in need.items())
+
+
 def test_compact_windows_are_the_trees_intervals():
     draw = np.random.default_rng(3)
     hashes = draw.integers(0, 2**63, 500, dtype=np.uint64)
