@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import settle
+from millrace.llm.common import prepared, settle
 from millrace.llm.words import U64, salted
 
 TABLES, FUNCTIONS, WIDTH, PROBES = 10, 4, 1.0, 40
@@ -167,6 +167,7 @@ def nearest(
     """
     if functions > 8:
         raise ValueError("probe sequences are enumerated for at most 8 functions a table")
+    prepared(vectors.sparkSession)
     x = F.col(f"`{vector_col}`").cast("array<double>")
     rows = vectors.select(
         F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").cast("long").alias("vec_id"), x.alias("vector")

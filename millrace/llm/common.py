@@ -14,10 +14,18 @@ from millrace.session import fresh_dir
 
 #: Bytes of an Arrow batch handed to Python; bounds a worker's memory whatever the texts' lengths.
 BATCH_BYTES = 8 << 20
+SPLITS = "spark.sql.files.minPartitionNum"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Set what the operators rely on: Arrow batches bounded by bytes, UTC."""
+    """Set what the operators rely on: Arrow batches bounded by bytes, UTC, and one size of file splits.
+
+    Row numbers depend on where files are split, and Spark derives that from
+    the cores registered when it plans a reading.  The first call fixes the
+    number for the session, so that executors that come or go move nothing.
+    """
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -33,6 +41,7 @@ def numbered(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame
     Taken before any filter, so that the number only depends on the place of
     the row in the files.  Ids may repeat or be null; ``uid`` does neither.
     """
+    prepared(df.sparkSession)
     return df.select(
         F.monotonically_increasing_id().alias("uid"),
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import settle
+from millrace.llm.common import prepared, settle
 from millrace.llm.words import raw, runs, word_hashes, word_spans
 
 THRESHOLD = 0.7
@@ -235,6 +235,7 @@ def scan_files(
     directory.  ``/`` parts a path; the directory of a path without one is ''.
     Repeated paths are files of their own; other columns are ignored.
     """
+    prepared(files.sparkSession)
     rows = files.select(
         F.monotonically_increasing_id().alias("uid"),
         F.col(f"`{path_col}`").cast("string").alias("path"),

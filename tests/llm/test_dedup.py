@@ -8,6 +8,7 @@ import pytest
 
 from millrace.llm import exact, minhash, sketch, substring
 from millrace.llm import words as W
+from millrace.llm.common import numbered, without
 from millrace.llm.graph import components
 from llm_cases import awkward, brute_components, changed, frame, prose, shingle_set, words
 
@@ -211,6 +212,24 @@ def test_compact_windows_are_the_trees_intervals():
     assert got == expected
 
 
+def test_row_numbers_stay_when_executors_come_or_go(spark, tmp_path):
+    """Cores registered at planning give Spark its default number of splits."""
+    path, cores = str(tmp_path / "docs"), "spark.sql.leafNodeDefaultParallelism"
+    rows = [(i, prose(i, 400), None, None, None) for i in range(6000)]
+    frame(spark, rows).coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(path)
+    session = spark.newSession()
+    numbers, dropped = [], None
+    for n in (16, 2):
+        session.conf.set(cores, n)
+        docs = numbered(session.read.parquet(path), "doc_id", "text")
+        numbers.append({r.doc_id: r.uid for r in docs.select("doc_id", "uid").collect()})
+        if dropped is None:
+            dropped = session.createDataFrame([(u,) for d, u in numbers[0].items() if d % 3 == 0], "uid long")
+    assert numbers[0] == numbers[1]
+    left = without(session.read.parquet(path), dropped)
+    assert {r.doc_id for r in left.select("doc_id").collect()} == {i for i in range(6000) if i % 3}
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     assert exact.exact_duplicates(none).collect() == []
