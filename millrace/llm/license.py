@@ -4,7 +4,9 @@ Every line of a file, every run of neighbouring lines that speak of licences,
 and the whole file are compared with the templates as sparse TF-IDF vectors.
 Document frequencies of the templates' words are counted over all files.  A
 line can only reach the threshold if it has a word that matters in a template
-(see ``strong_terms``), so other lines are passed over without loss.
+(see ``strong_terms``), so other lines are passed over without loss.  Runs are
+looked at by themselves and bridged over up to BRIDGE other lines, such as
+blank ones; a bridged run may still leave out lines at its ends.
 
 A file without a licence of its own takes that of the nearest directory above
 it that has a licence file.  Paths are joined directory by directory; only
@@ -24,6 +26,8 @@ from millrace.llm.common import prepared, settle
 from millrace.llm.words import raw, runs, word_hashes, word_spans
 
 THRESHOLD = 0.7
+#: Lines without a strong word that a run may hold between others.
+BRIDGE = 4
 FILE_NAMES = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 
 # Wording by which licences are declared.
@@ -172,8 +176,12 @@ def _scanner(templates: Templates, weights: np.ndarray, threshold: float):
 
         for line in speaking.tolist():
             look(line, line)
-        breaks = np.flatnonzero(np.diff(speaking) > 1)
-        for low, high in zip(speaking[np.append(0, breaks + 1)].tolist(), speaking[np.append(breaks, -1)].tolist()):
+        spans = set()
+        for gap in range(BRIDGE + 1):
+            breaks = np.flatnonzero(np.diff(speaking) > gap + 1)
+            if len(speaking):
+                spans.update(zip(speaking[np.append(0, breaks + 1)].tolist(), speaking[np.append(breaks, -1)].tolist()))
+        for low, high in sorted(spans):
             if high > low:
                 look(low, high)
         whole = best(terms)[0] >= threshold

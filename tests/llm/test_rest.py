@@ -209,6 +209,14 @@ def test_licences(spark):
     assert license.scan_files(df.limit(0)).collect() == []
 
 
+def test_a_run_goes_on_over_blank_and_weak_lines(spark):
+    own = [("Own", "amber birch cedar dahlia elm fir gorse hazel iris juniper kale larch")]
+    text = "amber birch cedar dahlia\n\n//\nelm fir gorse hazel\nof\niris juniper kale larch\n" + prose(3, 50)
+    rows = spark.createDataFrame([(1, text)], "uid long, text string")
+    (got,) = license.scan_texts(rows, own).collect()
+    assert [(f.licence, f.first_line, f.last_line) for f in got.found] == [("Own", 0, 5)]
+
+
 def test_no_line_is_passed_over_that_reaches_the_threshold():
     known = license.Templates(license.TEMPLATES)
     draw = random.Random(0)
