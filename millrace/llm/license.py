@@ -8,6 +8,11 @@ line can only reach the threshold if it has a word that matters in a template
 looked at by themselves and bridged over up to BRIDGE other lines, such as
 blank ones; a bridged run may still leave out lines at its ends.
 
+Templates are one-line declarations, the standard headers and the full texts in
+``licences/`` (none is at hand for AGPL-3.0 and CC-BY-NC-4.0).  Full texts of
+over LONG words are compared with what has at least half as many.  Where the
+licences of a family share their wording, the telling words decide.
+
 A file without a licence of its own takes that of the nearest directory above
 it that has a licence file.  Paths are joined directory by directory; only
 distinct directories are taken apart into their ancestors.
@@ -15,6 +20,7 @@ distinct directories are taken apart into their ancestors.
 
 from __future__ import annotations
 
+import pkgutil
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +34,8 @@ from millrace.llm.words import raw, runs, word_hashes, word_spans
 THRESHOLD = 0.7
 #: Lines without a strong word that a run may hold between others.
 BRIDGE = 4
+#: Words of a template that is only compared with texts of at least half its length.
+LONG = 400
 FILE_NAMES = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 
 # Wording by which licences are declared.
@@ -71,6 +79,53 @@ TEMPLATES = [
     ("Proprietary", "Copyright. All rights reserved. Unauthorized copying of this file is strictly prohibited."),
 ]
 
+
+def _gnu(what: str, name: str, version: str) -> str:
+    return (
+        f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} "
+        f"General Public License as published by the Free Software Foundation; either version {version} of the License, "
+        f"or (at your option) any later version. This {what} is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+        f"See the GNU {name} General Public License for more details. You should have received a copy of the GNU {name} "
+        f"General Public License along with this {what}"
+    )
+
+
+_OLD = "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA"
+_NEW = ". If not, see https://www.gnu.org/licenses/"
+
+#: The headers that the licences themselves ask for.
+HEADERS = [
+    *[("GPL-2.0", _gnu("program", "", "2") + end) for end in (_OLD, _NEW)],
+    *[("GPL-3.0", _gnu("program", "", "3") + end) for end in (_OLD, _NEW)],
+    *[("LGPL-2.1", _gnu("library", "Lesser", "2.1") + end) for end in (_OLD, _NEW)],
+    *[("LGPL-3.0", _gnu("library", "Lesser", "3") + end) for end in (_OLD, _NEW)],
+    ("AGPL-3.0", _gnu("program", "Affero", "3") + _NEW),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    (
+        "Apache-2.0",
+        TEMPLATES[1][1] + " Unless required by applicable law or agreed to in writing, software distributed under the "
+        "License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
+        "implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    *[
+        (f"CC-{short}-4.0", f"This work is licensed under a Creative Commons Attribution{name} 4.0 International License.")
+        for short, name in (("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"))
+    ],
+]
+FULL_TEXTS = [
+    "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC",
+    "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense",
+]
+TEMPLATES += HEADERS + [(n, pkgutil.get_data("millrace.llm", f"licences/{n}.txt").decode()) for n in FULL_TEXTS]
+
+_GNU = {("", "2"): "GPL-2.0", ("", "3"): "GPL-3.0", ("lesser", "2 1"): "LGPL-2.1", ("lesser", "3"): "LGPL-3.0", ("affero", "3"): "AGPL-3.0"}
+
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[65:91] += 32
 _PLAIN[[b for b in range(128) if not chr(b).isalnum() and b != 10]] = 32
@@ -100,6 +155,33 @@ class Templates:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return np.where(self.words[at] == hashes, at, -1)
 
+    def _numbers(self, text: str) -> list[int]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        return self.terms(hashed_words(data, np.array([0, len(data)]))[0]).tolist() if len(self.words) else []
+
+    def told(self, name: str, terms: np.ndarray, file: np.ndarray) -> str:
+        """The licence of a family that the telling words of a stretch, and of its file, name."""
+        if not hasattr(self, "telling"):
+            asked = "version 2 1 3 affero lesser redistribution endorse disclaimer"
+            self.telling = dict(zip(asked.split(), self._numbers(asked)))
+        word = self.telling
+        has = lambda w, among=terms: word[w] >= 0 and bool((among == word[w]).any())
+        if name in _GNU.values() and len(terms) < LONG:
+            kind = "affero" if has("affero") else "lesser" if has("lesser") else ""
+            after = np.flatnonzero(terms[:-1] == word["version"]) + 1
+            for k in after.tolist():
+                number = next((n for n in "23" if terms[k] == word[n]), "")
+                if number == "2" and k + 1 < len(terms) and terms[k + 1] == word["1"]:
+                    number = "2 1"
+                if number:
+                    other = _GNU.get((kind, number), name)
+                    return other if other in self.names else name
+        if name in ("BSD-2-Clause", "BSD-3-Clause") and has("redistribution") and len(terms) < LONG:
+            # the permission is the same; the third clause is further down
+            other = "BSD-3-Clause" if has("endorse", file) else "BSD-2-Clause" if has("disclaimer", file) else name
+            return other if other in self.names else name
+        return name
+
 
 def idf(documents: int, frequency: np.ndarray) -> np.ndarray:
     return np.log((1 + documents) / (1 + frequency)) + 1
@@ -151,7 +233,12 @@ _FOUND = pa.list_(
 def _scanner(templates: Templates, weights: np.ndarray, threshold: float):
     weighted = templates.counts * weights
     unit = weighted / np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
-    strong = strong_terms(weighted, threshold)
+    sizes = templates.counts.sum(axis=1)
+    needs = np.where(sizes > LONG, sizes / 2, 0)
+    strong = strong_terms(weighted[needs == 0], threshold)
+    telling = strong_terms(weighted[needs > 0], threshold)
+    by_need = np.argsort(needs, kind="stable")
+    unit, needs, names = unit[by_need], needs[by_need], [templates.names[k] for k in by_need]
 
     def best(terms: np.ndarray) -> tuple[float, str]:
         """The nearest template; words of no template have the least weight."""
@@ -159,19 +246,21 @@ def _scanner(templates: Templates, weights: np.ndarray, threshold: float):
         vector = np.bincount(known, minlength=len(weights)) * weights
         other = len(terms) - len(known)
         length = np.sqrt((vector**2).sum() + other)
-        alike = unit @ vector / max(length, 1e-12)
-        top = max(range(len(alike)), key=lambda k: (alike[k], templates.names[k]))
-        return min(1.0, float(alike[top])), templates.names[top]
+        alike = unit[: np.searchsorted(needs, len(terms), "right")] @ vector / max(length, 1e-12)
+        top = max(range(len(alike)), key=lambda k: (alike[k], names[k]), default=None)
+        return (0.0, "") if top is None else (min(1.0, float(alike[top])), names[top])
 
     def scan(terms: np.ndarray, lines: np.ndarray) -> tuple[list, bool]:
         speaking = np.unique(lines[(terms >= 0) & strong[terms]])
-        if not len(speaking):
-            return [], False
         found: dict[str, tuple] = {}
 
         def look(low: int, high: int) -> None:
-            alike, name = best(terms[np.searchsorted(lines, low) : np.searchsorted(lines, high, "right")])
-            if alike >= threshold and alike > found.get(name, (0.0,))[0]:
+            part = terms[np.searchsorted(lines, low) : np.searchsorted(lines, high, "right")]
+            alike, name = best(part)
+            if alike < threshold:
+                return
+            name = templates.told(name, part, terms)
+            if alike > found.get(name, (0.0,))[0]:
                 found[name] = (alike, low, high)
 
         for line in speaking.tolist():
@@ -202,8 +291,11 @@ def _scanner(templates: Templates, weights: np.ndarray, threshold: float):
                 line = np.searchsorted(breaks, starts)
                 base = np.searchsorted(breaks, at[i:j] - at[i])
                 hits = np.concatenate([[0], np.cumsum((terms >= 0) & strong[terms])])[first]
+                long_hits = np.concatenate([[0], np.cumsum((terms >= 0) & telling[terms])])[first]
+                least = needs[needs > 0].min(initial=np.inf)
                 for k in range(j - i):
-                    if hits[k] == hits[k + 1]:
+                    long = first[k + 1] - first[k] >= least and long_hits[k] < long_hits[k + 1]
+                    if hits[k] == hits[k + 1] and not long:
                         found.append([])
                         wholes.append(False)
                     else:

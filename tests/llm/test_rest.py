@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -217,6 +218,40 @@ def test_a_run_goes_on_over_blank_and_weak_lines(spark):
     assert [(f.licence, f.first_line, f.last_line) for f in got.found] == [("Own", 0, 5)]
 
 
+def commented(text: str, width: int = 70) -> str:
+    """A block comment of paragraphs with blank lines between them."""
+    parts = [textwrap.fill(part, width) for part in text.split("\n\n")]
+    return "/*\n" + "\n".join(" * " + line for line in "\n\n".join(parts).split("\n")) + "\n */\n"
+
+
+def test_standard_headers_and_full_texts(spark):
+    gnu = (
+        "This {0} is free software{3} you can redistribute it and/or modify it under the terms of the GNU {1}General Public "
+        "License as published by the Free Software Foundation{4} either version {2} of the License, or (at your option) any "
+        "later version.\n\nThis {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License "
+        "for more details.\n\nYou should have received a copy of the GNU {1}General Public License along with this {0}{5}"
+    )
+    old, new = "; if not, write to the Free Software Foundation.", ". If not, see <https://www.gnu.org/licenses/>."
+    apache = license.TEMPLATES[1][1] + "\n\nUnless required by applicable law or agreed to in writing, software"
+    headers = {
+        "GPL-2.0": gnu.format("program", "", "2", ";", ";", old),
+        "GPL-3.0": gnu.format("program", "", "3", ":", ",", new),
+        "LGPL-2.1": gnu.format("library", "Lesser ", "2.1", ";", ";", old),
+        "LGPL-3.0": gnu.format("library", "Lesser ", "3", ":", ",", new),
+        "AGPL-3.0": gnu.format("program", "Affero ", "3", ":", ",", new),
+        "Apache-2.0": apache,
+    }
+    files = [(f"{n}/a.c", commented("Copyright (C) 2020 A. Writer\n\n" + t) + prose(5, 300)) for n, t in headers.items()]
+    full = {n: t for n, t in license.TEMPLATES if n in license.FULL_TEXTS}  # the last of a name is its full text
+    files += [(f"{n}/LICENSE", t) for n, t in full.items()]
+    files += [(f"{n}/b.c", commented("Copyright (c) 2020, A. Writer\n\n" + full[n])) for n in ("BSD-2-Clause", "BSD-3-Clause", "MIT", "ISC")]
+    found = license.scan_files(spark.createDataFrame(files, "path string, text string")).collect()
+    assert len(found) == len(files)
+    assert not [(r.path, r.licence, r.similarity) for r in found if r.licence != r.path.split("/")[0]]
+    assert all(r.origin == "file" for r in found if r.path.endswith("LICENSE"))
+
+
 def test_no_line_is_passed_over_that_reaches_the_threshold():
     known = license.Templates(license.TEMPLATES)
     draw = random.Random(0)
