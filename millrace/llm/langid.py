@@ -252,6 +252,16 @@ def annotate(df: DataFrame, model: Model, text_col: str, lang_name: str, score_n
     return df.mapInArrow(_predictor(model, text_col, schema.names), schema)
 
 
+def lettered(df: DataFrame, text_col: str) -> DataFrame:
+    """Rows whose text is not null and has a letter."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_has_letter(batch[text_col].to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(keep, df.schema)
+
+
 def held_out(doc_id, parts: int = 4, left_out: int = 2):
     """Whether a row is kept from learning: crc32 of its id as text, modulo ``parts``.  A null id never is."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(parts)) == left_out, F.lit(False))
