@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ann, bpe, exact, langid, license, minhash, packing, shard, substring, warc
+from millrace.llm import ann, bpe, exact, langid, license, minhash, packing, phrases, shard, simhash, substring, variants, warc
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,51 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by the key law."""
     return shard.assign(table(spark, sf_dir, "documents"), 40)
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the more frequent word it is a variant of."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ') FOR i IN range(1, len(ws) - k + 2)]) AS phrase
+  FROM split, (SELECT unnest(range(1, 6)) AS k) sizes),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+found AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lft, array_to_string(w[k + 1:size], ' ') AS rgt
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM found)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = lft JOIN counts y ON y.lang = c.lang AND y.phrase = rgt
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, a AS f, unnest(flatten([[array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, size - m + 2)]
+    FOR m IN range(2, size)])) AS phrase FROM found WHERE size > 2),
+covers AS (SELECT lang, phrase, max(f) AS most FROM inner_phrases GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN covers c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE most IS NULL OR 100 * most < 100 * a) WHERE rank <= 2000"""
+
+
+@query("op12_phrase_collocations", PHRASE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2000 phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("uid")
+
+
+@query("op13_covering_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the component of those within two bits."""
+    return simhash.near_fingerprints(table(spark, sf_dir, "documents"))
