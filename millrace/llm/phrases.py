@@ -220,8 +220,8 @@ def collocations(
     its worst cut by ``1000 a n / (l r)``, rounded down: ``l`` and ``r`` are the
     counts of its parts, ``n`` of all words.  Phrases inside a longer one that
     has at least ``covered`` percent of their count are left out.  Ties go to
-    the larger count, then to the phrase first in byte order.  Null texts are
-    empty, a null lang is ``und``; repeated rows count again; an empty table
+    the larger count, then to the phrase first in byte order.  Scores are exact
+    for counts up to 2**55.  Null texts are empty, a null lang is ``und``; repeated rows count again; an empty table
     gives an empty one.  Other columns, whatever their names, are ignored.
     """
     known = frequent_phrases(docs, text_col, lang_col, longest, least, filter_bits)
@@ -237,8 +237,7 @@ def collocations(
     lefts = counts.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l"))
     rights = counts.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r"))
     scored = cuts.join(lefts, ["lang", "left"]).join(rights, ["lang", "right"]).join(words, "lang")
-    top = (_wide("a") * 1000).cast("decimal(38,0)") * _wide("n")
-    score = F.call_function("div", top.cast("decimal(38,0)"), (_wide("l") * _wide("r")).cast("decimal(38,0)"))
+    score = F.call_function("div", _wide("a") * 1000 * _wide("n"), _wide("l") * _wide("r"))
     worst = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
     best = scored.groupBy("lang", "phrase").agg(worst, F.first("a").alias("a"), F.first("n").alias("n"), F.first("uid").alias("uid"))
 
