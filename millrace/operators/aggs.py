@@ -67,46 +67,36 @@ def over_distinct(
     return out.select(*df.columns, result.alias(name))
 
 
-def rank_over(
-    df: DataFrame,
-    key: Keys,
-    order: str,
-    descending: bool = True,
-    name: str = "rank",
-    parts: int | None = None,
-) -> DataFrame:
+def rank_over(df: DataFrame, key: Keys, order: str, descending: bool = True, name: str = "rank") -> DataFrame:
     """SQL RANK over a numeric column: 1 + the number of rows ordered before.
 
-    This is Spark's own rank, which sorts a key in one task.  With ``parts``,
-    for keys with more rows than a task can sort, equal values are counted once
-    per (key, value), so a hot value is one row, and the counts are cut into that
-    many ranges, so a hot key is spread over tasks.
+    Keys of ordinary size take Spark's own rank.  For hot keys equal values are
+    counted once per (key, value), so a hot value is one row, the values are cut
+    into ranges at splitters that Spark samples, and a value's rank follows from
+    the counts of the ranges before and of the values before it in its range.
+    Nulls come last in descending order and first in ascending order.
     """
     keys = as_list(key)
-    if parts is None:
-        ahead = F.col(order).desc() if descending else F.col(order)
-        ranked = F.rank().over(Window.partitionBy(*keys).orderBy(ahead))
-        return df.withColumn(name, ranked.cast("long"))
+    cold, hot, parts = scan.by_size(df, keys)
+    ahead = F.col(order).desc() if descending else F.col(order)
+    ranked = cold.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(ahead)).cast("long"))
+    if hot is None:
+        return ranked
     way = -F.col(order) if descending else F.col(order)
-    rows = df.withColumn("_order", way)
-    counts = rows.groupBy(*keys, "_order").agg(F.count("*").alias("_n"))
+    by = ["_last", "_order"]
+    rows = hot.withColumns({"_last": F.col(order).isNull() == F.lit(descending), "_order": way})
+    counts = rows.groupBy(*keys, *by).agg(F.count("*").alias("_n"))
     before = scan.running(
-        scan.in_sorted_parts(counts, [*keys, "_order"], parts),
-        keys,
-        "_order",
-        {"_before": scan.run_sum("_n")},
-        chunk=F.col("_part"),
-        include_current=False,
-    )
+        scan.in_sorted_parts(counts, [*keys, *by], parts), keys, by, {"_before": scan.run_sum("_n")},
+        chunk=F.col("_part"), include_current=False,
+    )
+    names = [f"_k_{i}" for i in range(len(keys) + 2)]
     before = before.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_order").alias("_o"),
-        (F.coalesce("_before", F.lit(0)) + 1).alias(name),
+        *[F.col(c).alias(n) for c, n in zip([*keys, *by], names)],
+        (F.coalesce("_before", F.lit(0)) + 1).cast("long").alias(name),
     )
-    same = F.col("_order").eqNullSafe(F.col("_o"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return rows.join(before, same).select(*df.columns, name)
+    rest = rows.join(before, scan.same_row([*keys, *by], names)).select(*df.columns, name)
+    return ranked.select(*df.columns, name).unionByName(rest)
 
 
 def top_n(df: DataFrame, key: Keys, value: str, n: int, seq: str, name: str = "place"):

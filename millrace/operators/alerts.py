@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.durations import millis
 from millrace.operators import scan
-from millrace.operators.changelog import same_key
 from millrace.operators.rolling import Keys, as_list
 
 
@@ -99,39 +94,55 @@ def trend_alert(
     return alerts.select(*keys, "armed_at", "alert_at")
 
 
-_END = 9  # in place of a step: the key has no further moves
-
-
-def _settle(armed, at, step, hold):
-    """(alert due?, armed time after) for one move; ``armed`` is None or a time."""
-    fires = armed is not None and armed + hold <= at
-    if step < 0:
-        return fires, None
-    return fires, at if fires or armed is None else armed
+#: Places of what a pending alert meets at one time: the question itself, a move onward, the end of the trend.
+_ASKED, _MOVE, _END = 0, 1, 2
+_NEVER = 1 << 62
 
 
-def _exit_rows(moves: pd.DataFrame, hold: int) -> pd.DataFrame:
-    """What a chunk does to the armed time it is entered with.
+def _next_moves(moves: DataFrame, hold_us: int, chunk: int | None) -> DataFrame:
+    """Each move onward with ``_next``, the first one of its trend at or after its due time, and
+    ``_fires``, whether the alert armed by it comes before the trend ends.
 
-    A chunk with an opposite move forgets its entry: one row with the armed time
-    it ends with.  Otherwise one row per move that an entry can reach: entering
-    there, the chunk ends armed at that row's time.
+    Every move asks at its due time.  Against the order of time, the least
+    number of a move seen so far is the next move's, and an end seen so far is
+    not before the due time.
     """
-    moves = moves.sort_values("_s")
-    at, step = moves["_at"].to_numpy(), moves["_step"].to_numpy()
-    against = np.flatnonzero(step < 0)
-    if len(against):
-        at = at[against[-1] + 1 :]
-    # The first move at or after a move's due time is where the chain goes on.
-    onward = np.searchsorted(at, at + hold)
-    ends = at.copy()
-    for i in range(len(at) - 1, -1, -1):
-        if onward[i] < len(at):
-            ends[i] = ends[onward[i]]
-    if len(against):
-        return pd.DataFrame({"_from": [None], "_armed": [ends[0] if len(at) else None]})
-    reach = np.searchsorted(at, at[0] + hold) + 1
-    return pd.DataFrame({"_from": at[:reach], "_armed": ends[:reach]})
+    onward = moves.filter("_step > 0")
+    ends = moves.filter("_step < 0").select("_k", (F.col("_trend") - 1).alias("_trend"), "_at", "_s")
+    last = moves.groupBy("_k").agg(F.max("_trend").alias("_trend"))
+    never = F.lit(_NEVER).cast("long")
+    last = last.select("_k", "_trend", never.alias("_at"), never.alias("_s"))
+    kinds = (
+        (onward.withColumn("_at", F.col("_at") + hold_us), _ASKED), (onward, _MOVE), (ends.unionByName(last), _END),
+    )
+    asked, moved, ended = (df.select("_k", "_trend", "_at", "_s", F.lit(kind).alias("_kind")) for df, kind in kinds)
+    line = asked.unionByName(moved).unionByName(ended).withColumns({"_back": -F.col("_at"), "_down": -F.col("_s")})
+    rules = {
+        "_next": scan.run_min(F.when(F.col("_kind") == _MOVE, F.col("_s"))),
+        "_over": scan.run_max(F.when(F.col("_kind") == _END, F.lit(True))),
+    }
+    seen = scan.running(line, ["_k", "_trend"], ["_back", "_down", "_kind"], rules, chunk=chunk, include_current=False)
+    fires = F.col("_next").isNotNull() | F.col("_over").isNotNull()
+    return seen.filter(F.col("_kind") == _ASKED).select("_k", "_s", (F.col("_at") - hold_us).alias("_at"), "_next", fires.alias("_fires"))
+
+
+def _chains(heads: DataFrame, links: DataFrame, longest: int) -> DataFrame:
+    """All ``_k, _s`` that the links lead to from the heads, by pointer jumping.
+
+    Each round doubles the steps a link takes, so a chain of any length needs
+    as many rounds as its length has bits.  Rows meet by key and number, which
+    no two rows share.
+    """
+    reached, jumps = heads, links.select("_k", "_s", "_next").filter("_next is not null")
+    rounds = max(0, longest - 1).bit_length()
+    for i in range(rounds):
+        there = jumps.select(F.col("_k").alias("_k2"), F.col("_s").alias("_s2"), F.col("_next").alias("_then"))
+        more = reached.join(there, scan.same_row(["_k", "_s"], ["_k2", "_s2"])).select("_k", F.col("_then").alias("_s"))
+        reached = scan.written(reached.unionByName(more), "reached")
+        if i + 1 < rounds:
+            jumps = jumps.join(there, scan.same_row(["_k", "_next"], ["_k2", "_s2"])).select("_k", "_s", F.col("_then").alias("_next"))
+            jumps = scan.written(jumps, "jumps")
+    return reached
 
 
 def trend_alerts(
@@ -147,99 +158,38 @@ def trend_alerts(
     """Every alert of every trend, as (key, armed_at, alert_at).
 
     Like :func:`trend_alert`, and after an alert the next move in the same
-    direction arms the timer again.  Each move depends on the armed time before
-    it, so moves are folded in order.  Chunks of a hot key are first reduced to
-    what they make of an armed time, these are chained over the chunks, and then
-    each chunk is folded by itself from the armed time it is entered with.
+    direction arms the timer again.  ``ts`` must not go back along ``seq``.  A
+    trend's first move arms the timer, and the move that arms it after that is
+    the first one at or after the due time; these moves are found by following
+    such links, in Spark's own operators and without gathering a key or a trend.
     """
     up = {"rising": 1, "falling": -1}[direction]
     hold_us = millis(hold) * 1000
-    rows = df.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), ts, value)
+    rows = df.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), F.unix_micros(ts).alias("_at"), value)
     rows = rows.filter(F.col(value).isNotNull())
-    cut = scan.Cut(chunk) if isinstance(chunk, int) else chunk or scan.measure(rows, ["_k"], "_s")
+    width = chunk if isinstance(chunk, int) else None
+    cut = scan.Cut(chunk) if width else chunk or scan.measure(rows, ["_k"], "_s")
     rows = scan.previous(rows, ["_k"], "_s", {"_prev": value}, chunk=cut)
     step = F.signum(F.lit(up) * (F.col(value) - F.col("_prev"))).cast("int")
-    moves = cut.mark(rows, ["_k"], "_s").select(
-        "_k", "_chunk", "_hot", "_s",
-        F.unix_micros(ts).alias("_at"), step.alias("_step"),
-    ).filter("_step <> 0")
-    key_ddl = f"_k {df.schema[key].dataType.simpleString()}"
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Alerts of sorted moves; step 0 brings an armed time, _END ends a key."""
-        group = armed = None
-        for batch in batches:
-            out = []
-            columns = batch[["_k", "_chunk", "_at", "_step"]]
-            for k, number, at, move in columns.itertuples(index=False):
-                if group is None or not (same_key(k, group[0]) and number == group[1]):
-                    group, armed = (k, number), None
-                if move == 0:
-                    armed = at
-                    continue
-                if move == _END:
-                    # What is still armed was not cancelled.
-                    out += [(k, number, armed)] if armed is not None else []
-                    continue
-                fires, now = _settle(armed, at, move, hold_us)
-                if fires:
-                    out.append((k, number, armed))
-                armed = now
-            yield pd.DataFrame(out, columns=["_k", "_chunk", "_armed"])
-
-    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The armed time each chunk is entered with, from sorted exit rows."""
-        group = armed = entry = None
-        taken = False
-        for batch in batches:
-            out = []
-            columns = batch[["_k", "_chunk", "_from", "_armed"]]
-            for k, number, start, after in columns.itertuples(index=False):
-                if group is None or not same_key(k, group[0]):
-                    armed = None
-                if group is None or not same_key(k, group[0]) or number != group[1]:
-                    group, entry, taken = (k, number), armed, False
-                    if entry is not None:
-                        out.append((k, number, entry))
-                if start != start or start is None:
-                    armed = None if after != after or after is None else int(after)
-                elif not taken and (entry is None or start >= entry + hold_us):
-                    armed, taken = int(after), True
-            yield pd.DataFrame(out, columns=["_k", "_chunk", "_at"])
-
-    ends = moves.groupBy("_k").agg(F.max("_chunk").alias("_chunk")).select(
-        "_k", "_chunk", F.lit(False).alias("_hot"), F.lit((1 << 63) - 1).alias("_s"), F.lit(0).cast("long").alias("_at"),
-        F.lit(_END).alias("_step"),
-    )
-    both = moves.unionByName(ends)
-    if not cut.whole:
-        exits = (
-            moves.filter("_hot")
-            .drop("_hot")
-            .groupBy("_k", "_chunk")
-            .applyInPandas(
-                lambda group, pdf: _exit_rows(pdf, hold_us).assign(_k=group[0], _chunk=group[1]),
-                f"{key_ddl}, _chunk long, _from long, _armed long",
-            )
-        )
-        entries = (
-            exits.repartition("_k")
-            .sortWithinPartitions("_k", "_chunk", "_from")
-            .mapInPandas(chain, f"{key_ddl}, _chunk long, _at long")
-        )
-        first = F.lit(None).cast("long").alias("_s")
-        both = both.unionByName(
-            entries.select("_k", "_chunk", F.lit(False).alias("_hot"), first, "_at", F.lit(0).alias("_step"))
-        )
-    settled = (
-        both.repartition("_k", "_chunk")
-        .sortWithinPartitions("_k", "_chunk", F.col("_s").asc_nulls_first())
-        .mapInPandas(fold, f"{key_ddl}, _chunk long, _armed long")
-    )
-    return settled.select(
+    steps = rows.select("_k", "_s", "_at", step.alias("_step")).filter("_step <> 0")
+    against = F.when(F.col("_step") < 0, 1).otherwise(0).cast("long")
+    moves = scan.running(steps, ["_k"], "_s", {"_trend": scan.run_sum(against)}, chunk=cut)
+    moves = scan.written(moves, "moves")
+
+    trends = moves.filter("_step > 0").groupBy("_k", "_trend")
+    spent = F.floor((F.max("_at") - F.min("_at")) / F.lit(max(hold_us, 1))) + 1
+    trends = trends.agg(F.min("_s").alias("_s"), F.least(F.count("*"), spent).alias("_most"))
+    longest = trends.agg(F.max("_most")).first()[0] or 0
+    links = _next_moves(moves, hold_us, None if width is None else width * 1_000_000)
+    if longest > 1:
+        links = scan.written(links, "links")
+    reached = _chains(trends.select("_k", "_s"), links, longest)
+    reached = reached.select(F.col("_k").alias("_k2"), F.col("_s").alias("_s2"))
+    found = links.filter("_fires").join(reached, scan.same_row(["_k", "_s"], ["_k2", "_s2"]))
+    return found.select(
         F.col("_k").alias(key),
-        F.timestamp_micros("_armed").alias("armed_at"),
-        F.timestamp_micros(F.col("_armed") + hold_us).alias("alert_at"),
+        F.timestamp_micros("_at").alias("armed_at"),
+        F.timestamp_micros(F.col("_at") + hold_us).alias("alert_at"),
     )
 
 

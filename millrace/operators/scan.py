@@ -159,31 +159,32 @@ def measure(df: DataFrame, keys: Sequence[str], seq: str) -> Cut:
     most = min(MAX_CHUNKS, -(-hot[1] // target))
     if most < 2:
         return Cut()
-    shares = F.lit([i / most for i in range(1, most)])
-    found = F.percentile_approx(seq, shares, 10 * most)
+
+    def quantiles(n: int) -> Column:
+        return F.percentile_approx(seq, F.lit([i / n for i in range(1, n)]), 10 * n)
+
     if not keys:
-        return Cut(cuts=sorted(set(df.agg(found).first()[0])))
-    rows = df.select(*keys, seq)
-    named = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n")
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_hk{i}"))
-    quantiles = (
-        rows.join(F.broadcast(named), same)
-        .groupBy(*keys)
-        .agg(found.alias("_q"), F.first("_n").alias("_n"))
-    )
-    # A key of fewer rows takes every so manieth quantile.
-    own = F.least(F.lit(most), F.ceil(F.col("_n") / F.lit(target))).cast("int")
+        return Cut(cuts=sorted(set(df.agg(quantiles(most)).first()[0])))
+    own = F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("_n") / F.lit(target))).cast("int")
+    names = [f"_hk{i}" for i in range(len(keys))]
+    named = counts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], own.alias("_own"))
+    named = written(named.withColumn("_class", F.ceil(F.log2(F.greatest("_own", F.lit(2)))).cast("int")), "hot")
+    # One sketch per size class, so that a huge key does not cost the others its many quantiles.
+    parts = []
+    for (size,) in sorted(named.select("_class").distinct().collect()):
+        mine = F.broadcast(named.filter(F.col("_class") == size).drop("_class"))
+        found = df.select(*keys, seq).join(mine, same_row(keys, names)).groupBy(*keys)
+        parts.append(found.agg(quantiles(1 << size).alias("_q"), F.first("_own").alias("_own"), F.lit(1 << size).alias("_all")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    # A key of fewer chunks takes every so manieth quantile.
     picked = F.transform(
-        F.sequence(F.lit(1), F.greatest(own - 1, F.lit(1))),
-        lambda i: F.element_at("_q", F.greatest(F.lit(1), F.floor(i * most / own)).cast("int")).cast("long"),
+        F.sequence(F.lit(1), F.greatest(F.col("_own") - 1, F.lit(1))),
+        lambda i: F.element_at("_q", F.greatest(F.lit(1), F.floor(i * F.col("_all") / F.col("_own"))).cast("int")).cast("long"),
     )
-    cuts = quantiles.select(*keys, F.array_sort(F.array_distinct(picked)).alias("_cuts"))
-    spark = df.sparkSession
-    path = fresh_dir(spark, "cuts")
-    cuts.write.parquet(path)
-    return Cut(cuts=spark.read.schema(cuts.schema).parquet(path))
+    cuts = every.select(*keys, F.array_sort(F.array_distinct(picked)).alias("_cuts"))
+    return Cut(cuts=written(cuts, "cuts"))
 
 
 def _over(rule: Rule, column: str, window: WindowSpec) -> Column:
@@ -346,6 +347,56 @@ def row_frame(
     return done.filter(F.col("_block") == number).drop("_block")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The table written to the shared folder and read again: computed once, whoever reads it."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def same_row(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equal columns, nulls being equal to nulls."""
+    same = F.lit(True)
+    for a, b in zip(left, right):
+        same = same & F.col(a).eqNullSafe(F.col(b))
+    return same
+
+
+def by_size(df: DataFrame, groups: Sequence[str]) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows of ordinary groups, rows of hot ones, and into how many ranges the latter are to be cut.
+
+    One pre-aggregated count per group; two numbers come to the driver.  The
+    hot groups' names are written, so that Spark knows their size.
+    """
+    counts = df.groupBy(*groups).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    number, total = counts.agg(F.count("*"), F.sum("_n")).first()
+    if not number:
+        return df, None, 0
+    names = [f"_hot_{i}" for i in range(len(groups))]
+    hot = written(counts.select(*[F.col(g).alias(n) for g, n in zip(groups, names)]), "hot")
+    same = same_row(groups, names)
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi"), -(-total // CHUNK_ROWS)
+
+
+def places(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "place") -> DataFrame:
+    """Add the 1-based place of every row in its group, by ascending ``order``, which must not tie.
+
+    Groups of ordinary size take Spark's own row number.  Hot ones are cut into
+    ranges at splitters that Spark samples from them, also between equal values
+    of the first order columns; a row's place is its place in its range after
+    the counts of the ranges before.
+    """
+    groups, order = list(groups), list(order)
+    cold, hot, parts = by_size(df, groups)
+    number = F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("long")
+    placed = cold.withColumn(name, number)
+    if hot is None:
+        return placed
+    cut = in_sorted_parts(hot, [*groups, *order], parts)
+    rest = position(cut, groups, order, name=name, chunk=F.col("_part")).drop("_part")
+    return placed.unionByName(rest)
+
+
 def in_sorted_parts(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
     """The table cut into ranges of ``order``, with the range number as ``_part``.
 
@@ -354,9 +405,5 @@ def in_sorted_parts(df: DataFrame, order: Sequence[str], parts: int | None = Non
     key.  The result is a table written to the shared folder, because range
     numbers must not change between the two readings of a scan.
     """
-    spark = df.sparkSession
-    path = fresh_dir(spark, "sorted")
     cut = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
-    cut = cut.withColumn("_part", F.spark_partition_id().cast("long"))
-    cut.write.parquet(path)
-    return spark.read.schema(cut.schema).parquet(path)
+    return written(cut.withColumn("_part", F.spark_partition_id().cast("long")), "sorted")

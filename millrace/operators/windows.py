@@ -261,22 +261,12 @@ def window_list(
     return placed.select(*groups, "place", "item")
 
 
-def consecutive_windows(
-    df: DataFrame, key: str, ts: str, size: int | str, value: str, parts: int | None = None
-) -> DataFrame:
+def consecutive_windows(df: DataFrame, key: str, ts: str, size: int | str, value: str) -> DataFrame:
     """Sum per key and window, then the keys of a window ranked by their sum.
 
-    ``place`` 1 is the largest sum; equal sums are ordered by key.  A window's
-    sums are ranked in one task; ``parts`` cuts all sums into that many ranges
-    instead, for windows with more keys than a task can sort.
+    ``place`` 1 is the largest sum; equal sums are ordered by key.  A window of
+    very many keys is cut into ranges (:func:`scan.places`).
     """
     sums = window_agg(df, key, ts, size, [F.sum(value).alias("total")])
-    groups, order = ["window_start", "window_end"], ["_down", key]
     ranked = sums.withColumn("_down", -F.col("total"))
-    if parts is None:
-        best_first = Window.partitionBy(*groups).orderBy(*order)
-        place = F.row_number().over(best_first).cast("long")
-        return ranked.withColumn("place", place).drop("_down")
-    cut = scan.in_sorted_parts(ranked, [*groups, *order], parts)
-    placed = scan.position(cut, groups, order, name="place", chunk=F.col("_part"))
-    return placed.drop("_down", "_part")
+    return scan.places(ranked, ["window_start", "window_end"], ["_down", key]).drop("_down")

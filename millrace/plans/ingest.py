@@ -127,6 +127,13 @@ def view_sum(spark, sf_dir):
 OP = """CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END"""
 
 
+def change_feed(spark, sf_dir):
+    return events(spark, sf_dir).selectExpr(
+        f"{OP} AS op", "event_id AS seq", "user_id AS id", "event_type AS name",
+        "props AS description",
+    )
+
+
 @query(
     "cdc_snapshot",
     """SELECT id, seq, name, description FROM (
@@ -136,11 +143,7 @@ OP = """CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' EN
        WHERE rn = 1 AND name <> 'error'""",
 )
 def cdc_snapshot(spark, sf_dir):
-    feed = events(spark, sf_dir).selectExpr(
-        f"{OP} AS op", "event_id AS seq", "user_id AS id", "event_type AS name",
-        "props AS description",
-    )
-    return changelog.apply_changes(feed, "id", "seq", "op")
+    return changelog.apply_changes(change_feed(spark, sf_dir), "id", "seq", "op")
 
 
 @query(

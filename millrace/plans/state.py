@@ -86,6 +86,19 @@ def join_left_changelog(spark, sf_dir):
     return out.withColumn("rseq", F.col("rseq").cast("double"))
 
 
+@query(
+    "change_totals",
+    """SELECT o_orderkey, count(*) AS n, sum(l_quantity) AS total, min(l_quantity) AS low,
+              max(l_quantity) AS high
+       FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""",
+)
+def change_totals(spark, sf_dir):
+    """Aggregates over the changelog of a left join, its withdrawals included."""
+    left, right = order_sides(spark, sf_dir)
+    changes = changelog.changelog_left_join(left, right, "o_orderkey", "lseq", "rseq")
+    return changelog.change_totals(changes, "o_orderkey", "l_quantity")
+
+
 def jump_sql(previous: str) -> str:
     return f"""SELECT user_id, event_id, previous, value AS current FROM (
       SELECT user_id, event_id, value, {previous} AS previous FROM events

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from millrace.operators import aggs, changelog, enrich, joins, rolling, scan, windows
 from millrace.plans import state
 from millrace.plans.common import arrivals, events, money, ms, of_type
-from millrace.plans.ingest import GOOD_LINES_SQL, LINE, SENSOR, versions
+from millrace.plans.ingest import GOOD_LINES_SQL, LINE, SENSOR, change_feed, versions
 from millrace.plans.registry import SQL, query
 from millrace.plans.rows import SPACES
 from millrace.plans.windows import BOUND, HOUR, LATENESS, SIZE
+from millrace.plans.replay import feed, newest, replay
 from millrace.session import fresh_dir
 from millrace.sources import ingest
 from millrace.sources.tables import load
@@ -24,7 +25,7 @@ from millrace.streaming import joins as stream_joins
 
 def _fed(spark, sf_dir, transform, *columns, mode="append", **kw):
     table = events(spark, sf_dir).select(*columns)
-    return run.replay(spark, {"events": (table, "event_id")}, transform, mode, **kw)
+    return replay(spark, {"events": (table, "event_id")}, transform, mode, **kw)
 
 
 @query(
@@ -53,13 +54,13 @@ def line_stream(spark, sf_dir):
 @query("stream_word_count", SQL["word_count"])
 def stream_word_count(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    written = run.replay(
+    written = replay(
         spark,
         {"documents": (docs, "doc_id")},
         lambda s: rolling.word_count(s, "text", SPACES),
         mode="update",
     )
-    return run.newest(written, ["word"])
+    return newest(written, ["word"])
 
 
 @query("stream_tumbling_sum", SQL["tumbling_sum"])
@@ -71,7 +72,7 @@ def stream_tumbling_sum(spark, sf_dir):
     written = _fed(
         spark, sf_dir, transform, "event_id", "user_id", "ts", "value", mode="update"
     )
-    last = run.newest(written, ["user_id", "window_start"])
+    last = newest(written, ["user_id", "window_start"])
     return last.select("user_id", ms("window_start"), money("total", "total"))
 
 
@@ -86,7 +87,7 @@ def stream_sliding_sum(spark, sf_dir):
     written = _fed(
         spark, sf_dir, transform, "event_id", "user_id", "ts", "value", mode="update"
     )
-    last = run.newest(written, ["user_id", "window_start"])
+    last = newest(written, ["user_id", "window_start"])
     return last.select("user_id", ms("window_start"), money("total", "total"))
 
 
@@ -119,7 +120,7 @@ def stream_consecutive_windows(spark, sf_dir):
         total = [F.sum("value").alias("total")]
         return windows.window_agg(stream, "user_id", "ts", "1 day", total, bound="1 hour")
 
-    base, out = run.feed(
+    base, out = feed(
         spark,
         {"events": (table, "event_id")},
         transform,
@@ -143,7 +144,7 @@ def _session_lists(spark, sf_dir, gather):
         first = F.col("event_type") == "click"
         return gather(stream, "user_id", "ts", "12 hours", "event_id", "event_id", first, bound="1 hour")
 
-    return run.replay(
+    return replay(
         spark, {"events": (_session_sides(spark, sf_dir), "event_id")}, transform, closing=_CLOSING
     )
 
@@ -191,11 +192,11 @@ def stream_window_upsert(spark, sf_dir):
         )
 
     table = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    base, out = run.feed(
+    base, out = feed(
         spark, {"events": (table, "event_id")}, transform, upserts, mode="update"
     )
     written = spark.read.schema(out.schema.add("batch", "long")).parquet(f"{base}/out")
-    last = run.newest(written, ["user_id"])
+    last = newest(written, ["user_id"])
     return last.select("user_id", ms("window_start"), money("total", "total"))
 
 
@@ -212,8 +213,8 @@ def stream_window_sum_distinct(spark, sf_dir):
     table = events(spark, sf_dir).select(
         "event_id", "event_type", "ts", F.floor("value").cast("long").alias("whole")
     )
-    written = run.replay(spark, {"events": (table, "event_id")}, transform, mode="update")
-    last = run.newest(written, ["event_type", "window_start"])
+    written = replay(spark, {"events": (table, "event_id")}, transform, mode="update")
+    last = newest(written, ["event_type", "window_start"])
     return last.select("event_type", ms("window_start"), "total")
 
 
@@ -241,7 +242,7 @@ def stream_interval_join(spark, sf_dir):
             "user_id", "c_ts", "p_ts", "-12 hours", "12 hours",
         )
 
-    written = run.replay(spark, _sides(spark, sf_dir), transform)
+    written = replay(spark, _sides(spark, sf_dir), transform)
     return written.select("user_id", "c_id", "p_id")
 
 
@@ -259,7 +260,7 @@ def stream_interval_join_left(spark, sf_dir):
         "clicks": {"user_id": -1, "c_id": 1 << 60, "c_ts": _FAR},
         "buys": {"user_id": -2, "p_id": 1 << 60, "p_ts": _FAR},
     }
-    written = run.replay(spark, _sides(spark, sf_dir), transform, closing=closing)
+    written = replay(spark, _sides(spark, sf_dir), transform, closing=closing)
     return written.select("user_id", "c_id", F.col("p_id").cast("double"))
 
 
@@ -288,7 +289,7 @@ def stream_broadcast_enrich(spark, sf_dir):
 def stream_semi_join(spark, sf_dir):
     dim = load(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    written = run.replay(
+    written = replay(
         spark,
         {"orders": (orders, "o_orderkey")},
         lambda s: s.join(dim, F.col("o_custkey") == F.col("c_custkey"), "left_semi"),
@@ -303,7 +304,7 @@ def stream_semi_join(spark, sf_dir):
 def stream_rolling_reduce(spark, sf_dir):
     table = events(spark, sf_dir).select("user_id", "event_id", "event_type", ms("ts"), "value")
     rules = {"event_type": "first", "ts": "last", "value": "sum"}
-    written = run.replay(
+    written = replay(
         spark,
         {"events": (table, "event_id")},
         lambda s: keyed.rolling_reduce_stream(s, "user_id", "event_id", **rules),
@@ -388,7 +389,7 @@ def stream_trigger_count(spark, sf_dir):
 
 @query("stream_retract_group_sum", SQL["retract_group_sum"])
 def stream_retract_group_sum(spark, sf_dir):
-    return run.replay(
+    return replay(
         spark,
         {"events": (state.whole_values(spark, sf_dir), "event_id")},
         lambda s: keyed.retract_group_stream(s, "user_id", "value", "event_id"),
@@ -467,7 +468,7 @@ def stream_falling_alert_ttl(spark, sf_dir):
 @query("stream_join_left_changelog", SQL["join_left_changelog"])
 def stream_join_left_changelog(spark, sf_dir):
     left, right = state.order_sides(spark, sf_dir)
-    written = run.replay(
+    written = replay(
         spark,
         {"orders": (left, "lseq"), "lines": (right, "rseq")},
         lambda l, r: stream_joins.changelog_left_join_stream(
@@ -477,6 +478,54 @@ def stream_join_left_changelog(spark, sf_dir):
     return written.drop("batch").withColumn("rseq", F.col("rseq").cast("double"))
 
 
+@query("stream_cdc_snapshot", SQL["cdc_snapshot"])
+def stream_cdc_snapshot(spark, sf_dir):
+    """Changes arrive out of order, some of them twice; a restart comes in between."""
+    feed = change_feed(spark, sf_dir)
+    arrival = F.pmod(F.xxhash64("seq"), F.lit(1 << 20))
+    again = feed.filter("seq % 5 = 0").withColumn("arrival", F.pmod(arrival * 7, F.lit(1 << 20)))
+    written = replay(
+        spark,
+        {"changes": (feed.withColumn("arrival", arrival).unionByName(again), "arrival")},
+        lambda s: changelog.newest_changes(s.drop("arrival"), "id", "seq"),
+        mode="update",
+        rounds=3,
+    )
+    return changelog.snapshot(written.drop("batch"), "id", "seq", "op")
+
+
+@query("stream_change_totals", SQL["change_totals"])
+def stream_change_totals(spark, sf_dir):
+    """Totals over the changelog of a left join, as both sides arrive."""
+    left, right = state.order_sides(spark, sf_dir)
+
+    def transform(orders, lines):
+        changes = stream_joins.changelog_left_join_stream(orders, lines, "o_orderkey", "lseq", "rseq", ttl=None)
+        return keyed.change_totals_stream(changes, "o_orderkey", "l_quantity")
+
+    written = replay(spark, {"orders": (left, "lseq"), "lines": (right, "rseq")}, transform)
+    return newest(written, ["o_orderkey"])
+
+
+def _evicted(spark, sf_dir, **keep):
+    def transform(stream):
+        return timers.evict_stream(stream, "event_type", "ts", "1 day", "event_id", "value", bound="1 hour", **keep)
+
+    closing = {"events": {"event_id": 1 << 60, "event_type": "closing", "ts": _FAR}}
+    written = _fed(spark, sf_dir, transform, "event_id", "event_type", "ts", "value", closing=closing)
+    return written.select("event_type", ms("window_start"), "n", money("total", "total"))
+
+
+@query("stream_evict_last_n", SQL["evict_last_n"])
+def stream_evict_last_n(spark, sf_dir):
+    return _evicted(spark, sf_dir, keep_n=10)
+
+
+@query("stream_evict_within", SQL["evict_within"])
+def stream_evict_within(spark, sf_dir):
+    return _evicted(spark, sf_dir, keep_within="2 hours")
+
+
 # --- foreachBatch with a state table -----------------------------------------
 
 
@@ -484,7 +533,7 @@ def stream_join_left_changelog(spark, sf_dir):
 def stream_rolling_sum(spark, sf_dir):
     table = events(spark, sf_dir).select("user_id", "event_id", "value")
     rules = {"total": scan.run_sum("value")}
-    base, out = run.feed(
+    base, out = feed(
         spark,
         {"events": (table, "event_id")},
         lambda s: s,
@@ -500,7 +549,7 @@ def stream_rolling_sum(spark, sf_dir):
 @query("stream_late_split", SQL["late_split"])
 def stream_late_split(spark, sf_dir):
     table = arrivals(spark, sf_dir).select("event_id", "seq", "ts_ms")
-    base, _ = run.feed(
+    base, _ = feed(
         spark,
         {"events": (table, "seq")},
         lambda s: s,
@@ -519,7 +568,7 @@ def stream_late_split(spark, sf_dir):
 @query("stream_allowed_lateness", SQL["allowed_lateness"])
 def stream_allowed_lateness(spark, sf_dir):
     table = arrivals(spark, sf_dir).select("event_type", "seq", "ts_ms", "value")
-    base, _ = run.feed(
+    base, _ = feed(
         spark,
         {"events": (table, "seq")},
         lambda s: s,

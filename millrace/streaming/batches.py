@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import latedata, scan
@@ -61,12 +61,13 @@ def ranked_batches(groups: list[str], value: str, tie: str, sink: Sink) -> Sink:
     """A ``foreachBatch`` function that ranks each group's rows by ``value``, largest first.
 
     For an append-mode window aggregate: a watermark closes a window for all
-    keys at once, so one batch holds all its rows.  Adds ``place``, from 1.
+    keys at once, so one batch holds all its rows.  Adds ``place``, from 1.  A
+    group of very many rows is cut into ranges (:func:`scan.places`).
     """
-    order = Window.partitionBy(*groups).orderBy(F.col(value).desc(), tie)
-
+    @persisted
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(batch.withColumn("place", F.row_number().over(order).cast("long")), batch_id)
+        down = batch.withColumn("_down", -F.col(value))
+        sink(scan.places(down, groups, ["_down", tie]).drop("_down"), batch_id)
 
     return write
 

@@ -8,6 +8,7 @@ counts it); without one, state lives as long as the job.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -15,7 +16,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import millis
-from millrace.operators.changelog import _enter
 from millrace.operators.rolling import Keys, as_list
 
 Step = Callable[[tuple | None, Row], tuple[tuple, list[tuple]]]
@@ -208,6 +208,20 @@ def retract_group_stream(df: DataFrame, key: Keys, value: str, seq: str, ttl=Non
     return fold(df.select(*as_list(key), seq, value), key, seq, state, output, step, ttl)
 
 
+def _enter(top: list[tuple[float, int]], value: float, seq: int, n: int):
+    """Put a value into a list of the best n; gives the entries this causes.
+
+    ``top`` holds (-value, seq) in ascending order and is changed in place.
+    """
+    place = bisect.bisect(top, (-value, seq))
+    if place >= n:
+        return []
+    gone = [(False, -v, rank, seq) for rank, (v, _) in enumerate(top[place:], place + 1)]
+    top.insert(place, (-value, seq))
+    del top[n:]
+    return gone + [(True, -v, rank, seq) for rank, (v, _) in enumerate(top[place:], place + 1)]
+
+
 def top_n_stream(df: DataFrame, key: Keys, value: str, seq: str, n: int, ttl=None) -> DataFrame:
     """Changes of a top-n list as (key, flag, value, rank, seq)."""
     state = _struct("best array<struct<v: double, s: long>>")
@@ -275,3 +289,74 @@ def pattern_times_stream(
 
     read = df.select(*as_list(key), seq, hit, *([ts] if ts else []))
     return fold(read, key, seq, _struct("run array<struct<s: long, t: long>>"), output, step, ttl)
+
+
+class ChangeTotals(StatefulProcessor):
+    """Count, sum, least and largest value of a key's rows, under additions and withdrawals.
+
+    Each value's number of rows is an entry of a map, so a batch writes only the
+    values it touches.  The map's keys are read again only when the least or
+    largest value has lost its last row.
+    """
+
+    def __init__(self, schema: T.StructType, kind: T.DataType, ttl):
+        self._row, self._ttl = Row(*schema.fieldNames()), ttl
+        self._value = T.StructType([T.StructField("v", kind)])
+        self._totals = T.StructType(
+            [T.StructField("n", T.LongType()), T.StructField("total", schema["total"].dataType)]
+            + [T.StructField(c, kind) for c in ("low", "high")]
+        )
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        times = T.StructType([T.StructField("n", T.LongType())])
+        self._times = handle.getMapState("times", self._value, times, self._ttl)
+        self._held = handle.getValueState("totals", self._totals, self._ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        moved: dict = {}
+        change = 0
+        for row in rows:
+            sign = 1 if row["flag"] else -1
+            change += sign
+            if row["value"] is not None:
+                moved[row["value"]] = moved.get(row["value"], 0) + sign
+        n, total, low, high = self._held.get() if self._held.exists() else (0, None, None, None)
+        gone = False
+        for value, by in moved.items():
+            if not by:
+                continue
+            held = self._times.getValue((value,)) if self._times.containsKey((value,)) else (0,)
+            total = (value - value if total is None else total) + value * by
+            if held[0] + by:
+                self._times.updateValue((value,), (held[0] + by,))
+                low = value if low is None or value < low else low
+                high = value if high is None or value > high else high
+            else:
+                self._times.removeKey((value,))
+                gone = gone or value == low or value == high
+        if gone:
+            known = [k[0] for k in self._times.keys()]
+            low, high = min(known, default=None), max(known, default=None)
+            total = total if known else None
+        self._held.update((n + change, total, low, high))
+        yield self._row(*key, n + change, total, low, high)
+
+    def close(self) -> None:
+        pass
+
+
+def change_totals_stream(df: DataFrame, key: Keys, value: str, flag: str = "flag", ttl=None) -> DataFrame:
+    """(key, n, total, low, high) of a changelog's rows, anew whenever a batch changes a key.
+
+    ``flag`` says whether a row is added or withdrawn; a withdrawal may come
+    before or with what it withdraws, as long as both come.  A key whose rows
+    are all withdrawn is given with ``n`` 0.  Null values count in ``n`` only.
+    """
+    keys = as_list(key)
+    kind = df.schema[value].dataType
+    wide = T.DoubleType() if isinstance(kind, (T.FloatType, T.DoubleType)) else kind if isinstance(kind, T.DecimalType) else T.LongType()
+    totals = [T.StructField("n", T.LongType()), T.StructField("total", wide)]
+    schema = T.StructType(_fields(df, keys) + totals + [T.StructField(c, kind) for c in ("low", "high")])
+    read = df.select(*keys, df[flag].alias("flag"), df[value].alias("value"))
+    processor = ChangeTotals(schema, kind, None if ttl is None else millis(ttl))
+    return read.groupBy(*keys).transformWithState(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")

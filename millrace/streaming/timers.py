@@ -1,4 +1,4 @@
-"""Trend alerts with timers."""
+"""Trend alerts and window evictors with timers."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import millis, text
 from millrace.operators.rolling import Keys, as_list
+from millrace.operators.windows import window_of
 
 
 class TrendAlert(StatefulProcessor):
@@ -129,3 +130,80 @@ def trend_alert_stream(
         F.timestamp_micros("armed_us").alias("armed_at"),
         F.timestamp_micros("alert_us").alias("alert_at"),
     )
+
+
+class Evictor(StatefulProcessor):
+    """The newest records of a window, and their aggregates once it closes.
+
+    A record is an entry of a map; records that fall out are removed one by one,
+    so a batch writes what comes and what goes and not the window.
+    """
+
+    def __init__(self, schema: T.StructType, seq: str, value: str, keep_n: int | None, keep_us: int | None):
+        self._row, self._names = Row(*schema.fieldNames()), (seq, value)
+        self._keep_n, self._keep_us = keep_n, keep_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._records = handle.getMapState("records", "at long, seq long", "value double")
+
+    def _kept(self, places: list[tuple[int, int]]) -> set[tuple[int, int]]:
+        if self._keep_n is not None:
+            return set(sorted(places, key=lambda p: p[1])[-self._keep_n :])
+        newest = max(at for at, _ in places)
+        return {p for p in places if p[0] >= newest - self._keep_us}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seq, value = self._names
+        new, end = {}, None
+        for row in rows:
+            end = row["_end_ms"]
+            new[(row["_at"], row[seq])] = row[value]
+        before = [tuple(p) for p in self._records.keys()]
+        kept = self._kept([*before, *new])
+        for place in before:
+            if place not in kept:
+                self._records.removeKey(place)
+        for place, held in new.items():
+            if place in kept:
+                self._records.updateValue(place, (held,))
+        if not before:
+            self._handle.registerTimer(end)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        values = [v[0] for _, v in self._records.iterator()]
+        known = [v for v in values if v is not None]
+        self._records.clear()
+        yield self._row(*key, len(values), sum(known) if known else None, min(known, default=None), max(known, default=None))
+
+    def close(self) -> None:
+        pass
+
+
+def evict_stream(
+    df: DataFrame, key: Keys, ts: str, size: int | str, seq: str, value: str,
+    keep_n: int | None = None, keep_within: int | str | None = None, *, bound: int | str,
+) -> DataFrame:
+    """(key, window_start, window_end, n, total, low, high) over a window's last ``keep_n`` records by
+    ``seq``, or over those at most ``keep_within`` older than its newest, when the window closes.
+
+    State holds the records that may still count.  Records that come ``bound``
+    later than newer ones are dropped by Spark.
+    """
+    if (keep_n is None) == (keep_within is None):
+        raise ValueError("give either keep_n or keep_within")
+    keys = as_list(key)
+    w = window_of(ts, size)
+    marked = df.withWatermark(ts, text(bound)).select(
+        *keys, ts, F.col(seq).cast("long").alias(seq), F.col(value).cast("double").alias(value),
+        F.unix_micros(ts).alias("_at"), w.start.alias("window_start"), w.end.alias("window_end"),
+        F.unix_millis(w.end).alias("_end_ms"),
+    )
+    groups = [*keys, "window_start", "window_end"]
+    schema = T.StructType(
+        [T.StructField(g, marked.schema[g].dataType) for g in groups] + [T.StructField("n", T.LongType())]
+        + [T.StructField(c, T.DoubleType()) for c in ("total", "low", "high")]
+    )
+    processor = Evictor(schema, seq, value, keep_n, None if keep_within is None else millis(keep_within) * 1000)
+    return marked.groupBy(*groups).transformWithState(processor, schema, "Append", "EventTime")

@@ -9,9 +9,10 @@ from millrace.functions import udfs
 from millrace.functions.scalars import case_list, is_digit
 from millrace.operators import aggs, alerts, changelog, joins, latedata, rolling, windows
 from millrace.operators import rows as rowops
+from millrace.plans.replay import replay
 from millrace.sources import ingest
 from millrace.streaming import joins as stream_joins
-from millrace.streaming import keyed, run, timers
+from millrace.streaming import keyed, timers
 
 BASE = 1599990790000  # the event times of the windowed cases, in milliseconds
 
@@ -118,7 +119,7 @@ def test_small_changes_are_not_rounded_away(spark):
     for chunk in (None, 100):
         out = changelog.retract_group(data, "id", "v", "seq", chunk=chunk)
         assert rows(out, "seq", "flag", "v") == expected
-    streamed = run.replay(
+    streamed = replay(
         spark, {"t": (data, "seq")}, lambda s: keyed.retract_group_stream(s, "id", "v", "seq")
     )
     assert rows(streamed, "seq", "flag", "v") == expected
@@ -136,7 +137,7 @@ def test_rolling_fold_in_segments_joins_to_the_whole_text(spark):
 
 
 def test_rolling_fold_stream(spark, words):
-    out = run.replay(
+    out = replay(
         spark,
         {"words": (words, "seq")},
         lambda s: keyed.rolling_fold_stream(
@@ -221,7 +222,7 @@ def test_a_null_value_changes_no_trend(trend):
 
 def test_rising_alert_stream(spark, trend):
     table = trend.select("seq", "k", "ts", "v")
-    out = run.replay(
+    out = replay(
         spark,
         {"t": (table, "seq")},
         lambda s: timers.trend_alert_stream(
@@ -276,7 +277,7 @@ def test_count_window_sliding(spark):
     assert rows(out, "word", "fire", "n") == expected
     once = windows.count_window(table, "word", "seq", 40, {"n": F.sum("one")}, slide=2, chunk=3)
     assert rows(once, "word", "fire", "n") == expected
-    streamed = run.replay(
+    streamed = replay(
         spark,
         {"w": (table, "seq")},
         lambda s: keyed.count_window_stream(s, "word", "seq", "one", 5, slide=2),
@@ -452,7 +453,7 @@ RETRACTED = [
 def test_retract_group(spark, gains):
     out = changelog.retract_group(gains, "id", "v", "seq", chunk=1)
     assert rows(out, "seq", "flag", "id", "v") == sorted(RETRACTED, key=repr)
-    streamed = run.replay(
+    streamed = replay(
         spark,
         {"g": (gains, "seq")},
         lambda s: keyed.retract_group_stream(s, "id", "v", "seq"),
@@ -469,7 +470,7 @@ def test_retract_group_with_nulls(spark):
     for chunk in (1, 100):
         out = changelog.retract_group(table, "id", "v", "seq", chunk=chunk)
         assert rows(out, "seq", "flag", "v") == sorted(expected, key=repr)
-    streamed = run.replay(
+    streamed = replay(
         spark, {"t": (table, "seq")}, lambda s: keyed.retract_group_stream(s, "id", "v", "seq")
     )
     assert rows(streamed, "seq", "flag", "v") == sorted(expected, key=repr)
@@ -483,7 +484,7 @@ def test_top_n_changelog(spark):
     for chunk in (1, 1000):
         out = changelog.top_n_changelog(table, "id", "v", "seq", 3, chunk=chunk)
         assert rows(out, "seq", "flag", "v", "rank") == expected
-    streamed = run.replay(
+    streamed = replay(
         spark, {"t": (table, "seq")}, lambda s: keyed.top_n_stream(s, "id", "v", "seq", 3)
     )
     assert rows(streamed, "seq", "flag", "v", "rank") == expected
@@ -510,7 +511,7 @@ def test_left_join_changelog(spark, two_sides):
     left, right = two_sides
     out = changelog.changelog_left_join(left, right, "id", "lseq", "rseq")
     assert rows(out, "seq", "flag", "id", "l", "r") == sorted(JOINED, key=repr)
-    streamed = run.replay(
+    streamed = replay(
         spark,
         {"l": (left, "lseq"), "r": (right, "rseq")},
         lambda a, b: stream_joins.changelog_left_join_stream(a, b, "id", "lseq", "rseq", ttl=None),

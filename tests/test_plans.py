@@ -85,10 +85,7 @@ def test_core_operators_need_no_python(plan_text):
         n for n, text in plan_text.items()
         if re.search(r"MapInPandas|PythonEval|EvalPython|FlatMapGroups|PythonUDTF", text)
     }
-    assert python == {
-        "rich_map", "enrich_map", "top_n_changelog", "rising_alert_all",
-        "falling_alert_all",
-    }
+    assert python == {"rich_map", "enrich_map"}
 
 
 def test_the_watermark_is_formed_once(spark, monkeypatch):

@@ -166,20 +166,68 @@ def test_row_frame_crosses_blocks(spark, before, block):
     )
 
 
-@pytest.mark.parametrize("parts", [1, 5])
+@pytest.fixture
+def task_rows(monkeypatch):
+    """Rows in each range of every table that is cut into ranges."""
+    found, cut = [], scan.in_sorted_parts
+
+    def counted(*args):
+        made = cut(*args)
+        found.append([n for (n,) in made.groupBy("_part").count().select("count").collect()])
+        return made
+
+    monkeypatch.setattr(scan, "in_sorted_parts", counted)
+    return found
+
+
+@pytest.mark.parametrize("hot", [10, 1000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_with_ties_over_ranges(spark, parts, descending):
+def test_rank_with_ties_over_ranges(spark, monkeypatch, task_rows, hot, descending):
     rng = random.Random(5)
-    data = [(i, rng.choice("ab"), float(rng.randint(0, 20))) for i in range(150)]
+    data = [(i, rng.choice(["a", "a", "a", "b", None, f"c{i}"]), rng.choice([None, *map(float, range(40))])) for i in range(300)]
     df = spark.createDataFrame(data, "id long, k string, v double")
-    out = aggs.rank_over(df, "k", "v", descending=descending, parts=parts)
-    plain = aggs.rank_over(df, "k", "v", descending=descending)
-    assert rows(plain, "id", "rank") == rows(out, "id", "rank")
-    expected = [
-        (i, 1 + sum(1 for _, k2, v2 in data if k2 == k and (v2 > v if descending else v2 < v)))
-        for i, k, v in data
-    ]
+    monkeypatch.setattr(scan, "HOT_ROWS", hot)
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 12)
+    out = aggs.rank_over(df, "k", "v", descending=descending)
+
+    def before(v, w):  # whether a row of value v stands before one of value w
+        if v is None or w is None:
+            return v is None and w is not None if not descending else v is not None and w is None
+        return v > w if descending else v < w
+
+    expected = [(i, 1 + sum(1 for _, k2, v2 in data if k2 == k and before(v2, v))) for i, k, v in data]
     assert rows(out, "id", "rank") == sorted(expected, key=repr)
+    assert bool(task_rows) == (hot == 10)
+    assert all(n <= 24 for found in task_rows for n in found)
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_places_in_a_hot_group(spark, monkeypatch, task_rows, equal):
+    """One group holds a third of the rows, with all its values equal or not; no range holds over two chunks."""
+    rng = random.Random(9)
+    data = [(i, "hot" if i % 3 == 0 else f"k{i % 50}", 1.0 if equal else float(rng.randint(0, 99))) for i in range(900)]
+    df = spark.createDataFrame(data, "id long, k string, v double")
+    monkeypatch.setattr(scan, "HOT_ROWS", 100)
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 30)
+    out = scan.places(df, ["k"], ["v", "id"])
+    groups = {}
+    for i, k, v in sorted(data, key=lambda r: (r[2], r[0])):
+        groups.setdefault(k, []).append(i)
+    expected = [(i, n + 1) for ids in groups.values() for n, i in enumerate(ids)]
+    assert rows(out, "id", "place") == sorted(expected, key=repr)
+    assert len(task_rows) == 1 and len(task_rows[0]) == 10 and max(task_rows[0]) <= 60
+
+
+def test_hot_keys_are_cut_by_size_class(spark, monkeypatch):
+    """A huge key has many chunks, and a key that is just hot has few."""
+    monkeypatch.setattr(scan, "HOT_ROWS", 50)
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 20)
+    df = spark.range(2100).selectExpr("id AS seq", "CASE WHEN id % 21 = 0 THEN 'small' ELSE 'huge' END AS k")
+    cut = scan.measure(df, ["k"], "seq")
+    chunks = {r["k"]: len(r["_cuts"]) + 1 for r in cut.cuts.collect()}
+    assert 3 <= chunks["small"] <= 8 and 90 <= chunks["huge"] <= 110
+    placed = scan.position(df, ["k"], "seq")
+    assert placed.groupBy("k").agg(F.max("pos"), F.countDistinct("pos"), F.count("*")).filter("k = 'huge'").first()[1:] == (2000, 2000, 2000)
 
 
 def test_results_do_not_depend_on_partitioning(spark):

@@ -7,8 +7,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import alerts, enrich, latedata, rolling, windows
+from millrace.plans.replay import feed, newest, replay
 from millrace.session import fresh_dir
-from millrace.streaming import batches, keyed, run, timers
+from millrace.streaming import batches, keyed, timers
 
 BASE = 1_700_000_000
 
@@ -26,7 +27,7 @@ def ticks(spark):
 @pytest.mark.parametrize("rounds", [2, 5])
 def test_rounds_do_not_change_the_result(spark, ticks, rounds):
     table = ticks.select("seq", "k", "v")
-    streamed = run.replay(
+    streamed = replay(
         spark,
         {"t": (table, "seq")},
         lambda s: keyed.rolling_reduce_stream(s, "k", "seq", v="sum"),
@@ -39,7 +40,7 @@ def test_rounds_do_not_change_the_result(spark, ticks, rounds):
 def test_rolling_extremes(spark, ticks):
     table = ticks.select("seq", "k", "v")
     for largest, batch in ((True, rolling.rolling_max_by), (False, rolling.rolling_min_by)):
-        streamed = run.replay(
+        streamed = replay(
             spark,
             {"t": (table, "seq")},
             lambda s, largest=largest: keyed.rolling_extreme_stream(
@@ -74,7 +75,7 @@ def test_alerts_fire_again_after_an_alert(spark, direction, sign):
         [(i, k, s + BASE, v) for i, (k, s, v) in enumerate(data)],
         "seq long, k string, s long, v double",
     ).select("seq", "k", F.timestamp_seconds("s").alias("ts"), "v")
-    streamed = run.replay(
+    streamed = replay(
         spark,
         {"t": (table, "seq")},
         lambda s: timers.trend_alert_stream(
@@ -123,6 +124,139 @@ def test_every_alert_in_chunks_of_long_trends(spark, hold, chunk):
     ) == sorted(expected, key=repr)
 
 
+def test_alerts_of_a_key_that_only_rises(spark, monkeypatch):
+    """One trend of 3,000 moves, which is most of the table, is linked and followed in pieces."""
+    from millrace.operators import scan
+
+    monkeypatch.setattr(scan, "HOT_ROWS", 200)
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 100)
+    data = [("a", i, float(i)) for i in range(3001)] + [("b", i, float(i % 7)) for i in range(300)] + [(None, i, float(i)) for i in range(9)]
+    table = spark.createDataFrame(
+        [(i, k, s + BASE, v) for i, (k, s, v) in enumerate(data)], "seq long, k string, s long, v double"
+    ).withColumn("ts", F.timestamp_seconds("s"))
+    out = alerts.trend_alerts(table, "k", "ts", "v", "2 seconds", "seq")
+    expected, pending = every_alert(data, 2, 1)
+    expected += [(k, a, a + 2) for k, a in pending.items()]
+    assert rows(
+        out.select("k", F.unix_seconds("armed_at") - BASE, F.unix_seconds("alert_at") - BASE)
+    ) == sorted(expected, key=repr)
+    assert "InPandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("hold", [0, 3])
+def test_alerts_at_equal_times(spark, hold):
+    data = [("a", i // 3, float(v)) for i, v in enumerate([1, 2, 3, 4, 5, 6, 2, 3, 3, 4, 1, 2, 3, 4, 5, 6, 7, 8])]
+    table = spark.createDataFrame(
+        [(i, k, s + BASE, v) for i, (k, s, v) in enumerate(data)], "seq long, k string, s long, v double"
+    ).withColumn("ts", F.timestamp_seconds("s"))
+    out = alerts.trend_alerts(table, "k", "ts", "v", f"{hold} seconds", "seq")
+    state, expected = [None, None], []
+    for _, at, value in data:  # as every_alert, but a due alert and the move that meets it are one record
+        last, armed = state
+        step = 0 if last is None else value - last
+        if armed is not None and armed + hold <= at and step:
+            expected.append(("a", armed, armed + hold))
+            armed = None
+        if step > 0 and armed is None:
+            armed = at
+        elif step < 0:
+            armed = None
+        state = [value, armed]
+    if state[1] is not None:
+        expected.append(("a", state[1], state[1] + hold))
+    assert rows(out.select("k", F.unix_seconds("armed_at") - BASE, F.unix_seconds("alert_at") - BASE)) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("n, chunk, fan", [(1, 3, 2), (3, 4, 2), (3, 1, 3), (5, 256, 256)])
+def test_top_n_changes_over_many_blocks(spark, monkeypatch, n, chunk, fan):
+    """A key with most of the rows; lists are merged over several levels."""
+    import random
+
+    from millrace.operators import changelog, scan
+
+    monkeypatch.setattr(scan, "HOT_ROWS", 30)
+    monkeypatch.setattr(scan, "CHUNK_ROWS", 11)
+    monkeypatch.setattr(changelog, "BLOCK", fan)
+    draw = random.Random(n * 10 + chunk)
+    data = [(i, draw.choice(["a", "a", "b", None]), None if draw.random() < 0.1 else float(draw.randint(0, 30))) for i in range(160)]
+    df = spark.createDataFrame(data, "seq long, k string, v double")
+    out = changelog.top_n_changelog(df, "k", "v", "seq", n, chunk=chunk)
+    tops, expected = {}, []
+    for seq, k, v in data:
+        if v is None:
+            continue
+        expected += [(flag, k, u, rank, at) for flag, u, rank, at in keyed._enter(tops.setdefault(k, []), v, seq, n)]
+    assert rows(out) == sorted(expected, key=repr)
+
+
+def test_changes_that_come_late_or_twice(spark):
+    from millrace.operators import changelog
+
+    feed_ = [(0, "a", 5, "U", "x"), (1, "a", 3, "I", "old"), (2, "b", 1, "I", "y"), (3, "b", 4, "D", None), (4, "b", 2, "U", "late"),
+             (5, "a", 5, "U", "x"), (6, "c", 9, "D", None), (7, "c", 8, "I", "z"), (8, "d", 1, "I", "w")]
+    table = spark.createDataFrame(feed_, "at long, k string, seq long, op string, v string")
+    for rounds in (1, 3, 9):
+        written = replay(
+            spark, {"t": (table, "at")}, lambda s: changelog.newest_changes(s.drop("at"), "k", "seq"), mode="update", rounds=rounds
+        )
+        found = changelog.snapshot(written.drop("batch"), "k", "seq", "op")
+        assert rows(found, "k", "seq", "v") == [("a", 5, "x"), ("d", 1, "w")]
+    assert rows(changelog.apply_changes(table.drop("at"), "k", "seq", "op"), "k", "seq", "v") == [("a", 5, "x"), ("d", 1, "w")]
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_totals_of_changes(spark, rounds):
+    """Additions and withdrawals, the extremes among them, and a key that loses all its rows."""
+    import random
+
+    from millrace.operators import changelog
+
+    draw, live, data = random.Random(rounds), {}, []
+    for i in range(120):
+        k = draw.choice("abc")
+        held = live.setdefault(k, [])
+        if held and draw.random() < 0.45:
+            data.append((i, k, False, held.pop(draw.randrange(len(held)))))
+        else:
+            held.append(draw.choice([None, 1.0, 2.0, 5.0, 9.0, 9.0]))
+            data.append((i, k, True, held[-1]))
+    data += [(200, "gone", True, 4.0), (300, "gone", False, 4.0)]
+    table = spark.createDataFrame(data, "seq long, k string, flag boolean, v double")
+    expected = []
+    for k, held in live.items():
+        known = [v for v in held if v is not None]
+        if held:
+            expected.append((k, len(held), sum(known) if known else None, min(known, default=None), max(known, default=None)))
+    whole = changelog.change_totals(table, "k", "v")
+    assert rows(whole, "k", "n", "total", "low", "high") == sorted(expected, key=repr)
+    written = replay(spark, {"t": (table, "seq")}, lambda s: keyed.change_totals_stream(s, "k", "v"), rounds=rounds)
+    last = newest(written, ["k"])
+    assert rows(last.filter("n > 0"), "k", "n", "total", "low", "high") == sorted(expected, key=repr)
+    empty = sorted(["gone", *(k for k, held in live.items() if not held)])
+    assert rows(last.filter("n = 0"), "k", "total", "low", "high") == [(k, None, None, None) for k in empty]
+
+
+@pytest.mark.parametrize("keep", [{"keep_n": 3}, {"keep_within": "4 seconds"}])
+def test_evictors_on_a_stream(spark, ticks, keep):
+    table = ticks.unionByName(
+        spark.createDataFrame([(1 << 40, "z", BASE + 1000, 0.0)], "seq long, k string, s long, v double")
+        .select("seq", "k", F.timestamp_seconds("s").alias("ts"), "v")
+    )
+    rounds_ = {}
+    for rounds in (1, 6):
+        written = replay(
+            spark, {"t": (ticks, "seq")},
+            lambda s: timers.evict_stream(s, "k", "ts", "10 seconds", "seq", "v", bound="0 seconds", **keep),
+            rounds=rounds, closing={"t": {"seq": 1 << 40, "k": "z", "ts": "2100-01-01 00:00:00"}},
+        )
+        rounds_[rounds] = rows(written, "k", "window_start", "n", "total", "low", "high")
+    aggs = [F.count("*").alias("n"), F.sum("v").alias("total"), F.min("v").alias("low"), F.max("v").alias("high")]
+    whole = windows.evict(table.filter("k <> 'z'"), "k", "ts", "10 seconds", "seq", aggs, **keep)
+    assert rounds_[1] == rounds_[6] == rows(whole, "k", "window_start", "n", "total", "low", "high")
+    with pytest.raises(ValueError):
+        timers.evict_stream(ticks, "k", "ts", "10 seconds", "seq", "v", bound="0 seconds")
+
+
 def test_rows_without_partner_are_withdrawn_once():
     """Partners come, expire and come again; state in a list in place of the store."""
     from pyspark.sql import types as T
@@ -167,7 +301,7 @@ def test_old_last_value_is_forgotten(spark):
     table = spark.createDataFrame(data, "seq long, k string, s long, v double").select(
         "seq", "k", F.timestamp_seconds("s").alias("ts"), "v"
     )
-    streamed = run.replay(
+    streamed = replay(
         spark,
         {"t": (table, "seq")},
         lambda s: timers.trend_alert_stream(
@@ -234,7 +368,7 @@ def test_late_batches_match_the_table_form(spark):
     ]
     table = spark.createDataFrame(data, "seq long, k string, t long, v double")
     whole = latedata.allowed_lateness(table, "k", "t", "seq", "v", 3000, 1000, 2000, chunk=5)
-    base, _ = run.feed(
+    base, _ = feed(
         spark,
         {"t": (table, "seq")},
         lambda s: s,
@@ -259,7 +393,7 @@ def test_update_mode_shows_late_rows_within_the_bound(spark):
     )
 
     def total(bound):
-        written = run.replay(
+        written = replay(
             spark,
             {"t": (table, "seq")},
             lambda s: windows.window_agg(
@@ -267,7 +401,7 @@ def test_update_mode_shows_late_rows_within_the_bound(spark):
             ),
             mode="update",
         )
-        return [v for _, _, v in rows(run.newest(written, ["window_start", "window_end"]))]
+        return [v for _, _, v in rows(newest(written, ["window_start", "window_end"]))]
 
     assert sorted(total("1 minute")) == [2.0, 6.0]
     assert sorted(total("0 seconds")) == [1.0, 2.0]
