@@ -24,21 +24,91 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import numbered, settle, tidy
+from millrace.llm.words import EXACT_BYTE, U64, raw, word_hashes
 
 SEQUENCE = 4096
 END = 2
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-#: Words a worker remembers, and the longest of them in characters.
+#: Words a worker remembers, and the longest of them in bytes.
 REMEMBERED, LONGEST = 1_500_000, 48
 
 
+class Pool:
+    """An array that grows at its end in place."""
+
+    def __init__(self, kind: type) -> None:
+        self.room, self.n = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.n + len(more)
+        if end > len(self.room):
+            wider = np.empty(max(end, 2 * len(self.room)), self.room.dtype)
+            wider[: self.n] = self.room[: self.n]
+            self.room = wider
+        self.room[self.n : end] = more
+        self.n = end
+
+
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of runs that begin at ``first``, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Memory:
+    """Words with their ids, found by a sorted array of 64-bit hashes and compared byte by byte.
+
+    Of words with one hash the first is remembered.
+    """
+
+    def __init__(self) -> None:
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.text, self.ids = Pool(np.uint8), Pool(np.uint32)
+        #: Per slot, where text and ids begin and how long they are.
+        self.first, self.length, self.id_first, self.id_length = (Pool(np.int64) for _ in range(4))
+
+    def find(self, data: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The slot of every word ``data[at[i]:at[i + 1]]``, -1 for words that are not remembered."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        slot = np.where(self.keys[place] == hashes, self.slots[place], -1)
+        size = np.diff(at)
+        slot[(slot >= 0) & (self.length.room[slot] != size)] = -1
+        same = np.flatnonzero((slot >= 0) & (size > 0))
+        if len(same):
+            each = size[same]
+            differ = data[_runs(at[:-1][same], each)] != self.text.room[_runs(self.first.room[slot[same]], each)]
+            wrong = np.add.reduceat(differ, np.cumsum(each) - each, dtype=np.int64) > 0
+            slot[same[wrong]] = -1
+        return slot
+
+    def add(self, data: np.ndarray, at: np.ndarray, hashes: np.ndarray, ids: np.ndarray, id_sizes: np.ndarray, which: np.ndarray) -> None:
+        """Remember the words that ``which`` names; ``ids`` has all words' ids in order."""
+        _, once = np.unique(hashes[which], return_index=True)
+        which = which[once]
+        place = np.searchsorted(self.keys, hashes[which])
+        new = np.append(self.keys, U64(0))[place] != hashes[which]
+        new |= place == len(self.keys)
+        which, place = which[new], place[new]
+        slots = self.first.n + np.arange(len(which))
+        self.keys, self.slots = np.insert(self.keys, place, hashes[which]), np.insert(self.slots, place, slots)
+        size, id_size = np.diff(at)[which], id_sizes[which]
+        self.first.add(self.text.n + np.cumsum(size) - size)
+        self.length.add(size)
+        self.id_first.add(self.ids.n + np.cumsum(id_size) - id_size)
+        self.id_length.add(id_size)
+        self.text.add(data[_runs(at[:-1][which], size)])
+        self.ids.add(ids[_runs((np.cumsum(id_sizes) - id_sizes)[which], id_size)])
+
+
 class WordTokens:
     """Token ids of whole texts, from the ids of their words.
 
-    The tokenizer drops white space and its pre-tokens never span it, so a
-    text's ids are those of its stretches between white space, one after the
-    other.  Each distinct stretch of a batch is encoded once; short ones are
-    remembered in flat arrays, up to REMEMBERED.
+    The tokenizer drops white space, and neither its pre-tokens nor its added
+    tokens span it, so a text's ids are those of its stretches between white
+    space, one after the other.  Each distinct stretch of a batch is encoded
+    once; short ones are remembered, up to REMEMBERED.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,33 +117,34 @@ class WordTokens:
 
         pa.set_cpu_count(1)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.words = pa.array([], pa.string())
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.memory = Memory()
 
     def lookup(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words, one after the other, and how many each has."""
-        known = pc.index_in(kinds, value_set=self.words)
-        new = kinds.filter(known.is_null())
+        data, at = raw(kinds)
+        hashes = word_hashes(data, at[:-1], at[1:], EXACT_BYTE)
+        slot = self.memory.find(data, at, hashes)
+        new = np.flatnonzero(slot < 0)
+        words = kinds.take(pa.array(new))
         sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        for i in range(0, len(new), 8192):
-            some = new.slice(i, 8192).to_pylist()
+        for i in range(0, len(words), 8192):
+            some = words.slice(i, 8192).to_pylist()
             made = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, made), np.int64, len(made)))
             ids.append(np.fromiter(itertools.chain.from_iterable(made), np.uint32, int(sizes[-1].sum())))
         sizes, ids = np.concatenate(sizes), np.concatenate(ids)
-        place = known.fill_null(-1).to_numpy().astype(np.int64)
-        place[place < 0] = len(self.words) + np.arange(len(new))
-        every = np.concatenate([self.sizes, sizes])
-        pool = np.concatenate([self.ids, ids])
-        out = _gathered(pool, every, place)
-        short = pc.less_equal(pc.utf8_length(new), LONGEST).to_numpy(zero_copy_only=False)
-        if len(self.words) + short.sum() > REMEMBERED:
-            self.words, self.ids, self.sizes = self.words[:0], self.ids[:0], self.sizes[:0]
-        self.words = pa.concat_arrays([self.words, new.filter(pa.array(short))])
-        self.ids = np.concatenate([self.ids, ids[np.repeat(short, sizes)]])
-        self.sizes = np.concatenate([self.sizes, sizes[short]])
-        return out, every[place]
+        every = np.zeros(len(kinds), np.int64)
+        known = np.flatnonzero(slot >= 0)
+        every[known], every[new] = self.memory.id_length.room[slot[known]], sizes
+        to = np.cumsum(every) - every
+        out = np.empty(int(every.sum()), np.uint32)
+        out[_runs(to[known], every[known])] = self.memory.ids.room[_runs(self.memory.id_first.room[slot[known]], every[known])]
+        out[_runs(to[new], sizes)] = ids
+        short = new[np.diff(at)[new] <= LONGEST]
+        if len(self.memory.keys) + len(short) > REMEMBERED:
+            self.memory = Memory()
+        self.memory.add(data, at, hashes, out, every, short)
+        return out, every
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) in order, and the n + 1 bounds of the texts in them."""
@@ -87,15 +158,12 @@ class WordTokens:
 
 def _gathered(pool: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The runs of ``pool`` (of the given sizes) named by ``wanted``, one after the other."""
-    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    each = sizes[wanted]
+    first, each = np.cumsum(sizes) - sizes, sizes[wanted]
     ends = np.cumsum(each)
     out = np.empty(int(ends[-1]) if len(ends) else 0, pool.dtype)
     for i in range(0, len(wanted), 1 << 17):
         part = slice(i, i + (1 << 17))
-        stop, sizes_ = ends[part], each[part]
-        start = int(stop[0] - sizes_[0])
-        out[start : stop[-1]] = pool[np.arange(start, stop[-1]) + np.repeat(first[wanted[part]] - (stop - sizes_), sizes_)]
+        out[int(ends[i] - each[i]) : ends[part][-1]] = pool[_runs(first[wanted[part]], each[part])]
     return out
 
 
@@ -247,7 +315,8 @@ def pack(
 ) -> DataFrame:
     """One row per piece: its place in its document and in its sequence.
 
-    Null and empty texts are the end token alone; repeated rows and ids are
+    Ids are the library's own for the plain call, added tokens in a text
+    included.  Null and empty texts are the end token alone; repeated rows and ids are
     documents of their own; other columns are ignored.  No documents give no
     rows.  What reaches the driver is one count per length, ``sequence`` at
     most; a length may have any share of the pieces, since ranks are counted

@@ -18,7 +18,9 @@ RUN_BYTES = 1 << 20
 U64 = np.uint64
 _SEED = np.random.default_rng(20_240_607)
 _BYTE = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
+#: Numbers that tell all bytes apart, and those in which A-Z count as a-z.
+EXACT_BYTE = _BYTE.copy()
+_BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -101,13 +103,13 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, at)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word, from one running sum over the bytes."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
+    """A 64-bit hash of every word, from one running sum over the bytes; ``table`` has a number per byte."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[data] * _power(0, len(data)), out=total[1:])
+    np.cumsum(table[data] * _power(0, len(data)), out=total[1:])
     return mix((total[ends] - total[starts]) * _power(1, len(data))[starts] + (ends - starts).astype(np.uint64))
 
 

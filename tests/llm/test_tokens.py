@@ -15,22 +15,22 @@ from millrace.llm import bpe, packing
 
 ODD = [
     "a\x0bb  c", "x\x1cy\x1dz\x1e1\x1f2", "ΟΔΥΣΣΕΥΣ Σ ΑΣ.", "é ́x", "don't I'LL we've",
-    "<|endoftext|> a<|startoftext|>b", " nb sp　x", "İSTANBUL ǅ ﬁ", "日本語 テスト123", "", "   ",
+    "<|endoftext|> a<|startoftext|>b", "x<|ENDOFTEXT|>y <|endoftext|><|endoftext|>", " nb sp　x", "İSTANBUL ǅ ﬁ", "日本語 テスト123", "", "   ",
     "a\x00b", "﻿bom 🙂🙂", "1234 5.6e7 x_y", "\x85next line", None, "w" * 5000,
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(packing.VOCABULARY)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(packing.VOCABULARY)
 
 
 def test_ids_of_words_are_the_tokenizers(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 20)
     codec = packing.WordTokens(packing.VOCABULARY)
-    texts = ODD + ["the cat sat on the mat " * 20, "the mat"]
+    draw = random.Random(1)
+    texts = ODD + ["the cat sat on the mat " * 20, "The mat THE MAT", "one <|endoftext|> two <|endoftext|>"]
+    texts += ["".join(draw.choice(["a", "B", "é", " ", "<|", "endoftext", "|>", "<|endoftext|>", "'", "\n", "１", "ß"]) for _ in range(30)) for _ in range(300)]
     for part in (texts, texts[::-1], texts[:3]):
         ids, at = codec.encode(pa.array(part, pa.string()))
         for text, a, b in zip(part, at, at[1:]):
@@ -121,3 +121,15 @@ def test_encode_and_decode(spark, chunk, overlap):
 def test_empty_tables(spark):
     assert packing.pack(frame(spark, [])).collect() == []
     assert bpe.digests(bpe.encode(frame(spark, []))).collect() == []
+
+
+def test_words_with_one_hash_are_told_apart(monkeypatch):
+    """A hash that knows three values only: most words clash, and none gets another's ids."""
+    memory = packing.Memory()
+    words = ["a", "bb", "", "cc", "bb", "ddd", "a"]
+    data, at = packing.raw(pa.array(words))
+    hashes = np.array([len(w) % 3 for w in words], np.uint64)
+    memory.add(data, at, hashes, np.arange(7, dtype=np.uint32), np.ones(7, np.int64), np.array([0, 1, 2, 3]))
+    slot = memory.find(data, at, hashes)
+    found = [int(memory.ids.room[memory.id_first.room[s]]) if s >= 0 else None for s in slot]
+    assert found == [0, 1, 2, None, 1, None, 0]
