@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.arith import floor_div
@@ -152,17 +152,30 @@ def session_cogroup(
     """
     keys = as_list(key)
     groups = [*keys, "session_start"]
-    held = _held(left, right, keys, ts, gap, seq, item, **kw)
     if every is None:
-        return _listed(held, groups)
-    so_far = Window.partitionBy(*groups).orderBy("fire")
-    so_far = so_far.rowsBetween(Window.unboundedPreceding, 0)
-    items = {
-        "first_items": F.collect_list(F.when(F.col("_first"), F.col("_value"))).over(so_far),
-        "second_items": F.collect_list(F.when(~F.col("_first"), F.col("_value"))).over(so_far),
-    }
-    fired = held.withColumns(items).filter(F.col("fire") % every == 0)
-    return fired.select(*groups, "fire", "n_first", "n_second", *items)
+        return _listed(_held(left, right, keys, ts, gap, seq, item, **kw), groups)
+    # The elements between two firings are listed once; a firing is put together from whole
+    # lists, so no element but the firing ones carries content, and each firing is a group of its own.
+    steps = session_cogroup_steps(left, right, key, ts, gap, seq, item, every, **kw)
+    steps = scan.written(steps, "steps")
+    ends = [f"_end_{i}" for i in range(len(groups))]
+    last = steps.groupBy(*groups).agg(F.max("fire").alias("_last"))
+    last = last.select(*[F.col(g).alias(e) for g, e in zip(groups, ends)], "_last")
+    dealt = steps.join(last, scan.same_row(groups, ends)).drop(*ends)
+    part = F.struct(F.col("fire").alias("step"), "first_items", "second_items")
+    dealt = dealt.select(
+        *groups, "n_first", "n_second", part.alias("_part"),
+        F.explode(F.sequence(F.col("fire"), F.col("_last"), F.lit(every).cast("long"))).alias("fire"),
+    )
+    fired = dealt.groupBy(*groups, "fire").agg(
+        F.max("n_first").alias("n_first"), F.max("n_second").alias("n_second"),
+        F.array_sort(F.collect_list("_part")).alias("_parts"),
+    )
+
+    def joined(name: str) -> Column:
+        return F.flatten(F.transform("_parts", lambda p: p[name]))
+
+    return fired.withColumns({c: joined(c) for c in ("first_items", "second_items")}).drop("_parts")
 
 
 def session_cogroup_steps(

@@ -17,6 +17,7 @@ from millrace.plans.rows import SPACES
 from millrace.plans.windows import BOUND, HOUR, LATENESS, SIZE
 from millrace.plans.replay import feed, newest, replay
 from millrace.session import fresh_dir
+from millrace.sinks import rolling as rolled
 from millrace.sources import ingest
 from millrace.sources.tables import load
 from millrace.streaming import batches, keyed, run, timers
@@ -526,6 +527,22 @@ def stream_evict_within(spark, sf_dir):
     return _evicted(spark, sf_dir, keep_within="2 hours")
 
 
+@query("stream_bucketed_files", SQL["bucketed_files"])
+def stream_bucketed_files(spark, sf_dir):
+    """Lines in files of a day's bucket, rolled at 64 kB here, written in several batches."""
+    path = fresh_dir(spark, "rolled")
+    table = events(spark, sf_dir).select("ts", F.col("value").cast("string").alias("value"))
+    table.write.option("maxRecordsPerFile", 20_000).parquet(f"{path}/in")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    writer = rolled.rolling_stream(
+        stream, f"{path}/out", f"{path}/checkpoint", "ts", "value", "yyyy-MM-dd--'00'", roll_bytes=1 << 16
+    )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    lines = rolled.read_rolled(spark, f"{path}/out")
+    total = F.round(F.sum(F.col("value").cast("double")), 6).alias("total")
+    return lines.groupBy("bucket").agg(F.count("*").alias("n"), total)
+
+
 # --- foreachBatch with a state table -----------------------------------------
 
 

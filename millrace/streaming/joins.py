@@ -68,57 +68,75 @@ def session_cogroup_stream(
     )
 
 
-class LeftJoinChanges(StatefulProcessor):
-    """Keeps both sides of a key and says how each arrival changes the join.
+class Unmatched(StatefulProcessor):
+    """Says when a left row is out without a partner, and withdraws it when its first partner comes.
 
-    A key's state is read and written once per micro-batch.  With every left row
-    it keeps whether the row is out without a partner, so that such a row is
-    withdrawn once, also when partners have come and expired.
+    Such rows are entries of a list, each with a ttl of its own; the list is
+    emptied by the first partner, and rows that find a partner never enter it.
+    Beside it a key has one number, when its newest partner came.
     """
 
-    def __init__(self, schema: T.StructType, left: list, right: list, ttl):
+    def __init__(self, schema: T.StructType, left: list, ttl):
         self._row = Row(*schema.fieldNames())
-        self._left, self._right = T.StructType(left), T.StructType(right)
-        self._ttl = ttl
+        self._left, self._ttl = T.StructType(left), ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        at = T.StructField("at", T.LongType())
-        lefts = T.StructType([*self._left.fields, at, T.StructField("alone", T.BooleanType())])
-        rights = T.StructType([*self._right.fields, at])
-        state = T.StructType(
-            [T.StructField("lefts", T.ArrayType(lefts)), T.StructField("rights", T.ArrayType(rights))]
-        )
-        self._sides = handle.getValueState("sides", state, self._ttl)
+        self._alone = handle.getListState("alone", self._left, self._ttl)
+        self._partner = handle.getValueState("partner", "at long", self._ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = 0 if self._ttl is None else timerValues.getCurrentProcessingTimeInMs()
-        n, m = len(self._left), len(self._right)
-        held = self._sides.get()
-        lefts = [list(r) for r in held[0]] if held else []
-        rights = [tuple(r) for r in held[1]] if held else []
-        if self._ttl is not None:
-            lefts = [r for r in lefts if now - r[n] < self._ttl]
-            rights = [r for r in rights if now - r[m] < self._ttl]
-        none = (None,) * m
-        names, others = self._left.fieldNames(), self._right.fieldNames()
+        names, new = self._left.fieldNames(), []
+        last = self._partner.get()
+        last = None if last is None or self._ttl is not None and now - last[0] >= self._ttl else last[0]
+        matched = last is not None
         for row in sorted(rows, key=lambda r: r["_seq"]):
-            seq = row["_seq"]
             if row["_is_left"]:
-                new = tuple(row[name] for name in names)
-                for other in rights:
-                    yield self._row(True, *key, *new, *other[:m], seq)
-                if not rights:
-                    yield self._row(True, *key, *new, *none, seq)
-                lefts.append([*new, now, not rights])
-            else:
-                new = tuple(row[name] for name in others)
-                for other in lefts:
-                    if other[n + 1]:
-                        yield self._row(False, *key, *other[:n], *none, seq)
-                        other[n + 1] = False
-                    yield self._row(True, *key, *other[:n], *new, seq)
-                rights.append((*new, now))
-        self._sides.update(([tuple(r) for r in lefts], rights))
+                if not matched:
+                    new.append(tuple(row[name] for name in names))
+                    yield self._row(True, *key, *new[-1], row["_seq"])
+                continue
+            if not matched:
+                for held in [*self._alone.get(), *new]:
+                    yield self._row(False, *key, *held, row["_seq"])
+                self._alone.clear()
+                new, matched = [], True
+            last = now
+        if new:
+            self._alone.appendList(new)
+        if matched and last == now:
+            self._partner.update((now,))
+
+    def close(self) -> None:
+        pass
+
+
+class Pairs(StatefulProcessor):
+    """Pairs of both sides' rows; each row is an entry of its side's list, with a ttl of its own."""
+
+    def __init__(self, schema: T.StructType, left: list, right: list, ttl: int):
+        self._row, self._ttl = Row(*schema.fieldNames()), ttl
+        self._sides = {True: T.StructType(left), False: T.StructType(right)}
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        names = {True: "lefts", False: "rights"}
+        self._held = {side: handle.getListState(names[side], kind, self._ttl) for side, kind in self._sides.items()}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows = sorted(rows, key=lambda r: r["_seq"])
+        come = {row["_is_left"] for row in rows}
+        # A side is read if a row of the other has come.
+        known = {side: [tuple(r) for r in self._held[side].get()] if (not side) in come else [] for side in (True, False)}
+        new: dict[bool, list] = {True: [], False: []}
+        for row in rows:
+            side = row["_is_left"]
+            mine = tuple(row[name] for name in self._sides[side].fieldNames())
+            for other in (*known[not side], *new[not side]):
+                yield self._row(True, *key, *(mine + other if side else other + mine), row["_seq"])
+            new[side].append(mine)
+        for side, entries in new.items():
+            if entries:
+                self._held[side].appendList(entries)
 
     def close(self) -> None:
         pass
@@ -135,23 +153,33 @@ def changelog_left_join_stream(
 ) -> DataFrame:
     """(flag, key, left columns, right columns, seq): false withdraws, true adds.
 
-    The rows of both sides are kept as state for ``ttl``; None keeps them for
-    ever and must be asked for.  All rows of a key travel together, so a key's
-    rows within the ``ttl`` have to fit a task.
+    Every row of both sides is a state entry of its own, kept for ``ttl``; None
+    keeps rows for ever and must be asked for.  For ever, the pairs are Spark's
+    own join of two streams; with a ttl, which is a time of the clock and not of
+    the rows, they come from lists whose entries expire.  Left rows without a
+    partner, and their withdrawal, need only those rows and the right side's
+    numbers.
     """
     lefts = [f for f in left.schema.fields if f.name != key]
     rights = [f for f in right.schema.fields if f.name != key]
-    schema = T.StructType(
-        [T.StructField("flag", T.BooleanType()), left.schema[key]]
-        + [T.StructField(f.name, f.dataType) for f in lefts + rights]
-        + [T.StructField("seq", T.LongType())]
-    )
-    tagged = left.withColumns(
-        {"_seq": F.col(lseq).cast("long"), "_is_left": F.lit(True)}
-    ).unionByName(
-        right.withColumns({"_seq": F.col(rseq).cast("long"), "_is_left": F.lit(False)}),
-        allowMissingColumns=True,
-    )
-    processor = LeftJoinChanges(schema, lefts, rights, None if ttl is None else millis(ttl))
+    last = None if ttl is None else millis(ttl)
     mode = "None" if ttl is None else "ProcessingTime"
-    return tagged.groupBy(key).transformWithState(processor, schema, "Append", mode)
+    flag, seq = T.StructField("flag", T.BooleanType()), T.StructField("seq", T.LongType())
+    sides = left.withColumns({"_seq": F.col(lseq).cast("long"), "_is_left": F.lit(True)})
+    others = right.withColumns({"_seq": F.col(rseq).cast("long"), "_is_left": F.lit(False)})
+
+    if last is None:
+        columns = [key, *[f.name for f in lefts], *[f.name for f in rights]]
+        pairs = left.join(right.withColumnRenamed(key, "_rk"), F.col(key) == F.col("_rk"))
+        pairs = pairs.select(F.lit(True).alias("flag"), *columns, F.greatest(lseq, rseq).cast("long").alias("seq"))
+    else:
+        whole = T.StructType([flag, left.schema[key], *lefts, *rights, seq])
+        both = sides.unionByName(others, allowMissingColumns=True)
+        pairs = both.groupBy(key).transformWithState(Pairs(whole, lefts, rights, last), whole, "Append", mode)
+
+    schema = T.StructType([flag, left.schema[key], *lefts, seq])
+    tagged = sides.unionByName(others.select(key, "_seq", "_is_left"), allowMissingColumns=True)
+    processor = Unmatched(schema, lefts, last)
+    alone = tagged.groupBy(key).transformWithState(processor, schema, "Append", mode)
+    alone = alone.withColumns({f.name: F.lit(None).cast(f.dataType) for f in rights})
+    return pairs.unionByName(alone)

@@ -582,6 +582,18 @@ def test_window_join(spark):
     assert starts == {1567759290}
 
 
+def test_a_long_session_that_fires_rarely(spark):
+    """100,000 elements and two firings: only these carry content."""
+    rows_ = spark.range(100_000).selectExpr("'k' AS k", "timestamp_seconds(id) AS ts", "id AS seq", "id AS v")
+    left, right = rows_.filter("id % 4 > 0"), rows_.filter("id % 4 = 0")
+    out = joins.session_cogroup(left, right, "k", "ts", "1 hour", "seq", "v", every=50_000)
+    found = {r["fire"]: r for r in out.collect()}
+    assert sorted(found) == [50_000, 100_000]
+    for fire, r in found.items():
+        assert r["second_items"] == list(range(0, fire, 4)) and r["n_second"] == fire // 4
+        assert r["first_items"] == [i for i in range(fire) if i % 4] and r["n_first"] == fire - fire // 4
+
+
 def test_session_join_and_cogroup(spark):
     def side(data, name):
         table = spark.createDataFrame(data, f"k string, s long, seq long, {name} string")

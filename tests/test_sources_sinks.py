@@ -342,3 +342,46 @@ def test_append_output_rejects_changing_results(spark):
             stream.groupBy("id").count(), batches.folder_sink(f"{path}/out"),
             f"{path}/check", "append",
         )
+
+
+def test_files_are_rolled_by_size_and_committed_once(spark, tmp_path):
+    """Files of one size, a batch that is repeated, and a task's leftovers that do not count."""
+    from millrace.sinks import rolling
+
+    lines = spark.range(4000).selectExpr("timestamp_seconds(id * 60) AS ts", "lpad(id, 9, '0') AS value")
+    lines = lines.unionByName(spark.sql("SELECT timestamp_seconds(0) AS ts, CAST(NULL AS STRING) AS value"))
+    lines.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    out, check = f"{tmp_path}/out", f"{tmp_path}/check"
+
+    def run():
+        writer = rolling.rolling_stream(stream, out, check, "ts", "value", "yyyy-MM-dd", roll_bytes=500)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    files = rolling.committed(spark, out).collect()
+    assert len(list((tmp_path / "out" / "_commits").glob("*.json"))) == 3
+    assert sum(f["rows"] for f in files) == 4000 and max(f["bytes"] for f in files) == 500
+    assert all((tmp_path / "out" / f["file"]).stat().st_size == f["bytes"] for f in files)
+    found = rolling.read_rolled(spark, out)
+    expected = lines.filter("value IS NOT NULL").selectExpr("date_format(ts, 'yyyy-MM-dd') AS bucket", "value")
+    assert rows(found) == rows(expected)
+    # The last batch is done again: Spark's note of its end is lost.
+    commits = tmp_path / "check" / "commits"
+    for name in ("2", ".2.crc"):
+        (commits / name).unlink(missing_ok=True)
+    before = sorted(f["file"] for f in files)
+    run()
+    assert sorted(f["file"] for f in rolling.committed(spark, out).collect()) == before
+    (tmp_path / "out" / "bucket=1970-01-01" / "part-left.txt").write_text("never committed\n")
+    assert rows(rolling.read_rolled(spark, out)) == rows(expected)
+
+
+def test_files_are_rolled_by_age(tmp_path):
+    from millrace.sinks import rolling
+
+    writer = rolling.RollingWriter(str(tmp_path), 1 << 30, 0.0)
+    made = writer.write(iter([{"bucket": "a", "value": "x"}, {"bucket": "a", "value": "yy"}, {"bucket": "b", "value": ""}]))
+    assert [(f["file"].split("/")[0], f["bytes"], f["rows"]) for f in made.files] == [("bucket=a", 2, 1), ("bucket=a", 3, 1), ("bucket=b", 1, 1)]
+    writer.abort([made, None], 0)
+    assert not list(tmp_path.rglob("*.txt"))

@@ -258,23 +258,26 @@ def test_evictors_on_a_stream(spark, ticks, keep):
 
 
 def test_rows_without_partner_are_withdrawn_once():
-    """Partners come, expire and come again; state in a list in place of the store."""
+    """Partners come, expire and come again; state in lists in place of the store."""
     from pyspark.sql import types as T
 
-    from millrace.streaming.joins import LeftJoinChanges
+    from millrace.streaming.joins import Unmatched
 
-    left, right = [T.StructField("l", T.LongType())], [T.StructField("r", T.LongType())]
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("flag", "k", "l", "r", "seq")])
-    job = LeftJoinChanges(schema, left, right, 100)
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("flag", "k", "l", "seq")])
+    job = Unmatched(schema, [T.StructField("l", T.LongType())], 100)
 
-    class Held:
-        value = None
+    class Value:
+        held = None
 
         def get(self):
-            return self.value
+            return self.held
 
         def update(self, value):
-            self.value = value
+            self.held = value
+
+    class Entries(list):
+        get = list.copy
+        appendList = list.extend
 
     class Clock:
         now = 0
@@ -282,17 +285,48 @@ def test_rows_without_partner_are_withdrawn_once():
         def getCurrentProcessingTimeInMs(self):
             return self.now
 
-    job._sides, clock = Held(), Clock()
+    job._alone, job._partner, clock = Entries(), Value(), Clock()
     found = []
-    arrivals = [(0, 1, True, 10, None), (90, 2, False, None, 20), (95, 3, True, 11, None), (192, 4, False, None, 21), (193, 5, True, 12, None)]
-    for now, seq, is_left, lv, rv in arrivals:
+    arrivals = [(0, 1, True, 10), (90, 2, False, None), (95, 3, True, 11), (192, 4, False, None), (193, 5, True, 12), (293, 6, True, 13), (294, 7, False, None)]
+    for now, seq, is_left, lv in arrivals:
         clock.now = now
-        row = {"_seq": seq, "_is_left": is_left, "l": lv, "r": rv}
-        found += [tuple(r) for r in job.handleInputRows((7,), iter([row]), clock)]
-    assert found == [
-        (True, 7, 10, None, 1), (False, 7, 10, None, 2), (True, 7, 10, 20, 2), (True, 7, 11, 20, 3),
-        (True, 7, 11, 21, 4), (True, 7, 12, 21, 5),
-    ]
+        found += [tuple(r) for r in job.handleInputRows((7,), iter([{"_seq": seq, "_is_left": is_left, "l": lv}]), clock)]
+    assert found == [(True, 7, 10, 1), (False, 7, 10, 2), (True, 7, 13, 6), (False, 7, 13, 7)]
+    assert job._alone == [] and job._partner.held == (294,)
+
+
+def _two_sides(spark):
+    left = spark.range(60).selectExpr("id % 7 AS k", "id * 3 AS lseq", "id AS l")
+    right = spark.range(40).selectExpr("(id * id) % 9 AS k", "id * 4 + 1 AS rseq", "id AS r")
+    return left, right
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_left_join_of_streams_as_changes(spark, rounds):
+    from millrace.operators import changelog
+    from millrace.streaming import joins
+
+    left, right = _two_sides(spark)
+    whole = changelog.changelog_left_join(left, right, "k", "lseq", "rseq")
+    streamed = replay(
+        spark, {"l": (left, "lseq"), "r": (right, "rseq")},
+        lambda a, b: joins.changelog_left_join_stream(a, b, "k", "lseq", "rseq", ttl=None), rounds=rounds,
+    )
+    assert rows(streamed, *whole.columns) == rows(whole)
+
+
+def test_left_join_of_streams_with_a_ttl(spark):
+    from millrace.operators import changelog
+    from millrace.streaming import joins
+
+    left, right = _two_sides(spark)
+    whole = changelog.changelog_left_join(left, right, "k", "lseq", "rseq")
+    path, streams = fresh_dir(spark, "ttl"), []
+    for name, table in (("l", left), ("r", right)):
+        table.write.parquet(f"{path}/{name}")
+        streams.append(spark.readStream.schema(table.schema).parquet(f"{path}/{name}"))
+    out = joins.changelog_left_join_stream(*streams, "k", "lseq", "rseq", ttl="1 hour").select(*whole.columns)
+    assert running(spark, out, path, 90, lambda df: df.count() >= whole.count()) == rows(whole)
 
 
 def test_old_last_value_is_forgotten(spark):
