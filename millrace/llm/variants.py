@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import numbered, settle, tidy
 from millrace.llm.slices import SPACE, slices
-from millrace.llm.words import U64, _power, mix
+from millrace.llm.words import U64, _power, mix, runs
 
 SHORTEST, LEAST, TIMES, EVERY = 7, 2, 10, 31
 PREFIX, GROUP, LONG = 3, 8192, 64
@@ -183,20 +183,36 @@ def _enumerate(prefix: int):
     return work
 
 
+#: Places for an edit that are worked on at once.
+PLACES = 1 << 18
+
+
 def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fingerprints of every word, and of it without the code point at each place from ``low`` to before ``high``."""
     for batch in batches:
-        for i, word, low, high in zip(*(batch[c].to_pylist() for c in ("id", "word", "low", "high"))):
-            points = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
-            n = len(points)
-            total = np.concatenate([[U64(0)], np.cumsum(mix(points) * _power(0, n), dtype=np.uint64)])
-            at = np.arange(low, high)
-            # what comes after the place moves one to the front: divided by the base once
-            prints = total[at] + (total[n] - total[at + 1]) * _power(1, 2)[1]
-            keys = np.concatenate([mix(total[n:] + U64(n)), mix(prints + U64(n - 1))]).view(np.int64)
-            places = np.concatenate([[-1], at])
+        words, ids = batch["word"].to_pylist(), batch["id"].to_numpy()
+        low, high = (batch[c].to_numpy().astype(np.int64) for c in ("low", "high"))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for i, j in runs(np.concatenate([[0], np.cumsum(sizes + high - low)]), PLACES):
+            points = np.frombuffer("".join(words[i:j]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+            total = np.concatenate([[U64(0)], np.cumsum(mix(points) * _power(0, len(points)), dtype=np.uint64)])
+            back = _power(1, len(points) + 2)
+            size = sizes[i:j]
+            first = np.cumsum(size) - size
+            end = first + size
+            each = high[i:j] - low[i:j]
+            word = np.repeat(np.arange(j - i), each)
+            place = np.arange(len(word)) - np.repeat(np.cumsum(each) - each - low[i:j], each)
+            at, start = first[word] + place, first[word]
+            # what comes after the place moves one to the front: divided by the base once more
+            left = (total[at] - total[start]) * back[start]
+            right = (total[end[word]] - total[at + 1]) * back[start + 1]
+            whole = mix((total[end] - total[first]) * back[first] + size.astype(np.uint64))
+            keys = np.concatenate([whole, mix(left + right + (size[word] - 1).astype(np.uint64))])
+            places = np.concatenate([np.full(j - i, -1), place])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(places, pa.int64()), pa.array(np.full(len(keys), i))], names=["key", "place", "id"]
+                [pa.array(keys.view(np.int64)), pa.array(places), pa.array(np.concatenate([ids[i:j], ids[i:j][word]]))],
+                names=["key", "place", "id"],
             )
 
 
