@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import exact, minhash, sketch, substring
@@ -235,3 +236,44 @@ def test_empty_tables(spark):
     assert exact.exact_duplicates(none).collect() == []
     assert minhash.near_duplicates(none).collect() == []
     assert substring.repeated_passages(none).collect() == []
+
+
+@pytest.mark.parametrize("length, changes", [(50, 0), (50, 1), (55, 1), (60, 2), (100, 3), (200, 6)])
+def test_similar_passages_are_aligned_whatever_is_changed(length, changes):
+    """Passages of similarity 0.75 and more among other words; changes at their edges are no exception."""
+    draw = np.random.default_rng(length + changes)
+    size, least = 5, 46
+    for trial in range(60):
+        passage = draw.integers(1 << 40, 1 << 50, length)
+        other = passage.copy()
+        where = draw.choice(length, changes, replace=False)
+        if changes and trial % 2:
+            where[0] = draw.choice([0, 1, 2, length - 1, length - 2, length - 3])
+        other[where] = draw.integers(1 << 51, 1 << 52, changes)
+        texts = []
+        for middle in (passage, other):
+            whole = np.concatenate([draw.integers(0, 1 << 39, 60), middle, draw.integers(0, 1 << 39, 60)])
+            grams = [tuple(whole[i : i + size]) for i in range(len(whole) - size + 1)]
+            texts.append(np.array([hash(g) & ((1 << 62) - 1) for g in grams], np.uint64))
+        a, b = texts
+        sets = [set(t[60 : 60 + length - size + 1].tolist()) for t in texts]
+        both = len(sets[0] & sets[1])
+        if 100 * both < 75 * len(sets[0] | sets[1]):
+            continue
+        found = substring.passages(a, b, np.ones(len(a), bool), np.ones(len(b), bool), least, 75)
+        assert found, (trial, where)
+        for s, e, t, u, alike in found:
+            x, y = set(a[s:e].tolist()), set(b[t:u].tolist())
+            assert e - s >= least and u - t >= least and alike == len(x & y) / len(x | y) >= 0.75
+
+
+def test_parts_without_windows_cost_no_row():
+    used, edges = substring._used_parts(np.array([3, 3, 900, 2999]))
+    assert used == [3, 900, 2999] and edges.tolist() == [0, 2, 3, 4]
+    rows = [pa.array([1, 2], pa.int64()), pa.array([prose(1, 80), prose(2, 60) + " " + prose(1, 80)])]
+    batch = pa.RecordBatch.from_arrays(rows, names=["uid", "text"])
+    made = [r for b in substring._signer(5, 50, 8, 3000)(iter([batch])) for r in b.to_pylist()]
+    assert 0 < len(made) < 60 and all(r["sig"] for r in made)
+    assert len(made[0]["later"]) > 0 and all(not r["later"] for r in made[1:])
+    blank = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["a b"])], names=["uid", "text"])
+    assert sum(b.num_rows for b in substring._signer(5, 50, 8, 3000)(iter([blank]))) == 0

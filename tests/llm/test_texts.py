@@ -239,3 +239,22 @@ def test_slices_give_every_word_once():
                 assert not seen or fresh == 0 or spoken[:new][-carry:] == seen[-carry:][-new:] or carry == 0
                 seen += spoken[new:]
             assert seen == text.split() + ["a", "b"]
+
+
+@pytest.mark.parametrize("places", [1 << 18, 5])
+def test_words_with_a_place_left_out(monkeypatch, places):
+    """Equal fingerprints exactly where the words are equal, in whatever runs they are worked on."""
+    monkeypatch.setattr(variants, "PLACES", places)
+    found = [*letters(3, 40, 1, "abß"), "", "x"]
+    low = [0 if i % 3 else min(1, len(w)) for i, w in enumerate(found)]
+    high = [max(lo, len(w) - i % 2) for i, (w, lo) in enumerate(zip(found, low))]
+    columns = [pa.array(range(len(found)), pa.int64()), pa.array(found), pa.array(low, pa.int32()), pa.array(high, pa.int32())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "word", "low", "high"])
+    rows = [r for b in variants._left_out(iter([batch])) for r in b.to_pylist()]
+    expected = [(i, p) for i in range(len(found)) for p in [-1, *range(low[i], high[i])]]
+    assert sorted((r["id"], r["place"]) for r in rows) == sorted(expected)
+    texts = defaultdict(set)
+    for r in rows:
+        w, p = found[r["id"]], r["place"]
+        texts[r["key"]].add(w if p < 0 else w[:p] + w[p + 1 :])
+    assert all(len(t) == 1 for t in texts.values()) and len(texts) == len(set().union(*texts.values()))
