@@ -99,7 +99,7 @@ _ASKED, _MOVE, _END = 0, 1, 2
 _NEVER = 1 << 62
 
 
-def _next_moves(moves: DataFrame, hold_us: int, chunk: int | None) -> DataFrame:
+def _next_moves(moves: DataFrame, hold_us: int, chunk: int | scan.Cut | None) -> DataFrame:
     """Each move onward with ``_next``, the first one of its trend at or after its due time, and
     ``_fires``, whether the alert armed by it comes before the trend ends.
 
@@ -126,22 +126,43 @@ def _next_moves(moves: DataFrame, hold_us: int, chunk: int | None) -> DataFrame:
     return seen.filter(F.col("_kind") == _ASKED).select("_k", "_s", (F.col("_at") - hold_us).alias("_at"), "_next", fires.alias("_fires"))
 
 
+#: Steps along the links that one round takes.
+STEPS = 8
+
+
+def _along(rows: DataFrame, jumps: DataFrame, steps: int) -> DataFrame:
+    """``rows(_k, _s)`` with ``_path``: the numbers that up to ``steps`` jumps lead to, in order.
+
+    Rows meet by key and number, which no two rows of ``jumps`` share; a path
+    that has ended keeps its last number, so such rows do not gather either.
+    """
+    path = rows.select("_k", "_s", F.col("_s").alias("_at"), F.lit(True).alias("_live"), F.array().cast("array<bigint>").alias("_path"))
+    for _ in range(steps):
+        there = jumps.select(F.col("_k").alias("_k2"), F.col("_s").alias("_s2"), F.col("_next").alias("_then"))
+        met = path.join(there, scan.same_row(["_k", "_at"], ["_k2", "_s2"]) & F.col("_live"), "left")
+        live = F.col("_then").isNotNull()
+        path = met.select(
+            "_k", "_s", F.coalesce("_then", "_at").alias("_at"), live.alias("_live"),
+            F.when(live, F.array_append("_path", F.col("_then"))).otherwise(F.col("_path")).alias("_path"),
+        )
+    return path
+
+
 def _chains(heads: DataFrame, links: DataFrame, longest: int) -> DataFrame:
     """All ``_k, _s`` that the links lead to from the heads, by pointer jumping.
 
-    Each round doubles the steps a link takes, so a chain of any length needs
-    as many rounds as its length has bits.  Rows meet by key and number, which
-    no two rows share.
+    A round follows STEPS jumps from all that is reached, and then makes that
+    many jumps one: the rounds grow with the logarithm of the longest chain.
     """
     reached, jumps = heads, links.select("_k", "_s", "_next").filter("_next is not null")
-    rounds = max(0, longest - 1).bit_length()
-    for i in range(rounds):
-        there = jumps.select(F.col("_k").alias("_k2"), F.col("_s").alias("_s2"), F.col("_next").alias("_then"))
-        more = reached.join(there, scan.same_row(["_k", "_s"], ["_k2", "_s2"])).select("_k", F.col("_then").alias("_s"))
-        reached = scan.written(reached.unionByName(more), "reached")
-        if i + 1 < rounds:
-            jumps = jumps.join(there, scan.same_row(["_k", "_next"], ["_k2", "_s2"])).select("_k", "_s", F.col("_then").alias("_next"))
-            jumps = scan.written(jumps, "jumps")
+    while longest > 1:
+        path = _along(reached, jumps, min(longest, STEPS) - 1)
+        reached = path.select("_k", F.explode(F.array_prepend("_path", F.col("_s"))).alias("_s"))
+        longest = -(-longest // STEPS)
+        if longest > 1:
+            reached = scan.written(reached, "reached")
+            whole = _along(jumps.select("_k", "_s"), jumps, STEPS).filter("_live")
+            jumps = scan.written(whole.select("_k", "_s", F.col("_at").alias("_next")), "jumps")
     return reached
 
 
@@ -165,7 +186,7 @@ def trend_alerts(
     """
     up = {"rising": 1, "falling": -1}[direction]
     hold_us = millis(hold) * 1000
-    rows = df.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), F.unix_micros(ts).alias("_at"), value)
+    rows = df.select(F.col(key).alias("_k"), F.col(seq).cast("long").alias("_s"), F.unix_micros(ts).alias("_at"), value)
     rows = rows.filter(F.col(value).isNotNull())
     width = chunk if isinstance(chunk, int) else None
     cut = scan.Cut(chunk) if width else chunk or scan.measure(rows, ["_k"], "_s")
@@ -180,7 +201,8 @@ def trend_alerts(
     spent = F.floor((F.max("_at") - F.min("_at")) / F.lit(max(hold_us, 1))) + 1
     trends = trends.agg(F.min("_s").alias("_s"), F.least(F.count("*"), spent).alias("_most"))
     longest = trends.agg(F.max("_most")).first()[0] or 0
-    links = _next_moves(moves, hold_us, None if width is None else width * 1_000_000)
+    # Without a hot key there is no hot trend, and no need to look for one.
+    links = _next_moves(moves, hold_us, width * 1_000_000 if width else cut if cut.whole else None)
     if longest > 1:
         links = scan.written(links, "links")
     reached = _chains(trends.select("_k", "_s"), links, longest)

@@ -479,6 +479,38 @@ def stream_join_left_changelog(spark, sf_dir):
     return written.drop("batch").withColumn("rseq", F.col("rseq").cast("double"))
 
 
+@query(
+    "stream_item_counts",
+    """SELECT user_id, event_type, event_id, count(*) OVER (
+         PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events""",
+)
+def stream_item_counts(spark, sf_dir):
+    """A map per key: how often each kind of event has come."""
+    return _fed(
+        spark,
+        sf_dir,
+        lambda s: keyed.item_counts_stream(s, "user_id", "event_type", "event_id"),
+        "event_id", "user_id", "event_type",
+    ).drop("batch")
+
+
+@query(
+    "stream_window_content",
+    f"""SELECT event_type, {HOUR} AS window_start, row_number() OVER (
+          PARTITION BY event_type, {HOUR} ORDER BY event_id) AS place, value AS item FROM events""",
+)
+def stream_window_content(spark, sf_dir):
+    """A list per key and window, given in order when the window closes."""
+    closing = {"events": {"event_id": 1 << 60, "event_type": "closing", "ts": _FAR}}
+    written = _fed(
+        spark,
+        sf_dir,
+        lambda s: timers.window_content_stream(s, "event_type", "ts", "1 hour", "event_id", "value", bound="1 hour"),
+        "event_id", "event_type", "ts", "value", closing=closing,
+    )
+    return written.select("event_type", ms("window_start"), "place", "item")
+
+
 @query("stream_cdc_snapshot", SQL["cdc_snapshot"])
 def stream_cdc_snapshot(spark, sf_dir):
     """Changes arrive out of order, some of them twice; a restart comes in between."""

@@ -78,9 +78,14 @@ def running_batches(
     rules: dict[str, scan.Rule],
     state_path: str,
     sink: Sink,
+    retain: int | None = None,
     **kw,
 ) -> Sink:
-    """A ``foreachBatch`` function for running folds that no hot key can stall."""
+    """A ``foreachBatch`` function for running folds that no hot key can stall.
+
+    ``retain`` forgets a key whose newest ``seq`` lies more than that behind the
+    newest of all, and so bounds the state; without it every key is kept.
+    """
     keys = as_list(keys)
     slots = Slots(state_path)
 
@@ -98,12 +103,19 @@ def running_batches(
 
     @persisted
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.groupBy(*keys).agg(*[fresh_fold(n, r) for n, r in rules.items()])
+        fresh = batch.groupBy(*keys).agg(
+            *[fresh_fold(n, r) for n, r in rules.items()], F.max(F.col(seq).cast("long")).alias("_last")
+        )
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema)
         before = slots.read(batch.sparkSession, batch_id, ddl)
-        sink(scan.running(batch, keys, seq, rules, start=before, **kw), batch_id)
+        sink(scan.running(batch, keys, seq, rules, start=before.drop("_last"), **kw), batch_id)
         both = before.withColumn("_age", F.lit(0)).unionByName(fresh.withColumn("_age", F.lit(1)))
-        after = both.groupBy(*keys).agg(*[merged_fold(n, r) for n, r in rules.items()])
+        after = both.groupBy(*keys).agg(
+            *[merged_fold(n, r) for n, r in rules.items()], F.max("_last").alias("_last")
+        )
+        if retain is not None:
+            newest = both.agg(F.max("_last")).first()[0]
+            after = after.filter(F.col("_last") >= (newest or 0) - retain)
         slots.write(after, batch_id)
 
     return write

@@ -360,3 +360,41 @@ def change_totals_stream(df: DataFrame, key: Keys, value: str, flag: str = "flag
     read = df.select(*keys, df[flag].alias("flag"), df[value].alias("value"))
     processor = ChangeTotals(schema, kind, None if ttl is None else millis(ttl))
     return read.groupBy(*keys).transformWithState(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")
+
+
+class ItemCounts(StatefulProcessor):
+    """Counts per item of a key, each an entry of a map: a batch reads and writes the items it has."""
+
+    def __init__(self, schema: T.StructType, item: T.StructField, seq: str, ttl):
+        self._row, self._seq, self._ttl = Row(*schema.fieldNames()), seq, ttl
+        self._item = T.StructType([item])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._counts = handle.getMapState("counts", self._item, "n long", self._ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held: dict = {}
+        for row in sorted(rows, key=lambda r: r[self._seq]):
+            item = row[self._item[0].name]
+            if item not in held:
+                held[item] = self._counts.getValue((item,))[0] if self._counts.containsKey((item,)) else 0
+            held[item] += 1
+            yield self._row(*key, item, row[self._seq], held[item])
+        for item, n in held.items():
+            self._counts.updateValue((item,), (n,))
+
+    def close(self) -> None:
+        pass
+
+
+def item_counts_stream(df: DataFrame, key: Keys, item: str, seq: str, ttl=None) -> DataFrame:
+    """(key, item, seq, n): with every record, how often its item has come under its key.
+
+    The table form is :func:`millrace.operators.rolling.rolling_count` over key
+    and item.  ``ttl`` forgets an item, by itself, that has not come for so long.
+    """
+    keys = as_list(key)
+    read = df.select(*keys, item, seq)
+    schema = T.StructType([*_fields(read, [*keys, item, seq]), T.StructField("n", T.LongType())])
+    processor = ItemCounts(schema, read.schema[item], seq, None if ttl is None else millis(ttl))
+    return read.groupBy(*keys).transformWithState(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")

@@ -207,3 +207,57 @@ def evict_stream(
     )
     processor = Evictor(schema, seq, value, keep_n, None if keep_within is None else millis(keep_within) * 1000)
     return marked.groupBy(*groups).transformWithState(processor, schema, "Append", "EventTime")
+
+
+class WindowContent(StatefulProcessor):
+    """All records of a window in a list that grows by what comes, given when the window closes."""
+
+    def __init__(self, schema: T.StructType, fields: list[T.StructField]):
+        self._row, self._fields = Row(*schema.fieldNames()), T.StructType(fields)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._records = handle.getListState("records", self._fields)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new, end = [], None
+        for row in rows:
+            end = row["_end_ms"]
+            new.append(tuple(row[name] for name in self._fields.fieldNames()))
+        if not self._records.exists():
+            self._handle.registerTimer(end)
+        self._records.appendList(new)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        for place, record in enumerate(sorted(self._records.get(), key=lambda r: r[0]), 1):
+            yield self._row(*key, place, record[1])
+        self._records.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def window_content_stream(
+    df: DataFrame, key: Keys, ts: str, size: int | str, seq: str, item: str, *, bound: int | str
+) -> DataFrame:
+    """(key, window_start, window_end, place, item): a window's records in the order of ``seq``, when it closes.
+
+    One task gives a key's window; the table form, :func:`windows.window_list`,
+    does not gather it.  Records that come ``bound`` later than newer ones are
+    dropped by Spark.
+    """
+    keys = as_list(key)
+    w = window_of(ts, size)
+    marked = df.withWatermark(ts, text(bound)).select(
+        *keys, ts, seq, item, w.start.alias("window_start"), w.end.alias("window_end"),
+        F.unix_millis(w.end).alias("_end_ms"),
+    )
+    groups = [*keys, "window_start", "window_end"]
+    schema = T.StructType(
+        [T.StructField(g, marked.schema[g].dataType) for g in groups]
+        + [T.StructField("place", T.LongType()), T.StructField("item", marked.schema[item].dataType)]
+    )
+    fields = [T.StructField("seq", marked.schema[seq].dataType), T.StructField("item", marked.schema[item].dataType)]
+    rows = marked.withColumnsRenamed({seq: "seq", item: "item"}) if seq != item else marked.withColumns({"seq": F.col(seq), "item": F.col(item)})
+    return rows.groupBy(*groups).transformWithState(WindowContent(schema, fields), schema, "Append", "EventTime")

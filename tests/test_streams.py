@@ -459,3 +459,64 @@ def test_stream_enrichment_uses_the_newest_dimension(spark):
     assert rows(out) == [(1, "new")]
     with pytest.raises(ValueError):
         enrich.broadcast_enrich(stream, lambda: None, "k")
+
+
+def test_results_that_change_are_refused_in_append_mode(spark, ticks):
+    """A result that is not final cannot be appended: Spark says so before anything runs."""
+    from pyspark.errors import AnalysisException
+
+    from millrace.operators import changelog
+
+    for transform in (
+        lambda s: s.groupBy("k").agg(F.sum("v").alias("v")),
+        lambda s: changelog.newest_changes(s, "k", "seq"),
+    ):
+        with pytest.raises(AnalysisException):
+            replay(spark, {"t": (ticks, "seq")}, transform, mode="append")
+
+
+def test_silent_keys_are_forgotten(spark):
+    """A key that comes again after more than ``retain`` starts anew, and the state does not keep it."""
+    from millrace.operators import scan
+
+    data = [(i, "busy", 1.0) for i in range(0, 90, 2)] + [(1, "quiet", 10.0), (71, "quiet", 1.0), (41, "often", 5.0), (61, "often", 6.0), (81, "often", 7.0)]
+    table = spark.createDataFrame(data, "seq long, k string, v double")
+    for retain, expected in ((30, [1.0, 10.0]), (None, [10.0, 11.0])):
+        base, _ = feed(
+            spark, {"t": (table, "seq")}, lambda s: s,
+            lambda base, retain=retain: batches.running_batches(
+                "k", "seq", {"total": scan.run_sum("v")}, f"{base}/state", batches.folder_sink(f"{base}/out"), retain=retain
+            ),
+            rounds=9,
+        )
+        found = spark.read.schema("seq long, k string, total double").option("recursiveFileLookup", True).parquet(f"{base}/out")
+        assert sorted(r["total"] for r in found.filter("k = 'quiet'").collect()) == expected
+        assert sorted(r["total"] for r in found.filter("k = 'often'").collect()) == [5.0, 11.0, 18.0]
+
+
+def test_an_item_is_forgotten_by_itself():
+    """Entries of a map, in a dict in place of the store: the ones a batch does not have are not touched."""
+    from pyspark.sql import types as T
+
+    from millrace.streaming.keyed import ItemCounts
+
+    class Entries(dict):
+        touched = set()
+
+        def getValue(self, key):
+            self.touched.add(key)
+            return self[key]
+
+        def containsKey(self, key):
+            self.touched.add(key)
+            return key in self
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("k", "item", "seq", "n")])
+    job = ItemCounts(schema, T.StructField("item", T.StringType()), "seq", None)
+    job._counts = Entries({("a",): (4,), ("b",): (2,)})
+    found = [tuple(r) for r in job.handleInputRows(("x",), iter([{"item": i, "seq": s} for s, i in ((3, "a"), (1, "c"), (2, "a"))]), None)]
+    assert found == [("x", "c", 1, 1), ("x", "a", 2, 5), ("x", "a", 3, 6)]
+    assert job._counts == {("a",): (6,), ("b",): (2,), ("c",): (1,)} and job._counts.touched == {("a",), ("c",)}
