@@ -33,6 +33,13 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 REMEMBERED, LONGEST = 1_500_000, 48
 
 
+MARKS = ".,;:!?"
+_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[[*MARKS.encode()]] = _LETTER[65:91] = _LETTER[97:123] = True
+_MARK_NUMBER = np.zeros(256, np.int64)
+_MARK_NUMBER[[*MARKS.encode()]] = np.arange(len(MARKS))
+
+
 class Pool:
     """An array that grows at its end in place."""
 
@@ -118,21 +125,49 @@ class WordTokens:
         pa.set_cpu_count(1)
         self.tokenizer = Tokenizer.from_file(path)
         self.memory = Memory()
+        vocabulary = self.tokenizer.get_vocab()
+        #: Which ids end a word.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def lookup(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of distinct words, one after the other, and how many each has."""
+        """The ids of distinct stretches, one after the other, and how many each has.
+
+        The tokenizer lower-cases, and a mark after a letter is a pre-token of
+        its own.  So A-Z are lower-cased in stretches that cannot hold an added
+        token, and one mark after a letter a-z is looked up by itself, which
+        leaves far fewer words.
+        """
+        data, at = raw(kinds)
+        size = np.diff(at)
+        opens = np.concatenate([[0], np.cumsum(data == ord("<"))])
+        plain = opens[at[1:]] == opens[at[:-1]]
+        tail = plain & (size > 1)
+        if tail.any():
+            tail[tail] = _MARK[data[at[1:][tail] - 1]] & _LETTER[data[at[1:][tail] - 2]]
+        core = size - tail
+        ends = np.concatenate([[0], np.cumsum(core)])
+        text = data[_runs(at[:-1], core)]
+        text = np.where(np.repeat(plain, core) & (text >= 65) & (text <= 90), text + np.uint8(32), text)
+        words = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(text)])
+        words = pa.concat_arrays([words, pa.array(list(MARKS), pa.large_string())]).dictionary_encode()
+        codes = words.indices.to_numpy().astype(np.int64)
+        ids, sizes = self.ids_of(words.dictionary)
+        codes, marks = codes[: len(size)], codes[len(size) :]
+        which = np.where(tail, marks[_MARK_NUMBER[data[np.maximum(at[1:] - 1, 0)]]] if len(data) else 0, 0)
+        wanted = np.empty(len(size) + int(tail.sum()), np.int64)
+        place = np.arange(len(size)) + np.cumsum(tail) - tail
+        wanted[place] = codes
+        wanted[place[tail] + 1] = which[tail]
+        return _gathered(ids, sizes, wanted), sizes[codes] + np.where(tail, sizes[which], 0)
+
+    def ids_of(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one after the other, and how many each has; words are remembered."""
         data, at = raw(kinds)
         hashes = word_hashes(data, at[:-1], at[1:], EXACT_BYTE)
         slot = self.memory.find(data, at, hashes)
         new = np.flatnonzero(slot < 0)
-        words = kinds.take(pa.array(new))
-        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        for i in range(0, len(words), 8192):
-            some = words.slice(i, 8192).to_pylist()
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, made), np.int64, len(made)))
-            ids.append(np.fromiter(itertools.chain.from_iterable(made), np.uint32, int(sizes[-1].sum())))
-        sizes, ids = np.concatenate(sizes), np.concatenate(ids)
+        ids, sizes = self.encoded(kinds.take(pa.array(new)))
         every = np.zeros(len(kinds), np.int64)
         known = np.flatnonzero(slot >= 0)
         every[known], every[new] = self.memory.id_length.room[slot[known]], sizes
@@ -146,6 +181,41 @@ class WordTokens:
         self.memory.add(data, at, hashes, out, every, short)
         return out, every
 
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The tokenizer's ids of words.
+
+        Words of small Latin letters are one pre-token each, and the last token
+        of a pre-token is one that ends a word: such words are encoded many at a
+        time and told apart by these tokens.
+        """
+        simple = pc.match_substring_regex(words, "^[a-zà-öø-ÿ]+$").to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(words), np.int64)
+        made: list[np.ndarray] = []
+        for kind in (True, False):
+            of = np.flatnonzero(simple == kind)
+            for i in range(0, len(of), 8192):
+                some = words.take(pa.array(of[i : i + 8192])).to_pylist()
+                found = self._together(some) if kind else None
+                if found is None:
+                    each = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                    n = np.fromiter(map(len, each), np.int64, len(each))
+                    found = np.fromiter(itertools.chain.from_iterable(each), np.uint32, int(n.sum())), n
+                made.append(found[0])
+                sizes[of[i : i + 8192]] = found[1]
+        order = np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)])
+        out = np.empty(int(sizes.sum()), np.uint32)
+        if made:
+            out[_runs((np.cumsum(sizes) - sizes)[order], sizes[order])] = np.concatenate(made)
+        return out, sizes
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of one-pre-token words from a single call; None if they cannot be told apart."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words) or stops[-1] != len(ids):
+            return None
+        return ids, np.diff(stops, prepend=0)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) in order, and the n + 1 bounds of the texts in them."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))

@@ -30,6 +30,8 @@ def test_ids_of_words_are_the_tokenizers(tokenizer, monkeypatch):
     codec = packing.WordTokens(packing.VOCABULARY)
     draw = random.Random(1)
     texts = ODD + ["the cat sat on the mat " * 20, "The mat THE MAT", "one <|endoftext|> two <|endoftext|>"]
+    texts += ["End. end, END; End: eND! end? end.. end.) (end). e.g. it's. don't! x<|endoftext|>. é. ÉCOLE, Straße. ÷ø a÷b Ünder ＡＢ. ΣΑΣ. aΣ. ﬁn. I. ×", ". , ;", "a.", "."]
+    texts += [" ".join("".join(draw.choice(list("abcéÀß'.,!?ΣA1")) for _ in range(draw.randint(1, 6))) for _ in range(400))]
     texts += ["".join(draw.choice(["a", "B", "é", " ", "<|", "endoftext", "|>", "<|endoftext|>", "'", "\n", "１", "ß"]) for _ in range(30)) for _ in range(300)]
     for part in (texts, texts[::-1], texts[:3]):
         ids, at = codec.encode(pa.array(part, pa.string()))
