@@ -194,6 +194,34 @@ def test_passages_that_no_first_document_has(spark, monkeypatch, few):
     assert all(words <= covered[k] for k, words in need.items())
 
 
+def test_a_copy_of_a_copy_is_linked_with_the_copy(spark):
+    """The second text repeats the first and the third the second, which is too far from the first."""
+    rows = []
+    for f in range(20):
+        base = prose(30_000 + f, 100).split()
+        for v, places in enumerate([(), (32, 75), (12, 32, 55, 75)]):
+            text = [f"z{f}_{i}" if i in places else w for i, w in enumerate(base)]
+            rows.append((len(rows), prose(40_000 + 10 * f + v, 80) + " " + " ".join(text), None, None, None))
+    got = {(r.uid, r.match_uid) for r in substring.repeated_passages(frame(spark, rows).coalesce(1)).collect()}
+    assert got == {pair for k in range(0, len(rows), 3) for pair in ((k + 1, k), (k + 2, k + 1))}
+
+
+def test_zones_hold_every_stretch_with_enough_marks():
+    draw = np.random.default_rng(11)
+    for trial in range(40):
+        at = np.cumsum([0, *draw.integers(0, 60, 4)])
+        marked, free = draw.random(at[-1]) < 0.7, draw.random(at[-1]) < 0.1
+        need = np.zeros(at[-1], bool)
+        for low, high in zip(at, at[1:]):
+            for i in range(low, high - 9):
+                for j in range(i + 10, high + 1):
+                    need[i:j] |= 100 * marked[i:j].sum() >= 75 * (marked[i:j] | ~free[i:j]).sum()
+        zone = substring._zones(marked, free, at, 10, 75)
+        assert not (need & ~zone).any()
+        if trial % 2:
+            assert not substring._zones(np.zeros_like(marked), np.zeros_like(free), at, 10, 75).any()
+
+
 def test_compact_windows_are_the_trees_intervals():
     draw = np.random.default_rng(3)
     hashes = draw.integers(0, 2**63, 500, dtype=np.uint64)
