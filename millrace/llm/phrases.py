@@ -32,8 +32,8 @@ LONGEST, LEAST, FIRST, COVERED = 5, 100, 2000, 100
 UNKNOWN = "und"
 #: Binary logarithm of the filter's bits: 16 MB, whatever the corpus has.
 FILTER = 27
-#: Bytes of text worked on at once.
-RUN = 2 << 20
+#: Bytes of text worked on at once, and counted phrases that a task holds.
+RUN, HELD = 2 << 20, 1 << 17
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(10, 14)]] = True
@@ -139,9 +139,31 @@ def _tellings(grams: Grams, langs: np.ndarray, longest: int, known: np.ndarray)
                 yield int(lang[k]), [texts[c] for c in code[k : k + size].tolist()], n, k
 
 
+def _added(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One row per lang and phrase, with the sum of their times and the least row number."""
+    sums = pa.Table.from_batches(held).group_by(["lang", "phrase", "size"], use_threads=False).aggregate([("f", "sum"), ("uid", "min")])
+    columns = [sums[c].combine_chunks() for c in ("lang", "phrase", "size", "f_sum", "uid_min")]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "f", "uid"])
+
+
+def _together(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """The counts of a whole task added up; what has over ``most`` rows even so goes out and starts anew."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows > most:
+            held = [_added(held)]
+            rows = held[0].num_rows
+            if 2 * rows > most:
+                yield held[0]
+                held, rows = [], 0
+    if held:
+        yield _added(held)
+
+
 def _teller(longest: int, known: Broadcast):
-    @tidy
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tongues, kinds = _tongues(batch), batch["lang"].dictionary_encode()
             names, langs = kinds.dictionary.to_pylist(), kinds.indices.to_numpy()
@@ -161,6 +183,10 @@ def _teller(longest: int, known: Broadcast):
                     names=["lang", "phrase", "size", "f", "uid"],
                 )
 
+    @tidy
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _together(slices_of(batches))
+
     return work
 
 

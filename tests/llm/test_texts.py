@@ -258,3 +258,17 @@ def test_words_with_a_place_left_out(monkeypatch, places):
         w, p = found[r["id"]], r["place"]
         texts[r["key"]].add(w if p < 0 else w[:p] + w[p + 1 :])
     assert all(len(t) == 1 for t in texts.values()) and len(texts) == len(set().union(*texts.values()))
+
+
+def test_counts_of_a_task_go_out_once():
+    kinds = [("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("f", pa.int64()), ("uid", pa.int64())]
+    rows = [("en", f"w{i % 7}", 1, 2, 100 - i) for i in range(50)] + [("en", None, 0, 9, None)] * 3
+    batches = [pa.RecordBatch.from_pylist([dict(zip(dict(kinds), r)) for r in rows[i::5]], pa.schema(kinds)) for i in range(5)]
+    for most, least_rows in ((1000, 8), (10, 9)):
+        out = [r for b in phrases._together(iter(batches), most) for r in b.to_pylist()]
+        total = Counter()
+        for r in out:
+            total[r["phrase"]] += r["f"]
+        assert total == {None: 27} | {f"w{k}": 2 * len(range(k, 50, 7)) for k in range(7)}
+        assert len(out) == 8 if most == 1000 else len(out) >= least_rows
+    assert {(r["phrase"], r["uid"]) for r in next(phrases._together(iter(batches))).to_pylist()} >= {("w0", 51), ("w1", 57)}
