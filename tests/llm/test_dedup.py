@@ -6,10 +6,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import exact, minhash, sketch, substring
 from millrace.llm import words as W
-from millrace.llm.common import numbered, without
+from millrace.llm.common import CLEANUP, numbered, settle, without
 from millrace.llm.graph import components
 from llm_cases import awkward, brute_components, changed, frame, prose, shingle_set, words
 
@@ -305,3 +306,57 @@ def test_parts_without_windows_cost_no_row():
     assert len(made[0]["later"]) > 0 and all(not r["later"] for r in made[1:])
     blank = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["a b"])], names=["uid", "text"])
     assert sum(b.num_rows for b in substring._signer(5, 50, 8, 3000)(iter([blank]))) == 0
+
+
+def test_a_window_is_one_member_of_its_group(spark):
+    """A text that repeats a word has a window of the same signature at nearly every place."""
+    sig, uid = np.array([5] * 9 + [7] * 2, np.uint64), np.array([1] * 4 + [2] * 5 + [1, 1])
+    bit, high = np.array([1] * 9 + [0, 0], np.uint8), np.array([0, 0, 0, 0, 0, 1, 1, 0, 1, 30, 60], np.int32)
+    low = np.array([0] * 9 + [10, 40], np.int32)
+    batch = substring._packed(np.zeros(11, np.int64), [sig, uid, bit, low, high], substring.OPENED)
+    got = [tuple(r.values()) for b in substring._members(iter([batch])) for r in b.to_pylist()]
+    assert sorted(got) == [(5, 1, 1, 0, 0), (5, 2, 1, 0, 1), (7, 1, 0, 10, 30), (7, 1, 0, 40, 60)]
+
+
+def test_only_passages_with_a_needed_place_are_looked_for():
+    draw = np.random.default_rng(5)
+    hits = 0
+    for trial in range(60):
+        a = draw.integers(0, 10**6, 400)
+        b = a.copy()
+        changed_at = draw.choice(400, 70, replace=False)
+        b[changed_at] = draw.integers(10**6, 2 * 10**6, 70)
+        needed = np.zeros(400, bool)
+        needed[draw.choice(400, 12, replace=False)] = True
+        every = np.ones(400, bool)
+        whole = substring.passages(a, b, every, every, 46, 75)
+        _, number = np.unique(np.concatenate([a, b]), return_inverse=True)
+        got = substring._alike(number[:400], number[400:], None, None, 46, 75, needed)
+        assert got == [x for x in whole if needed[x[0] : x[1]].any()]
+        hits += len(whole) > len(got) > 0
+    assert hits > 3
+
+
+def test_shuffled_data_goes_with_the_step_that_needed_it(spark):
+    """Before, shuffle files stayed until the driver collected its garbage."""
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    rows = spark.range(5000).groupBy((F.col("id") % 97).alias("k")).agg(F.sum("id").alias("n"))
+    rows.count()
+    kept = held.size()
+    assert settle(rows, "sums").count() == 97
+    assert held.size() <= kept and spark.conf.get(CLEANUP, "false") == "false"
+
+
+def test_copies_that_ask_cost_no_row_for_every_pair():
+    """Twelve near copies in one meeting: each names a passage as long as it has words in no other."""
+    base = prose(50_000, 120).split()
+    texts = [" ".join(f"k{v}" if i == 5 + v else w for i, w in enumerate(base)) for v in range(12)]
+    windows = [[{"sig": j, "bit": 1 << j, "open": True} for j in range(3)]] * 12
+    table = pa.table({
+        "uid": pa.array(range(12), pa.int64()), "id": pa.array(range(12), pa.int64()), "text": texts, "asks": [True] * 12, "guest": [True] * 12,
+        "windows": windows, "runs": [[{"low": 0, "high": 116}]] * 12, "tried": pa.array([None] * 12, pa.list_(pa.int64())),
+    })
+    got = substring._meeting(5, 50, 75, 3)(table).to_pylist()
+    assert {r["later"] for r in got} == set(range(1, 12)) and len(got) < 30
+    assert all(min(r["start_word"] for r in got if r["later"] == k) == 0 for k in range(1, 12))
+    assert all(max(r["end_word"] for r in got if r["later"] == k) == 120 for k in range(1, 12))
