@@ -16,6 +16,7 @@ they occur, and counted again by text: these counts are exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,9 @@ UNKNOWN = "und"
 #: Binary logarithm of the filter's bits: 16 MB, whatever the corpus has.
 FILTER = 27
 #: Bytes of text worked on at once, and counted phrases that a task holds.
-RUN, HELD = 2 << 20, 1 << 17
+RUN, HELD = 2 << 20, 1 << 19
+#: Text for one task that adds counts up.
+PART_BYTES = 32 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(10, 14)]] = True
@@ -74,6 +77,15 @@ class Grams:
         words = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(flat)])
         return words.dictionary_encode()
 
+    def spaced(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words with a space behind each, and where they start."""
+        sizes = self.ends - self.starts + 1
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        place = np.repeat(self.starts - at[:-1], sizes) + np.arange(at[-1])
+        flat = LOWER[self.part[np.minimum(place, len(self.part) - 1)]] if len(sizes) else self.part[:0].copy()
+        flat[at[1:] - 1] = 32
+        return flat, at
+
 
 def _passing(grams: Grams, size: int, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of one size, and which have two parts that may be frequent."""
@@ -113,14 +125,14 @@ def _counter(size: int, known: Broadcast | None):
     return work
 
 
-def _tellings(grams: Grams, langs: np.ndarray, longest: int, known: np.ndarray) -> Iterator[tuple[str, list[bytes], int, int]]:
-    """Of every n-gram that the filter chose: lang's number, words, times and the place of its first word.
+def _tellings(grams: Grams, langs: np.ndarray, longest: int, known: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size by size, of every n-gram that the filter chose: the place of its first word, and its times.
 
     N-grams are told apart by their words, not by fingerprints: an n-gram's
     number stands for its shorter part's number and the number of its last word.
     """
     coded = grams.codes()
-    texts, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    texts, code = len(coded.dictionary), coded.indices.to_numpy().astype(np.int64)
     lang = langs[grams.row].astype(np.int64)
     number, chosen = lang, np.ones(len(code) + 1, bool)  # of what comes before the last word
     for size in range(1, longest + 1):
@@ -129,14 +141,12 @@ def _tellings(grams: Grams, langs: np.ndarray, longest: int, known: np.ndarray)
         at = np.flatnonzero(chosen)
         if not len(at):
             return
-        keys = number[at] * (len(texts) + 1) + code[at + size - 1]
+        keys = number[at] * (texts + 1) + code[at + size - 1]
         _, first, which = np.unique(keys, return_index=True, return_inverse=True)
         times = np.bincount(which[grams.fresh[at + size - 1]], minlength=len(first))
         number = np.zeros(len(prints), np.int64)
         number[at] = which
-        for k, n in zip(at[first].tolist(), times.tolist()):
-            if n:
-                yield int(lang[k]), [texts[c] for c in code[k : k + size].tolist()], n, k
+        yield size, at[first][times > 0], times[times > 0]
 
 
 def _added(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -162,30 +172,82 @@ def _together(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[p
         yield _added(held)
 
 
-def _teller(longest: int, known: Broadcast):
+def _phrases(spaced: tuple[np.ndarray, np.ndarray], first: np.ndarray, size: int) -> pa.Array:
+    """The n-grams of ``size`` words that begin at the words ``first``, as text."""
+    flat, at = spaced
+    lengths = at[first + size] - at[first] - 1  # without the space behind the last word
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    data = flat[np.arange(ends[-1]) + np.repeat(at[first] - ends[:-1], lengths)]
+    texts = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+    return texts.cast(pa.binary()).cast(pa.string())
+
+
+TOLD = "part int, counts binary"
+
+
+def _dealt(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """One row per part: the counts of its phrases as an Arrow stream."""
+    named = pa.Table.from_batches([batch]).select(["lang", "phrase"]).to_pydict()
+    part = np.fromiter((crc32((p or "").encode(), crc32(x.encode())) % parts for x, p in zip(named["lang"], named["phrase"])), np.int64, batch.num_rows)
+    order = np.argsort(part, kind="stable")
+    used, first = np.unique(part[order], return_index=True)
+    sorted_, edges = batch.take(pa.array(order)), np.append(first, len(part)).tolist()
+    rows = []
+    for low, high in zip(edges, edges[1:]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as stream:
+            stream.write_batch(sorted_.slice(low, high - low))
+        rows.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(rows, pa.binary())], names=["part", "counts"])
+
+
+def _teller(longest: int, known: Broadcast, parts: int):
     def slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tongues, kinds = _tongues(batch), batch["lang"].dictionary_encode()
-            names, langs = kinds.dictionary.to_pylist(), kinds.indices.to_numpy()
+            names, langs = kinds.dictionary, kinds.indices.to_numpy()
             uids = batch["uid"].to_numpy()
             for i, j, part, bounds, fresh, _ in slices(batch["text"], _GAP, longest - 1, RUN):
                 grams = Grams(part, bounds, fresh, tongues[i:j])
                 words = np.bincount(langs[i:j][grams.row[grams.fresh]], minlength=len(names))
-                rows = [(name, None, 0, n, None) for name, n in zip(names, words.tolist()) if n]
-                for lang, text, n, k in _tellings(grams, langs[i:j], longest, known.value):
-                    rows.append((names[lang], b" ".join(text), len(text), n, int(uids[i + int(grams.row[k])])))
-                columns = list(zip(*rows)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()).cast(pa.string()),
-                        pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64()),
-                    ],
-                    names=["lang", "phrase", "size", "f", "uid"],
-                )
+                has = np.flatnonzero(words)
+                nothing = pa.nulls(len(has), pa.string()), pa.nulls(len(has), pa.int64())
+                yield _counts(names.take(pa.array(has)), nothing[0], 0, words[has], nothing[1])
+                spaced = grams.spaced()
+                for size, first, times in _tellings(grams, langs[i:j], longest, known.value):
+                    row = grams.row[first]
+                    yield _counts(names.take(pa.array(langs[i:j][row])), _phrases(spaced, first, size), size, times, pa.array(uids[i + row]))
+
+    @tidy
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(slices_of(batches)):
+            yield _dealt(batch, parts)
+
+    return work
+
 
+def _counts(lang: pa.Array, phrase: pa.Array, size: int, times: np.ndarray, uid: pa.Array) -> pa.RecordBatch:
+    columns = [lang.cast(pa.string()), phrase, pa.array(np.full(len(lang), size, np.int32)), pa.array(times.astype(np.int64)), uid]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "f", "uid"])
+
+
+def _adder(least: int):
     @tidy
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _together(slices_of(batches))
+        """All counts of a part added up: phrases that occur ``least`` times, and the langs' numbers of words."""
+        held, rows, limit = [], 0, HELD
+        for batch in batches:
+            for counts in batch["counts"]:
+                held.extend(pa.ipc.open_stream(counts.as_buffer()))
+                rows += held[-1].num_rows
+                if rows > limit:
+                    held = [_added(held)]
+                    rows = held[0].num_rows
+                    limit = max(HELD, 2 * rows)
+        if held:
+            sums = _added(held)
+            enough = (sums["f"].to_numpy() >= least) | (sums["size"].to_numpy() == 0)
+            yield sums.filter(pa.array(enough))
 
     return work
 
@@ -225,9 +287,11 @@ def frequent_phrases(
         if sent is not None:
             sent.unpersist()
         sent = spark.sparkContext.broadcast(known)
-    told = rows.mapInArrow(_teller(longest, sent), "lang string, phrase string, size int, f long, uid long")
-    exact = told.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"), F.min("uid").alias("uid"))
-    return settle(exact.filter((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
+    # a task's counts go out as one row for each part, and each part is added up by one task
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PART_BYTES + 1)
+    told = rows.mapInArrow(_teller(longest, sent, parts), TOLD).repartition(parts, "part").select("counts")
+    return settle(told.mapInArrow(_adder(least), "lang string, phrase string, size int, f long, uid long"), "phrases")
 
 
 def _wide(column: str) -> Column:

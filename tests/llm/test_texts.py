@@ -272,3 +272,21 @@ def test_counts_of_a_task_go_out_once():
         assert total == {None: 27} | {f"w{k}": 2 * len(range(k, 50, 7)) for k in range(7)}
         assert len(out) == 8 if most == 1000 else len(out) >= least_rows
     assert {(r["phrase"], r["uid"]) for r in next(phrases._together(iter(batches))).to_pylist()} >= {("w0", 51), ("w1", 57)}
+
+
+def test_phrase_counts_go_out_as_one_row_for_each_part(spark):
+    """Before, every phrase was a row of every task's output."""
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"W{i}" for i in draw.integers(0, 30, 400)) + "." for _ in range(40)]
+    uids = list(range(40))
+    known = spark.sparkContext.broadcast(np.full(1 << 10, 255, np.uint8))
+    batch = pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(texts), pa.array(["en", "de"] * 20)], names=["uid", "text", "lang"])
+    out = list(phrases._teller(2, known, 6)(iter([batch])))
+    assert sum(b.num_rows for b in out) <= 6
+    got = {(r["lang"], r["phrase"]): r["f"] for b in phrases._adder(1)(iter(out)) for r in b.to_pylist()}
+    expected = Counter()
+    for lang, text in zip(["en", "de"] * 20, texts):
+        tokens = text[:-1].lower().split()
+        expected[lang, None] += len(tokens)
+        expected.update((lang, " ".join(tokens[i : i + n])) for n in (1, 2) for i in range(len(tokens) - n + 1))
+    assert got == dict(expected)
