@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -24,20 +25,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import numbered, settle, tidy
-from millrace.llm.words import EXACT_BYTE, U64, raw, word_hashes
+from millrace.llm.words import EXACT_BYTE, U64, raw, runs, word_hashes
 
 SEQUENCE = 4096
 END = 2
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words a worker remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 1_500_000, 48
-
-
-MARKS = ".,;:!?"
-_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
-_MARK[[*MARKS.encode()]] = _LETTER[65:91] = _LETTER[97:123] = True
-_MARK_NUMBER = np.zeros(256, np.int64)
-_MARK_NUMBER[[*MARKS.encode()]] = np.arange(len(MARKS))
+REMEMBERED, LONGEST = 600_000, 48
+#: Words in one call of the tokenizer, and bytes of text that are taken apart at once.
+TOGETHER, RUN = 1024, 2 << 20
+
+_MARK, _LETTER, _SECOND = np.zeros((3, 256), bool)
+_MARK[[*string.punctuation.encode()]] = _LETTER[65:91] = _LETTER[97:123] = True
+#: Second bytes of the letters U+00C0 to U+00FF, after 0xC3, and of the capitals among them.
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+_CAPITAL = _SECOND & (np.arange(256) < 0x9F)
+
+
+def _latin(data: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Bytes that end a letter U+00C0 to U+00FF, of those with these ``second`` bytes."""
+    out = second[data]
+    out[:1] = False
+    out[1:] &= data[:-1] == 0xC3
+    return out
 
 
 class Pool:
@@ -65,14 +76,16 @@ def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Memory:
     """Words with their ids, found by a sorted array of 64-bit hashes and compared byte by byte.
 
-    Of words with one hash the first is remembered.
+    Of words with one hash the first is remembered.  Most words of a corpus
+    come once: when there are too many, those stay that were found most often.
     """
 
     def __init__(self) -> None:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.text, self.ids = Pool(np.uint8), Pool(np.uint32)
         #: Per slot, where text and ids begin and how long they are.
-        self.first, self.length, self.id_first, self.id_length = (Pool(np.int64) for _ in range(4))
+        self.first, self.length, self.id_first, self.id_length = (Pool(np.int32) for _ in range(4))
+        self.found = Pool(np.int32)
 
     def find(self, data: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """The slot of every word ``data[at[i]:at[i + 1]]``, -1 for words that are not remembered."""
@@ -88,8 +101,25 @@ class Memory:
             differ = data[_runs(at[:-1][same], each)] != self.text.room[_runs(self.first.room[slot[same]], each)]
             wrong = np.add.reduceat(differ, np.cumsum(each) - each, dtype=np.int64) > 0
             slot[same[wrong]] = -1
+        self.found.room[slot[slot >= 0]] += 1
         return slot
 
+    def trimmed(self, most: int) -> Memory:
+        """At most ``most`` words, those that the most batches had."""
+        out, found = Memory(), self.found.room[: self.found.n]
+        kept = np.flatnonzero(found)
+        if len(kept) > most:
+            kept = np.sort(kept[np.argpartition(found[kept], -most)[-most:]])
+        if len(kept):
+            size, id_size = self.length.room[kept], self.id_length.room[kept]
+            hashes = np.empty(self.first.n, np.uint64)
+            hashes[self.slots] = self.keys
+            at = np.concatenate([[0], np.cumsum(size)])
+            text = self.text.room[_runs(self.first.room[kept], size)]
+            ids = self.ids.room[_runs(self.id_first.room[kept], id_size)]
+            out.add(text, at, hashes[kept], ids, id_size, np.arange(len(kept)))
+        return out
+
     def add(self, data: np.ndarray, at: np.ndarray, hashes: np.ndarray, ids: np.ndarray, id_sizes: np.ndarray, which: np.ndarray) -> None:
         """Remember the words that ``which`` names; ``ids`` has all words' ids in order."""
         _, once = np.unique(hashes[which], return_index=True)
@@ -105,6 +135,7 @@ class Memory:
         self.length.add(size)
         self.id_first.add(self.ids.n + np.cumsum(id_size) - id_size)
         self.id_length.add(id_size)
+        self.found.add(np.zeros(len(which), np.int32))
         self.text.add(data[_runs(at[:-1][which], size)])
         self.ids.add(ids[_runs((np.cumsum(id_sizes) - id_sizes)[which], id_size)])
 
@@ -120,11 +151,16 @@ class WordTokens:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         pa.set_cpu_count(1)
         self.tokenizer = Tokenizer.from_file(path)
         self.memory = Memory()
+        # the same model for words of small letters, on which the rest of the tokenizer does nothing
+        self.simple = Tokenizer.from_file(path)
+        self.simple.normalizer = normalizers.Sequence([])
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.simple.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
         vocabulary = self.tokenizer.get_vocab()
         #: Which ids end a word.
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -133,38 +169,41 @@ class WordTokens:
     def lookup(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct stretches, one after the other, and how many each has.
 
-        The tokenizer lower-cases, and a mark after a letter is a pre-token of
-        its own.  So A-Z are lower-cased in stretches that cannot hold an added
-        token, and one mark after a letter a-z is looked up by itself, which
-        leaves far fewer words.
+        The tokenizer lower-cases, and marks at the end, after a letter, are a
+        pre-token of their own.  So Latin letters are lower-cased in stretches
+        that cannot hold an added token, and their marks are looked up by
+        themselves, which leaves far fewer words.
         """
         data, at = raw(kinds)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(kinds), np.int64)
         size = np.diff(at)
         opens = np.concatenate([[0], np.cumsum(data == ord("<"))])
         plain = opens[at[1:]] == opens[at[:-1]]
-        tail = plain & (size > 1)
-        if tail.any():
-            tail[tail] = _MARK[data[at[1:][tail] - 1]] & _LETTER[data[at[1:][tail] - 2]]
-        core = size - tail
+        # where the marks at a stretch's end begin
+        stop = np.maximum.accumulate(np.where(_MARK[data], 0, np.arange(1, len(data) + 1)))[np.maximum(at[1:] - 1, 0)]
+        tail = np.flatnonzero(plain & (stop < at[1:]) & (stop > at[:-1]))
+        before = stop[tail] - 1
+        tail = tail[(_LETTER[data] | _latin(data, _SECOND))[before]]
+        text = data + np.uint8(32) * (((data >= 65) & (data <= 90) | _latin(data, _CAPITAL)) & np.repeat(plain, size))
+        core, first = size.copy(), at[:-1].copy()
+        core[tail] = stop[tail] - first[tail]
+        core, first = np.append(core, size[tail] - core[tail]), np.append(first, stop[tail])
         ends = np.concatenate([[0], np.cumsum(core)])
-        text = data[_runs(at[:-1], core)]
-        text = np.where(np.repeat(plain, core) & (text >= 65) & (text <= 90), text + np.uint8(32), text)
-        words = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(text)])
-        words = pa.concat_arrays([words, pa.array(list(MARKS), pa.large_string())]).dictionary_encode()
+        words = pa.Array.from_buffers(pa.large_string(), len(core), [None, pa.py_buffer(ends), pa.py_buffer(text[_runs(first, core)])])
+        words = words.dictionary_encode()
         codes = words.indices.to_numpy().astype(np.int64)
         ids, sizes = self.ids_of(words.dictionary)
         codes, marks = codes[: len(size)], codes[len(size) :]
-        which = np.where(tail, marks[_MARK_NUMBER[data[np.maximum(at[1:] - 1, 0)]]] if len(data) else 0, 0)
-        wanted = np.empty(len(size) + int(tail.sum()), np.int64)
-        place = np.arange(len(size)) + np.cumsum(tail) - tail
-        wanted[place] = codes
-        wanted[place[tail] + 1] = which[tail]
-        return _gathered(ids, sizes, wanted), sizes[codes] + np.where(tail, sizes[which], 0)
+        wanted = np.insert(codes, tail + 1, marks)
+        each = sizes[codes]
+        each[tail] += sizes[marks]
+        return _gathered(ids, sizes, wanted), each
 
     def ids_of(self, kinds: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words, one after the other, and how many each has; words are remembered."""
         data, at = raw(kinds)
-        hashes = word_hashes(data, at[:-1], at[1:], EXACT_BYTE)
+        hashes = word_hashes(np.append(data, np.uint8(0)), at[:-1], at[1:], EXACT_BYTE)  # the last word may be empty
         slot = self.memory.find(data, at, hashes)
         new = np.flatnonzero(slot < 0)
         ids, sizes = self.encoded(kinds.take(pa.array(new)))
@@ -177,8 +216,8 @@ class WordTokens:
         out[_runs(to[new], sizes)] = ids
         short = new[np.diff(at)[new] <= LONGEST]
         if len(self.memory.keys) + len(short) > REMEMBERED:
-            self.memory = Memory()
-        self.memory.add(data, at, hashes, out, every, short)
+            self.memory = self.memory.trimmed(REMEMBERED // 2)
+        self.memory.add(data, at, hashes, out, every, short[: REMEMBERED // 2])
         return out, every
 
     def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -188,20 +227,20 @@ class WordTokens:
         of a pre-token is one that ends a word: such words are encoded many at a
         time and told apart by these tokens.
         """
-        simple = pc.match_substring_regex(words, "^[a-zà-öø-ÿ]+$").to_numpy(zero_copy_only=False)
+        simple = pc.match_substring_regex(words, "^[a-zß-öø-ÿ]+$").to_numpy(zero_copy_only=False)
         sizes = np.zeros(len(words), np.int64)
         made: list[np.ndarray] = []
         for kind in (True, False):
             of = np.flatnonzero(simple == kind)
-            for i in range(0, len(of), 8192):
-                some = words.take(pa.array(of[i : i + 8192])).to_pylist()
+            for i in range(0, len(of), TOGETHER):
+                some = words.take(pa.array(of[i : i + TOGETHER])).to_pylist()
                 found = self._together(some) if kind else None
                 if found is None:
                     each = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
                     n = np.fromiter(map(len, each), np.int64, len(each))
                     found = np.fromiter(itertools.chain.from_iterable(each), np.uint32, int(n.sum())), n
                 made.append(found[0])
-                sizes[of[i : i + 8192]] = found[1]
+                sizes[of[i : i + TOGETHER]] = found[1]
         order = np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)])
         out = np.empty(int(sizes.sum()), np.uint32)
         if made:
@@ -210,7 +249,8 @@ class WordTokens:
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of one-pre-token words from a single call; None if they cannot be told apart."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        (found,) = self.simple.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words) or stops[-1] != len(ids):
             return None
@@ -247,7 +287,7 @@ def _cutter(path: str, sequence: int, end: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _TOKENS:
             _TOKENS[path] = WordTokens(path)
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in runs(raw(b["text"])[1], RUN)):
             ids, at = _TOKENS[path].encode(batch["text"])
             owner, start, length, crc = [], [], [], []
             whole = np.diff(at) + 1

@@ -135,3 +135,28 @@ def test_words_with_one_hash_are_told_apart(monkeypatch):
     slot = memory.find(data, at, hashes)
     found = [int(memory.ids.room[memory.id_first.room[s]]) if s >= 0 else None for s in slot]
     assert found == [0, 1, 2, None, 1, None, 0]
+
+
+def test_words_with_marks_and_capitals_are_one_word():
+    """A word is encoded once, whatever marks follow it and however it is written; marks are words of their own."""
+    codec = packing.WordTokens(packing.VOCABULARY)
+    assert codec.encode(pa.array(["x \u3000", "", None, " "]))[1].tolist()[-3:] == [len(codec.encode(pa.array(["x \u3000"]))[0])] * 3
+    codec = packing.WordTokens(packing.VOCABULARY)
+    texts = ["Äßé äßé$$$ ÄSSÉ ÄßÉ.!! äßé&&& ÄSSÉ###", "ÄßÉ!!", "×!! a÷$ !! 1!!"]
+    ids, at = codec.encode(pa.array(texts))
+    plain = Tokenizer.from_file(packing.VOCABULARY)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    # two words, $$$ .!! &&& ### !!, and three that do not end in a letter and marks, or begin with marks
+    assert len(codec.memory.keys) == 10
+
+
+def test_words_found_most_often_stay(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    codec = packing.WordTokens(packing.VOCABULARY)
+    for i in range(4):
+        codec.encode(pa.array([("often here " if i < 3 else "") + " ".join(f"{w}{w}{'abcd'[i]}" for w in "klmnopqrst")]))
+    tried = []
+    monkeypatch.setattr(codec, "encoded", lambda words: tried.append(words.to_pylist()) or (np.zeros(0, np.uint32), np.zeros(0, np.int64)))
+    codec.encode(pa.array(["here often"]))
+    assert tried == [[]]
+    assert len(codec.memory.keys) <= 40
