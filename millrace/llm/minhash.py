@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import sketch
 from millrace.llm.common import numbered, settle, tidy
-from millrace.llm.graph import components
+from millrace.llm.graph import stars
 from millrace.llm.words import U64, distinct, mix, salted, shingles
 
 WORDS, PERCENT = 5, 75
@@ -165,8 +165,9 @@ def hidden_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
     live = live.join(open_keys, "key", "left_semi")
     # what hangs together over buckets is dealt to blocks; blocks meet where a bucket has members of both
     first = live.groupBy("key").agg(F.min("uid").alias("first"))
-    families = components(live.join(first, "key").select(F.col("uid").alias("a"), F.col("first").alias("b")), "families")
-    people = live.select("uid", "n", "root").distinct().join(families.select(F.col("node").alias("uid"), F.col("root").alias("family")), "uid")
+    families = stars(live.join(first, "key").select(F.col("uid").alias("a"), F.col("first").alias("b")), "families")
+    families = families.select(F.col("node").alias("uid"), F.col("root").alias("family"))
+    people = live.select("uid", "n", "root").distinct().join(families, "uid", "left").withColumn("family", F.coalesce("family", "uid"))
     weights = people.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(block)).alias("blocks"))
     people = people.join(weights, "family")
     people = settle(
@@ -217,10 +218,10 @@ def near_duplicates(
     wanted = rows.join(members.select("uid").distinct(), "uid", "left_semi")
     sets = settle(wanted.mapInArrow(_sets(words), "uid long, shingles array<long>"), "sets")
     links = settle(star_links(members, sets, percent), "links")
-    roots = components(links)
+    roots = stars(links)
     more = settle(hidden_links(members, roots, sets, percent), "links")
     if more.limit(1).count():
-        roots = components(links.unionByName(more))
+        roots = stars(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     grouped = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "class"))

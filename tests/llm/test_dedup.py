@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, minhash, sketch, substring
+from millrace.llm import exact, graph, minhash, sketch, substring
 from millrace.llm import words as W
 from millrace.llm.common import CLEANUP, numbered, settle, without
 from millrace.llm.graph import components
@@ -360,3 +360,19 @@ def test_copies_that_ask_cost_no_row_for_every_pair():
     assert {r["later"] for r in got} == set(range(1, 12)) and len(got) < 30
     assert all(min(r["start_word"] for r in got if r["later"] == k) == 0 for k in range(1, 12))
     assert all(max(r["end_word"] for r in got if r["later"] == k) == 120 for k in range(1, 12))
+
+
+def test_a_round_of_components_shuffles_little(spark, monkeypatch):
+    """Links are written without a shuffle, and the shuffles of a round are few: each costs all its partitions' tasks."""
+    shuffles = []
+
+    def counted(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        shuffles.append(plan.count("Exchange hashpartitioning"))
+        return settle(df, label)
+
+    monkeypatch.setattr(graph, "settle", counted)
+    links = [(1, 2), (2, 1), (2, 3), (3, 4), (9, 8), (8, 7), (7, 7), (7, 9), (2, 3)]
+    got = sorted(tuple(r) for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 1), (7, 7), (8, 7), (9, 7)]
+    assert shuffles[0] == 0 and max(shuffles) <= 6
