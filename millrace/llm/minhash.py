@@ -142,15 +142,18 @@ def _compare(percent: int):
     return work
 
 
+def _open(live: DataFrame) -> DataFrame:
+    """Rows of buckets with members of several components; written, since all that follows reads them several times."""
+    keys = live.groupBy("key").agg(F.expr("min(root) <> max(root)").alias("mixed")).filter("mixed").select("key")
+    return settle(live.join(keys, "key", "left_semi"), "open")
+
+
 def hidden_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """Confirmed links ``a, b`` between members of a bucket that are in different components."""
     named = members.join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left")
     named = settle(named.withColumn("root", F.coalesce("root", "uid")).select("key", "uid", "n", "root"), "members")
-    mixed = "min(root) <> max(root)"
-    live = named
+    live = _open(named)
     for _ in range(2):
-        open_keys = live.groupBy("key").agg(F.expr(mixed).alias("mixed")).filter("mixed").select("key")
-        live = live.join(open_keys, "key", "left_semi")
         # shingles that no other candidate has cannot be common
         own = live.select("uid").distinct().join(sets, "uid").select("uid", F.explode("shingles").alias("shingle"))
         shared = own.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle")
@@ -160,9 +163,7 @@ def hidden_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
         rated = live.join(most, "uid").withColumn("partner", bound)
         ranges = rated.groupBy("key").agg(F.min("n").alias("least"), F.max("partner").alias("widest"))
         live = rated.join(ranges, "key").filter("partner >= least and n <= widest").select("key", "uid", "n", "root")
-        live = settle(live, "candidates")
-    open_keys = live.groupBy("key").agg(F.expr(mixed).alias("mixed")).filter("mixed").select("key")
-    live = live.join(open_keys, "key", "left_semi")
+        live = _open(settle(live, "candidates"))
     # what hangs together over buckets is dealt to blocks; blocks meet where a bucket has members of both
     first = live.groupBy("key").agg(F.min("uid").alias("first"))
     families = stars(live.join(first, "key").select(F.col("uid").alias("a"), F.col("first").alias("b")), "families")

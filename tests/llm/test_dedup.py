@@ -1,6 +1,7 @@
 """Exact, near-duplicate and passage deduplication against brute force."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -86,6 +87,24 @@ def test_links_that_no_hub_shows(spark):
     assert sum(r.chosen for r in got) == len(set(expected.values()))
 
 
+def test_open_buckets_are_found_once(spark, monkeypatch):
+    """What is still open in a bucket is written before several steps read it."""
+    plans = []
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString()))
+        return settle(df, label)
+
+    monkeypatch.setattr(minhash, "settle", noted)
+    base = prose(10, 150)
+    rows = [(i, changed(base, 50 + i, 0.035), None, None, None) for i in range(40)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {r[0]: c for r, c in zip(rows, brute_components(rows))}
+    joins = [(label, len(re.findall(r"LeftSemi, \(key#", plan))) for label, plan in plans]
+    assert [label for label, n in joins if n] == ["open"] * 3
+    assert all(n <= 1 for _, n in joins)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (7, 7), (300, 301), (301, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
