@@ -214,6 +214,37 @@ def test_passages_that_no_first_document_has(spark, monkeypatch, few):
     assert all(words <= covered[k] for k, words in need.items())
 
 
+def test_nobody_is_a_guest_of_those_before(spark, monkeypatch):
+    """Who asks sits with ``few`` others in reading order, and only earlier documents come."""
+    monkeypatch.setattr(substring.hidden_pairs, "__defaults__", (4, 400))
+    seats = []
+
+    def noted(df, label):
+        made = settle(df, label)
+        if label == "seats":
+            seats.extend(made.select("table", "uid", "asks").collect())
+        return made
+
+    monkeypatch.setattr(substring, "settle", noted)
+    base = prose(600, 60).split()
+    rows = []
+    for v in range(60):
+        held = set(np.random.default_rng(v).permutation(10)[:7].tolist())
+        text = [w if i // 6 in held else f"y{v}_{i}" for i, w in enumerate(base)]
+        rows.append((v, prose(700 + v, 60) + " " + " ".join(text), None, None, None))
+    rows += [(60 + v, prose(800 + v, 60) + " " + " ".join(base), None, None, None) for v in range(40)]
+    covered = defaultdict(set)
+    for r in substring.repeated_passages(frame(spark, rows).repartition(3, "doc_id")).collect():
+        covered[r.doc_id].update(range(r.start_word, r.end_word))
+    assert sum(set(range(60, 120)) <= covered[60 + v] for v in range(40)) >= 39
+    tables = defaultdict(list)
+    for r in seats:
+        tables[r.table].append(r)
+    asking = [[r.uid for r in t if r.asks] for t in tables.values()]
+    assert len(asking) > 4 and max(map(len, asking)) <= 4
+    assert all(r.uid <= max(x.uid for x in t if x.asks) for t in tables.values() for r in t)
+
+
 def test_a_copy_of_a_copy_is_linked_with_the_copy(spark):
     """The second text repeats the first and the third the second, which is too far from the first."""
     rows = []
