@@ -1,6 +1,7 @@
 """Exact, near-duplicate and passage deduplication against brute force."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ from millrace.llm import exact, graph, minhash, sketch, substring
 from millrace.llm import words as W
 from millrace.llm.common import CLEANUP, numbered, settle, without
 from millrace.llm.graph import components
+from millrace.session import shared_dir
 from llm_cases import awkward, brute_components, changed, frame, prose, shingle_set, words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -245,6 +247,38 @@ def test_nobody_is_a_guest_of_those_before(spark, monkeypatch):
     assert all(r.uid <= max(x.uid for x in t if x.asks) for t in tables.values() for r in t)
 
 
+def test_texts_move_in_rounds_and_nothing_stays_that_is_not_read(spark, monkeypatch):
+    """Rounds bound what is on disk at once; the words found are the same, and only passages are left."""
+    monkeypatch.setattr(substring.hidden_pairs, "__defaults__", (4, 400))
+    labels = []
+
+    def noted(df, label):
+        labels.append(label)
+        return settle(df, label)
+
+    monkeypatch.setattr(substring, "settle", noted)
+    base = prose(900, 60).split()
+    rows = []
+    for v in range(60):
+        held = set(np.random.default_rng(v).permutation(10)[:7].tolist())
+        text = [w if i // 6 in held else f"y{v}_{i}" for i, w in enumerate(base)]
+        rows.append((v, prose(1000 + v, 60) + " " + " ".join(text), None, None, None))
+    rows += [(60 + v, prose(1100 + v, 60) + " " + " ".join(base), None, None, None) for v in range(40)]
+    docs = frame(spark, rows).coalesce(1)
+    top, covered = shared_dir(spark), {}
+    for most in (substring.ROUND_BYTES, 1 << 10):
+        monkeypatch.setattr(substring, "ROUND_BYTES", most)
+        before, words = set(os.listdir(top)), defaultdict(set)
+        labels.clear()
+        for r in substring.repeated_passages(docs).collect():
+            words[r.doc_id].update(range(r.start_word, r.end_word))
+        covered[most] = words
+        assert {x.rsplit("-", 1)[0] for x in set(os.listdir(top)) - before} == {"passages"}
+    assert covered[1 << 10] == covered[256 << 20] != {}
+    assert labels.count("opened") == substring.ZONE_ROUNDS and labels.count("passages") > 2
+    assert substring._rounds(0, 0) == 1 and substring._rounds(5 << 30, 1 << 30) == 5
+
+
 def test_a_copy_of_a_copy_is_linked_with_the_copy(spark):
     """The second text repeats the first and the third the second, which is too far from the first."""
     rows = []
