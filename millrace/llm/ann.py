@@ -7,8 +7,9 @@ estimated chance: those reached by moving coordinates one step to the side
 whose border is near, in the order of the squared distances to the borders.
 Candidates of all tables are merged after exact reranking in double precision.
 
-The rows of a bucket and the queries that visit it meet in blocks of bounded
-size, so a bucket may hold any share of all rows.
+The rows are dealt to parts of bounded size and each part is indexed by itself,
+all tables at once; every query comes to every part.  So vectors do not travel
+bucket by bucket, and a bucket may hold any share of all rows.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.llm.common import prepared, settle
+from millrace.llm.common import prepared, settle, tidy
 from millrace.llm.words import U64, salted
 
 TABLES, FUNCTIONS, WIDTH, PROBES = 10, 4, 1.0, 40
-#: Candidates and queries of a block.
-ROWS, QUERIES = 8192, 1024
+#: Vectors (in double precision) of a part on average, and scores that are held at once.
+PART_BYTES, SCORES = 64 << 20, 1 << 21
 
 
 def unit(column: pa.Array) -> np.ndarray:
@@ -71,81 +73,96 @@ def _by_dim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             yield pa.Table.from_batches([batch]).filter(pa.array(dims == dim)).combine_chunks()
 
 
-def _hasher(tables: int, functions: int, width: float, probes: int):
-    """Rows (bucket, who, vector): every table's bucket of a row, or every bucket a query visits."""
-
+class _Index:
+    """Unit vectors of one length, and per table their numbers by bucket."""
+
+    def __init__(self, x: np.ndarray, who: np.ndarray, tables: int, functions: int, width: float, probes: int | None) -> None:
+        self.x, self.who, self.shape, self.probes, self.tables = x, who, (functions, width), probes, []
+        for table in range(tables if probes else 0):
+            keys = bucket_keys(np.floor(places(x, table, functions, width)), table, x.shape[1])
+            order = np.argsort(keys, kind="stable")
+            known, first = np.unique(keys[order], return_index=True)
+            self.tables.append((known, np.append(first, len(keys)), order.astype(np.int32)))
+
+    def visited(self, asked: np.ndarray) -> np.ndarray:
+        """Which vectors (columns) lie in a bucket that a query (row) visits; all without ``probes``."""
+        if not self.probes:
+            return np.ones((len(asked), len(self.x)), bool)
+        met = np.zeros((len(asked), len(self.x)), bool)
+        for table, (known, first, order) in enumerate(self.tables):
+            steps = probe_steps(places(asked, table, *self.shape), self.probes)
+            keys = bucket_keys(np.ascontiguousarray(steps), table, asked.shape[1])
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            rows, probe = np.nonzero(known[at] == keys)
+            at = at[rows, probe]
+            sizes = first[at + 1] - first[at]
+            ends = np.cumsum(sizes)
+            total = int(ends[-1]) if len(ends) else 0
+            met[np.repeat(rows, sizes), order[np.arange(total) + np.repeat(first[at] - (ends - sizes), sizes)]] = True
+        return met
+
+    def best(self, asked: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, number and score of each query's k best visited vectors, and of all that may equal the least of these."""
+        met = self.visited(asked)
+        scores = asked @ self.x.T
+        scores[~met] = -np.inf
+        if scores.shape[1] > k:
+            least = np.partition(scores, -k, axis=1)[:, -k][:, None]
+            met &= scores >= least - 1e-12
+        a, b = np.nonzero(met)
+        # summed alike for a pair wherever it is met
+        return a, b, (asked[a] * self.x[b]).sum(axis=1)
+
+
+def _searcher(tables: int, functions: int, width: float, probes: int | None, k: int):
+    """Takes the vectors of a part, then every query, and gives each query's k best of the part."""
+
+    @tidy
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _by_dim(batches):
-            vectors = part["vector"].chunk(0)
-            x = unit(vectors)
-            for table in range(tables):
-                at = places(x, table, functions, width)
-                steps = probe_steps(at, probes) if probes else np.floor(at)[:, None, :]
-                keys = bucket_keys(np.ascontiguousarray(steps), table, x.shape[1])
-                for i in range(0, len(keys), 256):
-                    own = np.repeat(np.arange(i, min(i + 256, len(keys))), keys.shape[1])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[i : i + 256].reshape(-1)), part["who"].chunk(0).take(pa.array(own)), vectors.take(pa.array(own))],
-                        names=["bucket", "who", "vector"],
-                    )
-
-    return work
-
-
-def _top(scores: np.ndarray, k: int) -> np.ndarray:
-    """Rows and columns of each row's k largest scores, and of all that may equal the least of these."""
-    if scores.shape[1] <= k:
-        return np.nonzero(np.ones(scores.shape, bool))
-    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-    return np.nonzero(scores >= least - 1e-12)
-
-
-def _scorer(k: int):
-    """Streams blocks, queries first, and gives each query's k best of every batch of candidates."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, queries, who = None, [], []
-
+        now, held, known = None, {}, {}
         for batch in batches:
-            keys = np.stack([batch[c].to_numpy() for c in ("bucket", "low", "high")], axis=1)
-            change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            asked = batch["asks"].to_numpy(zero_copy_only=False)
-            found = []
-            for i, j in zip([0, *change], [*change, batch.num_rows]):
-                if block is None or (keys[i] != block).any():
-                    block, queries, who = keys[i], [], []
-                split = i + int(asked[i:j].sum())
-                if split > i:
-                    queries.append(unit(batch["vector"].slice(i, split - i)))
-                    who.append(batch["who"].slice(i, split - i).to_numpy())
-                if split < j and queries:
-                    ours, names = np.concatenate(queries), np.concatenate(who)
-                    theirs = batch["who"].slice(split, j - split).to_numpy()
-                    vectors = unit(batch["vector"].slice(split, j - split))
-                    a, b = _top(ours @ vectors.T, k)
-                    # summed alike for a pair wherever it is met
-                    found.append((names[a], theirs[b], (ours[a] * vectors[b]).sum(axis=1)))
-            columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            parts, asks = batch["part"].to_numpy(), batch["asks"].to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((parts[1:] != parts[:-1]) | (asks[1:] != asks[:-1])) + 1
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+            for i, j in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+                if parts[i] != now:
+                    now, held, known = parts[i], {}, {}
+                for rows in _by_dim([batch.slice(i, j - i)]):
+                    x, who, dim = unit(rows["vector"].chunk(0)), rows["who"].to_numpy(), rows["dim"][0].as_py()
+                    if not asks[i]:
+                        held.setdefault(dim, []).append((x, who))
+                        continue
+                    if dim in held:
+                        all_x, all_who = (np.concatenate(c) for c in zip(*held.pop(dim)))
+                        known[dim] = _Index(all_x, all_who, tables, functions, width, probes)
+                    if dim not in known:
+                        continue
+                    index = known[dim]
+                    for low in range(0, len(x), step := max(1, SCORES // len(index.x))):
+                        a, b, score = index.best(x[low : low + step], k)
+                        found.append((who[low + a], index.who[b], score))
+            columns = [np.concatenate(c) for c in zip(*found)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "who", "score"])
 
     return work
 
 
-def _meet(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """``query, who, score``: for queries and candidates of equal ``bucket``, in blocks."""
-    sizes = candidates.groupBy("bucket").agg(F.count("*").alias("n"))
-    asked = queries.groupBy("bucket").agg(F.count("*").alias("m"))
-    blocks = sizes.join(asked, "bucket").select(
-        "bucket", F.ceil(F.col("n") / F.lit(ROWS)).alias("lows"), F.ceil(F.col("m") / F.lit(QUERIES)).alias("highs")
-    )
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("who"), F.col(n))
-    rows = candidates.join(blocks, "bucket").withColumn("low", own("lows")).withColumn("high", every("highs"))
-    asks = queries.join(blocks, "bucket").withColumn("high", own("highs")).withColumn("low", every("lows"))
-    columns = ["bucket", "low", "high", "asks", "who", "vector"]
-    both = rows.withColumn("asks", F.lit(False)).select(columns).unionByName(asks.withColumn("asks", F.lit(True)).select(columns))
-    both = both.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", F.desc("asks"))
-    return both.mapInArrow(_scorer(k), "query long, who long, score double")
+def _search(candidates: DataFrame, queries: DataFrame, searcher) -> DataFrame:
+    """``query, who, score``: every query meets every part of the candidates.
+
+    A candidate moves once, whatever the number of its buckets, and a query once
+    for each part, whatever the number of those it visits.
+    """
+    total = candidates.agg(F.sum(F.col("dim").cast("long"))).first()[0] or 0
+    parts = max(total * 8 // PART_BYTES + 1, 2 * candidates.sparkSession.sparkContext.defaultParallelism)
+    columns = ["part", "asks", "who", "dim", "vector"]
+    own = F.pmod(F.xxhash64("who"), F.lit(parts)).cast("int")
+    rows = candidates.withColumns({"part": own, "asks": F.lit(False)}).select(columns)
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1).cast("int")))
+    asks = queries.withColumns({"part": every, "asks": F.lit(True)}).select(columns)
+    # a few times the parts, so that seldom two share a task
+    both = rows.unionByName(asks).repartition(4 * parts, "part").sortWithinPartitions("part", "asks")
+    return both.mapInArrow(searcher, "query long, who long, score double")
 
 
 def nearest(
@@ -160,7 +177,7 @@ def nearest(
     never neighbours.  Ties go to the smaller id.  Rows with a null id are
     candidates only, and last among ties.  Repeated ids and vectors are rows of
     their own.  A query for which the tables gave fewer than ``k`` rows is
-    compared with all of them, in blocks.  Other columns are ignored.
+    compared with all of them.  Other columns are ignored.
 
     Of equal vectors only the ``k + 1`` smallest ids can be anyone's result, so
     no more are indexed; equal queries are asked once.
@@ -183,18 +200,18 @@ def nearest(
     asking = settle(asking.join(first, "vector").select("uid", "vec_id", "who", "vector", "dim"), "queries")
     asks = asking.dropDuplicates(["who"]).select("who", "vector", "dim")
 
-    shape = "bucket long, who long, vector array<double>"
-    index = kept.select(F.col("uid").alias("who"), "vector", "dim").mapInArrow(_hasher(tables, functions, width, 0), shape)
-    probing = asks.mapInArrow(_hasher(tables, functions, width, probes), shape)
-    found = _best(_meet(index, probing, k + 1), kept, k + 1)
-    found = settle(found, "neighbours")
+    # what was single precision moves as that
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    moved = F.col("vector").cast("array<float>" if single else "array<double>").alias("vector")
+    everyone, asks = kept.select(F.col("uid").alias("who"), "dim", moved), asks.select("who", "dim", moved)
+    found = _search(everyone, asks, _searcher(tables, functions, width, probes, k + 1))
+    found = settle(_best(found, kept, k + 1), "neighbours")
 
     # too few found: compare with every row
     enough = found.groupBy("query").agg(F.count("*").alias("n")).filter(F.col("n") > k).select(F.col("query").alias("who"))
-    lacking = asks.join(enough, "who", "left_anti").select(F.col("dim").cast("long").alias("bucket"), "who", "vector")
+    lacking = asks.join(enough, "who", "left_anti")
     if lacking.limit(1).count():
-        everyone = kept.select(F.col("dim").cast("long").alias("bucket"), F.col("uid").alias("who"), "vector")
-        whole = _best(_meet(everyone, lacking, k + 1), kept, k + 1)
+        whole = _best(_search(everyone, lacking, _searcher(tables, functions, width, None, k + 1)), kept, k + 1)
         found = found.join(lacking.select(F.col("who").alias("query")), "query", "left_anti").unionByName(whole)
 
     own = asking.select(F.col("who").alias("query"), F.col("uid").alias("own"), F.col("vec_id").alias("query_id"))

@@ -309,6 +309,43 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0)).collect() == []
 
 
+def test_a_vector_moves_once_whatever_its_buckets(spark, monkeypatch):
+    """Before, a vector went to ten buckets and a query to 400."""
+    draw, moved = np.random.default_rng(3), []
+    df = spark.createDataFrame([(i, draw.normal(size=16).astype(np.float32).tolist()) for i in range(2000)], VECTOR)
+    kind = type(df)
+
+    def counted(self, *to, deal=kind.repartition):
+        moved.append(self.count())
+        return deal(self, *to)
+
+    monkeypatch.setattr(kind, "repartition", counted)
+    assert ann.nearest(df, every=100).count() == 100
+    assert moved and max(moved) <= 2000 + 20 * 2 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("probes", [3, None])
+def test_an_index_visits_what_lies_in_the_probed_buckets(probes):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = ann._Index(x, np.arange(300), 2, 3, 0.5, probes)
+    met = index.visited(x[:20])
+    want = np.ones((20, 300), bool)
+    if probes:
+        want[:] = False
+        for table in range(2):
+            homes = np.floor(ann.places(x, table, 3, 0.5))
+            steps = ann.probe_steps(ann.places(x[:20], table, 3, 0.5), probes)
+            want |= (steps[:, :, None] == homes).all(axis=3).any(axis=1)
+    assert (met == want).all() and met[np.arange(20), np.arange(20)].all()
+    scores = np.where(want, x[:20] @ x.T, -2)
+    a, b, score = index.best(x[:20], 4)
+    for q in range(20):
+        best = [n for n in np.argsort(-scores[q], kind="stable")[:4].tolist() if scores[q, n] > -2]
+        assert set(best) == set(b[a == q].tolist()) and np.allclose(score[a == q], scores[q, b[a == q]])
+
+
 def test_probes_are_in_order_of_success():
     at = np.array([[0.1, 0.45, 0.8]])
     steps = ann.probe_steps(at, 27)[0]
