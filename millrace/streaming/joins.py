@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import millis, text
 from millrace.operators.rolling import Keys, as_list
+from millrace.streaming import buckets
 
 
 def _closed_sessions(df, key: Keys, ts, gap, seq, item, first: Column, bound) -> DataFrame:
@@ -111,6 +112,80 @@ class Unmatched(StatefulProcessor):
         pass
 
 
+class BucketJoin(StatefulProcessor):
+    """The changelog of a left join, for ever and for a bucket of keys at once.
+
+    Rows are (key, _seq, _is_left, left columns, right columns).  A batch adds
+    its rows to its side's list, in entries of bounded size, and the keys that
+    have got their first partner to another.  Entries are read one by one and
+    only if the other side has new rows, so that a key with very many rows takes
+    no more memory than those of one batch.
+    """
+
+    def __init__(self, lefts: int, rights: int):
+        self._edge, self._nulls = 3 + lefts, (None,) * rights
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._partners = handle.getListState("partners", "keys binary")
+        self._held = {True: handle.getListState("lefts", "rows binary"), False: handle.getListState("rights", "rows binary")}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield from buckets.told(self._changes(buckets.rows_of(rows)))
+
+    def _changes(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        nulls, edge = self._nulls, self._edge
+        new: dict[bool, dict] = {True: {}, False: {}}  # by side and key, (seq, columns)
+        for row in rows:
+            side = row[2]
+            new[side].setdefault(row[0], []).append((row[1], row[3:edge] if side else row[edge:]))
+        lefts, rights = new[True], new[False]
+        first = {name: min(seq for seq, _ in own) for name, own in rights.items()}
+        matched = {name for entry in self._partners.get() for name in buckets.unpacked(entry)}
+
+        def pair(name, left, right):
+            return (True, name, *left[1], *right[1], _greatest(left[0], right[0]))
+
+        for name, own in lefts.items():
+            for left in own:
+                # at the same time the left row is the first
+                if name not in matched and (name not in rights or left[0] <= first[name]):
+                    yield (True, name, *left[1], *nulls, left[0])
+                    if name in rights:
+                        yield (False, name, *left[1], *nulls, first[name])
+                if name is not None:
+                    for right in rights.get(name, ()):
+                        yield pair(name, left, right)
+        for entry in self._held[True].get() if rights else ():
+            for name, left in buckets.unpacked(entry):
+                if name in rights:
+                    if name not in matched:
+                        yield (False, name, *left[1], *nulls, first[name])
+                    if name is not None:
+                        for right in rights[name]:
+                            yield pair(name, left, right)
+        for entry in self._held[False].get() if lefts else ():
+            for name, right in buckets.unpacked(entry):
+                if name in lefts and name is not None:
+                    for left in lefts[name]:
+                        yield pair(name, left, right)
+
+        for side, keys in new.items():
+            entries = [(name, row) for name, own in keys.items() for row in own]
+            if entries:
+                size = buckets.ENTRY
+                self._held[side].appendList([buckets.packed(entries[i : i + size]) for i in range(0, len(entries), size)])
+        partners = [name for name in rights if name not in matched]
+        if partners:
+            self._partners.appendValue(buckets.packed(partners))
+
+    def close(self) -> None:
+        pass
+
+
+def _greatest(a, b):
+    return a if b is None or a is not None and a > b else b
+
+
 class Pairs(StatefulProcessor):
     """Pairs of both sides' rows; each row is an entry of its side's list, with a ttl of its own."""
 
@@ -154,11 +229,12 @@ def changelog_left_join_stream(
     """(flag, key, left columns, right columns, seq): false withdraws, true adds.
 
     Every row of both sides is a state entry of its own, kept for ``ttl``; None
-    keeps rows for ever and must be asked for.  For ever, the pairs are Spark's
-    own join of two streams; with a ttl, which is a time of the clock and not of
-    the rows, they come from lists whose entries expire.  Left rows without a
-    partner, and their withdrawal, need only those rows and the right side's
-    numbers.
+    keeps rows for ever and must be asked for.  For ever, rows are kept by
+    buckets of keys (see :mod:`millrace.streaming.buckets`); where a column has a
+    type that does not go there, the pairs are Spark's own join of two streams.
+    With a ttl, which is a time of the clock and not of the rows, they come from
+    lists whose entries expire, and left rows without a partner, and their
+    withdrawal, need only those rows and the right side's numbers.
     """
     lefts = [f for f in left.schema.fields if f.name != key]
     rights = [f for f in right.schema.fields if f.name != key]
@@ -168,6 +244,16 @@ def changelog_left_join_stream(
     sides = left.withColumns({"_seq": F.col(lseq).cast("long"), "_is_left": F.lit(True)})
     others = right.withColumns({"_seq": F.col(rseq).cast("long"), "_is_left": F.lit(False)})
 
+    kinds = [f.dataType for f in (*lefts, *rights)]
+    same = left.schema[key].dataType == right.schema[key].dataType
+    if last is None and same and buckets.fits(left.schema[key].dataType) and buckets.carries(*kinds):
+        names = [f.name for f in (*lefts, *rights)]
+        both = sides.unionByName(others, allowMissingColumns=True)
+        both = both.select(key, "_seq", "_is_left", *names)
+        whole = T.StructType([flag, left.schema[key], *lefts, *rights, seq])
+        found = buckets.dealt(both, key).transformWithState(BucketJoin(len(lefts), len(rights)), buckets.DATA, "Append", mode)
+        return buckets.spread(found, whole)
+
     if last is None:
         columns = [key, *[f.name for f in lefts], *[f.name for f in rights]]
         pairs = left.join(right.withColumnRenamed(key, "_rk"), F.col(key) == F.col("_rk"))
