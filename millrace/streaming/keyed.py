@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import millis
 from millrace.operators.rolling import Keys, as_list
+from millrace.streaming import buckets
 
 Step = Callable[[tuple | None, Row], tuple[tuple, list[tuple]]]
 
@@ -345,6 +346,63 @@ class ChangeTotals(StatefulProcessor):
         pass
 
 
+class BucketTotals(StatefulProcessor):
+    """What :class:`ChangeTotals` gives, for ever and for a bucket of keys at once.
+
+    Rows are (keys, flag, value).  Of every key there are the totals and each
+    value's number of rows.
+    """
+
+    def __init__(self, keys: int):
+        self._keys = keys
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._held = handle.getValueState("totals", "held binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield from buckets.told(self._totals(buckets.rows_of(rows)))
+
+    def _totals(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        at = self._keys
+        come: dict = {}
+        for row in rows:
+            come.setdefault(row[:at], []).append((1 if row[at] else -1, row[at + 1]))
+        held = self._held.get()
+        known = {} if held is None else buckets.unpacked(held)
+        for name, changes in come.items():
+            n, total, low, high, times = known.get(name, (0, None, None, None, {}))
+            moved: dict = {}
+            for sign, value in changes:
+                n += sign
+                if value is not None:
+                    # NaN is no key: it differs from itself
+                    value = value if value == value else "nan"
+                    moved[value] = moved.get(value, 0) + sign
+            gone = False
+            for entry, by in moved.items():
+                if not by:
+                    continue
+                value, left = (float("nan") if entry == "nan" else entry), times.get(entry, 0) + by
+                total = (value - value if total is None else total) + value * by
+                if left:
+                    times[entry] = left
+                    low = value if low is None or value < low else low
+                    high = value if high is None or value > high else high
+                else:
+                    del times[entry]
+                    gone = gone or value == low or value == high
+            if gone:
+                values = [float("nan") if entry == "nan" else entry for entry in times]
+                low, high = min(values, default=None), max(values, default=None)
+                total = total if values else None
+            known[name] = (n, total, low, high, times)
+            yield (*name, n, total, low, high)
+        self._held.update(buckets.packed(known))
+
+    def close(self) -> None:
+        pass
+
+
 def change_totals_stream(df: DataFrame, key: Keys, value: str, flag: str = "flag", ttl=None) -> DataFrame:
     """(key, n, total, low, high) of a changelog's rows, anew whenever a batch changes a key.
 
@@ -358,6 +416,10 @@ def change_totals_stream(df: DataFrame, key: Keys, value: str, flag: str = "flag
     totals = [T.StructField("n", T.LongType()), T.StructField("total", wide)]
     schema = T.StructType(_fields(df, keys) + totals + [T.StructField(c, kind) for c in ("low", "high")])
     read = df.select(*keys, df[flag].alias("flag"), df[value].alias("value"))
+    numeric = isinstance(kind, (T.IntegralType, T.FloatType, T.DoubleType, T.DecimalType))
+    if ttl is None and numeric and buckets.fits(*[df.schema[k].dataType for k in keys]):
+        found = buckets.dealt(read, *keys).transformWithState(BucketTotals(len(keys)), buckets.DATA, "Append", "None")
+        return buckets.spread(found, schema)
     processor = ChangeTotals(schema, kind, None if ttl is None else millis(ttl))
     return read.groupBy(*keys).transformWithState(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")
 

@@ -520,3 +520,84 @@ def test_an_item_is_forgotten_by_itself():
     found = [tuple(r) for r in job.handleInputRows(("x",), iter([{"item": i, "seq": s} for s, i in ((3, "a"), (1, "c"), (2, "a"))]), None)]
     assert found == [("x", "c", 1, 1), ("x", "a", 2, 5), ("x", "a", 3, 6)]
     assert job._counts == {("a",): (6,), ("b",): (2,), ("c",): (1,)} and job._counts.touched == {("a",), ("c",)}
+
+
+def _packed_job(job):
+    """A bucket's operator with lists in place of the store, and what a batch of rows gives."""
+    from millrace.streaming import buckets
+
+    class Held(list):
+        get, appendList = list.__iter__, list.extend
+
+        def appendValue(self, entry):
+            self.append(entry)
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, entry):
+            self.held = entry
+
+    class Handle:
+        def getListState(self, name, schema):
+            return Held()
+
+        def getValueState(self, name, schema):
+            return Value()
+
+    job.init(Handle())
+
+    def batch(*rows):
+        packs = [(0, buckets.packed(list(zip(*part)))[0]) for part in (rows[::2], rows[1::2]) if part]
+        return sorted((tuple(r) for out in job.handleInputRows((0,), iter(packs), None) for r in zip(*buckets.unpacked(out))), key=repr)
+
+    return batch
+
+
+def test_a_bucket_joins_all_its_keys(monkeypatch):
+    """Keys of one bucket keep apart over batches, however small the entries of the state are."""
+    from millrace.streaming import buckets
+    from millrace.streaming.joins import BucketJoin
+
+    monkeypatch.setattr(buckets, "ENTRY", 1)
+    batch = _packed_job(BucketJoin(1, 1))
+    assert batch(("a", 5, True, "a5", None), ("b", 3, True, "b3", None), ("b", 2, False, None, "b2"), (None, 1, True, "n", None)) == sorted(
+        [(True, "a", "a5", None, 5), (True, "b", "b3", "b2", 3), (True, None, "n", None, 1)], key=repr
+    )
+    assert batch(("a", 8, False, None, "a8"), ("a", 7, False, None, "a7"), ("a", 6, True, "a6", None), ("b", 9, True, "b9", None)) == sorted(
+        [(False, "a", "a5", None, 7), (True, "a", "a6", None, 6), (False, "a", "a6", None, 7), (True, "b", "b9", "b2", 9)]
+        + [(True, "a", left, right, seq) for left in ("a5", "a6") for right, seq in (("a7", 7), ("a8", 8))],
+        key=repr,
+    )
+    assert batch(("a", 10, True, "late", None)) == [(True, "a", "late", "a7", 10), (True, "a", "late", "a8", 10)]
+
+
+def test_a_bucket_totals_all_its_keys():
+    from millrace.streaming.keyed import BucketTotals
+
+    batch = _packed_job(BucketTotals(1))
+    assert batch(("a", True, 2.0), ("b", True, None), ("a", True, 5.0)) == [("a", 2, 7.0, 2.0, 5.0), ("b", 1, None, None, None)]
+    for n in (2, 1):  # NaN is found again
+        assert str(batch(*[("c", n > 1, float("nan"))] * n)) == f"[('c', {n}, nan, nan, nan)]"
+    assert batch(("a", False, 5.0)) == [("a", 1, 2.0, 2.0, 2.0)]
+    assert batch(("b", False, None), ("a", False, 2.0)) == [("a", 0, None, None, None), ("b", 0, None, None, None)]
+
+
+def test_streams_without_a_ttl_keep_state_by_buckets(spark):
+    """Before, every key cost calls of its own to the state store, and the pairs a join with state of its own."""
+    from millrace.streaming import buckets, joins
+
+    left, right = _two_sides(spark)
+    path = fresh_dir(spark, "plans")
+    streams = []
+    for name, table in (("l", left), ("r", right)):
+        table.write.parquet(f"{path}/{name}")
+        streams.append(spark.readStream.schema(table.schema).parquet(f"{path}/{name}"))
+    out = joins.changelog_left_join_stream(*streams, "k", "lseq", "rseq", ttl=None)
+    names = {f.name: f.dataType for f in out.schema}
+    value = next(n for n, kind in names.items() if n not in ("flag", "k", "seq") and buckets.fits(kind) and kind.typeName() != "string")
+    plan = keyed.change_totals_stream(out, "k", value)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("TransformWithState") == 2 and plan.count("_bucket") > 2 and "Join" not in plan
