@@ -22,8 +22,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Fixed for the life of a job: a key's bucket must not change.
 BUCKETS = 1 << 10
-#: Rows that are packed at once, and rows of an entry.
-GATHER, ENTRY = 1 << 18, 10_000
+#: Rows that are dealt at once, and rows of a state entry.
+GATHER, ENTRY = 1 << 16, 1000
+#: Rows and bytes of a pack; Spark moves up to 10,000 packs at once.
+PACK_ROWS, PACK_BYTES = 100, 1 << 13
 
 _PLAIN = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.DecimalType)
 _PACKED = "_bucket int, data binary"
@@ -55,7 +57,8 @@ def _deal(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at = table["_bucket"].to_numpy()
     columns = [c.to_pylist() for c in table.columns[1:]]
     edges = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
-    bounds = [(i, j) for low, high in zip(edges, edges[1:]) for i in range(low, high, ENTRY) for j in [min(i + ENTRY, high)]]
+    most = max(1, min(PACK_ROWS, PACK_BYTES * len(at) // max(1, table.nbytes)))
+    bounds = [(i, min(i + most, high)) for low, high in zip(edges, edges[1:]) for i in range(low, high, most)]
     for n in range(0, len(bounds), 256):
         some = bounds[n : n + 256]
         data = [packed([c[i:j] for c in columns])[0] for i, j in some]
@@ -89,9 +92,11 @@ def rows_of(packs: Iterator[Row]) -> Iterator[tuple]:
 
 def told(rows: Iterator[tuple]) -> Iterator[Row]:
     """Results of a bucket, packed."""
-    make, rows = Row("data"), iter(rows)
-    while some := list(itertools.islice(rows, ENTRY)):
-        yield make(packed(list(zip(*some)))[0])
+    make, rows, most = Row("data"), iter(rows), PACK_ROWS
+    while some := list(itertools.islice(rows, most)):
+        data = packed(list(zip(*some)))[0]
+        most = max(1, min(PACK_ROWS, PACK_BYTES * len(some) // len(data)))
+        yield make(data)
 
 
 def spread(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -100,8 +105,9 @@ def spread(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch["data"]:
-                columns = pickle.loads(data.as_py())
+            for low in range(0, batch.num_rows, 64):
+                packs = [pickle.loads(data) for data in batch["data"].slice(low, 64).to_pylist()]
+                columns = [list(itertools.chain(*c)) for c in zip(*packs)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return df.mapInArrow(work, schema)
